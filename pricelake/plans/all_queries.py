@@ -1,3 +1,5 @@
 """Imports every query module so that each registers its queries."""
 
 from pricelake.plans import q_merge  # noqa: F401
+from pricelake.plans import q_text  # noqa: F401
+from pricelake.plans import q_urls  # noqa: F401

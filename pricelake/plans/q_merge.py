@@ -203,17 +203,10 @@ def _label_case_sql(x: str) -> str:
     return f"CASE {x} {whens} END"
 
 
-def _title_sql(x: str) -> str:
-    """Python str.title() in DuckDB: per run of letters."""
-    return (f"array_to_string(list_transform(regexp_extract_all({x}, '[^\\pL]*\\pL*'), "
-            f"lambda p: regexp_extract(p, '^([^\\pL]*)', 1) || upper(regexp_extract(p, '(\\pL*)$', 1)[1:1]) "
-            f"|| lower(regexp_extract(p, '(\\pL*)$', 1)[2:])), '')")
-
-
 _J6_SQL = with_views("targets_base") + f"""
 , slugs AS (SELECT DISTINCT replace(subcategory, ' ', '-') AS slug FROM targets_base
             UNION SELECT DISTINCT "group" FROM targets_base)
-SELECT slug, coalesce({_label_case_sql('slug')}, {_title_sql("replace(slug, '-', ' ')")}) AS label FROM slugs
+SELECT slug, coalesce({_label_case_sql('slug')}, {S.title("replace(slug, '-', ' ')")}) AS label FROM slugs
 """
 
 

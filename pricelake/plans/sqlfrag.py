@@ -62,3 +62,20 @@ def initcap_words(x: str) -> str:
 
 def collapse(x: str) -> str:
     return f"regexp_replace({strip(x)}, '{K.WS_CLASS}+', ' ', 'g')"
+
+
+def title(x: str) -> str:
+    """Python str.title(): per run of letters."""
+    return (f"array_to_string(list_transform(regexp_extract_all({x}, '[^\\pL]*\\pL*'), "
+            f"lambda p: regexp_extract(p, '^([^\\pL]*)', 1) || upper(regexp_extract(p, '(\\pL*)$', 1)[1:1]) "
+            f"|| lower(regexp_extract(p, '(\\pL*)$', 1)[2:])), '')")
+
+
+def unquote(x: str) -> str:
+    """Percent-decoding that keeps '+' (inputs hold only valid escapes)."""
+    return f"CASE WHEN contains({x}, '%') THEN url_decode(replace({x}, '+', '%2B')) ELSE {x} END"
+
+
+def first_upper(x: str) -> str:
+    tok = f"trim(split_part({x}, ' ', 1), '.,()')"
+    return f"CASE WHEN length({tok}) > 1 AND upper({tok}) = {tok} THEN {tok} ELSE '' END"

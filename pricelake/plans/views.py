@@ -58,6 +58,81 @@ VIEWS: dict[str, tuple[str, list[list[str]]]] = {
         "'https://shop.example/c/' || replace(lower(p_brand), '#', '') || '/' || replace(p_name, ' ', '-') AS url",
         "p_size",
     ]]),
+    # Product cards as text, one per part: a display name in five shapes
+    # (known brand, upper-case first token, title-case tail, digits, none),
+    # an optional direct brand, a price with and without thousands
+    # separator (NBSP before the euro sign on some), a unit price in four
+    # shapes and an optional offer word.
+    "cards_base": ("part", [[
+        "p_partkey AS pos",
+        "p_size",
+        "p_name",
+        "p_type",
+        "p_brand",
+        "cast(round(p_retailprice * (p_size % 13 + 1) * 100) as bigint) AS cents",
+    ], [
+        "pos",
+        "case p_size % 5 when 0 then p_name || ' Hacendado' "
+        "when 1 then upper(p_type) || ' ' || p_name "
+        "when 2 then 'leche ' || p_name || ' Casa ' || upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) || ' Oro' "
+        "when 3 then p_name || ' 12 ' || upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) "
+        "else '(' || p_brand || '), ' || p_name end AS name",
+        "case when p_size > 45 then ' ' || p_brand || ' ' else '' end AS brand_direct",
+        "case when pos % 2 = 0 and cents >= 100000 "
+        "then cast(cast(floor(cents / 100000) as bigint) as string) || '.' || "
+        "lpad(cast(cast(floor(cents / 100) as bigint) % 1000 as string), 3, '0') "
+        "else cast(cast(floor(cents / 100) as bigint) as string) end "
+        "|| ',' || lpad(cast(cents % 100 as string), 2, '0') "
+        "|| case when p_size % 3 = 0 then chr(160) else ' ' end || '€' AS price_text",
+        "cast(floor(cents / p_size) as bigint) AS ppu_cents",
+        "p_size",
+        "lower(p_type) AS category",
+        "upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) AS category_label",
+        "p_name AS leaf",
+        "case p_size % 7 when 0 then 'PROMOCIÓN' when 1 then '2ª unidad' when 2 then 'Pack Ahorro' "
+        "when 3 then 'Oferta' else '' end AS offer_word",
+    ], [
+        "pos", "name", "brand_direct", "price_text", "category", "category_label", "leaf", "p_size",
+        "case p_size % 4 "
+        "when 0 then cast(cast(floor(ppu_cents / 100) as bigint) as string) || ',' || lpad(cast(ppu_cents % 100 as string), 2, '0') || ' €/kg' "
+        "when 1 then cast(cast(floor(ppu_cents / 100) as bigint) as string) || ',' || lpad(cast(ppu_cents % 100 as string), 2, '0') || ' € por kilogramo' "
+        "when 2 then '(' || cast(cast(floor(ppu_cents / 100) as bigint) as string) || ',' || lpad(cast(ppu_cents % 100 as string), 2, '0') || ' €/l)' "
+        "else cast(cast(floor(ppu_cents / 100) as bigint) as string) || ',' || lpad(cast(ppu_cents % 100 as string), 2, '0') || ' €/100 ml' end AS ppu_text",
+        "offer_word",
+    ], [
+        "pos", "name", "brand_direct", "price_text", "ppu_text", "offer_word", "category", "category_label",
+        "leaf", "p_size",
+        "name || ' ' || price_text || ' ' || ppu_text || ' ' || offer_word AS card_text",
+    ]]),
+    # URL forms seen in hrefs, built from every page's URL: absolute,
+    # padded, protocol-relative, root-relative, per-shop product and
+    # category shapes, and forms that do not normalise.
+    "url_forms": ("pages", [[
+        "page_id",
+        "url",
+        "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS host",
+        "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path",
+        "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/([a-z]+)', 1) AS lang",
+        "cast(page_id as string) AS id",
+    ], [
+        "page_id",
+        "url AS f0",
+        "'  ' || url || ' ' AS f1",
+        "'//' || host || path AS f2",
+        "path AS f3",
+        "'https://www.dia.es/' || lang || '/c/L' || id AS f4",
+        "'https://www.dia.es/' || lang || '/x-' || id || '/c/l' || id AS f5",
+        "'/compra-online/' || lang || '/p/' || id AS f6",
+        "'https://www.compraonline.alcampo.es/categories/' || lang || '%C3%B1/OC' || id AS f7",
+        "'https://www.compraonline.alcampo.es/products/' || lang || '/' || id || '?x=1#y' AS f8",
+        "'https://www.carrefour.es/supermercado/' || lang || '/cat' || id || '/c?page=2' AS f9",
+        "'/c/' || lang || ';v=1' AS f10",
+        "'#top' AS f11",
+        "'mailto:a@' || host AS f12",
+        "'HTTP://' || host AS f13",
+        "'./' || lang AS f14",
+        "'' AS f15",
+    ]]),
     # Pages of the snapshot table with their origin, used as URL base.
     "pages_base": ("pages", [[
         "page_id",
