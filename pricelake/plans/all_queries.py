@@ -3,3 +3,4 @@
 from pricelake.plans import q_merge  # noqa: F401
 from pricelake.plans import q_text  # noqa: F401
 from pricelake.plans import q_urls  # noqa: F401
+from pricelake.plans import q_land  # noqa: F401

@@ -133,6 +133,27 @@ VIEWS: dict[str, tuple[str, list[list[str]]]] = {
         "'./' || lang AS f14",
         "'' AS f15",
     ]]),
+    # Object-arrival events, one per event: the type picks the shop (error
+    # events name a shop without a table), the event day the path day.
+    # Some events carry an invalid day, a non-parquet object, an upper-case
+    # path, no bucket or another bucket; half nest their fields under "data".
+    "events_base": ("events", [[
+        "event_id",
+        "case event_type when 'view' then 'carrefour' when 'click' then 'alcampo' "
+        "when 'purchase' then 'dia' when 'signup' then 'mercadona' else 'lidl' end AS src",
+        "cast(cast(ts as date) as string) AS day",
+        "cast(event_id as string) AS id",
+    ], [
+        "event_id",
+        "case when event_id % 23 = 0 then 'other-bucket' when event_id % 19 = 0 then '' "
+        "else 'raw-bucket' end AS bucket",
+        "case when event_id % 13 = 0 then src || '/2024-13-45/part-' || id || '.parquet' "
+        "when event_id % 17 = 0 then src || '/' || src || '_categories.json' "
+        "when event_id % 10 = 0 then upper(src) || '/' || day || '/PART-' || id || '.PARQUET' "
+        "else src || '/' || day || '/part-' || id || '.parquet' end AS name",
+        "id AS generation",
+        "event_id % 2 = 0 AS nested",
+    ]]),
     # Pages of the snapshot table with their origin, used as URL base.
     "pages_base": ("pages", [[
         "page_id",
