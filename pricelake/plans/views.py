@@ -154,6 +154,58 @@ VIEWS: dict[str, tuple[str, list[list[str]]]] = {
         "id AS generation",
         "event_id % 2 = 0 AS nested",
     ]]),
+    # Category API payloads, one per card: one leaf bucket with the product,
+    # sometimes followed by a non-object leaf and a leaf whose products are
+    # not a list. Field types vary: ids as number, text or null; prices as
+    # number, text, 0 or null; flags as bool, null, number or text; some
+    # price_instructions are not objects; some payloads are not objects.
+    "payload_base": ("cards_base", [[
+        "pos", "name", "brand_direct", "leaf", "category_label", "p_size",
+        "cast(pos as double) / 4 + 0.5 AS price_num",
+        "cast(pos as string) AS id",
+    ], [
+        "pos", "name", "brand_direct", "leaf", "category_label", "p_size", "price_num", "id",
+        "case when pos % 50 = 7 then '[1, 2]' else "
+        "'{\"categories\": [{\"name\": \"' || leaf || '\", \"products\": [{\"id\": ' || "
+        "case pos % 3 when 0 then id when 1 then '\"' || id || '\"' else 'null' end || "
+        "', \"display_name\": \"' || name || '\", \"brand\": \"' || brand_direct || '\", \"share_url\": ' || "
+        "case when pos % 5 = 0 then '\"https://tienda.mercadona.es/product/' || id || '/share\"' else '\"\"' end || "
+        "', \"slug\": ' || case when pos % 2 = 0 then '\"' || replace(leaf, ' ', '-') || '\"' else 'null' end || "
+        "', \"price_instructions\": ' || "
+        "case when pos % 11 = 0 then '\"oops\"' else "
+        "'{\"bulk_price\": ' || case p_size % 4 when 0 then cast(price_num as string) "
+        "when 1 then '\"' || cast(price_num as string) || '\"' when 2 then '0' else 'null' end || "
+        "case p_size % 5 when 0 then ', \"reference_price\": \"' || cast(price_num as string) || '\"' "
+        "when 1 then ', \"reference_price\": ' || cast(price_num as string) "
+        "when 2 then ', \"reference_price\": \"\"' when 3 then '' else ', \"reference_price\": null' end || "
+        "', \"reference_format\": \"' || case p_size % 3 when 0 then 'kg' when 1 then 'L' else '' end || '\"' || "
+        "', \"unit_price\": ' || cast(price_num * 2 as string) || "
+        "', \"size_format\": \"' || case when p_size % 2 = 0 then 'ud' else '' end || '\"' || "
+        "case p_size % 6 when 0 then ', \"price_decreased\": true' when 1 then ', \"price_decreased\": false' "
+        "when 2 then ', \"price_decreased\": null' when 3 then ', \"price_decreased\": 1' "
+        "when 4 then ', \"price_decreased\": \"x\"' else '' end || "
+        "', \"previous_unit_price\": ' || case pos % 4 when 0 then '0' when 1 then '\"0\"' when 2 then '\"\"' "
+        "else '1.25' end || '}' end || '}]}' || "
+        "case when p_size % 9 = 0 then ', \"junk\", {\"name\": \"x\", \"products\": \"none\"}' else '' end "
+        "|| ']}' end AS payload",
+    ]]),
+    # Groups API payloads, one per card: a named group with three
+    # categories (published true / false / null / absent; the second with
+    # id 0, the third without a name), a nameless group and a non-object.
+    # Category ids repeat across cards, so targets repeat.
+    "groups_base": ("cards_base", [[
+        "pos", "category_label", "leaf", "p_size",
+        "cast(p_size * 1000 + pos % 3 as string) AS cid",
+    ], [
+        "pos", "category_label", "leaf", "cid",
+        "'{\"results\": [{\"name\": \"' || category_label || '\", \"categories\": [{\"id\": ' || cid || "
+        "', \"name\": \"' || leaf || '\"' || "
+        "case pos % 4 when 0 then ', \"published\": true' when 1 then ', \"published\": false' "
+        "when 2 then ', \"published\": null' else '' end || '}, "
+        "{\"id\": 0, \"name\": \"zero\"}, {\"id\": \"' || cid || '7\", \"name\": \"\"}, "
+        "{\"id\": \"' || cid || '8\", \"name\": \"' || leaf || ' extra\", \"published\": \"false\"}]}, "
+        "{\"name\": \"\", \"categories\": [{\"id\": 5, \"name\": \"orphan\"}]}, \"junk\"]}' AS payload",
+    ]]),
     # Pages of the snapshot table with their origin, used as URL base.
     "pages_base": ("pages", [[
         "page_id",
@@ -168,7 +220,7 @@ def view_sql(name: str, dialect: str = "duckdb") -> str:
     """The view as a nested SELECT for DuckDB or Spark SQL."""
     table, steps = VIEWS[name]
     q = '"' if dialect == "duckdb" else "`"
-    sql = table
+    sql = view_sql(table, dialect) if table in VIEWS else table
     for step in steps:
         cols = ", ".join(e.replace("{Q}", q) for e in step)
         sql = f"(SELECT {cols} FROM {sql})"
@@ -188,7 +240,7 @@ def read_table(spark: SparkSession, sf_dir: str, table: str, columns=None) -> Da
 
 def load_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     table, steps = VIEWS[name]
-    df = read_table(spark, sf_dir, table)
+    df = load_view(spark, sf_dir, table) if table in VIEWS else read_table(spark, sf_dir, table)
     for step in steps:
         df = df.selectExpr(*[e.replace("{Q}", "`") for e in step])
     return df
