@@ -217,3 +217,25 @@ def q_group_label_lookup(spark, sf_dir):
     slugs = (t.select(F.replace("subcategory", F.lit(" "), F.lit("-")).alias("slug"))
              .union(t.select(F.col("group").alias("slug"))).distinct())
     return slugs.select("slug", group_label("slug").alias("label"))
+
+
+# -- S2 + S1: targets written as a document folder and read back -------------------
+
+_ROUNDTRIP_SQL = with_views("targets_base") + """
+, d AS (SELECT *, row_number() OVER (PARTITION BY category, subcategory, url ORDER BY target_index) AS rn
+        FROM targets_base)
+SELECT row_number() OVER (ORDER BY "group", category, subcategory, url) - 1 AS target_index,
+       "group", category, subcategory, url
+FROM d WHERE rn = 1
+"""
+
+
+@query("targets_roundtrip", _ROUNDTRIP_SQL)
+def q_targets_roundtrip(spark, sf_dir):
+    import datetime as dt
+    from pricelake.session import scratch_path
+    from pricelake.sources.targets import read_targets, write_targets
+    path = scratch_path(spark, "targets")
+    write_targets(M.targets_distinct(_targets(spark, sf_dir)), path, ["https://shop.example/c/"],
+                  dt.datetime(2025, 1, 2, 3, 4, 5))
+    return read_targets(spark, path)
