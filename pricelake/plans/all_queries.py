@@ -5,3 +5,4 @@ from pricelake.plans import q_text  # noqa: F401
 from pricelake.plans import q_urls  # noqa: F401
 from pricelake.plans import q_land  # noqa: F401
 from pricelake.plans import q_payload  # noqa: F401
+from pricelake.plans import q_cards  # noqa: F401

@@ -206,6 +206,51 @@ VIEWS: dict[str, tuple[str, list[list[str]]]] = {
         "{\"id\": \"' || cid || '8\", \"name\": \"' || leaf || ' extra\", \"published\": \"false\"}]}, "
         "{\"name\": \"\", \"categories\": [{\"id\": 5, \"name\": \"orphan\"}]}, \"junk\"]}' AS payload",
     ]]),
+    # Category pages in each shop's markup, one per card (see the card
+    # rules): a first-selector card on every third Dia page, a duplicate
+    # card per page (same product URL), a card without URL, promotion
+    # links, price attributes on every other Carrefour wrapper, and ld+json
+    # blocks of three shapes plus one that does not parse.
+    "cards_html": ("cards_base", [[
+        "pos", "name", "brand_direct", "price_text", "ppu_text", "offer_word", "category",
+        "replace(leaf, ' ', '-') AS slug",
+        "cast(pos as string) AS id",
+    ], [
+        "pos", "name", "brand_direct", "price_text", "ppu_text", "offer_word", "category", "slug",
+        "'<div class=\"list\">' || "
+        "case when pos % 3 = 0 then '<article class=\"product-x\"><a href=\"https://www.dia.es/x/' || slug || '/p/' || id "
+        "|| 'A#f\"><h3>' || name || ' A</h3></a><strong>' || price_text || '</strong></article>' else '' end || "
+        "'<li class=\"product-item\"><a href=\"/' || category || '/' || slug || '/p/' || id || '?y=2\"><img alt=\"' "
+        "|| name || '\"></a><p class=\"product-name\">' || name || '</p><span class=\"price\">' || price_text || "
+        "'</span><span>' || ppu_text || '</span><em>' || offer_word || '</em></li>' || "
+        "'<li class=\"product-item\"><a href=\"/' || category || '/' || slug || '/p/' || id || "
+        "'?z=3\"><p class=\"product-name\">dup</p></a></li>' || "
+        "'<li class=\"product-note\">' || name || '</li></div>' AS html_dia",
+        "'<div class=\"grid\"><div class=\"product-card-container\"><a href=\"/products/' || slug || '/' || id || "
+        "'?x=1\"></a><div class=\"title-container\"><h3>' || name || '</h3></div><span data-test=\"fop-price\">' || "
+        "price_text || '</span><span data-test=\"fop-price-per-unit\">' || ppu_text || '</span>' || "
+        "case when pos % 4 = 0 then '<div class=\"promotion-container\"><a href=\"/offers/' || id || "
+        "'\">Ver</a></div>' else '' end || '</div>' || "
+        "'<div class=\"product-card-container\"><a href=\"/products/' || slug || '/' || id || "
+        "'?x=1\"></a><div class=\"title-container\"><h3>dup</h3></div></div>' || "
+        "'<div class=\"product-card-container\"><h3>' || name || '</h3></div></div>' AS html_alcampo",
+        "'<div class=\"product-card__parent\"' || case when pos % 2 = 0 then ' app_price=\"' || price_text || "
+        "'\" app_price_per_unit=\"' || ppu_text || '\"' else '' end || '><div class=\"product-card\">"
+        "<h2 class=\"product-card__title\"><a class=\"product-card__title-link\" href=\"/supermercado/' || slug || "
+        "'/R-' || id || '/p\">' || name || '</a></h2>' || case when brand_direct <> '' then "
+        "'<span class=\"product-card__brand\">' || brand_direct || '</span>' else '' end || "
+        "'<span class=\"product-card__price\">' || price_text || '</span><span class=\"product-card__price-per-unit\">' "
+        "|| ppu_text || '</span><span class=\"badge\">' || offer_word || '</span></div></div>' AS html_carrefour",
+        "'<html><head><script type=\"application/ld+json\">' || case pos % 3 "
+        "when 0 then '{\"@graph\": [{\"@type\": \"Product\", \"name\": \"' || name || '\", \"url\": \"/p/' || id "
+        "|| '?q\", \"offers\": {\"price\": ' || cast(cast(pos as double) / 4 + 0.5 as string) || "
+        "', \"priceSpecification\": \"' || ppu_text || '\"}}, {\"@type\": \"Product\", \"name\": \"dup\", "
+        "\"url\": \"/p/' || id || '\"}]}' "
+        "when 1 then '{\"itemListElement\": [{\"item\": {\"name\": \"' || name || '\", \"offers\": "
+        "[{\"price\": \"' || id || '\"}]}}, {\"name\": \"C\"}]}' "
+        "else '{\"@type\": \"Organization\", \"name\": \"Shop ' || id || '\"}' end || "
+        "'</script><script type=\"application/ld+json\">{bad</script></head><body></body></html>' AS html_ld",
+    ]]),
     # Pages of the snapshot table with their origin, used as URL base.
     "pages_base": ("pages", [[
         "page_id",
