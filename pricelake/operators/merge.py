@@ -190,18 +190,15 @@ def keep_min_rank(df: DataFrame, group_cols, rank_col: str = "branch_rank") -> D
 
 def jsonld_gate(rows: DataFrame, group_col: str = "target_index", seq_col: str = "page_seq",
                 kind_col: str = "kind", url_col: str = "product_url") -> DataFrame:
-    """In the snapshot loop, JSON-LD rows of snapshot k count only if no
-    card row with a URL exists yet: keep JSON-LD rows with
-    ``k < first card-URL snapshot`` (null = never)."""
+    """In the snapshot loop the JSON-LD rows of snapshot k are used only
+    while no card row with a URL has been seen, and the test runs after
+    snapshot k's cards. So keep JSON-LD rows with ``k < k_card``, the first
+    snapshot holding a card URL (none = keep all)."""
     has_url = coalesce_blank(F.col(url_col)) != ""
     first_card = (rows.where((F.col(kind_col) == "card") & has_url)
                   .groupBy(group_col).agg(F.min(seq_col).alias("_k_card")))
-    j = rows.join(first_card, group_col, "left")
-    keep = (F.col(kind_col) != "jsonld") | F.col("_k_card").isNull() | (F.col(seq_col) <= F.col("_k_card"))
-    # The JSON-LD test of snapshot k runs after that snapshot's cards: a card
-    # URL first seen in snapshot k already blocks JSON-LD of snapshot k.
     keep = (F.col(kind_col) != "jsonld") | F.col("_k_card").isNull() | (F.col(seq_col) < F.col("_k_card"))
-    return j.where(keep).drop("_k_card")
+    return rows.join(first_card, group_col, "left").where(keep).drop("_k_card")
 
 
 def count_rows(df: DataFrame, group_cols=(), name: str = "n_rows") -> DataFrame:
