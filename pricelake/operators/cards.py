@@ -19,10 +19,14 @@ from pricelake.sources import html_job as H
 PRODUCT_FIELDS = ["product", "brand", "price", "price_per_unit", "offer", "product_url"]
 
 
+def _id_type(pages: DataFrame, id_col: str) -> str:
+    return pages.schema[id_col].dataType.simpleString()
+
+
 def card_facts(pages: DataFrame, source: str, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Run the page job: one row per (page, selector, matched node)."""
     return pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html")) \
-        .mapInPandas(H.cards_job(source), H.CARD_SCHEMA)
+        .mapInPandas(H.cards_job(source), H.schema(H.CARD_SCHEMA, _id_type(pages, id_col)))
 
 
 def _url_rule(source: str):
@@ -97,7 +101,7 @@ def page_products(pages: DataFrame, source: str, id_col: str = "page_id", html_c
 
 def jsonld_facts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     return pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html")) \
-        .mapInPandas(H.jsonld_job(), H.JSONLD_SCHEMA)
+        .mapInPandas(H.jsonld_job(), H.schema(H.JSONLD_SCHEMA, _id_type(pages, id_col)))
 
 
 def jsonld_products(facts: DataFrame) -> DataFrame:

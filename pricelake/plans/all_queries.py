@@ -7,3 +7,4 @@ from pricelake.plans import q_land  # noqa: F401
 from pricelake.plans import q_payload  # noqa: F401
 from pricelake.plans import q_cards  # noqa: F401
 from pricelake.plans import q_stream  # noqa: F401
+from pricelake.plans import q_daily  # noqa: F401

@@ -123,4 +123,4 @@ def q_visible_text(spark, sf_dir):
     """H9 with the parser (rows-only check; ``page_markers`` covers the
     native approximation with an oracle)."""
     pages = load_view(spark, sf_dir, "pages_base").select("page_id", "html")
-    return pages.mapInPandas(H.text_job(), H.TEXT_SCHEMA)
+    return pages.mapInPandas(H.text_job(), H.schema(H.TEXT_SCHEMA))

@@ -212,11 +212,12 @@ VIEWS: dict[str, tuple[str, list[list[str]]]] = {
     # links, price attributes on every other Carrefour wrapper, and ld+json
     # blocks of three shapes plus one that does not parse.
     "cards_html": ("cards_base", [[
-        "pos", "name", "brand_direct", "price_text", "ppu_text", "offer_word", "category",
+        "pos", "name", "brand_direct", "price_text", "ppu_text", "offer_word", "category", "category_label", "leaf",
         "replace(leaf, ' ', '-') AS slug",
         "cast(pos as string) AS id",
     ], [
-        "pos", "name", "brand_direct", "price_text", "ppu_text", "offer_word", "category", "slug",
+        "pos", "name", "brand_direct", "price_text", "ppu_text", "offer_word", "category", "category_label", "leaf",
+        "slug",
         "'<div class=\"list\">' || "
         "case when pos % 3 = 0 then '<article class=\"product-x\"><a href=\"https://www.dia.es/x/' || slug || '/p/' || id "
         "|| 'A#f\"><h3>' || name || ' A</h3></a><strong>' || price_text || '</strong></article>' else '' end || "
