@@ -252,6 +252,47 @@ VIEWS: dict[str, tuple[str, list[list[str]]]] = {
         "else '{\"@type\": \"Organization\", \"name\": \"Shop ' || id || '\"}' end || "
         "'</script><script type=\"application/ld+json\">{bad</script></head><body></body></html>' AS html_ld",
     ]]),
+    # Al Campo group pages, one per card: the group slug (accented in the
+    # group URL on every fourth page) and, except on every fifth page,
+    # category links: a named one, an unnamed one, a duplicate, one of
+    # another group and the group page itself.
+    "nav_alcampo": ("cards_base", [[
+        "pos", "leaf", "cast(pos as string) AS id",
+        "category || '-' || cast(p_size as string) AS gslug",
+    ], [
+        "pos", "leaf", "id", "gslug",
+        "case when pos % 4 = 0 then replace(gslug, 'o', 'ó') else gslug end AS url_slug",
+    ], [
+        "pos", "leaf", "id", "gslug", "url_slug",
+        "'https://www.compraonline.alcampo.es/categories/' || url_slug || '/OC' || id AS group_url",
+        "case when pos % 5 = 0 then '<div>no links</div>' else "
+        "'<nav><a href=\"/categories/' || gslug || '/' || id || '/x?q=1\">' || leaf || '</a>' || "
+        "'<a href=\"/categories/' || gslug || '/OC' || id || '\">  </a>' || "
+        "'<a href=\"/categories/' || gslug || '/' || id || '/x?q=2\">dup</a>' || "
+        "'<a href=\"/categories/otro/' || id || '/y\">other</a>' || "
+        "'<a href=\"/categories/' || gslug || '\">group</a></nav>' end AS html",
+    ]]),
+    # Dia menu items collected from the home page (a category link, a
+    # product link and a later duplicate of the category link with another
+    # or no title) and from each category page (two subcategory links, one
+    # without title, and one under another first segment; none on every
+    # fourth category page).
+    "items_dia": ("cards_base", [[
+        "pos", "leaf", "category", "cast(pos as string) AS id",
+        "replace(leaf, ' ', '-') AS slug",
+    ], [
+        "pos", "leaf", "id",
+        "'/' || category || '-' || id || '/c/L' || id AS cat_href",
+        "'https://www.dia.es/' || category || '-' || id || '/c/L' || id AS cat_url",
+        "case when pos % 6 = 0 then '' else leaf end AS t0",
+        "'/' || category || '/p/' || id AS junk_href",
+        "case when pos % 6 = 0 then '' else 'Dup ' || leaf end AS t2",
+        "leaf || ' sub' AS s0_title",
+        "'/' || category || '-' || id || '/' || slug || '/c/L' || id || '01' AS s0_href",
+        "'/' || category || '-' || id || '/otra-' || id || '/c/L' || id || '02' AS s1_href",
+        "'/otro/' || slug || '/c/L' || id || '03' AS s2_href",
+        "pos % 4 = 0 AS no_subs",
+    ]]),
     # Pages of the snapshot table with their origin, used as URL base.
     "pages_base": ("pages", [[
         "page_id",
