@@ -76,3 +76,30 @@ SELECT category_part, cat_name, '', cat_url FROM c WHERE no_subs
 @query("discover_targets_dia", _DIA_SQL)
 def q_discover_targets_dia(spark, sf_dir):
     return M.targets_sort(DS.discover_dia(_items(spark, sf_dir))).select("group", "category", "subcategory", "url")
+
+
+CF = K.BASE_URLS["carrefour"]
+_NB = "pos % 7 <> 0 AND pos % 9 <> 0"
+
+
+@query("discover_targets_carrefour", with_views("nav_carrefour") + f"""
+SELECT 'bebidas' AS "group", 'Bebidas' AS category, leaf AS subcategory, cat1_url AS url
+FROM nav_carrefour WHERE pos % 7 = 0 AND pos % 9 <> 0
+UNION ALL SELECT 'bebidas', 'Bebidas', category_label || ' ' || id, cat2_url
+FROM nav_carrefour WHERE pos % 7 = 0 AND pos % 9 <> 0
+UNION ALL SELECT 'bebidas', 'Bebidas', leaf, '{CF}/supermercado/bebidas/c3-' || id || '/c'
+FROM nav_carrefour WHERE pos % 7 = 0 AND pos % 9 <> 0
+UNION ALL SELECT gname, leaf, leaf || ' uno', '{CF}/supermercado/' || gname || '/s1-' || id || '/c'
+FROM nav_carrefour WHERE {_NB} AND pos % 2 <> 0
+UNION ALL SELECT gname, leaf, 'Dos ' || id, '{CF}/supermercado/' || gname || '/s2-' || id || '/c'
+FROM nav_carrefour WHERE {_NB} AND pos % 2 <> 0
+UNION ALL SELECT gname, leaf, '', cat1_url FROM nav_carrefour WHERE {_NB} AND pos % 2 = 0
+UNION ALL SELECT gname, category_label || ' ' || id, '', cat2_url FROM nav_carrefour WHERE {_NB}
+""")
+def q_discover_targets_carrefour(spark, sf_dir):
+    v = load_view(spark, sf_dir, "nav_carrefour")
+    groups = v.select(F.col("pos").alias("group_index"), F.col("group_url").alias("url"))
+    page = lambda u, h: v.select(F.col(u).alias("url"), F.col(h).alias("html"))
+    pages = page("group_url", "group_html").unionByName(page("cat1_url", "cat1_html")) \
+        .unionByName(page("cat2_url", "cat2_html")).where(F.col("html").isNotNull())
+    return M.targets_sort(DS.discover_carrefour(groups, pages)).select("group", "category", "subcategory", "url")

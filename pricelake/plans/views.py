@@ -293,6 +293,38 @@ VIEWS: dict[str, tuple[str, list[list[str]]]] = {
         "'/otro/' || slug || '/c/L' || id || '03' AS s2_href",
         "pos % 4 = 0 AS no_subs",
     ]]),
+    # Carrefour navigation, one group per card (every seventh a one-level
+    # "bebidas" group, every ninth without navigation): slides with a
+    # title, with a text element, an offers slide, a second slide with the
+    # same name and a non-category link; the first category page has
+    # sub-navigation (missing on even cards), the second none.
+    "nav_carrefour": ("cards_base", [[
+        "pos", "leaf", "category_label", "cast(pos as string) AS id",
+        "case when pos % 7 = 0 then 'bebidas' else category || '-' || cast(pos as string) end AS gname",
+    ], [
+        "pos", "leaf", "category_label", "id", "gname",
+        "'https://www.carrefour.es/supermercado/' || gname || '/cat' || id || '/c' AS group_url",
+        "'https://www.carrefour.es/supermercado/' || gname || '/c1-' || id || '/c' AS cat1_url",
+        "'https://www.carrefour.es/supermercado/' || gname || '/c2-' || id || '/c' AS cat2_url",
+        "case when pos % 9 = 0 then '<div>no nav</div>' else "
+        "'<div class=\"nav-second-level-categories\">' || "
+        "'<div class=\"nav-second-level-categories__slide\" title=\"' || leaf || '\"><a href=\"/supermercado/' "
+        "|| gname || '/c1-' || id || '/c\">A</a><a href=\"/other/c\">B</a></div>' || "
+        "'<div class=\"nav-second-level-categories__slide\"><a href=\"/supermercado/' || gname || '/c2-' || id || "
+        "'/c\"><p class=\"nav-second-level-categories__text\">' || category_label || ' ' || id || '</p></a></div>' || "
+        "'<div class=\"nav-second-level-categories__slide\" title=\"Ofertas\"><a href=\"/supermercado/ofertas/c\">"
+        "x</a></div>' || "
+        "'<div class=\"nav-second-level-categories__slide\" title=\"' || leaf || '\"><a href=\"/supermercado/' "
+        "|| gname || '/c3-' || id || '/c\">dup</a></div>' || "
+        "'<div class=\"nav-second-level-categories__slide\" title=\"Nada\"><a href=\"/supermercado/' || gname || "
+        "'/nada-' || id || '/p\">x</a></div></div>' end AS group_html",
+        "case when pos % 2 = 0 then null else "
+        "'<div class=\"nav-second-level-categories\"><div class=\"nav-second-level-categories__slide\" title=\"' "
+        "|| leaf || ' uno\"><a href=\"/supermercado/' || gname || '/s1-' || id || '/c\">u</a></div>' || "
+        "'<a href=\"/supermercado/' || gname || '/s2-' || id || '/c\"><p class=\"nav-second-level-categories__text\">"
+        "Dos ' || id || '</p></a><a href=\"/supermercado/ofertas-' || id || '/c\">Ofertas</a></div>' end AS cat1_html",
+        "'<div>sin nav</div>' AS cat2_html",
+    ]]),
     # Pages of the snapshot table with their origin, used as URL base.
     "pages_base": ("pages", [[
         "page_id",
