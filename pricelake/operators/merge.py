@@ -78,19 +78,17 @@ def merge_last_wins(rows: DataFrame, group_cols=("target_index",), order=None,
     url = strip(coalesce_blank(F.col(url_col)))
     name = F.lower(strip(coalesce_blank(F.col(name_col))))
     base_cols = [c for c in rows.columns if c != "merge_rank"]
-    tagged = rows.select(*base_cols).withColumn("_url", url).withColumn("_name", name)
-
-    by_url = _first_per_key(tagged.where(F.col("_url") != "").drop("_name").withColumnRenamed("_url", "_k"),
-                            group_cols + ["_k"], order, last=True, first_order_name="_first")
-    by_name = _first_per_key(tagged.where((F.col("_url") == "") & (F.col("_name") != ""))
-                             .drop("_url").withColumnRenamed("_name", "_k"),
-                             group_cols + ["_k"], order, last=True, first_order_name="_first")
+    keyed = (rows.select(*base_cols)
+             .withColumn("merge_rank", F.when(url != "", F.lit(0)).when(name != "", F.lit(1)))
+             .withColumn("_k", F.when(url != "", url).otherwise(name))
+             .where(F.col("merge_rank").isNotNull()))
+    # One aggregate for URL and name keys: a single shuffle, reused below.
+    last = _first_per_key(keyed, group_cols + ["merge_rank", "_k"], order, last=True, first_order_name="_first")
     used_name = coalesce_blank(F.col(name_col))
     used_name = F.lower(strip(used_name) if trim_used_names else used_name)
-    used = by_url.select(*group_cols, used_name.alias("_k")).distinct()
-    kept_names = by_name.join(used, group_cols + ["_k"], "left_anti")
-    merged = (by_url.withColumn("merge_rank", F.lit(0))
-              .unionByName(kept_names.withColumn("merge_rank", F.lit(1))))
+    used = last.where(F.col("merge_rank") == 0).select(*group_cols, used_name.alias("_k")).distinct()
+    kept_names = last.where(F.col("merge_rank") == 1).join(used, group_cols + ["_k"], "left_anti")
+    merged = last.where(F.col("merge_rank") == 0).unionByName(kept_names)
     # The merged row sits at the key's first position.
     first_cols = [c for c in order if c not in group_cols]
     out = [F.col("_first." + c).alias(c) if c in first_cols else F.col(c) for c in base_cols]

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pricelake.functions import constants as K
 from pricelake.operators import cards as C
 from pricelake.operators import merge as M
+from pricelake.session import materialize
 from pricelake.sources import payloads as PL
 
 OUT_COLS = ["target_index", "merge_rank", "page_seq", "pos"] + K.PRODUCT_COLUMNS
@@ -40,10 +41,11 @@ def _page_rows(targets: DataFrame, pages: DataFrame, source: str) -> DataFrame:
     1 = JSON-LD (after the cards of the same snapshot)."""
     np_ = needed_pages(targets, pages)
     parsed = np_.select(F.col("page_key").alias("page_id"), "html")
-    cards = C.page_products(parsed, source).select(
+    facts = materialize(C.card_facts(parsed, source))
+    cards = C.card_fields(C.product_cards(facts, source), source).select(
         "page_id", F.lit(0).alias("branch"), F.col("node_pos").cast("long").alias("pos"), *C.PRODUCT_FIELDS)
     if source == "dia":
-        ld = C.jsonld_products(C.jsonld_facts(parsed)).select(
+        ld = C.jsonld_products(materialize(C.jsonld_facts(parsed))).select(
             "page_id", F.lit(1).alias("branch"),
             (F.col("block_pos").cast("long") * 100000 + F.col("obj_pos")).alias("pos"), *C.PRODUCT_FIELDS)
         cards = cards.unionByName(ld)

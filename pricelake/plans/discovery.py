@@ -18,6 +18,7 @@ from pricelake.functions import text as T
 from pricelake.functions import urls as U
 from pricelake.operators import merge as M
 from pricelake.operators.targets import group_label
+from pricelake.session import materialize
 from pricelake.sources import html_job as H
 
 TARGET_COLS = ["target_index", "group", "category", "subcategory", "url"]
@@ -26,7 +27,8 @@ TARGET_COLS = ["target_index", "group", "category", "subcategory", "url"]
 def anchors(pages: DataFrame, id_col: str = "url", html_col: str = "html") -> DataFrame:
     """Anchor facts of each page, keyed by the page URL."""
     p = pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html"))
-    return p.mapInPandas(H.anchors_job(), H.schema(H.ANCHOR_SCHEMA, "string")).withColumnRenamed("page_id", "page_url")
+    a = p.mapInPandas(H.anchors_job(), H.schema(H.ANCHOR_SCHEMA, "string")).withColumnRenamed("page_id", "page_url")
+    return materialize(a)
 
 
 def slice_groups(groups: DataFrame, n: int | None) -> DataFrame:
@@ -64,14 +66,15 @@ def discover_alcampo(groups: DataFrame, pages: DataFrame) -> DataFrame:
                               ["link"], "pos", ["group_index", "group_url"])
     name = F.when(T.strip(F.coalesce(F.col("text"), F.lit(""))) != "", F.col("text")) \
         .otherwise(T.title_case(F.replace(U.seg_at(F.col("segs"), -1), F.lit("-"), F.lit(" "))))
-    children = first.select(F.struct("group_index", "pos").alias("target_index"), "group",
-                            group_label(F.col("group")).alias("category"), name.alias("subcategory"),
-                            F.col("link").alias("url"), "group_url")
-    lonely = g.join(children.select("group_url").distinct(), "group_url", "left_anti").select(
-        F.struct("group_index", F.lit(-1).alias("pos")).alias("target_index"), "group",
-        group_label(F.col("group")).alias("category"), F.lit("").alias("subcategory"),
-        F.col("group_url").alias("url"), "group_url")
-    return M.targets_distinct(children.unionByName(lonely).drop("group_url"))
+    children = first.select("group_url", "pos", name.alias("subcategory"), F.col("link").alias("url"))
+    # J7 in one left join: a group without links keeps one row, its fallback.
+    j = g.join(children, "group_url", "left")
+    has = F.col("url").isNotNull()
+    out = j.select(F.struct("group_index", F.coalesce(F.col("pos"), F.lit(-1)).alias("pos")).alias("target_index"),
+                   "group", group_label(F.col("group")).alias("category"),
+                   F.when(has, F.col("subcategory")).otherwise(F.lit("")).alias("subcategory"),
+                   F.when(has, F.col("url")).otherwise(F.col("group_url")).alias("url"))
+    return M.targets_distinct(out)
 
 
 # ---- Dia (H14) --------------------------------------------------------------------
@@ -124,12 +127,14 @@ def discover_dia(items: DataFrame, home_url: str = K.BASE_URLS["dia"]) -> DataFr
     subs = subs.select(F.col("page_url").alias("cat_url"), F.col("url").alias("url"),
                        F.col("name").alias("subcategory"),
                        F.struct(F.lower("name").alias("n"), F.col("url").alias("u")).alias("sub_rank"))
-    children = cats.join(subs, "cat_url").select(
-        F.struct("cat_rank", "sub_rank").alias("target_index"), "group", "category", "subcategory", "url")
-    lonely = cats.join(subs.select("cat_url").distinct(), "cat_url", "left_anti").select(
-        F.struct("cat_rank", F.struct(F.lit("").alias("n"), F.lit("").alias("u")).alias("sub_rank"))
-        .alias("target_index"), "group", "category", F.lit("").alias("subcategory"), F.col("cat_url").alias("url"))
-    return M.targets_distinct(children.unionByName(lonely))
+    j = cats.join(subs, "cat_url", "left")
+    has = F.col("url").isNotNull()
+    none = F.struct(F.lit("").alias("n"), F.lit("").alias("u"))
+    out = j.select(F.struct("cat_rank", F.when(has, F.col("sub_rank")).otherwise(none).alias("sub_rank"))
+                   .alias("target_index"), "group", "category",
+                   F.when(has, F.col("subcategory")).otherwise(F.lit("")).alias("subcategory"),
+                   F.when(has, F.col("url")).otherwise(F.col("cat_url")).alias("url"))
+    return M.targets_distinct(out)
 
 
 # ---- Carrefour (H12) ----------------------------------------------------------------
@@ -152,8 +157,9 @@ def discover_carrefour(groups: DataFrame, pages: DataFrame) -> DataFrame:
     ga = anchors(pages.join(g.select(F.col("group_url").alias("url")).distinct(), "url", "left_semi"))
     ga = ga.where(F.col("in_nav") & F.col("slide_idx").isNotNull() & F.col("href").isNotNull())
     # the first anchor with href of each slide
-    firsts = ga.groupBy("page_url", "slide_idx").agg(F.min("pos").alias("pos"))
-    slides = ga.join(firsts, ["page_url", "slide_idx", "pos"])
+    firsts = ga.groupBy("page_url", "slide_idx").agg(F.min(F.struct("pos", "href", "text", "slide_title",
+                                                                    "slide_text")).alias("a"))
+    slides = firsts.select("page_url", "slide_idx", "a.*")
     url = U.url_normalize(F.col("href"), base)
     slides = slides.select(F.col("page_url").alias("group_url"), "pos", url.alias("url"), _nav_text().alias("name"))
     slides = slides.where(F.col("url").isNotNull() & U.is_category_url(F.col("url"), "carrefour")
@@ -171,10 +177,11 @@ def discover_carrefour(groups: DataFrame, pages: DataFrame) -> DataFrame:
     subs = ca.select(F.col("page_url").alias("cat_url"), "pos", sub_url.alias("url"), _nav_text().alias("name"))
     subs = subs.where(F.col("url").isNotNull() & U.is_category_url(F.col("url"), "carrefour")
                       & (F.col("name") != "") & ~F.lower(F.col("name")).contains("oferta"))
-    children = cats.join(subs, "cat_url").select(
-        F.struct("group_index", F.col("category").alias("cat"), "pos").alias("target_index"), "group", "category",
-        F.col("name").alias("subcategory"), "url")
-    lonely = cats.join(subs.select("cat_url").distinct(), "cat_url", "left_anti").select(
-        F.struct("group_index", F.col("category").alias("cat"), F.lit(-1).alias("pos")).alias("target_index"),
-        "group", "category", F.lit("").alias("subcategory"), F.col("cat_url").alias("url"))
-    return M.targets_distinct(one_level.unionByName(children).unionByName(lonely))
+    j = cats.join(subs, "cat_url", "left")
+    has = F.col("url").isNotNull()
+    two_level = j.select(
+        F.struct("group_index", F.col("category").alias("cat"), F.coalesce(F.col("pos"), F.lit(-1)).alias("pos"))
+        .alias("target_index"), "group", "category",
+        F.when(has, F.col("name")).otherwise(F.lit("")).alias("subcategory"),
+        F.when(has, F.col("url")).otherwise(F.col("cat_url")).alias("url"))
+    return M.targets_distinct(one_level.unionByName(two_level))

@@ -75,3 +75,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df):
+    """Cut lineage after an expensive stage (the page job): an eager,
+    reliable checkpoint into the shared checkpoint folder. Later stages
+    read the saved rows, and a lost executor does not re-run the stage."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
