@@ -353,8 +353,9 @@ def with_views(*names: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str, columns=None) -> DataFrame:
+    from pricelake.session import spread
     df = spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
 
 
 def load_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

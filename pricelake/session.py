@@ -83,3 +83,15 @@ def materialize(df):
     read the saved rows, and a lost executor does not re-run the stage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Make sure a scan gives every core work: when the input has fewer
+    partitions than the default parallelism (a small file is one split),
+    round-robin it over that many. Large inputs already have many splits
+    and pass through without a shuffle."""
+    sc = df.sparkSession.sparkContext
+    n = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
