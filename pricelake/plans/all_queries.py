@@ -9,3 +9,4 @@ from pricelake.plans import q_cards  # noqa: F401
 from pricelake.plans import q_stream  # noqa: F401
 from pricelake.plans import q_daily  # noqa: F401
 from pricelake.plans import q_discovery  # noqa: F401
+from pricelake.plans import q_more  # noqa: F401

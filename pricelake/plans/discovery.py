@@ -77,6 +77,32 @@ def discover_alcampo(groups: DataFrame, pages: DataFrame) -> DataFrame:
     return M.targets_distinct(out)
 
 
+# ---- Dia category links of a group page (H11) ----------------------------------
+
+def category_links_dia(groups: DataFrame, pages: DataFrame) -> DataFrame:
+    """Category links of each group page that are not the group page,
+    not denied, inside the group's branch (by URL or text); a URL is taken
+    once (marked before the empty-name check); named by the text or the
+    label of the last path segment; ``(lower(name), url)`` order.
+    ``groups``: (group_index, url, group) with the group slug."""
+    base = K.BASE_URLS["dia"]
+    g = groups.select("group_index", F.col("url").alias("group_url"), F.col("group"))
+    a = anchors(pages.join(g.select(F.col("group_url").alias("url")).distinct(), "url", "left_semi"))
+    clean = U.url_clean(U.url_normalize(F.col("href"), base))
+    links = a.select(F.col("page_url").alias("group_url"), "pos", "text", clean.alias("url")) \
+        .where(F.col("url").isNotNull()).join(g, "group_url")
+    wanted = T.fold_text(F.col("group"))
+    in_branch = (wanted.isin("", "compra online", "compra-online") |
+                 T.fold_text(F.col("url")).contains(wanted) | T.fold_text(F.col("text")).contains(wanted))
+    links = links.where((F.col("url") != U.url_clean(F.col("group_url"))) & U.is_category_url(F.col("url"), "dia")
+                        & ~U.nav_link_denied(F.col("text"), F.col("url")) & in_branch)
+    first = M.stable_distinct(links.select("group_index", "group_url", "pos", "url", "text"), ["url"], "pos",
+                              ["group_index", "group_url"])
+    name = F.when(F.col("text") != "", F.col("text")).otherwise(
+        T.slug_to_label(F.element_at(F.split(U.url_path(F.col("url")), "/"), -1)))
+    return first.select("group_index", name.alias("name"), "url").where(F.col("name") != "")
+
+
 # ---- Dia (H14) --------------------------------------------------------------------
 
 def merge_items(items: DataFrame) -> DataFrame:

@@ -325,6 +325,22 @@ VIEWS: dict[str, tuple[str, list[list[str]]]] = {
         "Dos ' || id || '</p></a><a href=\"/supermercado/ofertas-' || id || '/c\">Ofertas</a></div>' end AS cat1_html",
         "'<div>sin nav</div>' AS cat2_html",
     ]]),
+    # Dia group pages, one per card: a category link, the group page
+    # itself, an offers link, a link of another group, an unnamed link, a
+    # duplicate with a query, and a product link.
+    "nav_dia": ("cards_base", [[
+        "pos", "leaf", "cast(pos as string) AS id", "category || '-' || cast(pos as string) AS gs",
+    ], [
+        "pos", "leaf", "id", "gs",
+        "'https://www.dia.es/compra-online/' || gs AS group_url",
+        "'<ul><li><a href=\"/' || gs || '/frescos/c/L' || id || '\">' || leaf || '</a></li>' || "
+        "'<li><a href=\"/compra-online/' || gs || '\">Todo</a></li>' || "
+        "'<li><a href=\"/' || gs || '/ofertas/c/L' || id || '1\">Ofertas</a></li>' || "
+        "'<li><a href=\"/otro/c/L' || id || '2\">x</a></li>' || "
+        "'<li><a href=\"/' || gs || '/vacio/c/L' || id || '3\"> </a></li>' || "
+        "'<li><a href=\"/' || gs || '/frescos/c/L' || id || '?dup=1\">dup</a></li>' || "
+        "'<li><a href=\"/' || gs || '/p/' || id || '\">p</a></li></ul>' AS html",
+    ]]),
     # Pages of the snapshot table with their origin, used as URL base.
     "pages_base": ("pages", [[
         "page_id",

@@ -140,6 +140,20 @@ def classify_events(events: DataFrame, raw_bucket: str | None = None, json_col:
 
 # ---- S6 / A7 ------------------------------------------------------------------
 
+def write_csv(rows: DataFrame, path: str) -> None:
+    """S6 write: header, minimal quoting, quotes escaped by doubling (the
+    CSV module's dialect; Spark's default escape is a backslash)."""
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """S6 read: every column as text (types are inferred by ``type_profile``,
+    not by ``inferSchema``, whose rules differ)."""
+    return (spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+            .option("inferSchema", False).csv(path))
+
+
+
 _INT = r"^[+-]?[0-9]+$"
 _FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(inf|Inf|INF|infinity|Infinity)$"
 _BOOL = ["True", "TRUE", "true", "False", "FALSE", "false"]
