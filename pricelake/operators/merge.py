@@ -202,3 +202,24 @@ def jsonld_gate(rows: DataFrame, group_col: str = "target_index", seq_col: str =
 def count_rows(df: DataFrame, group_cols=(), name: str = "n_rows") -> DataFrame:
     """A4."""
     return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(name))
+
+
+def group_rank(df: DataFrame, group_col: str, order_cols, name: str = "rank") -> DataFrame:
+    """0-based rank of each row inside its group by ``order_cols``, without
+    putting a whole group in one task: rows are range-sorted by
+    ``(group, order...)`` (a hot group spans many partitions), numbered
+    inside each (partition, group), and shifted by the sizes of the same
+    group in earlier partitions (a small table: one row per partition and
+    group present in it). Ties must not occur in ``order_cols``."""
+    from pyspark.sql import Window
+    from pricelake.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    order_cols = list(order_cols)
+    srt = df.sort(group_col, *order_cols).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    local = Window.partitionBy("_pid", group_col).orderBy(*order_cols)
+    numbered = srt.withColumn("_in", F.row_number().over(local) - 1)
+    sizes = srt.groupBy(group_col, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(group_col, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (numbered.join(offsets, [group_col, "_pid"])
+            .withColumn(name, F.col("_off") + F.col("_in")).drop("_pid", "_in", "_off"))

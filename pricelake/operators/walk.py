@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricelake.operators.merge import group_rank
 from pricelake.session import checkpoint_dir
 
 
@@ -54,8 +55,12 @@ def pagination_walk(roots: DataFrame, edges: DataFrame, max_depth: int = 10_000,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    w = Window.partitionBy("root_id").orderBy("depth", "path")
-    out = out.withColumn("page_seq", F.row_number().over(w) - 1)
     if max_pages is not None:
-        out = out.where(F.col("page_seq") < max_pages)
+        # Only the first N visits per root: a group limit, trimmed map-side.
+        w = Window.partitionBy("root_id").orderBy("depth", "path")
+        out = out.withColumn("page_seq", F.row_number().over(w) - 1).where(F.col("page_seq") < max_pages)
+    else:
+        # Visit numbers of whole walks: a distributed rank, so one huge
+        # walk is spread over many tasks.
+        out = group_rank(out, "root_id", ["depth", "path"], "page_seq")
     return out.drop("path")

@@ -85,13 +85,27 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def spread(df):
-    """Make sure a scan gives every core work: when the input has fewer
-    partitions than the default parallelism (a small file is one split),
-    round-robin it over that many. Large inputs already have many splits
-    and pass through without a shuffle."""
-    sc = df.sparkSession.sparkContext
-    n = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+SPREAD_MAX_BYTES = 1 << 30
+
+
+def plan_bytes(df) -> int | None:
+    """Catalyst's size estimate of a plan (bytes), if available."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def spread(df, max_bytes: int = SPREAD_MAX_BYTES):
+    """Give every core work on a small input: when a scan has fewer
+    partitions than the default parallelism and is estimated below
+    ``max_bytes`` (a small file is one split), round-robin it over that
+    many. Large inputs are never shuffled for this: they already have
+    many splits, and moving them would cost more than it gains."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    size = plan_bytes(df)
+    if size is None or size > max_bytes:
+        return df
+    return df.repartition(n)
