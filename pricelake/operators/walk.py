@@ -23,7 +23,9 @@ def pagination_walk(roots: DataFrame, edges: DataFrame, max_depth: int = 10_000,
                     max_pages: int | None = None) -> DataFrame:
     """Walk from every root.
 
-    ``roots``: (root_id, page_id, url). ``edges``: (src_id, dst_id, dst_url).
+    ``roots``: (root_id, page_id, url). ``edges``: (src_id, dst_id, dst_url),
+    or a function from the frontier (root_id, page_id, url) to its next
+    candidates (root_id, src_id, page_id, url) when links depend on the root.
     Returns (root_id, page_id, url, depth, page_seq) where ``page_seq`` is
     the 0-based visit order within the root. ``max_pages`` keeps the first
     N visits per root (a page that fails still counts).
@@ -35,11 +37,27 @@ def pagination_walk(roots: DataFrame, edges: DataFrame, max_depth: int = 10_000,
     seen = frontier
     parts = [frontier]
     depth = 0
+    counts = None
     while depth < max_depth:
-        nxt = (frontier.alias("f").join(edges.alias("e"), F.col("f.page_id") == F.col("e.src_id"))
-               .select(F.col("f.root_id").alias("root_id"), F.col("e.dst_id").alias("page_id"),
-                       F.col("e.dst_url").alias("url"),
-                       F.concat(F.col("f.path"), F.array(F.col("e.dst_url"))).alias("path")))
+        if max_pages is not None:
+            # Visits come in breadth-first order, so a root that already has
+            # max_pages visits needs no deeper level: stop expanding it.
+            level = frontier.groupBy("root_id").agg(F.count(F.lit(1)).alias("_c"))
+            counts = level if counts is None else counts.unionByName(level).groupBy("root_id") \
+                .agg(F.sum("_c").alias("_c"))
+            counts = counts.checkpoint()
+            frontier = frontier.join(counts.where(F.col("_c") < max_pages).select("root_id"), "root_id",
+                                     "left_semi")
+        if callable(edges):
+            cand = edges(frontier.select("root_id", "page_id", "url"))
+            nxt = (frontier.select("root_id", F.col("page_id").alias("_src"), "path")
+                   .join(cand.withColumnRenamed("src_id", "_src"), ["root_id", "_src"])
+                   .select("root_id", "page_id", "url", F.concat(F.col("path"), F.array(F.col("url"))).alias("path")))
+        else:
+            nxt = (frontier.alias("f").join(edges.alias("e"), F.col("f.page_id") == F.col("e.src_id"))
+                   .select(F.col("f.root_id").alias("root_id"), F.col("e.dst_id").alias("page_id"),
+                           F.col("e.dst_url").alias("url"),
+                           F.concat(F.col("f.path"), F.array(F.col("e.dst_url"))).alias("path")))
         nxt = nxt.join(seen.select("root_id", "page_id"), ["root_id", "page_id"], "left_anti")
         nxt = (nxt.groupBy("root_id", "page_id")
                .agg(F.min(F.struct("path", "url")).alias("m"))

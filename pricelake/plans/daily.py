@@ -35,46 +35,118 @@ def needed_pages(targets: DataFrame, pages: DataFrame) -> DataFrame:
     return p.withColumn("page_key", F.concat_ws("\u0000", F.col("url"), F.col("page_seq").cast("string")))
 
 
-def _page_rows(targets: DataFrame, pages: DataFrame, source: str) -> DataFrame:
-    """Card rows (+ JSON-LD rows for Dia) of every target page, joined back
-    to the targets (a missing page gives none). ``branch`` 0 = cards,
-    1 = JSON-LD (after the cards of the same snapshot)."""
+def _page_facts(targets: DataFrame, pages: DataFrame, source: str):
+    """Pages of the targets parsed once: (keys, card rows, JSON-LD rows)."""
     np_ = needed_pages(targets, pages)
     parsed = np_.select(F.col("page_key").alias("page_id"), "html")
     facts = materialize(C.card_facts(parsed, source))
     cards = C.card_fields(C.product_cards(facts, source), source).select(
-        "page_id", F.lit(0).alias("branch"), F.col("node_pos").cast("long").alias("pos"), *C.PRODUCT_FIELDS)
+        "page_id", F.lit("card").alias("kind"), F.col("node_pos").cast("long").alias("pos"), *C.PRODUCT_FIELDS)
+    keys = np_.select(F.col("page_key").alias("page_id"), "url", "page_seq")
+    ld = None
     if source == "dia":
         ld = C.jsonld_products(materialize(C.jsonld_facts(parsed))).select(
-            "page_id", F.lit(1).alias("branch"),
+            "page_id", F.lit("jsonld").alias("kind"),
             (F.col("block_pos").cast("long") * 100000 + F.col("obj_pos")).alias("pos"), *C.PRODUCT_FIELDS)
-        cards = cards.unionByName(ld)
-    keys = np_.select(F.col("page_key").alias("page_id"), "url", "page_seq")
+    return keys, cards, ld
+
+
+def _to_targets(rows: DataFrame, keys: DataFrame, targets: DataFrame) -> DataFrame:
     t = targets.select("target_index", "category", "subcategory", "url")
-    return cards.join(keys, "page_id").join(t, "url").drop("url", "page_id")
+    return rows.join(keys, "page_id").join(t, "url").drop("url", "page_id")
 
 
 def daily_products(targets: DataFrame, pages: DataFrame, source: str, run_date: dt.date | str,
                    max_products: int | None = None, max_categories: int | None = None,
-                   allow_duplicates: bool = False) -> DataFrame:
-    """Product rows of one daily run of ``source`` (html shops)."""
+                   allow_duplicates: bool = False, max_pages: int | None = None) -> DataFrame:
+    """Product rows of one daily run of ``source`` (html shops).
+
+    Al Campo and Dia read every snapshot of a target page as the scroll
+    feed: rows merge per key across snapshots (last wins, first position
+    kept); Dia also takes JSON-LD rows of snapshots before the first one
+    with a card URL (W3) and keys URL-less rows by name (J4). The HTML
+    fallback of the original loop reads the same final snapshot, so it can
+    add nothing a non-empty feed lacks and is not a separate branch here.
+    Carrefour walks pagination links from each target page (I1, capped by
+    ``max_pages``) and takes per page cards, else product links, else
+    regex URLs (U3)."""
     t = M.keep_first_n_values(targets, "category", max_categories)
-    rows = _page_rows(t, pages, source)
-    if source == "dia":
-        # A name or a URL; cards already have a URL.
-        rows = rows.where((F.col("product") != "") | (F.col("product_url") != ""))
-    rows = rows.withColumn("page_seq", F.col("page_seq") * 2 + F.col("branch")).drop("branch")
-    if source in ("dia", "alcampo"):
-        rows = M.cap_per_group(rows, max_products, ["target_index"], ["page_seq", "pos"])
-    if source == "dia":
-        rows = M.merge_last_wins(rows)
+    if source == "carrefour":
+        rows = carrefour_rows(t, pages, max_pages).withColumn("merge_rank", F.lit(0))
     else:
-        rows = rows.withColumn("merge_rank", F.lit(0))
+        keys, cards, ld = _page_facts(t, pages, source)
+        feed = cards if ld is None else cards.unionByName(ld)
+        rows = _to_targets(feed, keys, t)
+        rows = rows.where((F.col("product") != "") | (F.col("product_url") != ""))
+        if source == "dia":
+            rows = M.jsonld_gate(rows, "target_index", "page_seq", "kind")
+        rows = M.merge_last_wins(rows.drop("kind"), trim_used_names=False)
+        rows = M.cap_per_group(rows, max_products, ["target_index"], ["merge_rank", "page_seq", "pos"])
+        if source == "dia":
+            rows = M.merge_last_wins(rows)
     rows = M.dedup_first_wins(rows, allow_duplicates=allow_duplicates)
     rows = M.limit_total(rows, max_products)
     return project(rows, run_date)
 
 
+def carrefour_rows(targets: DataFrame, pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """I1 + U3 for Carrefour: walk each target's pagination (links of the
+    visited page under the target URL, or ``rel=next``), then per visited
+    page the card rows, else the product links (H2), else regex product
+    URLs (H3). A page without a row is a failed fetch: it counts as visited
+    and gives nothing."""
+    from pricelake.operators import links as L
+    from pricelake.operators.walk import pagination_walk
+    base = K.BASE_URLS["carrefour"]
+    page_tbl = pages.select("url", "html")
+    anchors = materialize(
+        page_tbl.select(F.col("url").alias("src_id"),
+                        F.posexplode(F.regexp_extract_all("html", F.lit(L.A_TAG_PATTERN), 0)).alias("pos", "tag"))
+        .select("src_id", "pos", L.url_normalize(L.attr_value("tag", "href"), base).alias("link"),
+                F.coalesce(L.attr_value("tag", "rel"), F.lit("")).alias("rel"))
+        .where(F.col("link").isNotNull()))
+    roots = targets.select(F.col("target_index").alias("root_id"), F.col("url").alias("page_id"), "url")
+    cat = targets.select(F.col("target_index").alias("root_id"),
+                         F.substring_index(F.col("url"), "?", 1).alias("_base"))
+
+    def expand(frontier):
+        f = frontier.select("root_id", F.col("page_id").alias("src_id")).join(cat, "root_id")
+        a = f.join(anchors, "src_id")
+        low = F.lower(F.col("link"))
+        keep = F.col("rel").contains("next") | (
+            L.is_category_url(F.col("link"), "carrefour") & F.col("link").startswith(F.col("_base"))
+            & (F.col("link").contains("?") | low.contains("pag") | low.contains("no=")))
+        return a.where(keep).select("root_id", "src_id", F.col("link").alias("page_id"), F.col("link").alias("url")) \
+            .distinct()
+
+    visits = pagination_walk(roots, expand, max_pages=max_pages)
+    # U3 per visited page: cards (0), else product links (1), else regex URLs (2).
+    keys = page_tbl.join(visits.select("url").distinct(), "url", "left_semi") \
+        .select(F.col("url").alias("page_id"), "html")
+    facts = materialize(C.card_facts(keys, "carrefour"))
+    cards = C.card_fields(C.product_cards(facts, "carrefour"), "carrefour").select(
+        "page_id", F.lit(0).alias("branch"), F.col("node_pos").cast("long").alias("pos"), *C.PRODUCT_FIELDS)
+    blank = [F.lit("").alias("product"), F.lit("").alias("brand"), F.lit("").alias("price"),
+             F.lit("").alias("price_per_unit"), F.lit(False).alias("offer")]
+    plinks = L.product_links(anchors.join(keys.select(F.col("page_id").alias("src_id")), "src_id", "left_semi")
+                             .select(F.col("src_id").alias("page_id"), "pos", F.col("link").alias("url")),
+                             "carrefour", ("page_id",))
+    plinks = plinks.select("page_id", F.lit(1).alias("branch"), F.col("pos").cast("long").alias("pos"), *blank,
+                           F.col("url").alias("product_url"))
+    rx = L.product_links_regex(keys.withColumnRenamed("page_id", "pid"), base, keep=("pid",))
+    rx = rx.select(F.col("pid").alias("page_id"), F.lit(2).alias("branch"),
+                   (F.col("ord.pattern").cast("long") * 1_000_000 + F.col("ord.pos")).alias("pos"), *blank,
+                   F.col("url").alias("product_url"))
+    cand = cards.unionByName(plinks).unionByName(rx)
+    best = cand.groupBy("page_id").agg(F.min("branch").alias("_b"))
+    chosen = cand.join(best, "page_id").where(F.col("branch") == F.col("_b")).drop("_b", "branch")
+    v = visits.select("root_id", F.col("url").alias("page_id"), "page_seq")
+    t = targets.select(F.col("target_index").alias("root_id"), "category", "subcategory")
+    return (chosen.join(v, "page_id").join(t, "root_id")
+            .select(F.col("root_id").alias("target_index"), F.col("page_seq").cast("long").alias("page_seq"), "pos",
+                    *C.PRODUCT_FIELDS, "category", "subcategory"))
+
+
 def project(rows: DataFrame, run_date) -> DataFrame:
     """The nine product columns in their fixed order (plus the order
     columns), blanks for missing text, the run date as a parameter."""

@@ -90,7 +90,7 @@ _CARREFOUR_SQL = _V + f"""
   FROM cards_html)
 SELECT page_id, product, brand, {S.strip('price_text')} AS price, {S.strip('ppu_text')} AS price_per_unit,
   {S.contains_any('lower(card_text)', [k.lower() for k in K.OFFER_KEYWORDS_CARREFOUR])} AS offer, product_url
-FROM c
+FROM c WHERE page_id % 10 NOT IN (5, 7)
 """
 
 

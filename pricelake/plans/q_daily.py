@@ -41,9 +41,14 @@ def _wrap(sql: str, where: str = "") -> str:
 FROM ({sql}) x JOIN ({with_views('cards_html')} SELECT * FROM cards_html) h ON h.pos = x.page_id {where}"""
 
 
-@query("daily_run_cards_dia", _wrap(_DIA_SQL) + "\nUNION ALL\n" + _wrap(_LD_SQL, "WHERE x.page_id % 3 <> 1"))
+# Every tenth Dia page (pos % 10 = 5) has only its ld+json block: those
+# rows are used; on the other pages a card with a URL comes first, so the
+# JSON-LD rows are not taken.
+@query("daily_run_cards_dia", _wrap(_DIA_SQL, "WHERE x.page_id % 10 <> 5") + "\nUNION ALL\n"
+       + _wrap(_LD_SQL, "WHERE x.page_id % 10 = 5"))
 def q_daily_run_cards_dia(spark, sf_dir):
-    pages = _pages(spark, sf_dir, F.concat(F.col("html_dia"), F.col("html_ld")))
+    pages = _pages(spark, sf_dir, F.when(F.col("pos") % 10 == 5, F.col("html_ld"))
+                   .otherwise(F.concat(F.col("html_dia"), F.col("html_ld"))))
     return D.daily_products(_targets(spark, sf_dir), pages, "dia", RUN_DATE).select(*_OUT)
 
 
@@ -53,10 +58,31 @@ def q_daily_run_alcampo(spark, sf_dir):
     return D.daily_products(_targets(spark, sf_dir), pages, "alcampo", RUN_DATE).select(*_OUT)
 
 
-@query("daily_run_carrefour", _wrap(_CARREFOUR_SQL))
+MAX_PAGES = 2
+
+
+def _carrefour_sql() -> str:
+    """Each target page links (rel=next) to the next card's page; with two
+    pages per target, target t reads pages t and t+1, so across the run
+    page k's product goes to target k-1 (first wins), page 0's to target 0.
+    Pages without cards give their product link (blank fields)."""
+    cards = _CARREFOUR_SQL.replace("WHERE page_id % 10 NOT IN (5, 7)", "")
+    return f"""WITH x AS (
+  SELECT * FROM ({cards}) WHERE page_id % 10 NOT IN (5, 7)
+  UNION ALL
+  SELECT pos AS page_id, '' AS product, '' AS brand, '' AS price, '' AS price_per_unit, false AS offer,
+         'https://www.carrefour.es/supermercado/' || slug || '/R-' || cast(pos AS VARCHAR) || '/p' AS product_url
+  FROM ({with_views('cards_html')} SELECT * FROM cards_html) WHERE pos % 10 IN (5, 7))
+SELECT greatest(x.page_id - 1, 0) AS target_index, DATE '{RUN_DATE}' AS date, x.product, x.brand, x.price,
+  x.price_per_unit, x.offer, h.category_label AS category, h.leaf AS subcategory, x.product_url
+FROM x JOIN ({with_views('cards_html')} SELECT * FROM cards_html) h ON h.pos = greatest(x.page_id - 1, 0)"""
+
+
+@query("daily_run_carrefour", _carrefour_sql())
 def q_daily_run_carrefour(spark, sf_dir):
     pages = _pages(spark, sf_dir, F.col("html_carrefour"))
-    return D.daily_products(_targets(spark, sf_dir), pages, "carrefour", RUN_DATE).select(*_OUT)
+    return D.daily_products(_targets(spark, sf_dir), pages, "carrefour", RUN_DATE,
+                            max_pages=MAX_PAGES).select(*_OUT)
 
 
 @query("daily_run_mercadona", f"""

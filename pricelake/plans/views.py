@@ -235,13 +235,17 @@ VIEWS: dict[str, tuple[str, list[list[str]]]] = {
         "'<div class=\"product-card-container\"><a href=\"/products/' || slug || '/' || id || "
         "'?x=1\"></a><div class=\"title-container\"><h3>dup</h3></div></div>' || "
         "'<div class=\"product-card-container\"><h3>' || name || '</h3></div></div>' AS html_alcampo",
+        "case when pos % 10 = 5 then '<p><a href=\"/supermercado/' || slug || '/R-' || id || '/p\">ver</a></p>' "
+        "when pos % 10 = 7 then '<div data-u=\"/supermercado/' || slug || '/R-' || id || '/p\"></div>' else "
         "'<div class=\"product-card__parent\"' || case when pos % 2 = 0 then ' app_price=\"' || price_text || "
         "'\" app_price_per_unit=\"' || ppu_text || '\"' else '' end || '><div class=\"product-card\">"
         "<h2 class=\"product-card__title\"><a class=\"product-card__title-link\" href=\"/supermercado/' || slug || "
         "'/R-' || id || '/p\">' || name || '</a></h2>' || case when brand_direct <> '' then "
         "'<span class=\"product-card__brand\">' || brand_direct || '</span>' else '' end || "
         "'<span class=\"product-card__price\">' || price_text || '</span><span class=\"product-card__price-per-unit\">' "
-        "|| ppu_text || '</span><span class=\"badge\">' || offer_word || '</span></div></div>' AS html_carrefour",
+        "|| ppu_text || '</span><span class=\"badge\">' || offer_word || '</span></div></div>' end || "
+        "'<a rel=\"next\" href=\"https://shop.example/c/' || cast(pos + 1 as string) || '\">&gt;</a>' "
+        "AS html_carrefour",
         "'<html><head><script type=\"application/ld+json\">' || case pos % 3 "
         "when 0 then '{\"@graph\": [{\"@type\": \"Product\", \"name\": \"' || name || '\", \"url\": \"/p/' || id "
         "|| '?q\", \"offers\": {\"price\": ' || cast(cast(pos as double) / 4 + 0.5 as string) || "
