@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.operators.merge import group_rank
-from pricelake.session import checkpoint_dir
+from pricelake.session import checkpoint_dir, save_and_reload
 
 
 def pagination_walk(roots: DataFrame, edges: DataFrame, max_depth: int = 10_000,
@@ -42,12 +42,13 @@ def pagination_walk(roots: DataFrame, edges: DataFrame, max_depth: int = 10_000,
         if max_pages is not None:
             # Visits come in breadth-first order, so a root that already has
             # max_pages visits needs no deeper level: stop expanding it.
-            level = frontier.groupBy("root_id").agg(F.count(F.lit(1)).alias("_c"))
-            counts = level if counts is None else counts.unionByName(level).groupBy("root_id") \
+            level = frontier.groupBy(F.col("root_id").alias("_r")).agg(F.count(F.lit(1)).alias("_c"))
+            counts = level if counts is None else counts.unionByName(level).groupBy("_r") \
                 .agg(F.sum("_c").alias("_c"))
-            counts = counts.checkpoint()
-            frontier = frontier.join(counts.where(F.col("_c") < max_pages).select("root_id"), "root_id",
-                                     "left_semi")
+            counts = save_and_reload(counts, "walk-counts")
+            open_roots = counts.where(F.col("_c") < max_pages).select("_r")
+            frontier = save_and_reload(frontier.join(open_roots, F.col("root_id") == F.col("_r"), "left_semi"),
+                                       "walk-frontier")
         if callable(edges):
             cand = edges(frontier.select("root_id", "page_id", "url"))
             nxt = (frontier.select("root_id", F.col("page_id").alias("_src"), "path")
@@ -73,12 +74,9 @@ def pagination_walk(roots: DataFrame, edges: DataFrame, max_depth: int = 10_000,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    # Visit numbers: a distributed rank, so one huge walk is spread over
+    # many tasks; the cap keeps the first N visits of each root.
+    out = group_rank(out, "root_id", ["depth", "path"], "page_seq")
     if max_pages is not None:
-        # Only the first N visits per root: a group limit, trimmed map-side.
-        w = Window.partitionBy("root_id").orderBy("depth", "path")
-        out = out.withColumn("page_seq", F.row_number().over(w) - 1).where(F.col("page_seq") < max_pages)
-    else:
-        # Visit numbers of whole walks: a distributed rank, so one huge
-        # walk is spread over many tasks.
-        out = group_rank(out, "root_id", ["depth", "path"], "page_seq")
+        out = out.where(F.col("page_seq") < max_pages)
     return out.drop("path")

@@ -109,3 +109,11 @@ def spread(df, max_bytes: int = SPREAD_MAX_BYTES):
     if size is None or size > max_bytes:
         return df
     return df.repartition(n)
+
+
+def save_and_reload(df, name: str = "stage"):
+    """Cut lineage with a written Parquet table in the shared checkpoint
+    folder (read back as a plain scan)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
