@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.functions.text import strip, coalesce_blank
+from pricelake.session import materialize
 
 ORDER_COLS = ["target_index", "merge_rank", "page_seq", "pos"]
 
@@ -82,8 +83,11 @@ def merge_last_wins(rows: DataFrame, group_cols=("target_index",), order=None,
              .withColumn("merge_rank", F.when(url != "", F.lit(0)).when(name != "", F.lit(1)))
              .withColumn("_k", F.when(url != "", url).otherwise(name))
              .where(F.col("merge_rank").isNotNull()))
-    # One aggregate for URL and name keys: a single shuffle, reused below.
+    # One aggregate for URL and name keys: a single shuffle. It is read
+    # three times below, so it is checkpointed once (the merged rows, much
+    # fewer than the input) instead of being planned and computed thrice.
     last = _first_per_key(keyed, group_cols + ["merge_rank", "_k"], order, last=True, first_order_name="_first")
+    last = materialize(last)
     used_name = coalesce_blank(F.col(name_col))
     used_name = F.lower(strip(used_name) if trim_used_names else used_name)
     used = last.where(F.col("merge_rank") == 0).select(*group_cols, used_name.alias("_k")).distinct()

@@ -84,7 +84,8 @@ def daily_products(targets: DataFrame, pages: DataFrame, source: str, run_date:
         rows = M.cap_per_group(rows, max_products, ["target_index"], ["merge_rank", "page_seq", "pos"])
         if source == "dia":
             rows = M.merge_last_wins(rows)
-    rows = M.dedup_first_wins(rows, allow_duplicates=allow_duplicates)
+    # The run's rows feed two branches of the dedup: computed once.
+    rows = M.dedup_first_wins(materialize(rows), allow_duplicates=allow_duplicates)
     rows = M.limit_total(rows, max_products)
     return project(rows, run_date)
 
