@@ -139,8 +139,11 @@ def carrefour_rows(targets: DataFrame, pages: DataFrame, max_pages: int | None =
                    (F.col("ord.pattern").cast("long") * 1_000_000 + F.col("ord.pos")).alias("pos"), *blank,
                    F.col("url").alias("product_url"))
     cand = cards.unionByName(plinks).unionByName(rx)
-    best = cand.groupBy("page_id").agg(F.min("branch").alias("_b"))
-    chosen = cand.join(best, "page_id").where(F.col("branch") == F.col("_b")).drop("_b", "branch")
+    # The first productive branch of each page (rows of a page are bounded
+    # by the page).
+    from pyspark.sql import Window
+    chosen = cand.withColumn("_b", F.min("branch").over(Window.partitionBy("page_id"))) \
+        .where(F.col("branch") == F.col("_b")).drop("_b", "branch")
     v = visits.select("root_id", F.col("url").alias("page_id"), "page_seq")
     t = targets.select(F.col("target_index").alias("root_id"), "category", "subcategory")
     return (chosen.join(v, "page_id").join(t, "root_id")
