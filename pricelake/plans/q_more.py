@@ -14,7 +14,7 @@ from pricelake.operators import merge as M
 from pricelake.operators.walk import pagination_walk
 from pricelake.plans import discovery as DS
 from pricelake.plans import sqlfrag as S
-from pricelake.plans.q_daily import q_daily_run_carrefour, q_daily_run_mercadona
+from pricelake.plans.q_daily import q_daily_run_mercadona
 from pricelake.plans.q_land import _WALK_SQL, _profile_sql, walk_edges
 from pricelake.plans.q_merge import _run_sql
 from pricelake.plans.registry import ORACLES, query
@@ -113,14 +113,18 @@ def q_jsonld_gate(spark, sf_dir):
 # -- U1 -------------------------------------------------------------------------------
 
 @query("union_sources", f"""
-SELECT 'carrefour' AS source, * FROM ({ORACLES['daily_run_carrefour']})
+SELECT 'dia' AS source, target_index, date, product, brand, price, price_per_unit, offer, category, subcategory,
+       product_url FROM ({_run_sql()})
 UNION ALL
 SELECT 'mercadona' AS source, * FROM ({ORACLES['daily_run_mercadona']})
 """)
 def q_union_sources(spark, sf_dir):
     """Runs of several shops share the product schema: one bag union."""
-    a = q_daily_run_carrefour(spark, sf_dir).select(F.lit("carrefour").alias("source"), "*")
-    b = q_daily_run_mercadona(spark, sf_dir).select(F.lit("mercadona").alias("source"), "*")
+    from pricelake.plans.q_merge import q_daily_run
+    cols = ["target_index", "date", "product", "brand", "price", "price_per_unit", "offer", "category",
+            "subcategory", "product_url"]
+    a = q_daily_run(spark, sf_dir).select(F.lit("dia").alias("source"), *cols)
+    b = q_daily_run_mercadona(spark, sf_dir).select(F.lit("mercadona").alias("source"), *cols)
     return a.unionByName(b)
 
 

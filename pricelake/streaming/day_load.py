@@ -89,7 +89,15 @@ def start_day_load(spark: SparkSession, landing_root: str, tables_root: str, che
     stream = landed_stream(spark, landing_root, max_files_per_trigger)
     tables = F.create_map(*[x for kv in K.SOURCE_TABLES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
 
+    marker_root = f"{tables_root.rstrip('/')}/_committed_batches"
+
     def batch(df: DataFrame, batch_id: int) -> None:
+        # foreachBatch is at-least-once: a batch re-run after a failure must
+        # not append its other-date rows twice. A marker per applied batch
+        # (written after both writes) makes the replay a no-op.
+        fs, marker = _fs(spark, f"{marker_root}/{batch_id}")
+        if fs.exists(marker):
+            return
         df = df.persist()
         name = _object_name(F.col("_path"), landing_root)
         files = (df.select("_path", "_mtime").distinct()
@@ -105,6 +113,7 @@ def start_day_load(spark: SparkSession, landing_root: str, tables_root: str, che
             meta = [(i, r["_path"], r["_table"], r["_pday"]) for i, r in enumerate(files)]
             apply_files(spark, df, meta, tables_root)
         df.unpersist()
+        fs.create(marker, True).close()
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
