@@ -28,9 +28,14 @@ def test_first_wins_combines_before_shuffle(spark):
     assert "partial_min" in p
 
 
-def test_merge_one_aggregate(spark):
-    p = plan(E.queries()["merge_last_wins"](spark, SF))
-    assert "partial_max" in p
+def test_merge_aggregate_combines_before_shuffle(spark):
+    from pyspark.sql import functions as F
+    from pricelake.operators import merge as M
+    from pricelake.plans.views import load_view
+    rows = load_view(spark, SF, "rows_base").withColumn("_k", F.col("product_url"))
+    p = plan(M._first_per_key(rows, ["target_index", "_k"], ["page_seq", "pos"], last=True,
+                              first_order_name="_first"))
+    assert "partial_max" in p and "partial_min" in p
 
 
 def test_cap_trims_map_side(spark):
