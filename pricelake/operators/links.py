@@ -44,12 +44,6 @@ def attr_value(tag, name: str) -> Column:
     return F.when(raw == "", F.lit(None).cast("string")).otherwise(unescape_basic(val))
 
 
-def anchor_tags(pages: DataFrame, html_col: str = "html", keep=("page_id",)) -> DataFrame:
-    """Every ``<a>`` open tag with its 0-based document position."""
-    return pages.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(A_TAG_PATTERN), 0))
-                        .alias("pos", "tag"))
-
-
 def links_extract(pages: DataFrame, base, html_col: str = "html", keep=("page_id",)) -> DataFrame:
     """H1: all ``<a href>`` as normalised absolute URLs, in document order,
     duplicates kept. ``base`` is a base URL string or a column."""

@@ -183,13 +183,6 @@ def fallback_when_childless(parents: DataFrame, children: DataFrame, key_cols,
     return children.unionByName(lonely.select(*children.columns))
 
 
-def keep_min_rank(df: DataFrame, group_cols, rank_col: str = "branch_rank") -> DataFrame:
-    """Keep the rows of the first productive branch per group."""
-    firsts = df.groupBy(*group_cols).agg(F.min(rank_col).alias("_min_rank"))
-    return (df.join(firsts, list(group_cols))
-            .where(F.col(rank_col) == F.col("_min_rank")).drop("_min_rank"))
-
-
 def jsonld_gate(rows: DataFrame, group_col: str = "target_index", seq_col: str = "page_seq",
                 kind_col: str = "kind", url_col: str = "product_url") -> DataFrame:
     """In the snapshot loop the JSON-LD rows of snapshot k are used only

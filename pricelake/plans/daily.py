@@ -22,9 +22,6 @@ from pricelake.operators import merge as M
 from pricelake.session import materialize
 from pricelake.sources import payloads as PL
 
-OUT_COLS = ["target_index", "merge_rank", "page_seq", "pos"] + K.PRODUCT_COLUMNS
-
-
 def needed_pages(targets: DataFrame, pages: DataFrame) -> DataFrame:
     """S5 + J1: the snapshots of the target URLs only (semi join), each
     keyed by ``page_key`` = url + snapshot, so a page is parsed once even

@@ -21,9 +21,6 @@ from pricelake.operators.targets import group_label
 from pricelake.session import materialize
 from pricelake.sources import html_job as H
 
-TARGET_COLS = ["target_index", "group", "category", "subcategory", "url"]
-
-
 def anchors(pages: DataFrame, id_col: str = "url", html_col: str = "html") -> DataFrame:
     """Anchor facts of each page, keyed by the page URL."""
     p = pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html"))

@@ -73,10 +73,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
-
-
 def materialize(df):
     """Cut lineage after an expensive stage (the page job): an eager,
     reliable checkpoint into the shared checkpoint folder. Later stages

@@ -86,8 +86,6 @@ def replace_day(spark: SparkSession, table_path: str, staged: DataFrame, day: st
     d = F.lit(day).cast("date")
     same = rows.where(F.col(date_col) == d)
     other = rows.where(~F.coalesce(F.col(date_col) == d, F.lit(False)))
-    # Persist the file's rows once: both writes read them.
-    rows_dir = None
     if same.isEmpty():
         fs, p = _fs(spark, f"{table_path.rstrip('/')}/{date_col}={day}")
         if fs.exists(p):
@@ -97,7 +95,6 @@ def replace_day(spark: SparkSession, table_path: str, staged: DataFrame, day: st
          .partitionBy(date_col).parquet(table_path))
     if not other.isEmpty():
         other.write.mode("append").partitionBy(date_col).parquet(table_path)
-    return rows_dir
 
 
 # ---- S10 / S11 / J5 -----------------------------------------------------------
