@@ -8,9 +8,12 @@ aggregate is a ``max``/``min`` over structs, so micro-batches may arrive in
 any order and give the same state. The state grows with the number of
 keys of a run (no event time, so no watermark): run one stream per run day.
 
-After each micro-batch the full state (complete mode) is written to a new
-version folder; ``read_state`` reads the newest and applies the name rule
-(name rows whose name a URL row already has are dropped).
+Each micro-batch emits only the keys it changed (update mode), with their
+whole aggregate so far, appended to a change log tagged with the batch id.
+``read_state`` compacts the log per key to the row of the latest batch (an
+aggregate, combined map-side) and applies the name rule (name rows whose
+name a URL row already has are dropped). A replayed batch appends the same
+rows again, which the compaction absorbs.
 """
 
 from __future__ import annotations
@@ -56,19 +59,18 @@ def start_snapshot_upsert(spark: SparkSession, snapshots_root: str, state_root:
     state = keyed_state(stream)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{state_root.rstrip('/')}/v={batch_id:012d}")
+        df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(state_root)
 
-    w = state.writeStream.outputMode("complete").foreachBatch(batch).option("checkpointLocation", checkpoint)
+    w = state.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
-def latest_version(spark: SparkSession, state_root: str) -> str:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(state_root)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(st.getPath().getName() for st in fs.listStatus(p) if st.getPath().getName().startswith("v="))
-    return f"{state_root.rstrip('/')}/{names[-1]}"
+def compact(log: DataFrame) -> DataFrame:
+    """Per key, the state row of the latest batch that changed it."""
+    keys = ["target_index", "merge_rank", "_k"]
+    return (log.groupBy(*keys).agg(F.max_by(F.struct("_last", "_first"), "batch_id").alias("_s"))
+            .select(*keys, "_s._last", "_s._first"))
 
 
 def merged_rows(state: DataFrame) -> DataFrame:
@@ -83,4 +85,4 @@ def merged_rows(state: DataFrame) -> DataFrame:
 
 
 def read_state(spark: SparkSession, state_root: str) -> DataFrame:
-    return merged_rows(spark.read.parquet(latest_version(spark, state_root)))
+    return merged_rows(compact(spark.read.parquet(state_root)))
