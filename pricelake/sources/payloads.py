@@ -169,10 +169,17 @@ def flatten_group_payload(df: DataFrame, payload_col: str, keep=()) -> DataFrame
     sub = sub.where(~((ptype == "BOOLEAN") & (published == F.lit(False))))
     cid = field("c", "id")
     sub = sub.where(truthy(cid) & (py_text(field("c", "name")) != ""))
+    # ``int(id)``: a number, or text holding an integer; anything else fails
+    # the job, as it does in the original.
+    t = vtype(cid)
+    as_int = F.when(t == "STRING", F.try_variant_get(cid, "$", "string").try_cast("bigint")) \
+        .otherwise(F.try_variant_get(cid, "$", "bigint"))
+    as_int = F.when(as_int.isNull(), F.raise_error(F.lit("category id is not an integer"))
+                    .cast("bigint")).otherwise(as_int)
     return sub.select(
         *keep,
         F.struct("g_pos", "c_pos").alias("target_index"),
         slugify("group_name").alias("group"),
         F.col("group_name").alias("category"),
         py_text(field("c", "name")).alias("subcategory"),
-        category_api_url(F.try_variant_get(cid, "$", "bigint")).alias("url"))
+        category_api_url(as_int).alias("url"))

@@ -133,3 +133,11 @@ def test_walk_matches_bfs(spark):
         got = pagination_walk(roots, e, max_pages=cap).orderBy("root_id", "page_seq").collect()
         for r in (0, 2):
             assert [x.page_id for x in got if x.root_id == r] == brute_bfs(r, edges, urls, cap)
+
+
+def test_group_payload_bad_id_fails(spark):
+    doc = json.dumps({"results": [{"name": "Frescos", "categories": [{"id": "x1", "name": "a"}]}]})
+    df = spark.createDataFrame([(doc,)], "payload string")
+    import pytest
+    with pytest.raises(Exception):
+        PL.flatten_group_payload(df, "payload").collect()
