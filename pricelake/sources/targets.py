@@ -28,29 +28,42 @@ TARGETS_DOC_SCHEMA = T.StructType([
 LINE_SCHEMA = T.StructType([T.StructField("target_index", T.LongType())] + TARGET_SCHEMA.fields)
 
 
-def validate_targets(targets: DataFrame) -> DataFrame:
+def validate_targets(targets: DataFrame, type_cols: bool = False) -> DataFrame:
     """Fail the job unless there is at least one target and every target
-    has its four fields as text (``""`` passes, null fails). The check is
-    one aggregate; the rows pass through unchanged."""
-    bad = F.count_if(F.greatest(*[F.col(f).isNull() for f in TARGET_FIELDS]))
+    has its four fields as JSON text (``""`` passes; null, a missing field
+    or a number fails). The check is one aggregate; rows pass unchanged.
+    With ``type_cols`` the frame carries ``<field>__t`` JSON type columns."""
+    if type_cols:
+        bad_row = F.greatest(*[F.col(f + "__t") != "STRING" for f in TARGET_FIELDS])
+    else:
+        bad_row = F.greatest(*[F.col(f).isNull() for f in TARGET_FIELDS])
+    bad = F.count_if(bad_row)
     n = F.count(F.lit(1))
     check = targets.agg(F.when(n == 0, F.raise_error(F.lit("targets: at least one target required")))
                         .when(bad > 0, F.raise_error(F.concat(F.lit("targets: fields missing in "),
                                                               bad.cast("string"), F.lit(" targets"))))
                         .otherwise(n).alias("n"))
     check.collect()  # one row
-    return targets
+    return targets.drop(*[f + "__t" for f in TARGET_FIELDS]) if type_cols else targets
 
 
 def read_targets(spark: SparkSession, path: str, validate: bool = True) -> DataFrame:
-    """Targets with their list position as ``target_index``."""
+    """Targets with their list position as ``target_index``. A ``.json``
+    path is the single-document form (one JSON value, read whole: the
+    target list of a shop); any other path is the JSON-lines folder."""
     if not path.endswith(".json"):
         t = spark.read.schema(LINE_SCHEMA).json(path.rstrip("/") + "/targets")
-    else:
-        doc = spark.read.schema(TARGETS_DOC_SCHEMA).option("multiLine", True).json(path)
-        t = doc.select(F.posexplode("targets").alias("target_index", "t")).select(
-            F.col("target_index").cast("long"), *[F.col("t." + f).alias(f) for f in TARGET_FIELDS])
-    return validate_targets(t) if validate else t
+        return validate_targets(t) if validate else t
+    doc = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
+    items = doc.select(F.posexplode(F.coalesce(F.try_variant_get("v", "$.targets", "array<variant>"),
+                                               F.array().cast("array<variant>"))).alias("target_index", "t"))
+    cols = [F.col("target_index").cast("long").alias("target_index")]
+    for f in TARGET_FIELDS:
+        x = F.try_variant_get("t", f"$.{f}", "variant")
+        cols += [F.try_variant_get(x, "$", "string").alias(f),
+                 F.coalesce(F.schema_of_variant(x), F.lit("VOID")).alias(f + "__t")]
+    t = items.select(*cols)
+    return validate_targets(t, type_cols=True) if validate else t.drop(*[f + "__t" for f in TARGET_FIELDS])
 
 
 def write_targets(targets: DataFrame, path: str, source_group_urls, generated_at: dt.datetime | None = None,

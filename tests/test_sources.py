@@ -27,7 +27,8 @@ def test_read_single_document(spark, tmpdir_path):
 
 
 @pytest.mark.parametrize("targets", [[], [{"group": "g", "category": "c", "subcategory": "s"}],
-                                     [{"group": "g", "category": "c", "subcategory": "s", "url": None}]])
+                                     [{"group": "g", "category": "c", "subcategory": "s", "url": None}],
+                                     [{"group": "g", "category": "c", "subcategory": "s", "url": 5}]])
 def test_invalid_documents_fail(spark, tmpdir_path, targets):
     p = os.path.join(tmpdir_path, "bad.json")
     open(p, "w").write(json.dumps(_doc(targets)))
