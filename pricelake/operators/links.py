@@ -4,10 +4,12 @@ Anchors are found with ``regexp_extract_all`` over the raw html and
 ``posexplode``-d with their document position, so the work is a narrow,
 codegen'd projection per page: no Python, no shuffle until a dedup.
 
-Covered forms: ``<a …>`` open tags (any case), ``href``/``rel`` attribute
-values double-quoted, single-quoted or bare, and the five basic character
-references in values. Not covered (a full HTML parser would be): ``>``
-inside quoted attribute values and anchors inside comments or scripts.
+Covered forms: ``<a …>`` open tags (any case, ``>`` allowed inside quoted
+attribute values), ``href``/``rel`` values double-quoted, single-quoted or
+bare, the five basic character references in values; comments, scripts and
+styles are cut first, so anchors inside them do not count (as for an HTML
+parser). Not covered: an attribute value whose text itself contains
+`` href=``.
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ from pricelake.functions.urls import url_normalize, is_category_url, is_product_
 from pricelake.operators.merge import stable_distinct
 
 _B = r"[ \t\n\f\r]"
-A_TAG_PATTERN = r"(?i)<a" + _B + r"[^>]*>"
+A_TAG_PATTERN = r"(?i)<a" + _B + r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+# Comments, scripts and styles: their text is not markup.
+NON_MARKUP_PATTERN = r"(?is)<!--.*?-->|<script[^>]*>.*?</script[^>]*>|<style[^>]*>.*?</style[^>]*>"
 ANCHOR_PATTERN = r"(?is)<a(?:" + _B + r"[^>]*)?>(.*?)</a" + _B + r"*>"
 
 
@@ -36,6 +40,11 @@ def unescape_basic(c) -> Column:
     return x
 
 
+def markup(html) -> Column:
+    """The html with comments, scripts and styles cut out."""
+    return F.regexp_replace(_col(html), NON_MARKUP_PATTERN, " ")
+
+
 def attr_value(tag, name: str) -> Column:
     """Value of attribute ``name`` in an open tag; null when absent."""
     raw = F.regexp_extract(_col(tag), attr_pattern(name), 1)
@@ -48,7 +57,7 @@ def links_extract(pages: DataFrame, base, html_col: str = "html", keep=("page_id
     """H1: all ``<a href>`` as normalised absolute URLs, in document order,
     duplicates kept. ``base`` is a base URL string or a column."""
     cols = list(keep) + ([base] if isinstance(base, str) and base in pages.columns else [])
-    t = pages.select(*cols, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(A_TAG_PATTERN), 0))
+    t = pages.select(*cols, F.posexplode(F.regexp_extract_all(markup(html_col), F.lit(A_TAG_PATTERN), 0))
                      .alias("pos", "tag"))
     b = F.col(base) if isinstance(base, str) and base in pages.columns else base
     out = t.select(*keep, "pos", url_normalize(attr_value("tag", "href"), b).alias("url"), "tag")
@@ -111,7 +120,7 @@ def anchors_with_text(pages: DataFrame, base, html_col: str = "html", keep=("pag
     """Anchors with href and visible text (tags removed, blanks collapsed)."""
     from pricelake.functions.text import collapse_blanks
     cols = list(keep) + ([base] if isinstance(base, str) and base in pages.columns else [])
-    t = pages.select(*cols, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR_PATTERN), 0))
+    t = pages.select(*cols, F.posexplode(F.regexp_extract_all(markup(html_col), F.lit(ANCHOR_PATTERN), 0))
                      .alias("pos", "a"))
     b = F.col(base) if isinstance(base, str) and base in pages.columns else base
     tag = F.regexp_extract(F.col("a"), r"(?is)^(<a[^>]*>)", 1)

@@ -99,7 +99,8 @@ def carrefour_rows(targets: DataFrame, pages: DataFrame, max_pages: int | None =
     page_tbl = pages.select("url", "html")
     anchors = materialize(
         page_tbl.select(F.col("url").alias("src_id"),
-                        F.posexplode(F.regexp_extract_all("html", F.lit(L.A_TAG_PATTERN), 0)).alias("pos", "tag"))
+                        F.posexplode(F.regexp_extract_all(L.markup("html"), F.lit(L.A_TAG_PATTERN), 0))
+                        .alias("pos", "tag"))
         .select("src_id", "pos", L.url_normalize(L.attr_value("tag", "href"), base).alias("link"),
                 F.coalesce(L.attr_value("tag", "rel"), F.lit("")).alias("rel"))
         .where(F.col("link").isNotNull()))

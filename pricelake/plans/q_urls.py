@@ -158,7 +158,9 @@ def _attr_sql(tag: str, name: str) -> str:
 
 
 _TAGS_SQL = with_views("pages_base") + f"""
-, t0 AS (SELECT page_id, url AS page_url, origin, regexp_extract_all(html, '{L.A_TAG_PATTERN}', 0) AS l
+, t0 AS (SELECT page_id, url AS page_url, origin,
+                regexp_extract_all(regexp_replace(html, {S.lit(L.NON_MARKUP_PATTERN)}, ' ', 'g'),
+                                   {S.lit(L.A_TAG_PATTERN)}, 0) AS l
          FROM pages_base),
 tags AS (SELECT page_id, page_url, origin, unnest(generate_series(0, len(l) - 1)) AS pos, unnest(l) AS tag
          FROM t0 WHERE len(l) > 0),
@@ -196,7 +198,9 @@ def q_pagination_links(spark, sf_dir):
 # -- P8 -----------------------------------------------------------------------------
 
 _ANCHORS_SQL = with_views("pages_base") + f"""
-, a0 AS (SELECT page_id, origin, regexp_extract_all(html, '{L.ANCHOR_PATTERN}', 0) AS l FROM pages_base),
+, a0 AS (SELECT page_id, origin,
+             regexp_extract_all(regexp_replace(html, {S.lit(L.NON_MARKUP_PATTERN)}, ' ', 'g'),
+                                '{L.ANCHOR_PATTERN}', 0) AS l FROM pages_base),
 anchors AS (SELECT page_id, origin, unnest(generate_series(0, len(l) - 1)) AS pos, unnest(l) AS a
             FROM a0 WHERE len(l) > 0),
 atext AS (SELECT page_id, pos,

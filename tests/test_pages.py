@@ -141,3 +141,11 @@ def test_group_payload_bad_id_fails(spark):
     import pytest
     with pytest.raises(Exception):
         PL.flatten_group_payload(df, "payload").collect()
+
+
+def test_links_skip_comments_scripts(spark):
+    html = ('<a title="x>y" href="/z">t</a><!-- <a href="/no"> --><script>var s="<a href=/no2>";</script>'
+            '<style>a{}</style><a href=/ok>ok</a>')
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = [r.url for r in L.links_extract(df, "https://s.es").orderBy("pos").collect()]
+    assert got == ["https://s.es/z", "https://s.es/ok"]
