@@ -123,7 +123,7 @@ SELECT {group}, "column",
   CASE WHEN n = 0 THEN 'float64' WHEN nb = n THEN CASE WHEN m > 0 THEN 'object' ELSE 'bool' END
        WHEN ni = n THEN CASE WHEN m > 0 THEN 'float64' ELSE 'int64' END
        WHEN nf = n THEN 'float64' ELSE 'object' END AS dtype,
-  m AS n_missing
+  cast(m AS BIGINT) AS n_missing
 FROM ({body})
 """
 
@@ -158,7 +158,7 @@ WITH RECURSIVE edges AS (
   SELECT p.page_id AS src_id, c.page_id AS dst_id, c.url AS dst_url
   FROM pages p JOIN pages c ON c.page_id = 2 * p.page_id + 1 OR c.page_id = 2 * p.page_id + 2),
 walk(root_id, page_id, url, depth, path) AS (
-  SELECT page_id, page_id, url, 0, [url] FROM pages
+  SELECT page_id, page_id, url, CAST(0 AS BIGINT), [url] FROM pages
   UNION ALL
   SELECT w.root_id, e.dst_id, e.dst_url, w.depth + 1, list_append(w.path, e.dst_url)
   FROM walk w JOIN edges e ON e.src_id = w.page_id)

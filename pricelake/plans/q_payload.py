@@ -42,7 +42,7 @@ def _expected_sql() -> str:
            f"WHEN {lf} <> '' THEN {lf} ELSE {t} END")
     return with_views("payload_base") + f"""
 , expected AS (
-  SELECT pos, 0 AS leaf_pos, 0 AS prod_pos, {pid} AS product_id, {S.strip('name')} AS product,
+  SELECT pos, CAST(0 AS BIGINT) AS leaf_pos, CAST(0 AS BIGINT) AS prod_pos, {pid} AS product_id, {S.strip('name')} AS product,
          {_brand_ladder_sql()} AS brand, {bulk} AS price, {ppu} AS price_per_unit, {offer} AS offer,
          {sub} AS subcategory, {url} AS product_url
   FROM payload_base WHERE pos % 50 <> 7)
@@ -71,7 +71,7 @@ def q_price_fields(spark, sf_dir):
 
 
 @query("failed_payload_pages", with_views("payload_base") + """
-SELECT count_if(pos % 50 = 7) AS failed_pages, count(*) AS pages FROM payload_base
+SELECT CAST(count_if(pos % 50 = 7) AS BIGINT) AS failed_pages, count(*) AS pages FROM payload_base
 """)
 def q_failed_payload_pages(spark, sf_dir):
     """Pages whose payload is not an object count as failed."""

@@ -21,7 +21,7 @@ DIA = K.BASE_URLS["dia"]
 def _forms(spark, sf_dir):
     v = load_view(spark, sf_dir, "url_forms")
     return v.select("page_id", F.posexplode(F.array(*[F.col(f"f{i}") for i in range(N_FORMS)]))
-                    .alias("form_idx", "href"))
+                    .alias("form_idx", "href")).withColumn("form_idx", F.col("form_idx").cast("bigint"))
 
 
 _FORMS_SQL = with_views("url_forms") + f"""
@@ -84,7 +84,8 @@ FROM s WHERE len(segs) > 0
 def q_url_segments(spark, sf_dir):
     f = _forms(spark, sf_dir).select("page_id", "form_idx", U.url_normalize("href", DIA).alias("url"))
     return (f.where(F.col("url").isNotNull())
-            .select("page_id", "form_idx", F.posexplode(U.url_segments("url")).alias("seg_index", "segment")))
+            .select("page_id", "form_idx", F.posexplode(U.url_segments("url")).alias("seg_index", "segment"))
+            .withColumn("seg_index", F.col("seg_index").cast("bigint")))
 
 
 # -- P4 / P5 / P6 / P7 ------------------------------------------------------------
@@ -171,7 +172,7 @@ links AS (SELECT page_id, page_url, pos, tag, {_norm_sql(_attr_sql('tag', 'href'
 @query("links_extract", _TAGS_SQL + "SELECT page_id, pos, url FROM links WHERE url IS NOT NULL")
 def q_links_extract(spark, sf_dir):
     p = load_view(spark, sf_dir, "pages_base")
-    return L.links_extract(p, "origin").select("page_id", "pos", "url")
+    return L.links_extract(p, "origin").select("page_id", F.col("pos").cast("bigint").alias("pos"), "url")
 
 
 @query("product_links", _TAGS_SQL + """
@@ -180,7 +181,8 @@ GROUP BY page_id, url
 """)
 def q_product_links(spark, sf_dir):
     p = load_view(spark, sf_dir, "pages_base")
-    return L.product_links(L.links_extract(p, "origin"), "carrefour")
+    return L.product_links(L.links_extract(p, "origin"), "carrefour") \
+        .withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query("pagination_links", _TAGS_SQL + f"""
@@ -222,7 +224,8 @@ FROM atext
 def q_nav_link_denied(spark, sf_dir):
     p = load_view(spark, sf_dir, "pages_base")
     a = L.anchors_with_text(p, "origin")
-    return a.select("page_id", "pos", "url", "text", U.nav_link_denied("text", "url").alias("denied"))
+    return a.select("page_id", F.col("pos").cast("bigint").alias("pos"), "url", "text",
+                    U.nav_link_denied("text", "url").alias("denied"))
 
 
 # -- P14 / P15 ----------------------------------------------------------------------
@@ -268,4 +271,4 @@ def q_page_markers(spark, sf_dir):
     return v.select("page_id", a["location_gate"].alias("location_gate_alcampo"),
                     a["empty_results"].alias("empty_results_alcampo"), a["blocked"].alias("blocked_alcampo"),
                     d["location_gate"].alias("location_gate_dia"), d["empty_results"].alias("empty_results_dia"),
-                    d["blocked"].alias("blocked_dia"), F.length("txt").alias("text_chars"))
+                    d["blocked"].alias("blocked_dia"), F.length("txt").cast("bigint").alias("text_chars"))
