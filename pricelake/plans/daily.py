@@ -33,18 +33,25 @@ def needed_pages(targets: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def _page_facts(targets: DataFrame, pages: DataFrame, source: str):
-    """Pages of the targets parsed once: (keys, card rows, JSON-LD rows)."""
+    """Pages of the targets parsed once (cards and, for Dia, JSON-LD from
+    the same parse): (keys, card rows, JSON-LD rows)."""
+    from pricelake.sources import html_job as H
     np_ = needed_pages(targets, pages)
     parsed = np_.select(F.col("page_key").alias("page_id"), "html")
-    facts = materialize(C.card_facts(parsed, source))
-    cards = C.card_fields(C.product_cards(facts, source), source).select(
-        "page_id", F.lit("card").alias("kind"), F.col("node_pos").cast("long").alias("pos"), *C.PRODUCT_FIELDS)
     keys = np_.select(F.col("page_key").alias("page_id"), "url", "page_seq")
-    ld = None
-    if source == "dia":
-        ld = C.jsonld_products(materialize(C.jsonld_facts(parsed))).select(
+    if source != "dia":
+        facts = materialize(C.card_facts(parsed, source))
+        ld = None
+    else:
+        both = materialize(parsed.mapInPandas(H.page_facts_job(source), H.schema(H.PAGE_SCHEMA, "string")))
+        facts = both.where(F.col("kind") == "card").select(*[c for c in H.CARD_FIELDS])
+        ld_facts = both.where(F.col("kind") == "jsonld").select(
+            "page_id", *[F.col(H.LD_PREFIX + f).alias(f) for f in H.JSONLD_FIELDS if f != "page_id"])
+        ld = C.jsonld_products(ld_facts).select(
             "page_id", F.lit("jsonld").alias("kind"),
             (F.col("block_pos").cast("long") * 100000 + F.col("obj_pos")).alias("pos"), *C.PRODUCT_FIELDS)
+    cards = C.card_fields(C.product_cards(facts, source), source).select(
+        "page_id", F.lit("card").alias("kind"), F.col("node_pos").cast("long").alias("pos"), *C.PRODUCT_FIELDS)
     return keys, cards, ld
 
 

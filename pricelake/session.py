@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The page job receives whole html pages: keep Arrow batches small so a
+    # Python worker holds a few hundred pages, not ten thousand.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
