@@ -155,6 +155,20 @@ def carrefour_rows(targets: DataFrame, pages: DataFrame, max_pages: int | None =
                     *C.PRODUCT_FIELDS, "category", "subcategory"))
 
 
+def run_summary(targets: DataFrame, pages: DataFrame, rows: DataFrame) -> DataFrame:
+    """A4 + A6: the run's counts as (metric, value) rows: targets, targets
+    whose page is missing (failed fetches: the run goes on without them),
+    and product rows written."""
+    fetched = targets.join(pages.select("url").distinct(), "url", "left_semi")
+    missing = targets.join(pages.select("url").distinct(), "url", "left_anti")
+
+    def metric(df, name):
+        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
+
+    return (metric(targets, "targets").unionByName(metric(fetched, "targets_fetched"))
+            .unionByName(metric(missing, "failed_fetches")).unionByName(metric(rows, "rows")))
+
+
 def project(rows: DataFrame, run_date) -> DataFrame:
     """The nine product columns in their fixed order (plus the order
     columns), blanks for missing text, the run date as a parameter."""

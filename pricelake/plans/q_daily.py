@@ -98,3 +98,17 @@ def q_daily_run_mercadona(spark, sf_dir):
                        F.col("category_label").alias("subcategory"), url.alias("url"))
     pages = v.select(url.alias("url"), "payload")
     return D.mercadona_products(targets, pages, RUN_DATE).select(*_OUT)
+
+
+@query("daily_run_summary_alcampo", f"""
+SELECT 'targets' AS metric, 2 * count(*) AS value FROM ({with_views('cards_html')} SELECT * FROM cards_html)
+UNION ALL SELECT 'targets_fetched', count(*) FROM ({with_views('cards_html')} SELECT * FROM cards_html)
+UNION ALL SELECT 'failed_fetches', count(*) FROM ({with_views('cards_html')} SELECT * FROM cards_html)
+UNION ALL SELECT 'rows', count(*) FROM ({_wrap(_ALCAMPO_SQL)})
+""")
+def q_daily_run_summary_alcampo(spark, sf_dir):
+    """A4 + A6 for a run: targets, failed fetches (missing pages), rows."""
+    targets = _targets(spark, sf_dir)
+    pages = _pages(spark, sf_dir, F.col("html_alcampo"))
+    rows = D.daily_products(targets, pages, "alcampo", RUN_DATE)
+    return D.run_summary(targets, pages, rows)

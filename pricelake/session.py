@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     # Python worker holds a few hundred pages, not ten thousand.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.ui.enabled": "false",
+    # Checkpoint files of stages no longer referenced are deleted from the
+    # shared folder (long-running jobs would otherwise fill it).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
