@@ -50,3 +50,21 @@ def test_summary(spark):
     rows = D.daily_products(t, p, "alcampo", "2025-01-15")
     got = {r.metric: r.value for r in D.run_summary(t, p, rows).collect()}
     assert got == {"targets": 4, "targets_fetched": 3, "failed_fetches": 1, "rows": 5}
+
+
+def test_dia_snapshot_feed(spark):
+    ld = '<script type="application/ld+json">{json}</script>'
+    dia_card = ('<li class="product-item"><a href="/p/1"><img alt="x"></a><p class="product-name">A</p>'
+                '<span class="price">{price} €</span></li>')
+    pages = spark.createDataFrame([
+        ("https://c/1", 0, ld.format(json='{"name": "L", "url": "/p/9"}')),
+        ("https://c/1", 1, dia_card.format(price="1,00") + ld.format(json='{"name": "M"}')),
+        ("https://c/1", 2, dia_card.format(price="2,00")),
+    ], "url string, snapshot_seq int, html string")
+    targets = spark.createDataFrame([(0, "A", "s", "https://c/1")],
+                                    "target_index long, category string, subcategory string, url string")
+    rows = D.daily_products(targets, pages, "dia", "2025-01-15").orderBy("merge_rank", "page_seq", "pos")
+    # L comes from snapshot 0 (before any card URL); M is gated out; A keeps
+    # its last price at its first position.
+    assert [(r.product, r.price, r.product_url) for r in rows.collect()] == [
+        ("L", "", "https://www.dia.es/p/9"), ("A", "2,00", "https://www.dia.es/p/1")]
