@@ -5,6 +5,16 @@ normalised daily product rows come out, and single days of a
 date-partitioned table are replaced in batch or by Structured Streaming.
 """
 
-from pricelake.session import get_spark, checkpoint_dir
+import sys as _sys
+
+# Functions this package hands to Python workers (the page job) are pickled
+# by value, so workers need not have the package installed or on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # older pickler: workers must import the package instead
+    pass
+
+from pricelake.session import get_spark, checkpoint_dir  # noqa: E402
 
 __all__ = ["get_spark", "checkpoint_dir"]
