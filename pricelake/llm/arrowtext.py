@@ -228,3 +228,11 @@ def words_of(data: np.ndarray, offsets: np.ndarray, mask: np.ndarray = WORD_BYTE
     z = np.zeros(0, np.int64)
     return (np.concatenate(hs) if hs else np.zeros(0, np.uint64), np.concatenate(first),
             np.concatenate(ss) if ss else z, np.concatenate(es) if es else z)
+
+
+def ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Concatenated ranges starts[i], ..., starts[i] + lens[i] - 1."""
+    if not len(lens) or not lens.sum():
+        return np.zeros(0, np.int64)
+    ends = np.cumsum(lens)
+    return np.arange(ends[-1]) + np.repeat(starts - (ends - lens), lens)

@@ -27,3 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _op7(spark, sf_dir):
     from pricelake.llm.substring_dedup import remove_repeats
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_dedup")
+def _op8(spark, sf_dir):
+    from pricelake.llm.suffix_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"))

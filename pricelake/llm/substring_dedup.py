@@ -95,14 +95,6 @@ def _wide(packed: bytes) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """Concatenated ranges starts[i], ..., starts[i] + lens[i] - 1."""
-    if not len(lens) or not lens.sum():
-        return np.zeros(0, np.int64)
-    ends = np.cumsum(lens)
-    return np.arange(ends[-1]) + np.repeat(starts - (ends - lens), lens)
-
-
 def locate(codes: np.ndarray, sizes: np.ndarray, twice: np.ndarray, window: int) -> np.ndarray:
     """For the runs of a shard (``sizes`` words each, concatenated in
     ``codes``): a mask of the words at which a recurring window starts.
@@ -174,7 +166,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         at, part, out = X.shard_bounds(keys, run_shards), table.column("part")[0].as_py(), []
         for s in np.flatnonzero(np.diff(at)):
             p = pick[at[s]:at[s + 1]]
-            words = r.words[_ranges(a[p], z[p] - a[p])]
+            words = r.words[T.ranges(a[p], z[p] - a[p])]
             out.append((int(s), part, r.lens[live][p].astype(np.uint16).tobytes(),
                         np.packbits(count[at[s]:at[s + 1]] > 1).tobytes(), _five(words)))
         return X.make_table(out, _RUNS)
@@ -187,7 +179,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         every = np.concatenate(lens)
         hit = locate(codes, every + window - 1, np.concatenate(twice), window)
         starts = np.concatenate(([0], np.cumsum(every + window - 1)))[:-1]
-        bits = hit[_ranges(starts, every)]
+        bits = hit[T.ranges(starts, every)]
         cuts = np.cumsum([int(k.sum()) for k in lens])[:-1]
         shard = table.column("shard")[0].as_py()
         out = [(p, shard, np.packbits(b).tobytes())
@@ -215,7 +207,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for s, b in zip(mine.column("shard").to_pylist(), mine.column("bits").to_pylist()):
                 lo, hi = ends[at[s]], ends[at[s + 1]]
                 flags[lo:hi] = np.unpackbits(np.frombuffer(b, np.uint8), count=hi - lo).astype(bool)
-            starts = _ranges(a, lens)[flags[_ranges(ends[back], lens)]]
+            starts = T.ranges(a, lens)[flags[T.ranges(ends[back], lens)]]
             gone = T.cover(starts, window, len(r.words))
             lost = np.concatenate(([0], np.cumsum(gone)))
             blob = r.data.tobytes()
