@@ -36,7 +36,7 @@ from pricelake.llm.suffix_sort import equal_classes
 WIDTH = 50
 GRAM = 16
 #: Runs of a shard on average if every string were a candidate.
-SHARD_RUNS = 100_000
+SHARD_RUNS = 60_000
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 _RUNS = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("lens", pa.binary()), ("docs", pa.binary()),
