@@ -33,3 +33,9 @@ def _op7(spark, sf_dir):
 def _op8(spark, sf_dir):
     from pricelake.llm.suffix_dedup import remove_repeats
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op4_ngram_join")
+def _op4(spark, sf_dir):
+    from pricelake.llm.ngram_join import link_groups
+    return link_groups(table(spark, sf_dir, "documents"))
