@@ -39,3 +39,72 @@ def _op8(spark, sf_dir):
 def _op4(spark, sf_dir):
     from pricelake.llm.ngram_join import link_groups
     return link_groups(table(spark, sf_dir, "documents"))
+
+
+def _lowered(column: str) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"translate(coalesce({column}, ''), '{upper}', '{upper.lower()}')"
+
+
+_OP3_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_OP3_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  regexp_extract_all({_lowered('text')}, '{_OP3_WORDS}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_lowered('text')}, '{_OP3_WORDS}') AS w FROM benchmark),
+bk AS (SELECT item_id, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+       FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM bk)),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT rid, k, i, array_to_string(w[i:i + k - 1], ' ') AS phrase
+       FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks WHERE len(w) >= k)),
+hit AS (SELECT rid, dw.k, i, item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.phrase = bw.phrase),
+words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM hit) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+"""
+
+
+@query("op3_decontaminate", _OP3_SQL)
+def _op3(spark, sf_dir):
+    from pricelake.llm.decontaminate import contamination, report
+    return report(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+_OP6_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, text,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT source, source_size,
+             [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1]::DOUBLE AS weight,
+             sum(source_size) OVER ()::DOUBLE AS total FROM s),
+r(step, capped, rate) AS (
+    SELECT 0, -1::BIGINT, (SELECT max(total) / sum(weight) FROM w)
+    UNION ALL
+    SELECT step + 1, n, CASE WHEN n = capped OR free IS NULL THEN NULL ELSE (total - fixed) / free END
+    FROM (SELECT r.step, r.capped, r.rate, count(*) FILTER (3.0 * source_size < weight * rate) AS n,
+                 coalesce(sum(3.0 * source_size) FILTER (3.0 * source_size < weight * rate), 0)::DOUBLE AS fixed,
+                 sum(weight) FILTER (NOT 3.0 * source_size < weight * rate) AS free, max(total) AS total
+          FROM r, w WHERE rate IS NOT NULL GROUP BY r.step, r.capped, r.rate)),
+last AS (SELECT rate FROM r WHERE rate IS NOT NULL ORDER BY step DESC LIMIT 1),
+t AS (SELECT source, source_size, least(3.0 * source_size, weight * rate)::DOUBLE AS target FROM w, last),
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3)::BIGINT ELSE 0 END AS epochs FROM p)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size > 0 THEN epochs * size + greatest(0, least(size,
+            floor(target)::BIGINT - epochs * source_size - start)) ELSE 0 END AS BIGINT) AS taken
+FROM e
+"""
+
+
+@query("op6_mixing", _OP6_SQL)
+def _op6(spark, sf_dir):
+    from pricelake.llm.mixing import mix
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
