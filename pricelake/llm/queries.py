@@ -108,3 +108,39 @@ FROM e
 def _op6(spark, sf_dir):
     from pricelake.llm.mixing import mix
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_language_id")
+def _op5(spark, sf_dir):
+    from pricelake.llm.langid import predictions
+    return predictions(table(spark, sf_dir, "documents"))
+
+
+@query("op9_embedding_dedup")
+def _op9(spark, sf_dir):
+    from pricelake.llm.embedding_lsh import near_groups
+    return near_groups(table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_quality_classifier")
+def _op1(spark, sf_dir):
+    from pricelake.llm.cotrain import score
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Files of public tokenizers; a parameter, as their place differs from cluster to cluster.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Fixed value: how the vocabulary's tokenizer splits a text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+@query("op2_token_counts")
+def _op2(spark, sf_dir):
+    from pricelake.llm.token_files import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
+
+
+@query("op10_html_extraction")
+def _op10(spark, sf_dir):
+    from pricelake.llm.html_template import main_text
+    return main_text(table(spark, sf_dir, "pages"))
