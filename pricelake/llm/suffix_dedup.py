@@ -66,7 +66,7 @@ class _Runs:
             size = np.diff(np.append(first, len(win)))
             at.append(win[first] + base)
             lens.append(size)
-            keys.append(own[first])
+            keys.append(T.mix(own[first]))  # minima crowd near 0; mixed they fill all shards alike
             content.append(T.span_hash(prefix, win[first], win[first] + size + width - 1))
         z = np.zeros(0, np.int64)
         u = np.zeros(0, np.uint64)
