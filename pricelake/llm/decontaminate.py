@@ -169,6 +169,29 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                       F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+          automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
+    """The rows of ``docs`` without any hit, unchanged."""
+    windows = benchmark_windows(items, window=window)
+    size = windows.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
+    shards = max(1, -(-size // automaton_bytes))
+
+    def keep(scan):
+        def run(batches):
+            for batch in batches:
+                slim = pa.RecordBatch.from_arrays(
+                    [batch.column(batch.schema.get_field_index(id_col)).cast(pa.int64()),
+                     batch.column(batch.schema.get_field_index(text_col))], names=["doc_id", "text"])
+                (hits,) = scan(iter([slim]))
+                yield batch.filter(pa.array(hits.column("n_hit").to_numpy() == 0))
+        return run
+
+    for s in range(shards):  # each automaton drops what it hits
+        phrases = [tuple(r) for r in windows.filter(F.pmod(F.xxhash64("phrase"), F.lit(shards)) == s).collect()]
+        docs = docs.mapInArrow(keep(_scan(phrases)), docs.schema)
+    return docs
+
+
 def _with_mark(df: DataFrame, fn) -> DataFrame:
     """``fn`` over ``df`` with a row mark (hash of the text) carried along."""
 

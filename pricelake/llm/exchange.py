@@ -30,13 +30,16 @@ def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
 
 
-def deal(docs: DataFrame, id_col: str, text_col: str, total: int, part_bytes: int = PART_BYTES) -> DataFrame:
+def deal(docs: DataFrame, id_col: str, text_col: str, total: int, part_bytes: int = PART_BYTES,
+         carry: tuple = ()) -> DataFrame:
     """(part, doc_id, text): documents dealt by a hash of id and text, so that
-    neither copies nor repeated ids meet in one part."""
+    neither copies nor repeated ids meet in one part. Columns to ``carry``
+    along follow as _0, _1, ..."""
     n = max(1, math.ceil(total / part_bytes))
     h = F.xxhash64(F.col(id_col), F.xxhash64(F.col(text_col)))
     return docs.select(F.pmod(h, F.lit(n)).cast("int").alias("part"),
-                       F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+                       F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
+                       *[F.col(c).alias(f"_{i}") for i, c in enumerate(carry)])
 
 
 def shard_count(keys: float, shard_keys: int = SHARD_KEYS) -> int:

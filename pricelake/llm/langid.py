@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from pricelake.llm import arrowtext as T
 
@@ -178,8 +179,8 @@ def held_out(id_col: str):
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score and rejected."""
-    from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
+    """``docs`` with lang_pred, score and rejected (columns of these names are replaced)."""
+    docs = docs.drop("lang_pred", "score", "rejected")
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()),
                          StructField("score", DoubleType()), StructField("rejected", BooleanType())])
 
@@ -195,6 +196,17 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     return docs.mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language the model accepts, unchanged."""
+
+    def run(batches):
+        for batch in batches:
+            data, off = T.flat(batch.column(batch.schema.get_field_index(text_col)))
+            yield batch.filter(pa.array(~model.predict(data, off)[2]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predictions(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected) of every document."""
     model = learn(docs)

@@ -11,7 +11,7 @@ buckets, so no task holds a source.
 
 Null texts have size 0; null sources are one source, the last; a null doc_id
 is keyed as the empty string, and rows that share a doc_id are ordered by
-their text's hash. Sources without words have target 0. Further columns are
+a digest of the row. Sources without words have target 0. Further columns are
 ignored (``mixed_documents`` keeps them).
 """
 
@@ -53,12 +53,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> D
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(doc_id, source, size, source_size, target, key, taken) of every
+    """(doc_id, source, size, source_size, target, key, row, taken) of every
     document; ``taken`` counts the words the mix takes of it, repeats included."""
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"),
-                       key.alias("key"), F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0)).alias("tie"))
+                       key.alias("key"), row_digest(id_col, text_col, source_col).alias("row"))
     base = stage(base, "mix")  # slim rows: the texts are read once
     sources = stage(base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows")),
                     "sources")
@@ -74,7 +74,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     plan = offsets.join(targets, same(offsets, targets)).select(
         offsets["source"].alias("p_source"), F.col("bucket").alias("p_bucket"), "offset", "source_size", "target")
-    inside = (Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "tie")
+    inside = (Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "row")
               .rowsBetween(Window.unboundedPreceding, -1))
     ranked = base.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     full = F.least(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(epochs)).cast("long")
@@ -82,21 +82,33 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     start = F.col("offset") + F.col("local")
     taken = full * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
     return (ranked.join(plan, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("bucket") == F.col("p_bucket")))
-            .select("doc_id", "source", "size", "source_size", "target", "key", "tie",
+            .select("doc_id", "source", "size", "source_size", "target", "key", "row",
                     F.when(F.col("source_size") > 0, taken).otherwise(0).cast("long").alias("taken")))
 
 
-def mixed_documents(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The mix itself: each document once per epoch it is taken whole, and cut
-    to its first words where the budget ends inside it."""
-    share = mixed.filter("taken > 0").select(F.col("doc_id").alias("m_id"), F.col("tie").alias("m_tie"),
-                                             F.col("size").alias("m_size"), "taken").distinct()
-    tie = F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0))
-    joined = docs.join(share, docs[id_col].eqNullSafe(F.col("m_id")) & (tie == F.col("m_tie")))
-    epoch = F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("m_size")).cast("int") - 1))
-    joined = joined.select(*[docs[c] for c in docs.columns], "m_size", "taken", epoch.alias("epoch"))
-    left = F.least(F.col("m_size"), F.col("taken") - F.col("epoch") * F.col("m_size"))
+def mixed_documents(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source") -> DataFrame:
+    """The mix itself, with the columns of ``docs`` and ``epoch``: each
+    document once per epoch it is taken in, cut to its first words where the
+    budget ends inside it. Rows that are alike share their digest; each of
+    them gets one of their shares."""
+    shares = mixed.filter("taken > 0").groupBy(F.col("row").alias("_mix_row")).agg(
+        F.first("size").alias("_mix_size"), F.sort_array(F.collect_list("taken"), False).alias("_mix_taken"))
+    keep = [c for c in docs.columns if c != "epoch"]
+    joined = docs.select(*keep, row_digest(id_col, text_col, source_col).alias("_mix_row")).join(shares, "_mix_row")
+    nth = F.row_number().over(Window.partitionBy("_mix_row").orderBy(F.lit(0)))
+    joined = joined.withColumn("_mix_taken", F.get("_mix_taken", nth - 1)).filter("_mix_taken IS NOT NULL")
+    size, taken = F.col("_mix_size"), F.col("_mix_taken")
+    joined = joined.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.ceil(taken / size).cast("int") - 1)))
+    left = F.least(size, taken - F.col("epoch") * size)
     words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))
     cut = F.array_join(F.slice(words, 1, left.cast("int")), " ")
-    text = F.when(left < F.col("m_size"), cut).otherwise(F.col(text_col))
-    return joined.withColumn(text_col, text).drop("m_size", "taken")
+    text = F.when(left < size, cut).otherwise(F.col(text_col))
+    return joined.withColumn(text_col, text).select(*keep, "epoch")
+
+
+def row_digest(id_col: str, text_col: str, source_col: str):
+    """A digest of a row's id, text and source; nulls differ from every value."""
+    def of(c):
+        return F.coalesce(F.md5(F.col(c).cast("string")), F.lit("-"))
+    return F.md5(F.concat_ws("/", of(id_col), of(text_col), of(source_col)))
