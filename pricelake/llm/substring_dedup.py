@@ -27,7 +27,7 @@ passages recur. Further input columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from itertools import compress
+from itertools import chain, compress
 
 import ahocorasick
 import numpy as np
@@ -41,7 +41,7 @@ WINDOW = 35
 #: Words of the inner grams; a window of 35 words has 24 of them.
 GRAM = 12
 #: Runs an automaton's shard holds on average if every window were a candidate.
-SHARD_RUNS = 60_000
+SHARD_RUNS = 16_000
 
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 _RUNS = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("lens", pa.binary()), ("twice", pa.binary()),
@@ -64,7 +64,7 @@ class _Runs:
         new = np.ones(len(own), bool)
         new[1:] = own[1:] != own[:-1]
         self.run_at = np.flatnonzero(new)
-        self.keys = grams[own[self.run_at]]
+        self.keys = T.mix(grams[own[self.run_at]])  # minima crowd near 0; mixed they fill all shards alike
         self.lens = np.diff(np.append(self.run_at, len(own)))
 
     def candidates(self, answers: pa.Table, shards: int):
@@ -135,7 +135,7 @@ def locate(codes: np.ndarray, sizes: np.ndarray, twice: np.ndarray, window: int)
     for a, z in zip(lo.tolist(), hi.tolist()):
         automaton.add_word(text[a:z], z - a)
     automaton.make_automaton()
-    found = np.array([(end, size) for end, size in automaton.iter(text)], np.int64).reshape(-1, 2)
+    found = np.fromiter(chain.from_iterable(automaton.iter(text)), np.int64).reshape(-1, 2)
     found = found[(found[:, 0] + 1) % wide == 0] if wide > 1 else found
     back = np.empty(n + len(sizes), np.int64)
     back[place] = np.arange(n)
@@ -147,11 +147,13 @@ def locate(codes: np.ndarray, sizes: np.ndarray, twice: np.ndarray, window: int)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   gram: int = GRAM, part_bytes: int = X.PART_BYTES, with_text: bool = False) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, kept): every document without
-    the words of its recurring windows; ``kept`` only if ``with_text``."""
+                   gram: int = GRAM, part_bytes: int = X.PART_BYTES, with_text: bool = False, carry: tuple = ()) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256, kept, *carry): every document
+    without the words of its recurring windows. ``kept`` (only if
+    ``with_text``) is the text itself where nothing was removed, else the kept
+    words joined by one space; ``carry`` names columns of ``docs`` to take along."""
     total = X.text_bytes(docs, text_col)
-    parts = X.deal(docs, id_col, text_col, total, part_bytes)
+    parts = X.deal(docs, id_col, text_col, total, part_bytes, carry)
     density = 2 / (window - gram + 2) / 6  # grams owned a byte, at six bytes a word
     shards = X.shard_count(total * density)
     run_shards = X.shard_count(total * density, SHARD_RUNS)
@@ -193,7 +195,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .union(located.select("part", F.lit(1).alias("kind"), "shard", "bits")))
 
     def finish(table: pa.Table, said: pa.Table) -> pa.Table:
-        ids, sums, removed, words, texts = [], [], [], [], []
+        ids, sums, removed, words, texts = pa.array([], pa.int64()), [], [], [], []
         if table.num_rows:
             r = _Runs(table, window, gram)
             kind = said.column("kind").to_numpy()
@@ -215,19 +217,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             words = np.diff(r.first)
             removed = lost[r.first[1:]] - lost[r.first[:-1]]
             for i in range(table.num_rows):
-                kept = blob[r.off[i]:r.off[i + 1]].split()
+                whole = blob[r.off[i]:r.off[i + 1]]
+                kept = whole.split()
                 if removed[i]:
                     kept = compress(kept, ~gone[r.first[i]:r.first[i + 1]])
                 text = b" ".join(kept)
                 sums.append(hashlib.sha256(text).hexdigest())
                 if with_text:
-                    texts.append(text)
-        schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                            ("kept_sha256", pa.string()), ("kept", pa.string())])
+                    texts.append(text if removed[i] else whole)
         n = len(sums)
-        return pa.table([ids, pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(sums, pa.string()),
-                         pa.array(texts, pa.binary()).cast(pa.string()) if with_text else pa.nulls(n, pa.string())],
-                        schema=schema)
-
-    out = X.with_answers(parts, both, finish, _RESULT)
-    return out if with_text else out.drop("kept")
+        columns = {"doc_id": ids, "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+                   "kept_sha256": pa.array(sums, pa.string()),
+                   "kept": pa.array(texts, pa.binary()).cast(pa.string()) if with_text else pa.nulls(n, pa.string())}
+        for i in range(len(carry)):
+            columns[f"_{i}"] = table.column(f"_{i}")
+        return pa.table(columns)
+
+    extra = "".join(f", _{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
+    out = X.with_answers(parts, both, finish, _RESULT + extra)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256", *(["kept"] if with_text else []),
+                     *[F.col(f"_{i}").alias(c) for i, c in enumerate(carry)])
