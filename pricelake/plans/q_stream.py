@@ -13,6 +13,7 @@ from pricelake.plans.q_merge import _merge_sql
 from pricelake.plans.registry import query
 from pricelake.plans.views import load_view, with_views
 from pricelake.session import scratch_path
+from pricelake.sources.landing import PRODUCT_SCHEMA
 from pricelake.streaming.day_load import start_day_load
 from pricelake.streaming.snapshot_upsert import read_state, start_snapshot_upsert
 
@@ -28,9 +29,10 @@ def _source_col():
 
 
 def _land_files(spark, rows, landing_root: str) -> None:
-    """One Parquet file per (source, path day) at ``<root>/<source>/<day>/``.
-    Every year's file also carries the next 1 January's rows (a run across
-    midnight). Files get modification times in (source, day) order."""
+    """One Parquet file per (source, path day) at ``<root>/<source>/<day>/``
+    (Al Campo's one folder deeper). A day file is one object, so a day has one
+    writer. Every year's file also carries the next 1 January's rows (a run
+    across midnight). Files get modification times in (source, day) order."""
     files = (rows.withColumn("pday", F.col("date"))
              .unionByName(rows.where((F.month("orig") == 1) & (F.dayofmonth("orig") == 1))
                           .withColumn("pday", F.add_months(F.col("date"), -12)))
@@ -51,7 +53,7 @@ def _land_files(spark, rows, landing_root: str) -> None:
             found.append((name.split("=", 1)[1], dd.getPath().getName().split("=", 1)[1], dd.getPath()))
     base = 1_700_000_000_000
     for i, (src, day, p) in enumerate(sorted(found, key=lambda x: (x[0], x[1]))):
-        dst = Path(f"{landing_root.rstrip('/')}/{src}/{day}")
+        dst = Path(f"{landing_root.rstrip('/')}/{src}/{day}{'/second run' if src == 'alcampo' else ''}")
         fs.mkdirs(dst.getParent())
         fs.rename(p, dst)
         for st in fs.listStatus(dst):
@@ -68,6 +70,7 @@ fr AS (SELECT t.*, date AS pday FROM t
        SELECT t.*, (date - INTERVAL 1 YEAR)::DATE AS pday FROM t
        WHERE month(orig) = 1 AND day(orig) = 1),
 files AS (SELECT DISTINCT table_name, pday FROM fr WHERE table_name IS NOT NULL)
+SELECT table_name, {_P} FROM (
 SELECT table_name, {_P} FROM t i
 WHERE table_name IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM files f WHERE f.table_name = i.table_name AND f.pday = i.date)
@@ -76,11 +79,14 @@ SELECT table_name, date, product, brand, price || ' *' AS price, price_per_unit,
        product_url
 FROM fr x
 WHERE table_name IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM files f WHERE f.table_name = x.table_name AND f.pday = x.date AND f.pday > x.pday)
+  AND NOT EXISTS (SELECT 1 FROM files f WHERE f.table_name = x.table_name AND f.pday = x.date AND f.pday > x.pday))
+WHERE NOT (table_name = '{K.SOURCE_TABLES["dia"]}' AND date = (SELECT min(date) FROM t WHERE source = 'dia'))
 """)
 def q_day_load_stream(spark, sf_dir):
     """T1 end to end: bronze tables hold an earlier load; the landed files
-    then replace their days through the stream."""
+    then replace their days through the stream. Al Campo's files lie one
+    folder deeper, under a name with a blank. A second stream with its own
+    checkpoint lands a file without rows, which empties Dia's first day."""
     root = scratch_path(spark, "dayload")
     # One scrape day per order year: each year's file is that day's run.
     rows = (load_view(spark, sf_dir, "rows_base").withColumn("orig", F.col("date"))
@@ -92,6 +98,11 @@ def q_day_load_stream(spark, sf_dir):
     _land_files(spark, rows, f"{root}/landing")
     q = start_day_load(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoint", max_files_per_trigger=8)
     q.awaitTermination()
+    first = rows.where("source = 'dia'").agg(F.min("date")).first()[0]
+    if first is not None:
+        (spark.createDataFrame([], PRODUCT_SCHEMA).coalesce(1).write
+         .parquet(f"{root}/late/dia/{first}/empty"))
+        start_day_load(spark, f"{root}/late", f"{root}/tables", f"{root}/checkpoint-late").awaitTermination()
     return spark.read.parquet(f"{root}/tables").select("table_name", *K.PRODUCT_COLUMNS)
 
 

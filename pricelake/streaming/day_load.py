@@ -14,10 +14,17 @@ days one after the other:
 All bronze tables share one folder partitioned by ``(table_name, date)``.
 The surviving rows of path days overwrite those partitions (dynamic
 partition overwrite, one write for every table of the batch); path days
-left without rows are deleted; surviving rows of other dates are appended. Only file metadata (paths,
-times, days: one row per file, at most ``maxFilesPerTrigger``) reaches the
-driver. Progress and file bookkeeping live in the stream checkpoint under
-the shared checkpoint folder, so a restarted job resumes where it stopped.
+left without rows are deleted; surviving rows of other dates are appended.
+
+The stream reads file *metadata* (the binary-file source without its content),
+at any depth below the landing root, so a file without rows still replaces
+its day. Only that metadata (one row per file, at most ``maxFilesPerTrigger``)
+reaches the driver; the rows are read from the batch's files. Files that the
+object-path rule or the table map does not know are appended to
+``_ignored_files`` next to the tables, with the reason. Progress lives in the
+stream checkpoint under the shared checkpoint folder; batch markers
+carry the id of that checkpoint's query, so another stream's batches on the
+same tables are never taken for replays.
 """
 
 from __future__ import annotations
@@ -30,17 +37,26 @@ from pricelake.sources.landing import PRODUCT_SCHEMA, _fs
 
 
 def landed_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int = 8) -> DataFrame:
-    return (spark.readStream.schema(PRODUCT_SCHEMA)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(landing_root.rstrip("/") + "/*/*/")
-            .select("*", F.col("_metadata.file_path").alias("_path"),
-                    F.col("_metadata.file_modification_time").alias("_mtime")))
+    """One row (path, modificationTime) per landed file, at any depth."""
+    return (spark.readStream.format("binaryFile")
+            .schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", True)
+            .option("maxFilesPerTrigger", max_files_per_trigger).load(landing_root)
+            .select("path", "modificationTime"))
 
 
-def _object_name(path_col, landing_root: str):
-    """The object name relative to the landing root (``source/day/file``)."""
-    root = landing_root.rstrip("/").split("://", 1)[-1]
-    return F.regexp_extract(path_col, "^.*?\\Q" + root + "\\E/(.*)$", 1)
+def landed_files(found: DataFrame, landing_root: str) -> DataFrame:
+    """(path, modificationTime, table_name, pday, reason) of landed files;
+    ``reason`` tells why a file is not a day file of a known table."""
+    root = landing_root.rstrip("/").split("://", 1)[-1].removeprefix("file:").rstrip("/")
+    tables = F.create_map(*[x for kv in K.SOURCE_TABLES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    name = F.regexp_extract("path", "^.*?\\Q" + root + "\\E/(.*)$", 1)
+    source = F.lower(F.regexp_extract(name, K.OBJECT_PATH_PATTERN, 1))
+    day = F.try_to_date(F.regexp_extract(name, K.OBJECT_PATH_PATTERN, 2), "yyyy-MM-dd")
+    table = F.try_element_at(tables, source)
+    reason = (F.when(~name.rlike(K.OBJECT_PATH_PATTERN), "not_day_file").when(table.isNull(), "unknown_source")
+              .when(day.isNull(), "invalid_day"))
+    return found.select("path", "modificationTime", table.alias("table_name"), day.alias("pday"),
+                        reason.alias("reason"))
 
 
 def apply_files(spark: SparkSession, rows: DataFrame, files: list, tables_root: str) -> None:
@@ -64,7 +80,7 @@ def apply_files(spark: SparkSession, rows: DataFrame, files: list, tables_root:
     for t, d in days:
         replaced = replaced | ((F.col("table_name") == t) & (F.col("date") == F.lit(d).cast("date")))
     replaced = F.coalesce(replaced, F.lit(False))
-    same = survivors.where(replaced).persist()
+    same = survivors.where(replaced)
     kept = {(r[0], str(r[1])) for r in same.select("table_name", "date").distinct().collect()}
     if kept:
         (same.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -74,7 +90,6 @@ def apply_files(spark: SparkSession, rows: DataFrame, files: list, tables_root:
             fs, p = _fs(spark, f"{tables_root.rstrip('/')}/table_name={t}/date={d}")
             if fs.exists(p):
                 fs.delete(p, True)
-    same.unpersist()
     survivors.where(~replaced).write.mode("append").partitionBy("table_name", "date").parquet(tables_root)
 
 
@@ -83,38 +98,48 @@ def read_table(spark: SparkSession, tables_root: str, table: str) -> DataFrame:
     return spark.read.parquet(tables_root).where(F.col("table_name") == table)
 
 
+def read_files(spark: SparkSession, paths: list) -> DataFrame:
+    """Rows of the given day files with the ``_path`` each came from."""
+    # file_path is percent-encoded: the names of the batch's files are encoded
+    # the same way to find them again
+    uri = {spark._jvm.org.apache.hadoop.fs.Path(p).toUri().toString(): p for p in paths}
+    names = F.create_map(*[x for kv in uri.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    escaped = ["".join("\\" + c if c in "*?[]{}\\" else c for c in p) for p in paths]
+    return (spark.read.schema(PRODUCT_SCHEMA).option("recursiveFileLookup", True).parquet(*escaped)
+            .select("*", F.try_element_at(names, F.col("_metadata.file_path")).alias("_path")))
+
+
 def start_day_load(spark: SparkSession, landing_root: str, tables_root: str, checkpoint: str,
                    max_files_per_trigger: int = 8, available_now: bool = True):
     """Start T1; returns the ``StreamingQuery``."""
     stream = landed_stream(spark, landing_root, max_files_per_trigger)
-    tables = F.create_map(*[x for kv in K.SOURCE_TABLES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-
-    marker_root = f"{tables_root.rstrip('/')}/_committed_batches"
+    tables = tables_root.rstrip("/")
 
     def batch(df: DataFrame, batch_id: int) -> None:
         # foreachBatch is at-least-once: a batch re-run after a failure must
-        # not append its other-date rows twice. A marker per applied batch
-        # (written after both writes) makes the replay a no-op.
-        fs, marker = _fs(spark, f"{marker_root}/{batch_id}")
+        # not append its other-date rows twice. A marker per applied batch of
+        # this checkpoint's query (written after both writes) makes the replay a no-op.
+        query_id = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+        fs, marker = _fs(spark, f"{tables}/_committed_batches/{query_id}/{batch_id}")
         if fs.exists(marker):
             return
-        df = df.persist()
-        name = _object_name(F.col("_path"), landing_root)
-        files = (df.select("_path", "_mtime").distinct()
-                 .select("_path", "_mtime", name.alias("_name"))
-                 .select("_path", "_mtime",
-                         F.try_element_at(tables, F.lower(F.regexp_extract("_name", K.OBJECT_PATH_PATTERN, 1)))
-                         .alias("_table"),
-                         F.try_to_date(F.regexp_extract("_name", K.OBJECT_PATH_PATTERN, 2), "yyyy-MM-dd")
-                         .alias("_pday"))
-                 .where(F.col("_table").isNotNull() & F.col("_pday").isNotNull())
-                 .orderBy("_mtime", "_path").collect())
-        if files:
-            meta = [(i, r["_path"], r["_table"], r["_pday"]) for i, r in enumerate(files)]
-            apply_files(spark, df, meta, tables_root)
-        df.unpersist()
+        files = landed_files(df, landing_root).orderBy("modificationTime", "path").collect()
+        known = [f for f in files if f["reason"] is None]
+        ignored = [(f["path"], f["reason"]) for f in files if f["reason"] is not None]
+        if ignored:
+            spark.createDataFrame(ignored, "path string, reason string").write.mode("append").json(f"{tables}/_ignored_files")
+        if known:
+            meta = [(i, f["path"], f["table_name"], f["pday"]) for i, f in enumerate(known)]
+            apply_files(spark, read_files(spark, [f["path"] for f in known]), meta, tables)
         fs.create(marker, True).close()
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def ignored_files(spark: SparkSession, tables_root: str) -> DataFrame:
+    """(path, reason) of the files no table took."""
+    fs, p = _fs(spark, f"{tables_root.rstrip('/')}/_ignored_files")
+    schema = "path string, reason string"
+    return spark.read.schema(schema).json(p.toString()) if fs.exists(p) else spark.createDataFrame([], schema)

@@ -1,10 +1,11 @@
 """Micro-batch size does not change the result; replays are no-ops."""
 
 import datetime as dt
+import glob
 import os
 
 from pricelake.sources.landing import PRODUCT_SCHEMA
-from pricelake.streaming.day_load import start_day_load
+from pricelake.streaming.day_load import ignored_files, start_day_load
 
 D = [dt.date(2025, 1, d) for d in range(1, 5)]
 
@@ -26,11 +27,6 @@ def land(spark, root):
         fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
         for st in fs.listStatus(p):
             fs.setTimes(st.getPath(), 1_700_000_000_000 + 1000 * i, -1)
-    # the files sit one level deeper than <source>/<day>/; move them up
-    import glob
-    import shutil
-    for f in glob.glob(f"{root}/*/*/f*/*.parquet"):
-        shutil.move(f, os.path.join(os.path.dirname(os.path.dirname(f)), os.path.basename(os.path.dirname(f)) + ".parquet"))
 
 
 def run(spark, tmp, per_trigger):
@@ -51,3 +47,54 @@ def test_batch_size_independent(spark, tmpdir_path):
     # (a3 appended by file 1, then day 3 replaced by file 2), day 4 emptied, d1 appended, null kept
     assert one == sorted([("2025-01-01", "t1"), ("2025-01-01", "d1"), ("2025-01-02", "c"), ("2025-01-03", "b"),
                           ("None", "tn")])
+
+
+def products(spark, tables):
+    return sorted((str(r.date), r.product) for r in spark.read.parquet(tables).collect())
+
+
+def start_table(spark, tables, spec):
+    (rows(spark, spec).selectExpr("'bronze_dia_products_p' AS table_name", "*")
+     .write.partitionBy("table_name", "date").parquet(tables))
+
+
+def test_file_without_rows_empties_its_day(spark, tmpdir_path):
+    tables = f"{tmpdir_path}/tables"
+    start_table(spark, tables, [(D[0], "A"), (D[1], "B")])
+    rows(spark, []).coalesce(1).write.parquet(f"{tmpdir_path}/landing/dia/{D[0]}/f")
+    start_day_load(spark, f"{tmpdir_path}/landing", tables, f"{tmpdir_path}/c").awaitTermination()
+    assert products(spark, tables) == [(str(D[1]), "B")]
+
+
+def test_second_stream_on_the_same_tables_is_no_replay(spark, tmpdir_path):
+    tables = f"{tmpdir_path}/tables"
+    start_table(spark, tables, [(D[3], "t")])
+    for k, day in enumerate(D[:2]):
+        rows(spark, [(day, f"p{k}")]).coalesce(1).write.parquet(f"{tmpdir_path}/landing{k}/dia/{day}/f")
+        start_day_load(spark, f"{tmpdir_path}/landing{k}", tables, f"{tmpdir_path}/c{k}").awaitTermination()
+    assert products(spark, tables) == [(str(D[0]), "p0"), (str(D[1]), "p1"), (str(D[3]), "t")]
+
+
+def test_encoded_and_nested_paths_load_and_others_are_reported(spark, tmpdir_path):
+    tables, landing = f"{tmpdir_path}/tables", f"{tmpdir_path}/my landing"
+    start_table(spark, tables, [(D[3], "t")])
+    rows(spark, [(D[0], "a")]).coalesce(1).write.parquet(f"{landing}/dia/{D[0]}/late run/x y")
+    rows(spark, [(D[1], "b")]).coalesce(1).write.parquet(f"{landing}/lidl/{D[1]}/f")
+    rows(spark, [(D[1], "c")]).coalesce(1).write.parquet(f"{landing}/dia/someday/f")
+    rows(spark, [(D[1], "c")]).coalesce(1).write.parquet(f"{landing}/dia/2025-13-45/f")
+    start_day_load(spark, landing, tables, f"{tmpdir_path}/c").awaitTermination()
+    assert products(spark, tables) == [(str(D[0]), "a"), (str(D[3]), "t")]
+    assert sorted(r.reason for r in ignored_files(spark, tables).collect()) == [
+        "invalid_day", "not_day_file", "unknown_source"]
+
+
+def test_replayed_batch_changes_nothing(spark, tmpdir_path):
+    tables, ckpt = f"{tmpdir_path}/tables", f"{tmpdir_path}/c"
+    start_table(spark, tables, [(D[3], "t")])
+    rows(spark, [(D[0], "a"), (D[2], "other")]).coalesce(1).write.parquet(f"{tmpdir_path}/landing/dia/{D[0]}/f")
+    start_day_load(spark, f"{tmpdir_path}/landing", tables, ckpt).awaitTermination()
+    before = products(spark, tables)
+    for f in glob.glob(f"{ckpt}/commits/*") + glob.glob(f"{ckpt}/commits/.*"):
+        os.remove(f)  # the batch was applied, but its commit was lost
+    start_day_load(spark, f"{tmpdir_path}/landing", tables, ckpt).awaitTermination()
+    assert products(spark, tables) == before == [(str(D[0]), "a"), (str(D[2]), "other"), (str(D[3]), "t")]
