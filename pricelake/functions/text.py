@@ -7,6 +7,7 @@ character classes so that Java regex and RE2 (the SQL oracle) agree.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache, reduce
 
@@ -15,44 +16,56 @@ from pyspark.sql import functions as F
 
 from pricelake.functions import constants as K
 
-# Code point ranges whose compatibility decompositions are folded: Latin-1
-# Supplement, Latin Extended-A/B and Latin Extended Additional.
-_FOLD_RANGES = [(0x00A0, 0x0250), (0x1E00, 0x1F00)]
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_HANGUL = (0xAC00, 0xD7A3)
+#: Consonant, vowel and final jamo by their index in a syllable (index 0 of the finals: none).
+_LEAD, _VOWEL, _TAIL = ("".join(chr(base + i) for i in range(n)) for base, n in
+                        ((0x1100, 19), (0x1161, 21), (0x11A7, 28)))
+
+
 @lru_cache(maxsize=None)
-def fold_table(ascii_only: bool) -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """(from_chars, to_chars, multi) for accent folding, built from NFKD.
+def fold_table(ascii_only: bool) -> tuple[str, str, dict[str, str], str]:
+    """(from_chars, to_chars, multi, dropped) for accent folding, built from
+    NFKD over all of Unicode.
 
     ``ascii_only=False``: NFKD with combining marks dropped (other
     characters kept). ``ascii_only=True``: NFKD then everything non-ASCII
-    dropped. Characters folding to one char go to ``translate``; those
-    folding to nothing are listed in ``from`` with no ``to`` partner
-    (``translate`` deletes them); longer results are plain replacements.
+    dropped. Characters that fold to one char are for ``translate``,
+    longer results in ``multi``; ``dropped`` is a regex class of what goes.
+    Hangul syllables fold by arithmetic and are in none of them.
     """
-    src, dst, dele, multi = [], [], [], []
-    for lo, hi in _FOLD_RANGES:
-        for cp in range(lo, hi):
-            ch = chr(cp)
-            d = unicodedata.normalize("NFKD", ch)
-            if ascii_only:
-                out = d.encode("ascii", "ignore").decode("ascii")
-            else:
-                out = "".join(c for c in d if not unicodedata.combining(c))
-            if out == ch:
-                continue
-            if len(out) == 1:
-                src.append(ch)
-                dst.append(out)
-            elif len(out) == 0:
-                dele.append(ch)
-            else:
-                multi.append((ch, out))
-    return "".join(src + dele), "".join(dst), tuple(multi)
+    src, dst, multi, gone = [], [], {}, []
+    for cp in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= cp <= 0xDFFF or _HANGUL[0] <= cp <= _HANGUL[1]:
+            continue
+        ch = chr(cp)
+        d = unicodedata.normalize("NFKD", ch)
+        out = "".join(c for c in d if (ord(c) < 128 if ascii_only else not unicodedata.combining(c)))
+        if out == ch:
+            continue
+        if len(out) == 1:
+            src.append(ch)
+            dst.append(out)
+        elif out:
+            multi[ch] = out
+        elif not ascii_only:
+            gone.append(ch)
+    return "".join(src), "".join(dst), multi, r"[^\x00-\x7F]" if ascii_only else char_class(gone)
+
+
+def char_class(chars) -> str:
+    """A regex class of the given characters, as ranges of code points."""
+    cps = sorted(map(ord, chars))
+    runs = []
+    for cp in cps:
+        if runs and cp == runs[-1][1] + 1:
+            runs[-1][1] = cp
+        else:
+            runs.append([cp, cp])
+    return "[" + "".join(f"\\x{{{a:X}}}" + (f"-\\x{{{z:X}}}" if z > a else "") for a, z in runs) + "]"
 
 
 def strip(c) -> Column:
@@ -71,11 +84,33 @@ def coalesce_blank(c) -> Column:
 
 
 def nfkd_fold(c, ascii_only: bool = False) -> Column:
-    src, dst, multi = fold_table(ascii_only)
-    out = F.translate(_col(c), src, dst)
-    for ch, rep in multi:
-        out = F.replace(out, F.lit(ch), F.lit(rep))
-    return out
+    """NFKD without combining marks (or without anything non-ASCII). Plain
+    ASCII text passes untouched, and only the characters that fold to
+    several are looked up one by one."""
+    x = _col(c)
+    src, dst, multi, dropped = fold_table(ascii_only)
+    several = char_class(multi) if ascii_only else char_class(multi)[:-1] + r"\x{AC00}-\x{D7A3}]"
+    sep = "\x01"
+    table = F.map_from_arrays(F.split(F.lit(sep.join(multi)), sep), F.split(F.lit(sep.join(multi.values())), sep))
+
+    def folded(piece):
+        out = F.coalesce(F.try_element_at(table, piece), piece)
+        if ascii_only:
+            return out
+        n = F.ascii(piece) - _HANGUL[0]
+
+        def jamo(letters, at):
+            return F.substring(F.lit(letters), at.cast("int") + 1, F.lit(1))
+
+        tail = n % 28
+        return F.when((F.length(piece) == 1) & n.between(0, _HANGUL[1] - _HANGUL[0]), F.concat(
+            jamo(_LEAD, F.floor(n / 588)), jamo(_VOWEL, F.floor(n % 588 / 28)),
+            F.when(tail > 0, jamo(_TAIL, tail)).otherwise(F.lit("")))).otherwise(out)
+
+    pieces = F.regexp_extract_all(x, F.lit(f"{several}|[^{several[1:]}+"), F.lit(0))
+    y = F.when(x.rlike(several), F.array_join(F.transform(pieces, folded), "")).otherwise(x)
+    y = F.regexp_replace(F.translate(y, src, dst), dropped, "")
+    return F.when(x.rlike(r"[^\x00-\x7F]"), y).otherwise(x)
 
 
 def fold_text(c) -> Column:
@@ -107,14 +142,11 @@ def brand_first_upper(name) -> Column:
     return F.when((F.length(tok) > 1) & (F.upper(tok) == tok), tok).otherwise(F.lit(""))
 
 
-_DIGITS = "[0-9]"
-PRICE_PATTERN = (r"(" + _DIGITS + r"{1,3}(?:[.,]" + _DIGITS + r"{3})*[.,]" + _DIGITS + r"{2})"
-                 + K.WS_CLASS + r"*€")
-_WORD = r"[\p{L}\p{N}_"
-PPU_DIA_PATTERN = (r"(?i)(" + _DIGITS + r"{1,3}(?:[.,]" + _DIGITS + r"{3})*[.,]" + _DIGITS + r"{2}"
-                   + K.WS_CLASS + r"*€" + K.WS_CLASS + r"*(?:/|por)" + K.WS_CLASS + r"*" + _WORD + r"%]+)")
-PPU_ALCAMPO_PATTERN = (r"(?i)(" + _DIGITS + r"+[.,]" + _DIGITS + r"+" + K.WS_CLASS + r"*€" + K.WS_CLASS
-                       + r"*(?:/|por)" + K.WS_CLASS + r"*" + _WORD + r"]+)")
+# FIXED VALUES: price and unit price patterns (WS stands for the blank class).
+PRICE_PATTERN = r"([0-9]{1,3}(?:[.,][0-9]{3})*[.,][0-9]{2})WS*€".replace("WS", K.WS_CLASS)
+PPU_DIA_PATTERN = (r"(?i)([0-9]{1,3}(?:[.,][0-9]{3})*[.,][0-9]{2}WS*€WS*(?:/|por)WS*[\p{L}\p{N}_%]+)"
+                   .replace("WS", K.WS_CLASS))
+PPU_ALCAMPO_PATTERN = r"(?i)([0-9]+[.,][0-9]+WS*€WS*(?:/|por)WS*[\p{L}\p{N}_]+)".replace("WS", K.WS_CLASS)
 
 
 def price_extract(c) -> Column:
@@ -209,7 +241,6 @@ def slugify(c) -> Column:
     """NFKD to ASCII, non-alphanumeric runs to ``-``, strip ``-``, lower;
     empty -> ``mercadona``."""
     a = nfkd_fold(coalesce_blank(c), ascii_only=True)
-    a = F.regexp_replace(a, r"[^\x{0}-\x{7F}]", "")
     s = F.lower(strip_chars(F.regexp_replace(a, "[^a-zA-Z0-9]+", "-"), "-"))
     return F.when(s == "", F.lit(K.MERCADONA_SLUG_DEFAULT)).otherwise(s)
 

@@ -116,8 +116,7 @@ def q_brand_ladder(spark, sf_dir):
 # -- F13 / F1 / F10 -------------------------------------------------------------
 
 def _slugify_sql(x: str) -> str:
-    a = f"regexp_replace({S.fold(S.blank(x), ascii_only=True)}, '[^\\x{{0}}-\\x{{7F}}]', '', 'g')"
-    s = f"lower(trim(regexp_replace({a}, '[^a-zA-Z0-9]+', '-', 'g'), '-'))"
+    s = f"lower(trim(regexp_replace({S.fold(S.blank(x), ascii_only=True)}, '[^a-zA-Z0-9]+', '-', 'g'), '-'))"
     return f"CASE WHEN {s} = '' THEN 'mercadona' ELSE {s} END"
 
 
@@ -195,3 +194,32 @@ def q_subcategory_label(spark, sf_dir):
              .unionByName(c.select("pos", F.concat(F.lit(" "), F.col("category_label")).alias("target"),
                                    F.lit("").alias("leaf"))))
     return pairs.select("pos", "target", "leaf", T.subcategory_label("target", "leaf").alias("label"))
+
+
+# -- F1 / F2 / F13 on decorated letters ---------------------------------------------
+# Each text is a plain one whose letters were replaced by composed, decomposed,
+# ligature, full-width, mathematical and Hangul forms; the expected fold is the
+# plain text itself, so the check shares no table with the Spark side.
+
+#: (plain, decorated): composed, decomposed, ligature, full-width, mathematical.
+_DECORATED = [("fi", "\ufb01"), ("a", "\u00e1"), ("e", "e\u0301"), ("o", "\uff4f"), ("n", "n\u0303"), ("s", "\U0001d4c8"),
+              ("u", "\u01d8"), ("c", "\u1e09"), ("kg", "\u338f")]
+
+
+def _decorate_sql(x: str, chars) -> str:
+    for plain, fancy in chars:
+        x = f"replace({x}, '{plain}', '{fancy}')"
+    return x
+
+
+_PLAIN = "'kg fi ' || lower(name)"
+_FOLD_IN = _decorate_sql(_PLAIN, _DECORATED)
+
+
+@query("fold_decorated", _C + f"""
+SELECT pos, {S.strip(_PLAIN)} AS folded, {_slugify_sql(_PLAIN)} AS slug FROM cards_base WHERE name = strip_accents(name)
+""")
+def q_fold_decorated(spark, sf_dir):
+    c = _cards(spark, sf_dir).where("name RLIKE '^[\\\\x00-\\\\x7F]*$'")
+    x = F.expr(_FOLD_IN)
+    return c.select("pos", T.fold_text(x).alias("folded"), T.slugify(x).alias("slug"))

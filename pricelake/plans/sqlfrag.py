@@ -8,7 +8,6 @@ their code. Fixed values come from ``pricelake.functions.constants``.
 from __future__ import annotations
 
 from pricelake.functions import constants as K
-from pricelake.functions.text import fold_table
 
 
 def lit(s: str) -> str:
@@ -39,11 +38,11 @@ def blank(x: str) -> str:
 
 
 def fold(x: str, ascii_only: bool = False) -> str:
-    src, dst, multi = fold_table(ascii_only)
-    out = f"translate({x}, {lit(src)}, {lit(dst)})"
-    for ch, rep in multi:
-        out = f"replace({out}, {lit(ch)}, {lit(rep)})"
-    return out
+    """Accents off by DuckDB's own rule (canonical decomposition), with the
+    compatibility letters of Spanish text spelled out."""
+    compat = f"translate({x}, {lit('ªº²³¹' + chr(160))}, 'ao231 ')"
+    plain = f"strip_accents({compat})"
+    return f"regexp_replace({plain}, '[^\\x{{0}}-\\x{{7F}}]', '', 'g')" if ascii_only else plain
 
 
 def fold_text(x: str) -> str:

@@ -50,6 +50,36 @@ def test_fold_text(spark):
     assert one(spark, T.fold_text, ["  Promoción ÑAME ª º  "]) == ["promocion name a o"]
 
 
+def test_fold_is_nfkd_without_marks(spark):
+    import unicodedata
+    texts = ["cupo\u0301n", "\ufb01n \uff21", "Promocio\u0301n", "\u338f \u00bd \u2122", "\ud55c\uae00 \uac00", "\U0001d4c8\u0327",
+             "\u01c4 \u0133 stra\u00dfe \u0130", "plain", "", "\u0344\u0301"]
+
+    def py(t, ascii_only):
+        d = unicodedata.normalize("NFKD", t)
+        return "".join(c for c in d if (ord(c) < 128 if ascii_only else not unicodedata.combining(c)))
+
+    assert one(spark, T.nfkd_fold, texts) == [py(t, False) for t in texts]
+    assert one(spark, lambda c: T.nfkd_fold(c, True), texts) == [py(t, True) for t in texts]
+    assert one(spark, T.slugify, ["\ufb01n \uff21"]) == ["fin-a"]
+
+
+def test_fold_every_code_point(spark):
+    import sys
+    import unicodedata
+    from pyspark.sql import functions as F
+    step = 4096
+    texts = ["\u0001".join(chr(c) for c in range(lo, min(lo + step, sys.maxunicode + 1)) if not 0xD800 <= c <= 0xDFFF)
+             for lo in range(1, 0x30000, step)]
+
+    def py(t):
+        return "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+
+    df = spark.createDataFrame([(t,) for t in texts], "x string").select(T.nfkd_fold(F.col("x")).alias("y"))
+    # marks next to each other are reordered by NFKD, so the characters stand apart
+    assert [r.y for r in df.collect()] == [py(t) for t in texts]
+
+
 def test_url_unquote(spark):
     assert one(spark, T.url_unquote, ["a+b", "a%20b", "a%zz", "%C3%B1"]) == ["a+b", "a b", "a%zz", "ñ"]
 
