@@ -1,32 +1,95 @@
 """Product rows from page cards and JSON-LD.
 
-The page job (``sources.html_job``) reports every node any card selector
-matched. Here, in Catalyst: the product URL rule per shop, the first
-selector that yields a card with a URL (``min(rank)`` per page), dedup by
-URL inside the page (first node wins), and the field rules.
+The page job (``sources.html_job``) reports every node a card selector
+matched with the named elements around and below it, and raw ld+json blocks.
+Here, in Catalyst: the element each field is read from, the product URL rule
+per shop, the first selector that yields a card with a URL (the least rank of
+the page), dedup by URL inside the page (first node wins), and the field
+rules; JSON-LD is walked and read as VARIANT.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions import constants as K
 from pricelake.functions import text as T
 from pricelake.functions.urls import url_clean, url_normalize, is_product_url
 from pricelake.sources import html_job as H
+from pricelake.sources import payloads as P
 
 PRODUCT_FIELDS = ["product", "brand", "price", "price_per_unit", "offer", "product_url"]
 
 
-def _id_type(pages: DataFrame, id_col: str) -> str:
-    return pages.schema[id_col].dataType.simpleString()
+def page_facts(pages: DataFrame, source: str | None, blocks: bool = False, anchors: bool = False, bare: bool = False,
+               html_col: str = "html") -> DataFrame:
+    """Run the page job: facts of every page next to its other columns."""
+    keys = [f for f in pages.schema.fields if f.name != html_col]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keys] + [H.FACT_SCHEMA])
+    return pages.select(*[f.name for f in keys], html_col).mapInPandas(
+        H.page_facts_job(source, blocks, anchors, bare, html_col), schema)
 
 
 def card_facts(pages: DataFrame, source: str, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Run the page job: one row per (page, selector, matched node)."""
-    return pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html")) \
-        .mapInPandas(H.cards_job(source), H.schema(H.CARD_SCHEMA, _id_type(pages, id_col)))
+    """One row per (page, card node)."""
+    return page_facts(pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html")), source)
+
+
+# ---- the element each field is read from (H7) -------------------------------------
+
+def _every(role: str) -> Column:
+    """Values of all elements of a role, in document order."""
+    return F.transform(F.filter("els", lambda e: e["role"] == role), lambda e: e["value"])
+
+
+def _first(role: str) -> Column:
+    """Value of the first element of a role; null without one."""
+    return F.get(_every(role), F.lit(0))
+
+
+def _filled(*columns) -> Column:
+    """The first of the columns that is neither null nor empty, else empty."""
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns], F.lit(""))
+
+
+def _roles(source: str, name: str) -> list[str]:
+    return [r for r in H.ELEMENTS[source] if r.startswith(name + " ") and r.rsplit(" ", 1)[-1].isdigit()]
+
+
+def _priced(role: str, need_amount: bool) -> Column:
+    """First text of a role with a euro sign (and something besides it)."""
+    def ok(t):
+        has = t.contains("€")
+        return has & (T.strip(F.replace(t, F.lit("€"), F.lit(""))) != "") if need_amount else has
+    return F.get(F.filter(_every(role), ok), F.lit(0))
+
+
+def read_elements(facts: DataFrame, source: str) -> DataFrame:
+    """Card facts with link_href, name, brand_el, price_raw, ppu_raw and
+    offer_link taken from their named elements."""
+    none = F.lit(None).cast("string")
+    image = T.strip(_first("image"))
+    names = [_first(r) for r in _roles(source, "name")]
+    if source == "dia":
+        cols = {"link_href": _first("link"), "name": _filled(*names, image), "brand_el": _first("brand"),
+                "price_raw": F.coalesce(*[_priced(r, True) for r in _roles(source, "price")]), "ppu_raw": none,
+                "offer_link": F.lit(False)}
+    elif source == "alcampo":
+        pack = F.filter(_every("pack size"), lambda t: t.contains("€") & F.lower(t).contains("por"))
+        cols = {"link_href": _first("link"), "name": _filled(*names, image), "brand_el": none,
+                "price_raw": _filled(_first("price"), _first("old price"),
+                                     *[_priced(r, False) for r in _roles(source, "price")]),
+                "ppu_raw": _filled(_first("unit price"), T.strip_chars(F.get(pack, F.lit(0)), "() ")),
+                "offer_link": F.size(_every("offer link")) > 0}
+    else:
+        cols = {"link_href": F.when(F.size(_every("title link")) > 0, _first("title link")).otherwise(_first("media link")),
+                "name": _filled(_first("name")), "brand_el": _filled(_first("brand")),
+                "price_raw": _filled(T.strip(_first("parent price")), _first("price")),
+                "ppu_raw": _filled(T.strip(_first("parent unit price")), _first("unit price")),
+                "offer_link": F.lit(False)}
+    return facts.select(*[c for c in facts.columns if c not in ("els", "raw", "kind")],
+                        *[c.alias(n) for n, c in cols.items()])
 
 
 def _url_rule(source: str):
@@ -44,7 +107,8 @@ def _url_rule(source: str):
 def product_cards(facts: DataFrame, source: str) -> DataFrame:
     """H5 + H6: the cards of the first productive selector per page, one
     per product URL (the first node wins). Carrefour takes every
-    ``div.product-card`` as it is."""
+    ``div.product-card`` as it is. ``facts`` are card facts of the page job."""
+    facts = read_elements(facts, source)
     if source == "carrefour":
         url = F.coalesce(url_normalize(F.col("link_href"), K.BASE_URLS["carrefour"]), F.lit(""))
         return facts.withColumn("product_url", url)
@@ -56,11 +120,12 @@ def product_cards(facts: DataFrame, source: str) -> DataFrame:
     # page, so the window partitions stay small.
     page = Window.partitionBy("page_id")
     first_node = Window.partitionBy("page_id", "product_url").orderBy("node_pos")
-    chosen = with_url.withColumn("_r", F.min("rank").over(page)).where(F.col("rank") == F.col("_r"))
+    chosen = with_url.withColumn("_r", F.min(F.array_min("ranks")).over(page)).where(
+        F.array_contains("ranks", F.col("_r")))
     return chosen.withColumn("_n", F.row_number().over(first_node)).where(F.col("_n") == 1).drop("_r", "_n")
 
 
-def card_fields(cards: DataFrame, source: str) -> DataFrame:
+def card_fields(cards: DataFrame, source: str, keys=("page_id",)) -> DataFrame:
     """H7a/b/c: product, brand, price, unit price and offer flag."""
     text = F.coalesce(F.col("card_text"), F.lit(""))
     name = F.coalesce(F.col("name"), F.lit(""))
@@ -86,7 +151,7 @@ def card_fields(cards: DataFrame, source: str) -> DataFrame:
         ppu = F.coalesce(F.col("ppu_raw"), F.lit(""))
         brand = F.coalesce(F.col("brand_el"), F.lit(""))
         offer = T.offer_flag_lower(text, K.OFFER_KEYWORDS_CARREFOUR)
-    return cards.select("page_id", "rank", "node_pos", name.alias("product"), brand.alias("brand"),
+    return cards.select(*keys, "node_pos", name.alias("product"), brand.alias("brand"),
                         price.alias("price"), ppu.alias("price_per_unit"), offer.alias("offer"), "product_url")
 
 
@@ -97,25 +162,74 @@ def page_products(pages: DataFrame, source: str, id_col: str = "page_id", html_c
     return card_fields(product_cards(facts, source), source)
 
 
-# ---- JSON-LD (H8b) ---------------------------------------------------------------
-
-def jsonld_facts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    return pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html")) \
-        .mapInPandas(H.jsonld_job(), H.schema(H.JSONLD_SCHEMA, _id_type(pages, id_col)))
-
-
-def jsonld_products(facts: DataFrame) -> DataFrame:
-    """Objects whose type mentions a product or that have a name, with a
+# ---- JSON-LD (H8) ----------------------------------------------------------------
+
+def jsonld_blocks(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Raw ld+json blocks of each page."""
+    return page_facts(pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html")), None, blocks=True)
+
+
+def jsonld_objects(blocks: DataFrame, keys=("page_id",)) -> DataFrame:
+    """Every JSON-LD object of each parsable block with its place
+    (``block_pos``, ``path``): an object, the objects of its ``@graph`` list,
+    then the ``item`` objects of its ``itemListElement`` list; lists are
+    walked element by element. Paths sort in document order. A round unfolds
+    one level of all blocks, until no level is left."""
+    level = blocks.where("kind = 'block'").select(*keys, F.col("node_pos").alias("block_pos"),
+                                                  F.array().cast("array<int>").alias("path"),
+                                                  F.try_parse_json("raw").alias("v"))
+    none = F.array().cast("array<variant>")
+
+    def listed(v, path="$"):
+        return F.coalesce(F.when(P.vtype(F.try_variant_get(v, path, "variant")).startswith("ARRAY"),
+                                 F.try_variant_get(v, path, "array<variant>")), none)
+
+    out = []
+    while True:
+        kind = P.vtype("v")
+        out.append(level.where(kind.startswith("OBJECT")))
+        items = F.filter(F.transform(listed(F.col("v"), "$.itemListElement"), lambda e: F.try_variant_get(e, "$.item", "variant")),
+                         lambda e: P.is_object(e))
+        below = F.when(kind.startswith("ARRAY"), listed(F.col("v"))).when(
+            kind.startswith("OBJECT"), F.concat(listed(F.col("v"), "$['@graph']"), items)).otherwise(none)
+        level = (level.select(*keys, "block_pos", "path", F.posexplode(below).alias("_i", "v"))
+                 .select(*keys, "block_pos", F.concat("path", F.array("_i")).alias("path"), "v"))
+        if level.isEmpty():
+            break
+    objects = out[0]
+    for o in out[1:]:
+        objects = objects.unionByName(o)
+    return objects
+
+
+def jsonld_products(objects: DataFrame, keys=("page_id",)) -> DataFrame:
+    """Objects whose type mentions a product or that have a name, with a
     non-empty name; key = cleaned URL or lower name; first wins per page.
     Unit price only from a dict offer; offer always false."""
-    typ = T.fold_text(F.col("type_text"))
-    rows = facts.where((typ.contains("product") | F.col("has_name")) & (F.col("name") != ""))
+    v = F.col("v")
+
+    def f(name, of=v):
+        return F.try_variant_get(of, f"$.{name}", "variant")
+
+    offers, brand = f("offers"), f("brand")
+    one = P.is_object(offers)
+    listed = F.when(P.vtype(offers).startswith("ARRAY"), F.try_variant_get(offers, "$[0]", "variant"))
+    rows = objects.select(
+        *keys, "block_pos", "path", P.py_text(F.try_variant_get(v, "$['@type']", "variant")).alias("type_text"),
+        f("name").isNotNull().alias("has_name"), P.py_text(f("name")).alias("name"),
+        F.when(P.is_object(brand), P.py_text(f("name", brand)))
+        .when(P.vtype(brand) == "STRING", P.py_text(brand)).otherwise(F.lit("")).alias("brand"),
+        F.when(one, P.py_text(f("price", offers))).when(P.is_object(listed), P.py_text(f("price", listed)))
+        .otherwise(F.lit("")).alias("price"),
+        F.when(one, P.py_text(f("priceSpecification", offers))).otherwise(F.lit("")).alias("price_spec"),
+        P.py_text(f("url")).alias("url_raw"))
+    rows = rows.where((T.fold_text(F.col("type_text")).contains("product") | F.col("has_name")) & (F.col("name") != ""))
     n = url_normalize(F.col("url_raw"), K.BASE_URLS["dia"])
     url = F.coalesce(F.when(n.isNotNull(), url_clean(n)), F.lit(""))
-    rows = rows.select("page_id", "block_pos", "obj_pos", F.col("name").alias("product"), "brand", "price",
+    rows = rows.select(*keys, "block_pos", "path", F.col("name").alias("product"), "brand", "price",
                        T.ppu_extract_dia(F.col("price_spec")).alias("price_per_unit"),
                        F.lit(False).alias("offer"), url.alias("product_url"))
     rows = rows.withColumn("_key", F.when(F.col("product_url") != "", F.col("product_url"))
                            .otherwise(F.lower(F.col("product"))))
-    w = Window.partitionBy("page_id", "_key").orderBy("block_pos", "obj_pos")
+    w = Window.partitionBy(*keys, "_key").orderBy("block_pos", "path")
     return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_key", "_n")

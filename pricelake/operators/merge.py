@@ -23,9 +23,6 @@ from pricelake.session import materialize
 
 ORDER_COLS = ["target_index", "merge_rank", "page_seq", "pos"]
 
-# Above this many rows a "small" side is joined by shuffle, not broadcast.
-BROADCAST_ROW_LIMIT = 1_000_000
-
 
 def _order(df: DataFrame, order) -> list[str]:
     return [c for c in (order or ORDER_COLS) if c in df.columns]
@@ -132,13 +129,11 @@ def first_n_values(df: DataFrame, col: str, n: int | None, order_col: str = "tar
 
 def keep_first_n_values(df: DataFrame, col: str, n: int | None, order_col: str = "target_index") -> DataFrame:
     """A5 + J3: keep rows whose trimmed value is among the first ``n``.
-    The allowed set has at most ``max(n, 1)`` rows; it is broadcast only
-    while that bound is small, else joined by shuffle."""
+    The allowed set has at most ``max(n, 1)`` rows; its measured size decides
+    whether Spark broadcasts it."""
     if n is None:
         return df
     allowed = first_n_values(df, col, n, order_col)
-    if max(n, 1) <= BROADCAST_ROW_LIMIT:
-        allowed = F.broadcast(allowed)
     return (df.withColumn("_v", strip(coalesce_blank(F.col(col))))
             .join(allowed, "_v", "left_semi").drop("_v"))
 
@@ -186,14 +181,18 @@ def fallback_when_childless(parents: DataFrame, children: DataFrame, key_cols,
 def jsonld_gate(rows: DataFrame, group_col: str = "target_index", seq_col: str = "page_seq",
                 kind_col: str = "kind", url_col: str = "product_url") -> DataFrame:
     """In the snapshot loop the JSON-LD rows of snapshot k are used only
-    while no card row with a URL has been seen, and the test runs after
-    snapshot k's cards. So keep JSON-LD rows with ``k < k_card``, the first
-    snapshot holding a card URL (none = keep all)."""
-    has_url = coalesce_blank(F.col(url_col)) != ""
-    first_card = (rows.where((F.col(kind_col) == "card") & has_url)
-                  .groupBy(group_col).agg(F.min(seq_col).alias("_k_card")))
-    keep = (F.col(kind_col) != "jsonld") | F.col("_k_card").isNull() | (F.col(seq_col) < F.col("_k_card"))
-    return rows.join(first_card, group_col, "left").where(keep).drop("_k_card")
+    while no row with a URL has been seen, and the test runs after snapshot
+    k's cards. JSON-LD rows with a URL count as seen from the next snapshot
+    on. So keep JSON-LD rows with ``k < k_card`` and ``k <= k_ld``: the first
+    snapshots that hold a card URL and a JSON-LD URL (none = no bound)."""
+    has_url = strip(coalesce_blank(F.col(url_col))) != ""
+    first = (rows.where(has_url).groupBy(group_col)
+             .agg(F.min(F.when(F.col(kind_col) == "card", F.col(seq_col))).alias("_k_card"),
+                  F.min(F.when(F.col(kind_col) == "jsonld", F.col(seq_col))).alias("_k_ld")))
+    keep = ((F.col(kind_col) != "jsonld")
+            | (F.col("_k_card").isNull() | (F.col(seq_col) < F.col("_k_card")))
+            & (F.col("_k_ld").isNull() | (F.col(seq_col) <= F.col("_k_ld"))))
+    return rows.join(first, group_col, "left").where(keep).drop("_k_card", "_k_ld")
 
 
 def count_rows(df: DataFrame, group_cols=(), name: str = "n_rows") -> DataFrame:

@@ -2,25 +2,28 @@
 
 The frontier is a DataFrame; every round joins it to the link edges,
 drops pages the root has already seen (left-anti join) and keeps, per
-(root, page), the smallest visit key. The visit key is the URL path from
-the root: ordering by ``(depth, path)`` is exactly breadth-first order
-with children taken in sorted-URL order, so no window over a whole walk is
-needed while iterating. Each round's frontier and seen set are
-checkpointed to the shared checkpoint folder, which cuts the lineage and
-keeps a lost executor from replaying earlier rounds.
+(root, page), the least (visit number of the parent, URL). Ranking a level by
+that, behind the visits of earlier levels, is exactly breadth-first order
+with children taken in sorted-URL order. A row holds its visit number and no
+path, so its size does not depend on the depth. The walk ends when a round
+finds nothing new, and only then. Each level is written once to the shared
+checkpoint folder, which cuts the lineage; the seen set is the union of
+the levels, rewritten as one table every few rounds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.operators.merge import group_rank
-from pricelake.session import checkpoint_dir, save_and_reload
+from pricelake.session import save_and_reload
 
+#: Rounds after which the seen levels are rewritten as one table.
+COMPACT_EVERY = 16
 
-def pagination_walk(roots: DataFrame, edges: DataFrame, max_depth: int = 10_000,
-                    max_pages: int | None = None) -> DataFrame:
+
+def pagination_walk(roots: DataFrame, edges: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Walk from every root.
 
     ``roots``: (root_id, page_id, url). ``edges``: (src_id, dst_id, dst_url),
@@ -30,53 +33,34 @@ def pagination_walk(roots: DataFrame, edges: DataFrame, max_depth: int = 10_000,
     the 0-based visit order within the root. ``max_pages`` keeps the first
     N visits per root (a page that fails still counts).
     """
-    spark = roots.sparkSession
-    checkpoint_dir(spark)
-    frontier = roots.select("root_id", "page_id", "url", F.lit(0).alias("depth"),
-                            F.array(F.col("url")).alias("path")).checkpoint()
-    seen = frontier
-    parts = [frontier]
-    depth = 0
-    counts = None
-    while depth < max_depth:
-        if max_pages is not None:
-            # Visits come in breadth-first order, so a root that already has
-            # max_pages visits needs no deeper level: stop expanding it.
-            level = frontier.groupBy(F.col("root_id").alias("_r")).agg(F.count(F.lit(1)).alias("_c"))
-            counts = level if counts is None else counts.unionByName(level).groupBy("_r") \
-                .agg(F.sum("_c").alias("_c"))
-            counts = save_and_reload(counts, "walk-counts")
-            open_roots = counts.where(F.col("_c") < max_pages).select("_r")
-            frontier = save_and_reload(frontier.join(open_roots, F.col("root_id") == F.col("_r"), "left_semi"),
-                                       "walk-frontier")
+    level = roots.select("root_id", "page_id", "url", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("page_seq"))
+    if max_pages is not None:
+        level = level.where(F.lit(max_pages) > 0)
+    level = save_and_reload(level, "walk-level")
+    seen, levels, depth = level, 1, 0
+    visits = level.groupBy("root_id").agg(F.count(F.lit(1)).alias("_visits"))
+    while not level.isEmpty():
+        depth += 1
         if callable(edges):
-            cand = edges(frontier.select("root_id", "page_id", "url"))
-            nxt = (frontier.select("root_id", F.col("page_id").alias("_src"), "path")
-                   .join(cand.withColumnRenamed("src_id", "_src"), ["root_id", "_src"])
-                   .select("root_id", "page_id", "url", F.concat(F.col("path"), F.array(F.col("url"))).alias("path")))
+            cand = edges(level.select("root_id", "page_id", "url")).withColumnRenamed("src_id", "_src")
+            parent = level.select("root_id", F.col("page_id").alias("_src"), F.col("page_seq").alias("_parent"))
+            nxt = parent.join(cand, ["root_id", "_src"])
         else:
-            nxt = (frontier.alias("f").join(edges.alias("e"), F.col("f.page_id") == F.col("e.src_id"))
-                   .select(F.col("f.root_id").alias("root_id"), F.col("e.dst_id").alias("page_id"),
-                           F.col("e.dst_url").alias("url"),
-                           F.concat(F.col("f.path"), F.array(F.col("e.dst_url"))).alias("path")))
+            e = edges.select(F.col("src_id").alias("_src"), F.col("dst_id").alias("_dst"), F.col("dst_url").alias("_url"))
+            nxt = (level.join(e, F.col("page_id") == F.col("_src"))
+                   .select("root_id", F.col("page_seq").alias("_parent"), F.col("_dst").alias("page_id"),
+                           F.col("_url").alias("url")))
         nxt = nxt.join(seen.select("root_id", "page_id"), ["root_id", "page_id"], "left_anti")
-        nxt = (nxt.groupBy("root_id", "page_id")
-               .agg(F.min(F.struct("path", "url")).alias("m"))
-               .select("root_id", "page_id", F.col("m.url").alias("url"), F.lit(depth + 1).alias("depth"),
-                       F.col("m.path").alias("path"))).checkpoint()
-        if nxt.isEmpty():
-            break
-        parts.append(nxt)
-        # The seen set is a union of checkpointed rounds: shallow lineage.
-        seen = seen.select("root_id", "page_id").unionByName(nxt.select("root_id", "page_id"))
-        frontier = nxt
-        depth += 1
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    # Visit numbers: a distributed rank, so one huge walk is spread over
-    # many tasks; the cap keeps the first N visits of each root.
-    out = group_rank(out, "root_id", ["depth", "path"], "page_seq")
-    if max_pages is not None:
-        out = out.where(F.col("page_seq") < max_pages)
-    return out.drop("path")
+        nxt = (nxt.groupBy("root_id", "page_id").agg(F.min(F.struct("_parent", "url")).alias("m"))
+               .select("root_id", "page_id", "m._parent", "m.url"))
+        ranked = group_rank(nxt, "root_id", ["_parent", "url", "page_id"], "_rank").join(visits, "root_id")
+        ranked = ranked.select("root_id", "page_id", "url", F.lit(depth).alias("depth"),
+                               (F.col("_visits") + F.col("_rank")).alias("page_seq"))
+        if max_pages is not None:
+            ranked = ranked.where(F.col("page_seq") < max_pages)
+        level = save_and_reload(ranked, "walk-level")
+        seen, levels = seen.unionByName(level), levels + 1
+        if levels % COMPACT_EVERY == 0:
+            seen = save_and_reload(seen, "walk-seen")
+        visits = seen.groupBy("root_id").agg(F.count(F.lit(1)).alias("_visits"))
+    return seen

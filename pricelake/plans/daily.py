@@ -5,59 +5,78 @@ page job (cards, JSON-LD, payloads) -> U3 branch choice -> P12 row filter ->
 W2 cap per target -> A2/J4 merge per target (Dia) -> W1 first-wins across
 the run -> O3 total limit -> P13 projection with the run date -> S7 sink.
 
-The page table replaces fetching: a target whose URL has no page row is a
-failed fetch and yields no rows; the run goes on.
+The page table replaces fetching: one row per fetched snapshot with its
+``status``. An error status or a block page is a failed fetch, as is a target
+without any page row; it yields no rows and the run goes on. The table handed
+in is the shop's and day's own (a partition of the page store), so it is
+parsed as it stands: facts, never html, are joined to the targets.
+
+``pos`` places a row inside its page as ``(part, path)``: card rows before
+JSON-LD rows, links before regex finds, paths in document order.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.functions import constants as K
 from pricelake.operators import cards as C
 from pricelake.operators import merge as M
+from pricelake.operators.pages import page_blocked
 from pricelake.session import materialize
 from pricelake.sources import payloads as PL
 
-def needed_pages(targets: DataFrame, pages: DataFrame) -> DataFrame:
-    """S5 + J1: the snapshots of the target URLs only (semi join), each
-    keyed by ``page_key`` = url + snapshot, so a page is parsed once even
-    when several targets point at it."""
+_PAGE = ("page_id", "url", "page_seq")
+
+
+def position(part: int, *path):
+    """A row's place in its page; any number of any size sorts right."""
+    return F.struct(F.lit(part).alias("part"), F.concat(*path).alias("path"))
+
+
+def fetched_pages(pages: DataFrame) -> DataFrame:
+    """The snapshots that were fetched: (page_id, url, page_seq, html)
+    without error statuses and block pages. ``snapshot_seq`` and ``status``
+    are optional columns."""
     seq = F.col("snapshot_seq") if "snapshot_seq" in pages.columns else F.lit(0)
-    p = pages.select("url", "html", seq.cast("long").alias("page_seq"))
-    p = p.join(targets.select("url").distinct(), "url", "left_semi")
-    return p.withColumn("page_key", F.concat_ws("\u0000", F.col("url"), F.col("page_seq").cast("string")))
-
-
-def _page_facts(targets: DataFrame, pages: DataFrame, source: str):
-    """Pages of the targets parsed once (cards and, for Dia, JSON-LD from
-    the same parse): (keys, card rows, JSON-LD rows)."""
-    from pricelake.sources import html_job as H
-    np_ = needed_pages(targets, pages)
-    parsed = np_.select(F.col("page_key").alias("page_id"), "html")
-    keys = np_.select(F.col("page_key").alias("page_id"), "url", "page_seq")
-    if source != "dia":
-        facts = materialize(C.card_facts(parsed, source))
-        ld = None
-    else:
-        both = materialize(parsed.mapInPandas(H.page_facts_job(source), H.schema(H.PAGE_SCHEMA, "string")))
-        facts = both.where(F.col("kind") == "card").select(*[c for c in H.CARD_FIELDS])
-        ld_facts = both.where(F.col("kind") == "jsonld").select(
-            "page_id", *[F.col(H.LD_PREFIX + f).alias(f) for f in H.JSONLD_FIELDS if f != "page_id"])
-        ld = C.jsonld_products(ld_facts).select(
-            "page_id", F.lit("jsonld").alias("kind"),
-            (F.col("block_pos").cast("long") * 100000 + F.col("obj_pos")).alias("pos"), *C.PRODUCT_FIELDS)
-    cards = C.card_fields(C.product_cards(facts, source), source).select(
-        "page_id", F.lit("card").alias("kind"), F.col("node_pos").cast("long").alias("pos"), *C.PRODUCT_FIELDS)
-    return keys, cards, ld
-
-
-def _to_targets(rows: DataFrame, keys: DataFrame, targets: DataFrame) -> DataFrame:
+    status = F.col("status") if "status" in pages.columns else F.lit(200)
+    p = pages.where((F.coalesce(status, F.lit(0)) < 400) & ~page_blocked(status, F.col("html")))
+    return p.select(F.concat_ws("\u0000", F.col("url"), seq.cast("string")).alias("page_id"), "url",
+                    seq.cast("long").alias("page_seq"), "html")
+
+
+def last_snapshots(facts: DataFrame, pages: DataFrame) -> DataFrame:
+    """Facts of the last fetched snapshot of each URL. ``pages`` are fetched
+    pages; only their keys are read."""
+    last = pages.groupBy("url").agg(F.max("page_seq").alias("page_seq"))
+    return facts.join(last, ["url", "page_seq"], "left_semi")
+
+
+def _page_facts(pages: DataFrame, source: str):
+    """Pages parsed once (cards and, for Dia, JSON-LD from the same parse):
+    (card rows, JSON-LD rows)."""
+    facts = materialize(C.page_facts(fetched_pages(pages), source, blocks=source == "dia"))
+    ld = None
+    if source == "dia":
+        objects = C.jsonld_objects(facts.where("kind = 'block'"), _PAGE)
+        ld = C.jsonld_products(objects, _PAGE).select(
+            *_PAGE, F.lit("jsonld").alias("kind"),
+            position(1, F.array("block_pos"), F.col("path")).alias("pos"), *C.PRODUCT_FIELDS)
+    return _card_rows(facts, source), ld
+
+
+def _card_rows(facts: DataFrame, source: str) -> DataFrame:
+    cards = C.card_fields(C.product_cards(facts.where("kind = 'card'"), source), source, _PAGE)
+    return cards.select(*_PAGE, F.lit("card").alias("kind"), position(0, F.array("node_pos")).alias("pos"),
+                        *C.PRODUCT_FIELDS)
+
+
+def _to_targets(rows: DataFrame, targets: DataFrame) -> DataFrame:
     t = targets.select("target_index", "category", "subcategory", "url")
-    return rows.join(keys, "page_id").join(t, "url").drop("url", "page_id")
+    return rows.join(t, "url").drop("url", "page_id")
 
 
 def daily_products(targets: DataFrame, pages: DataFrame, source: str, run_date: dt.date | str,
@@ -67,8 +86,8 @@ def daily_products(targets: DataFrame, pages: DataFrame, source: str, run_date:
 
     Al Campo and Dia read every snapshot of a target page as the scroll
     feed: rows merge per key across snapshots (last wins, first position
-    kept); Dia also takes JSON-LD rows of snapshots before the first one
-    with a card URL (W3) and keys URL-less rows by name (J4). The HTML
+    kept); Dia also takes JSON-LD rows of snapshots while no URL row has been
+    seen (W3) and keys URL-less rows by name (J4). The HTML
     fallback of the original loop reads the same final snapshot, so it can
     add nothing a non-empty feed lacks and is not a separate branch here.
     Carrefour walks pagination links from each target page (I1, capped by
@@ -78,9 +97,9 @@ def daily_products(targets: DataFrame, pages: DataFrame, source: str, run_date:
     if source == "carrefour":
         rows = carrefour_rows(t, pages, max_pages).withColumn("merge_rank", F.lit(0))
     else:
-        keys, cards, ld = _page_facts(t, pages, source)
+        cards, ld = _page_facts(pages, source)
         feed = cards if ld is None else cards.unionByName(ld)
-        rows = _to_targets(feed, keys, t)
+        rows = _to_targets(feed, t)
         rows = rows.where((F.col("product") != "") | (F.col("product_url") != ""))
         if source == "dia":
             rows = M.jsonld_gate(rows, "target_index", "page_seq", "kind")
@@ -95,22 +114,23 @@ def daily_products(targets: DataFrame, pages: DataFrame, source: str, run_date:
 
 
 def carrefour_rows(targets: DataFrame, pages: DataFrame, max_pages: int | None = None) -> DataFrame:
-    """I1 + U3 for Carrefour: walk each target's pagination (links of the
-    visited page under the target URL, or ``rel=next``), then per visited
-    page the card rows, else the product links (H2), else regex product
-    URLs (H3). A page without a row is a failed fetch: it counts as visited
-    and gives nothing."""
+    """I1 + U3 for Carrefour, on the last snapshot of each page: walk each
+    target's pagination (links of the visited page under the target URL, or
+    ``rel=next``), then per visited page the card rows, else the product
+    links (H2), else regex product URLs (H3). A page without a row is a
+    failed fetch: it counts as visited and gives nothing. Pages are parsed
+    once; the html of pages without a card is kept for the regexes, and only
+    theirs."""
     from pricelake.operators import links as L
     from pricelake.operators.walk import pagination_walk
     base = K.BASE_URLS["carrefour"]
-    page_tbl = pages.select("url", "html")
-    anchors = materialize(
-        page_tbl.select(F.col("url").alias("src_id"),
-                        F.posexplode(F.regexp_extract_all(L.markup("html"), F.lit(L.A_TAG_PATTERN), 0))
-                        .alias("pos", "tag"))
-        .select("src_id", "pos", L.url_normalize(L.attr_value("tag", "href"), base).alias("link"),
-                F.coalesce(L.attr_value("tag", "rel"), F.lit("")).alias("rel"))
-        .where(F.col("link").isNotNull()))
+    p = fetched_pages(pages)
+    every = C.page_facts(p, "carrefour", anchors=True, bare=True)
+    facts = materialize(last_snapshots(every, p))
+    anchors = facts.where("kind = 'anchor'").select(
+        F.col("url").alias("src_id"), F.col("node_pos").alias("pos"),
+        L.url_normalize(F.col("own_href"), base).alias("link"), F.coalesce(F.col("raw"), F.lit("")).alias("rel")) \
+        .where(F.col("link").isNotNull())
     roots = targets.select(F.col("target_index").alias("root_id"), F.col("url").alias("page_id"), "url")
     cat = targets.select(F.col("target_index").alias("root_id"),
                          F.substring_index(F.col("url"), "?", 1).alias("_base"))
@@ -126,47 +146,36 @@ def carrefour_rows(targets: DataFrame, pages: DataFrame, max_pages: int | None =
             .distinct()
 
     visits = pagination_walk(roots, expand, max_pages=max_pages)
-    # U3 per visited page: cards (0), else product links (1), else regex URLs (2).
-    keys = page_tbl.join(visits.select("url").distinct(), "url", "left_semi") \
-        .select(F.col("url").alias("page_id"), "html")
-    facts = materialize(C.card_facts(keys, "carrefour"))
-    cards = C.card_fields(C.product_cards(facts, "carrefour"), "carrefour").select(
-        "page_id", F.lit(0).alias("branch"), F.col("node_pos").cast("long").alias("pos"), *C.PRODUCT_FIELDS)
+    cards = _card_rows(facts, "carrefour").drop("kind", "page_id", "page_seq")
     blank = [F.lit("").alias("product"), F.lit("").alias("brand"), F.lit("").alias("price"),
              F.lit("").alias("price_per_unit"), F.lit(False).alias("offer")]
-    plinks = L.product_links(anchors.join(keys.select(F.col("page_id").alias("src_id")), "src_id", "left_semi")
+    bare = facts.where("kind = 'bare'").select("url", F.col("raw").alias("html"))
+    linked = L.product_links(anchors.join(bare.select(F.col("url").alias("src_id")), "src_id", "left_semi")
                              .select(F.col("src_id").alias("page_id"), "pos", F.col("link").alias("url")),
                              "carrefour", ("page_id",))
-    plinks = plinks.select("page_id", F.lit(1).alias("branch"), F.col("pos").cast("long").alias("pos"), *blank,
-                           F.col("url").alias("product_url"))
-    rx = L.product_links_regex(keys.withColumnRenamed("page_id", "pid"), base, keep=("pid",))
-    rx = rx.select(F.col("pid").alias("page_id"), F.lit(2).alias("branch"),
-                   (F.col("ord.pattern").cast("long") * 1_000_000 + F.col("ord.pos")).alias("pos"), *blank,
+    links = linked.select(F.col("page_id").alias("url"), position(1, F.array("pos")).alias("pos"), *blank,
+                          F.col("url").alias("product_url"))
+    rx = L.product_links_regex(bare.withColumnRenamed("url", "pid"), base, keep=("pid",))
+    rx = rx.join(linked.select(F.col("page_id").alias("pid")).distinct(), "pid", "left_anti")
+    rx = rx.select(F.col("pid").alias("url"), position(2, F.array("ord.pattern", "ord.pos")).alias("pos"), *blank,
                    F.col("url").alias("product_url"))
-    cand = cards.unionByName(plinks).unionByName(rx)
-    # The first productive branch of each page (rows of a page are bounded
-    # by the page).
-    chosen = cand.withColumn("_b", F.min("branch").over(Window.partitionBy("page_id"))) \
-        .where(F.col("branch") == F.col("_b")).drop("_b", "branch")
-    v = visits.select("root_id", F.col("url").alias("page_id"), "page_seq")
+    v = visits.select("root_id", F.col("page_id").alias("url"), "page_seq")
     t = targets.select(F.col("target_index").alias("root_id"), "category", "subcategory")
-    return (chosen.join(v, "page_id").join(t, "root_id")
+    return (cards.unionByName(links).unionByName(rx).join(v, "url").join(t, "root_id")
             .select(F.col("root_id").alias("target_index"), F.col("page_seq").cast("long").alias("page_seq"), "pos",
                     *C.PRODUCT_FIELDS, "category", "subcategory"))
 
 
 def run_summary(targets: DataFrame, pages: DataFrame, rows: DataFrame) -> DataFrame:
     """A4 + A6: the run's counts as (metric, value) rows: targets, targets
-    whose page is missing (failed fetches: the run goes on without them),
-    and product rows written."""
-    fetched = targets.join(pages.select("url").distinct(), "url", "left_semi")
-    missing = targets.join(pages.select("url").distinct(), "url", "left_anti")
-
-    def metric(df, name):
-        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
-
-    return (metric(targets, "targets").unionByName(metric(fetched, "targets_fetched"))
-            .unionByName(metric(missing, "failed_fetches")).unionByName(metric(rows, "rows")))
+    with a fetched page, failed fetches (no page, an error status or a block
+    page: the run goes on without them), and product rows written."""
+    good = fetched_pages(pages).select("url").distinct().withColumn("good", F.lit(True))
+    t = targets.join(good, "url", "left").agg(
+        F.count(F.lit(1)).alias("targets"), F.count_if(F.col("good")).alias("targets_fetched"),
+        F.count_if(F.col("good").isNull()).alias("failed_fetches"))
+    counts = t.unpivot([], ["targets", "targets_fetched", "failed_fetches"], "metric", "value")
+    return counts.unionByName(rows.agg(F.count(F.lit(1)).alias("value")).select(F.lit("rows").alias("metric"), "value"))
 
 
 def project(rows: DataFrame, run_date) -> DataFrame:
@@ -195,7 +204,7 @@ def mercadona_products(targets: DataFrame, payload_pages: DataFrame, run_date, d
     if details is not None:
         rows = PL.fill_brand_from_details(rows, details)
     rows = rows.select("target_index", F.lit(0).alias("merge_rank"), F.lit(0).alias("page_seq"),
-                       (F.col("leaf_pos") * 100000 + F.col("prod_pos")).alias("pos"), *C.PRODUCT_FIELDS,
+                       position(0, F.array("leaf_pos", "prod_pos")).alias("pos"), *C.PRODUCT_FIELDS,
                        "category", "subcategory")
     rows = M.cap_per_group(rows, max_products, ["target_index"], ["page_seq", "pos"])
     rows = M.dedup_first_wins(rows, allow_duplicates=allow_duplicates)

@@ -114,13 +114,15 @@ FROM cards_html
 
 @query("jsonld_products", _LD_SQL)
 def q_jsonld_products(spark, sf_dir):
-    facts = C.jsonld_facts(_pages(spark, sf_dir, "html_ld"))
-    return C.jsonld_products(facts).select(*_OUT)
+    objects = C.jsonld_objects(C.jsonld_blocks(_pages(spark, sf_dir, "html_ld")))
+    return C.jsonld_products(objects).select(*_OUT)
 
 
-@query("visible_text")
+@query("visible_text", _V + """
+SELECT pos AS page_id, name || ' ' || price_text || ' ' || ppu_text || CASE WHEN pos % 4 = 0 THEN ' Ver' ELSE '' END
+  || ' dup ' || name AS text FROM cards_html
+""")
 def q_visible_text(spark, sf_dir):
-    """H9 with the parser (rows-only check; ``page_markers`` covers the
-    native approximation with an oracle)."""
-    pages = load_view(spark, sf_dir, "pages_base").select("page_id", "html")
-    return pages.mapInPandas(H.text_job(), H.schema(H.TEXT_SCHEMA))
+    """H9: the text of Al Campo pages; the oracle reads the columns their
+    markup was built from."""
+    return _pages(spark, sf_dir, "html_alcampo").mapInPandas(H.text_job(), H.schema(H.TEXT_SCHEMA))

@@ -23,16 +23,29 @@ def _targets(spark, sf_dir, view="cards_html"):
     real = v.select(F.col("pos").alias("target_index"), F.col("category_label").alias("category"),
                     F.col("leaf").alias("subcategory"),
                     F.concat(F.lit("https://shop.example/c/"), F.col("pos").cast("string")).alias("url"))
-    missing = real.select((F.col("target_index") + 10_000_000).alias("target_index"), "category", "subcategory",
+    missing = real.select((-1 - F.col("target_index")).alias("target_index"), "category", "subcategory",
                           F.concat(F.lit("https://shop.example/missing/"), F.col("target_index").cast("string"))
                           .alias("url"))
     return real.unionByName(missing)
 
 
 def _pages(spark, sf_dir, html):
-    v = load_view(spark, sf_dir, "cards_html")
-    return v.select(F.concat(F.lit("https://shop.example/c/"), F.col("pos").cast("string")).alias("url"),
-                    html.alias("html"))
+    """Four snapshots of every page: an older one with other prices, the page
+    itself, a block page and an error page; the even missing pages have an
+    error page only."""
+    v = load_view(spark, sf_dir, "cards_html").select("pos", html.alias("html"))
+    url = F.concat(F.lit("https://shop.example/c/"), F.col("pos").cast("string"))
+    gone = F.concat(F.lit("https://shop.example/missing/"), F.col("pos").cast("string"))
+    old = F.replace(F.col("html"), F.lit("€"), F.lit("EUR"))
+
+    def snapshot(u, seq, status, h):
+        return F.struct(u.alias("url"), F.lit(seq).alias("snapshot_seq"), F.lit(status).alias("status"), h.alias("html"))
+
+    every = F.array(snapshot(url, 0, 200, old), snapshot(url, 1, 200, F.col("html")),
+                    snapshot(url, 2, 200, F.concat(old, F.lit("<p>Access Denied</p>"))), snapshot(url, 3, 404, old))
+    every = F.when(F.col("pos") % 2 == 0, F.concat(every, F.array(snapshot(gone, 0, 500, F.col("html"))))) \
+        .otherwise(every)
+    return v.select(F.explode(every).alias("s")).select("s.*")
 
 
 def _wrap(sql: str, where: str = "") -> str:
@@ -43,9 +56,11 @@ FROM ({sql}) x JOIN ({with_views('cards_html')} SELECT * FROM cards_html) h ON h
 
 # Every tenth Dia page (pos % 10 = 5) has only its ld+json block: those
 # rows are used; on the other pages a card with a URL comes first, so the
-# JSON-LD rows are not taken.
+# JSON-LD rows are not taken (W3). JSON-LD rows with a URL (pos % 3 = 0)
+# stay those of the older snapshot, whose unit price has no euro sign.
 @query("daily_run_cards_dia", _wrap(_DIA_SQL, "WHERE x.page_id % 10 <> 5") + "\nUNION ALL\n"
-       + _wrap(_LD_SQL, "WHERE x.page_id % 10 = 5"))
+       + _wrap(_LD_SQL, "WHERE x.page_id % 10 = 5").replace(
+           "x.price_per_unit", "CASE WHEN x.page_id % 3 = 0 THEN '' ELSE x.price_per_unit END AS price_per_unit"))
 def q_daily_run_cards_dia(spark, sf_dir):
     pages = _pages(spark, sf_dir, F.when(F.col("pos") % 10 == 5, F.col("html_ld"))
                    .otherwise(F.concat(F.col("html_dia"), F.col("html_ld"))))
@@ -58,14 +73,11 @@ def q_daily_run_alcampo(spark, sf_dir):
     return D.daily_products(_targets(spark, sf_dir), pages, "alcampo", RUN_DATE).select(*_OUT)
 
 
-MAX_PAGES = 2
-
-
 def _carrefour_sql() -> str:
-    """Each target page links (rel=next) to the next card's page; with two
-    pages per target, target t reads pages t and t+1, so across the run
-    page k's product goes to target k-1 (first wins), page 0's to target 0.
-    Pages without cards give their product link (blank fields)."""
+    """Pages link (rel=next) to the next one in chains of three, so target t
+    reads pages t to the end of its chain, and across the run a chain's
+    products go to its first page's target (first wins). Pages without cards
+    give their product link (blank fields)."""
     cards = _CARREFOUR_SQL.replace("WHERE page_id % 10 NOT IN (5, 7)", "")
     return f"""WITH x AS (
   SELECT * FROM ({cards}) WHERE page_id % 10 NOT IN (5, 7)
@@ -73,16 +85,15 @@ def _carrefour_sql() -> str:
   SELECT pos AS page_id, '' AS product, '' AS brand, '' AS price, '' AS price_per_unit, false AS offer,
          'https://www.carrefour.es/supermercado/' || slug || '/R-' || cast(pos AS VARCHAR) || '/p' AS product_url
   FROM ({with_views('cards_html')} SELECT * FROM cards_html) WHERE pos % 10 IN (5, 7))
-SELECT greatest(x.page_id - 1, 0) AS target_index, DATE '{RUN_DATE}' AS date, x.product, x.brand, x.price,
+SELECT h.pos AS target_index, DATE '{RUN_DATE}' AS date, x.product, x.brand, x.price,
   x.price_per_unit, x.offer, h.category_label AS category, h.leaf AS subcategory, x.product_url
-FROM x JOIN ({with_views('cards_html')} SELECT * FROM cards_html) h ON h.pos = greatest(x.page_id - 1, 0)"""
+FROM x JOIN ({with_views('cards_html')} SELECT * FROM cards_html) h ON h.pos = x.page_id - x.page_id % 3"""
 
 
 @query("daily_run_carrefour", _carrefour_sql())
 def q_daily_run_carrefour(spark, sf_dir):
     pages = _pages(spark, sf_dir, F.col("html_carrefour"))
-    return D.daily_products(_targets(spark, sf_dir), pages, "carrefour", RUN_DATE,
-                            max_pages=MAX_PAGES).select(*_OUT)
+    return D.daily_products(_targets(spark, sf_dir), pages, "carrefour", RUN_DATE).select(*_OUT)
 
 
 @query("daily_run_mercadona", f"""

@@ -97,11 +97,16 @@ def q_group_urls_slice(spark, sf_dir):
 # Snapshot rows of each target: status 'O' orders are JSON-LD rows, the rest
 # card rows; the order year is the snapshot.
 
+# The oracle replays the loop: a snapshot's JSON-LD rows are taken while no
+# snapshot up to it has a card URL and no earlier snapshot has any URL.
+
 @query("jsonld_gate", with_views("rows_base") + """
-, r AS (SELECT *, CASE WHEN subcategory = 'O' THEN 'jsonld' ELSE 'card' END AS kind FROM rows_base),
-k AS (SELECT target_index, min(page_seq) AS k_card FROM r WHERE kind = 'card' AND product_url <> '' GROUP BY 1)
-SELECT r.target_index, r.page_seq, r.pos, r.kind, r.product_url FROM r LEFT JOIN k USING (target_index)
-WHERE r.kind <> 'jsonld' OR k.k_card IS NULL OR r.page_seq < k.k_card
+, r AS (SELECT *, CASE WHEN subcategory = 'O' THEN 'jsonld' ELSE 'card' END AS kind FROM rows_base)
+SELECT target_index, page_seq, pos, kind, product_url FROM r
+WHERE kind <> 'jsonld' OR NOT EXISTS (
+  SELECT 1 FROM (SELECT DISTINCT target_index, page_seq, kind FROM r WHERE product_url <> '') u
+  WHERE u.target_index = r.target_index
+    AND (u.page_seq < r.page_seq OR (u.page_seq = r.page_seq AND u.kind = 'card')))
 """)
 def q_jsonld_gate(spark, sf_dir):
     r = load_view(spark, sf_dir, "rows_base").select(

@@ -244,7 +244,10 @@ VIEWS: dict[str, tuple[str, list[list[str]]]] = {
         "'<span class=\"product-card__brand\">' || brand_direct || '</span>' else '' end || "
         "'<span class=\"product-card__price\">' || price_text || '</span><span class=\"product-card__price-per-unit\">' "
         "|| ppu_text || '</span><span class=\"badge\">' || offer_word || '</span></div></div>' end || "
-        "'<a rel=\"next\" href=\"https://shop.example/c/' || cast(pos + 1 as string) || '\">&gt;</a>' "
+        "case when pos % 3 < 2 then '<a title=\"a > b\" rel=\"next\" href=\"https://shop.example/c/' "
+        "|| cast(pos + 1 as string) || '\">&gt;</a>' else '' end || "
+        "'<a href=\"https://shop.example/c/' || cast(pos as string) || '?a=1&amp;p&aacute;gina=2\">2</a>"
+        "<a href=\"https://shop.example/c/x' || cast(pos as string) || '?page=2\">3</a>' "
         "AS html_carrefour",
         "'<html><head><script type=\"application/ld+json\">' || case pos % 3 "
         "when 0 then '{\"@graph\": [{\"@type\": \"Product\", \"name\": \"' || name || '\", \"url\": \"/p/' || id "

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,12 +60,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it
-    is unset -- local runs and tests -- a scratch folder is created.
+    is unset on a local master -- tests -- a scratch folder is created; on a
+    cluster, where executors could not see it, that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="pricelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -73,49 +77,49 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder."""
-    import uuid
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared checkpoint folder; what is written there
+    is deleted when the driver process ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_delete_scratch)
+    _SCRATCH[path] = spark
+    return path
 
 
 def materialize(df):
-    """Cut lineage after an expensive stage (the page job): an eager,
-    reliable checkpoint into the shared checkpoint folder. Later stages
-    read the saved rows, and a lost executor does not re-run the stage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage after an expensive stage (the page job) with a written
+    table: later stages read only the columns they need, and a lost executor
+    does not re-run the stage."""
+    return save_and_reload(df, "stage")
 
 
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def plan_bytes(df) -> int | None:
-    """Catalyst's size estimate of a plan (bytes), if available."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def spread(df, max_bytes: int = SPREAD_MAX_BYTES):
-    """Give every core work on a small input: when a scan has fewer
-    partitions than the default parallelism and is estimated below
-    ``max_bytes`` (a small file is one split), round-robin it over that
-    many. Large inputs are never shuffled for this: they already have
-    many splits, and moving them would cost more than it gains."""
+def spread(df):
+    """For benchmarks and tests on one machine: give every core work when a
+    scan has fewer partitions than the default parallelism (a small file is
+    one split). On a cluster the input is left as it is: it has many splits."""
     n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    size = plan_bytes(df)
-    if size is None or size > max_bytes:
+    if not df.sparkSession.sparkContext.master.startswith("local") or df.rdd.getNumPartitions() >= n:
         return df
     return df.repartition(n)
 
 
+_SCRATCH: dict = {}
+
+
 def save_and_reload(df, name: str = "stage"):
     """Cut lineage with a written Parquet table in the shared checkpoint
-    folder (read back as a plain scan)."""
-    path = scratch_path(df.sparkSession, name)
+    folder (read back as a plain scan). The table is deleted when the
+    driver process ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete_scratch() -> None:
+    """At exit: remove the scratch folders of sessions that still run."""
+    for path, spark in _SCRATCH.items():
+        if spark._jsc is not None and not spark._jsc.sc().isStopped():
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _SCRATCH.clear()

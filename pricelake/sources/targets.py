@@ -99,13 +99,20 @@ def _global_index(ordered: DataFrame) -> DataFrame:
             .withColumn("target_index", F.col("_off") + F.col("_in")).drop("_pid", "_in", "_off"))
 
 
-def targets_document(targets: DataFrame, source_group_urls, generated_at: dt.datetime,
-                     max_targets: int = 100_000) -> str:
-    """The single JSON document, for target lists of a checked, small size."""
-    n = targets.count()
-    if n > max_targets:
-        raise ValueError(f"{n} targets exceed {max_targets}; use write_targets")
-    rows = [r.asDict() for r in targets.select(*TARGET_FIELDS).orderBy(*TARGET_FIELDS).collect()]
-    doc = {"generated_at_utc": generated_at.replace(microsecond=0).strftime("%Y-%m-%dT%H:%M:%SZ"),
-           "source_group_urls": list(source_group_urls), "count": n, "targets": rows}
-    return json.dumps(doc, ensure_ascii=False, indent=2)
+def write_targets_document(targets: DataFrame, path: str, source_group_urls, generated_at: dt.datetime,
+                           order=("group", "category", "subcategory", "url")) -> None:
+    """S2, single-document form: ``{"generated_at_utc", "source_group_urls",
+    "count", "targets": [...]}`` as one JSON file below ``path``, one target
+    per line. One file has one writer; the sorted rows stream through it, and
+    none is held or sent to the driver."""
+    ordered = _global_index(targets.select(*TARGET_FIELDS).orderBy(*order))
+    spark = targets.sparkSession
+    head = {"generated_at_utc": generated_at.replace(microsecond=0).strftime("%Y-%m-%dT%H:%M:%SZ"),
+            "source_group_urls": list(source_group_urls), "count": targets.count()}
+    first = json.dumps(head, ensure_ascii=False)[:-1] + ', "targets": ['
+    row = F.to_json(F.struct(*TARGET_FIELDS), {"ignoreNullFields": "false"})
+    lines = ordered.select("target_index", F.concat(F.when(F.col("target_index") > 0, ",").otherwise(""), row)
+                           .alias("value"))
+    ends = spark.createDataFrame([(-1, first), (head["count"], "]}")], "target_index long, value string")
+    (lines.unionByName(ends).repartitionByRange("target_index").sortWithinPartitions("target_index").select("value")
+     .coalesce(1).write.mode("overwrite").text(path))

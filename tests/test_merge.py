@@ -110,3 +110,11 @@ def test_jsonld_gate(spark):
                                  "target_index long, page_seq long, kind string, product_url string")
     got = sorted(r.product_url for r in M.jsonld_gate(rows).collect())
     assert got == ["a", "b", "e"]
+
+
+def test_jsonld_gate_stops_after_a_jsonld_url(spark):
+    rows = spark.createDataFrame([(1, 0, "jsonld", ""), (1, 1, "jsonld", "old"), (1, 1, "jsonld", ""),
+                                  (1, 2, "jsonld", "new"), (1, 2, "jsonld", ""), (1, 2, "card", "")],
+                                 "target_index long, page_seq long, kind string, product_url string")
+    got = sorted((r.page_seq, r.product_url) for r in M.jsonld_gate(rows).where("kind = 'jsonld'").collect())
+    assert got == [(0, ""), (1, ""), (1, "old")]

@@ -56,7 +56,7 @@ def test_jsonld(spark):
     html = "".join(f'<script type="application/ld+json">{json.dumps(b)}</script>' for b in blocks)
     html += '<script type="application/ld+json">{bad</script>'
     html += f'<script type="application/ld+json">{json.dumps({"@type": "Product", "name": "A2", "url": "/p/1"})}</script>'
-    got = C.jsonld_products(C.jsonld_facts(pages(spark, html))).orderBy("block_pos", "obj_pos").collect()
+    got = C.jsonld_products(C.jsonld_objects(C.jsonld_blocks(pages(spark, html)))).orderBy("block_pos", "path").collect()
     assert [(r.product, r.price, r.product_url) for r in got] == [
         ("A", "1.5", "https://www.dia.es/p/1"), ("B", "2", ""), ("Shop", "", "")]
 
