@@ -5,11 +5,10 @@ Anchors are found with ``regexp_extract_all`` over the raw html and
 codegen'd projection per page: no Python, no shuffle until a dedup.
 
 Covered forms: ``<a …>`` open tags (any case, ``>`` allowed inside quoted
-attribute values), ``href``/``rel`` values double-quoted, single-quoted or
-bare, the five basic character references in values; comments, scripts and
-styles are cut first, so anchors inside them do not count (as for an HTML
-parser). Not covered: an attribute value whose text itself contains
-`` href=``.
+attribute values), attribute values double-quoted, single-quoted or bare,
+read one after the other so that a value may hold any text, with all character
+references; comments, scripts and styles are cut first, so anchors inside
+them do not count (as for an HTML parser).
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelake.functions.html import TAG_PATTERN, unescape
 from pricelake.functions.text import _col
 from pricelake.functions.urls import url_normalize, is_category_url, is_product_url
 from pricelake.operators.merge import stable_distinct
@@ -25,19 +25,11 @@ _B = r"[ \t\n\f\r]"
 A_TAG_PATTERN = r"(?i)<a" + _B + r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
 # Comments, scripts and styles: their text is not markup.
 NON_MARKUP_PATTERN = r"(?is)<!--.*?-->|<script[^>]*>.*?</script[^>]*>|<style[^>]*>.*?</style[^>]*>"
-ANCHOR_PATTERN = r"(?is)<a(?:" + _B + r"[^>]*)?>(.*?)</a" + _B + r"*>"
+ANCHOR_PATTERN = r"(?is)<a(?:" + _B + r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*)?>(.*?)</a" + _B + r"*>"
 
 
-def attr_pattern(name: str) -> str:
-    return (r"(?i)" + _B + name + _B + r"*=" + _B + r"*(\"[^\"]*\"|'[^']*'|[^ \t\n\f\r\"'>]+)")
-
-
-def unescape_basic(c) -> Column:
-    x = _col(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-                    ("&amp;", "&")):
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+# One attribute after the other: a name, and its value if it has one.
+ATTRIBUTE_PATTERN = (r"[^ \t\n\f\r\"'>/=]+(?:" + _B + r"*=" + _B + r"*(?:\"[^\"]*\"|'[^']*'|[^ \t\n\f\r\"'>]+))?")
 
 
 def markup(html) -> Column:
@@ -46,11 +38,14 @@ def markup(html) -> Column:
 
 
 def attr_value(tag, name: str) -> Column:
-    """Value of attribute ``name`` in an open tag; null when absent."""
-    raw = F.regexp_extract(_col(tag), attr_pattern(name), 1)
+    """Value of the first attribute ``name`` of an open tag; null when absent
+    or without a value."""
+    every = F.regexp_extract_all(_col(tag), F.lit(ATTRIBUTE_PATTERN), F.lit(0))
+    hit = F.get(F.filter(every, lambda a: F.lower(F.regexp_extract(a, r"^([^ \t\n\f\r=]+)", 1)) == name), F.lit(0))
+    raw = F.regexp_extract(hit, r"(?s)^[^=]*=" + _B + r"*(.*)$", 1)
     quoted = raw.startswith('"') | raw.startswith("'")
     val = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return F.when(raw == "", F.lit(None).cast("string")).otherwise(unescape_basic(val))
+    return F.when(raw != "", unescape(val))
 
 
 def links_extract(pages: DataFrame, base, html_col: str = "html", keep=("page_id",)) -> DataFrame:
@@ -123,7 +118,7 @@ def anchors_with_text(pages: DataFrame, base, html_col: str = "html", keep=("pag
     t = pages.select(*cols, F.posexplode(F.regexp_extract_all(markup(html_col), F.lit(ANCHOR_PATTERN), 0))
                      .alias("pos", "a"))
     b = F.col(base) if isinstance(base, str) and base in pages.columns else base
-    tag = F.regexp_extract(F.col("a"), r"(?is)^(<a[^>]*>)", 1)
+    tag = F.regexp_extract(F.col("a"), r"(?is)^(" + TAG_PATTERN + ")", 1)
     inner = F.regexp_extract(F.col("a"), ANCHOR_PATTERN, 1)
-    text = collapse_blanks(unescape_basic(F.regexp_replace(inner, r"<[^>]*>", " ")))
+    text = collapse_blanks(unescape(F.regexp_replace(inner, TAG_PATTERN, " ")))
     return t.select(*keep, "pos", url_normalize(attr_value(tag, "href"), b).alias("url"), text.alias("text"))

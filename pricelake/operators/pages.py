@@ -12,23 +12,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pricelake.functions import constants as K
+from pricelake.functions.html import TAG_PATTERN, unescape
 from pricelake.functions.text import _col, contains_any, fold_text, strip
 
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&"))
-
-
 def visible_text(html) -> Column:
     x = F.regexp_replace(_col(html), r"(?is)<!--.*?-->", "\u0000")
     x = F.regexp_replace(x, r"(?is)<script[^>]*>.*?</script[^>]*>", "\u0000")
     x = F.regexp_replace(x, r"(?is)<style[^>]*>.*?</style[^>]*>", "\u0000")
-    x = F.regexp_replace(x, r"<[^>]*>", "\u0000")
-
-    def clean(s):
-        for ent, ch in _ENTITIES:
-            s = F.replace(s, F.lit(ent), F.lit(ch))
-        return strip(s)
-
-    pieces = F.filter(F.transform(F.split(x, "\u0000"), clean), lambda s: s != "")
+    x = F.regexp_replace(x, TAG_PATTERN, "\u0000")
+    pieces = F.filter(F.transform(F.split(x, "\u0000"), lambda s: strip(unescape(s))), lambda s: s != "")
     return F.array_join(pieces, " ")
 
 

@@ -148,26 +148,28 @@ def q_url_predicates(spark, sf_dir):
 
 # -- H1 / H2 / H4 -----------------------------------------------------------------
 
-def _attr_sql(tag: str, name: str) -> str:
-    raw = f"regexp_extract({tag}, {S.lit(L.attr_pattern(name))}, 1)"
-    val = (f"CASE WHEN starts_with({raw}, '\"') OR starts_with({raw}, '''') "
-           f"THEN substr({raw}, 2, length({raw}) - 2) ELSE {raw} END")
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-                    ("&amp;", "&")):
-        val = f"replace({val}, {S.lit(ent)}, {S.lit(ch)})"
-    return f"CASE WHEN {raw} = '' THEN NULL ELSE {val} END"
-
-
+# The driver pages write their anchors as <a href="...">text</a>, outside of
+# scripts and comments: the oracle cuts exactly that form.
 _TAGS_SQL = with_views("pages_base") + f"""
-, t0 AS (SELECT page_id, url AS page_url, origin,
-                regexp_extract_all(regexp_replace(html, {S.lit(L.NON_MARKUP_PATTERN)}, ' ', 'g'),
-                                   {S.lit(L.A_TAG_PATTERN)}, 0) AS l
-         FROM pages_base),
-tags AS (SELECT page_id, page_url, origin, unnest(generate_series(0, len(l) - 1)) AS pos, unnest(l) AS tag
-         FROM t0 WHERE len(l) > 0),
-links AS (SELECT page_id, page_url, pos, tag, {_norm_sql(_attr_sql('tag', 'href'), 'origin')} AS url FROM tags)
+, t0 AS (SELECT page_id, origin, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS l FROM pages_base),
+hrefs AS (SELECT page_id, origin, unnest(generate_series(0, len(l) - 1)) AS pos, unnest(l) AS href FROM t0 WHERE len(l) > 0),
+links AS (SELECT page_id, pos, {_norm_sql("replace(href, '&amp;', '&')", 'origin')} AS url FROM hrefs)
 """
 
+# Links of the Carrefour fixture pages, from the columns their markup was built of.
+_CARD_LINKS_SQL = with_views("cards_html") + """
+, links AS (
+  SELECT pos AS page_id, 'https://shop.example/c/' || cast(pos + 1 AS VARCHAR) AS url FROM cards_html WHERE pos % 3 < 2
+  UNION ALL
+  SELECT pos, 'https://shop.example/c/' || cast(pos AS VARCHAR) || '?a=1&página=2' FROM cards_html)
+"""
+
+
+def _card_pages(spark, sf_dir):
+    v = load_view(spark, sf_dir, "cards_html")
+    return v.select(F.col("pos").alias("page_id"), F.col("html_carrefour").alias("html"),
+                    F.concat(F.lit("https://shop.example/c/"), F.col("pos").cast("string")).alias("page_url"))
+
 
 @query("links_extract", _TAGS_SQL + "SELECT page_id, pos, url FROM links WHERE url IS NOT NULL")
 def q_links_extract(spark, sf_dir):
@@ -175,43 +177,31 @@ def q_links_extract(spark, sf_dir):
     return L.links_extract(p, "origin").select("page_id", F.col("pos").cast("bigint").alias("pos"), "url")
 
 
-@query("product_links", _TAGS_SQL + """
-SELECT page_id, min(pos) AS pos, url FROM links WHERE url IS NOT NULL AND contains(url, '/p')
-GROUP BY page_id, url
+@query("product_links", with_views("cards_html") + """
+SELECT pos AS page_id, 'https://www.carrefour.es/supermercado/' || slug || '/R-' || cast(pos AS VARCHAR) || '/p' AS url
+FROM cards_html WHERE pos % 10 <> 7
 """)
 def q_product_links(spark, sf_dir):
-    p = load_view(spark, sf_dir, "pages_base")
-    return L.product_links(L.links_extract(p, "origin"), "carrefour") \
-        .withColumn("pos", F.col("pos").cast("bigint"))
+    links = L.links_extract(_card_pages(spark, sf_dir), K.BASE_URLS["carrefour"])
+    return L.product_links(links, "carrefour").select("page_id", "url")
 
 
-@query("pagination_links", _TAGS_SQL + f"""
-SELECT DISTINCT page_id, url FROM links
-WHERE url IS NOT NULL AND (
-  contains(coalesce({_attr_sql('tag', 'rel')}, ''), 'next')
-  OR (contains(url, '/c') AND starts_with(url, split_part(page_url, '?', 1))
-      AND (contains(url, '?') OR contains(lower(url), 'pag') OR contains(lower(url), 'no='))))
-""")
+@query("pagination_links", _CARD_LINKS_SQL + "SELECT page_id, url FROM links")
 def q_pagination_links(spark, sf_dir):
-    p = load_view(spark, sf_dir, "pages_base").withColumnRenamed("url", "page_url")
-    return L.pagination_links(p, "page_url", "origin")
+    """rel=next links (behind an attribute that holds a '>') and links under
+    the category URL, whose href is written with character references."""
+    return L.pagination_links(_card_pages(spark, sf_dir), "page_url", K.BASE_URLS["carrefour"])
 
 
 # -- P8 -----------------------------------------------------------------------------
 
 _ANCHORS_SQL = with_views("pages_base") + f"""
-, a0 AS (SELECT page_id, origin,
-             regexp_extract_all(regexp_replace(html, {S.lit(L.NON_MARKUP_PATTERN)}, ' ', 'g'),
-                                '{L.ANCHOR_PATTERN}', 0) AS l FROM pages_base),
-anchors AS (SELECT page_id, origin, unnest(generate_series(0, len(l) - 1)) AS pos, unnest(l) AS a
-            FROM a0 WHERE len(l) > 0),
-atext AS (SELECT page_id, pos,
-         {_norm_sql(_attr_sql("regexp_extract(a, '(?is)^(<a[^>]*>)', 1)", 'href'), 'origin')} AS url,
-         {S.collapse(
-             "replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(a, '" + L.ANCHOR_PATTERN
-             + "', 1), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), "
-             "'&#x27;', ''''), '&amp;', '&')")} AS text
-       FROM anchors)
+, a0 AS (SELECT page_id, origin, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS h,
+                regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages_base),
+a1 AS (SELECT page_id, origin, unnest(generate_series(0, len(h) - 1)) AS pos, unnest(h) AS href, unnest(t) AS t
+       FROM a0 WHERE len(h) > 0),
+atext AS (SELECT page_id, pos, {_norm_sql("replace(href, '&amp;', '&')", 'origin')} AS url,
+                 {S.collapse("replace(t, '&amp;', '&')")} AS text FROM a1)
 """
 
 
@@ -230,29 +220,29 @@ def q_nav_link_denied(spark, sf_dir):
 
 # -- P14 / P15 ----------------------------------------------------------------------
 
-def _visible_sql(h: str) -> str:
-    x = f"regexp_replace({h}, '(?is)<!--.*?-->', chr(0), 'g')"
-    x = f"regexp_replace({x}, '(?is)<script[^>]*>.*?</script[^>]*>', chr(0), 'g')"
-    x = f"regexp_replace({x}, '(?is)<style[^>]*>.*?</style[^>]*>', chr(0), 'g')"
-    x = f"regexp_replace({x}, '<[^>]*>', chr(0), 'g')"
-    piece = "s"
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"),
-                    ("&amp;", "&")):
-        piece = f"replace({piece}, {S.lit(ent)}, {S.lit(ch)})"
-    return (f"array_to_string(list_filter(list_transform(string_split({x}, chr(0)), lambda s: {S.strip(piece)}), "
-            f"lambda s: s <> ''), ' ')")
-
-
-@query("page_blocked", f"""
-SELECT page_id, {S.contains_any('lower(html)', K.BLOCKED_HTML_MARKERS)} AS blocked FROM pages
+# Pages with a status, and with a marker text written in another form than the
+# rules have it: named and numeric references, markup inside, a '>' in an
+# attribute. The oracle reads the text the markup was built from.
+_MARKERS = [("código postal", "c&oacute;digo&#32;postal"), ("Selecciona tu tienda", "<b>Selecciona</b> tu tienda"),
+            ("no hay resultados", "no hay&#x20;resultados"), ("Sin resultados", '<span title="x > y">Sin resultados</span>'),
+            ("élíge tu tienda", "&eacute;l&iacute;ge tu tienda"), ("", "<!-- captcha --><script>sin resultados</script>")]
+_MARKER_TEXT = "CASE pos % 6 " + " ".join(
+    f"WHEN {i} THEN '{t}'" for i, (t, _) in enumerate(_MARKERS)) + " END"
+_MARKER_HTML = "CASE pos % 6 " + " ".join(f"WHEN {i} THEN '{h}'" for i, (_, h) in enumerate(_MARKERS)) + " END"
+_C_BASE = with_views("cards_base")
+_STATUS = "CASE pos % 7 WHEN 0 THEN 403 WHEN 1 THEN 404 ELSE 200 END"
+
+
+@query("page_blocked", _C_BASE + f"""
+SELECT pos AS page_id, (pos % 7 = 0 OR pos % 6 = 5) AS blocked FROM cards_base
 """)
 def q_page_blocked(spark, sf_dir):
-    p = load_view(spark, sf_dir, "pages_base")
-    return p.select("page_id", page_blocked(F.lit(200), "html").alias("blocked"))
+    p = load_view(spark, sf_dir, "cards_base")
+    return p.select(F.col("pos").alias("page_id"), page_blocked(F.expr(_STATUS), F.expr(_MARKER_HTML)).alias("blocked"))
 
 
-@query("page_markers", f"""
-WITH v AS (SELECT page_id, {_visible_sql('html')} AS txt FROM pages)
+@query("page_markers", _C_BASE + f"""
+, v AS (SELECT pos AS page_id, trim(name || ' ' || {_MARKER_TEXT}) AS txt FROM cards_base)
 SELECT page_id,
   {S.contains_any('lower(txt)', K.LOCATION_GATE_ALCAMPO)} AS location_gate_alcampo,
   {S.contains_any('lower(txt)', K.EMPTY_RESULTS)} AS empty_results_alcampo,
@@ -264,8 +254,9 @@ SELECT page_id,
 FROM v
 """)
 def q_page_markers(spark, sf_dir):
-    p = load_view(spark, sf_dir, "pages_base")
-    v = p.select("page_id", visible_text("html").alias("txt"))
+    p = load_view(spark, sf_dir, "cards_base")
+    html = F.concat(F.lit("<html><p>"), F.col("name"), F.lit("</p><div>"), F.expr(_MARKER_HTML), F.lit("</div></html>"))
+    v = p.select(F.col("pos").alias("page_id"), visible_text(html).alias("txt"))
     a = page_markers("txt", "alcampo")
     d = page_markers("txt", "dia")
     return v.select("page_id", a["location_gate"].alias("location_gate_alcampo"),

@@ -146,3 +146,17 @@ def test_category_id_from_url(spark):
     df = spark.createDataFrame([("https://t/api/categories/12/",), ("https://t/api/categories/12",), ("x",)],
                                "u string")
     assert [r[0] for r in df.select(U.category_id_from_url("u")).collect()] == [12, 12, None]
+
+
+def test_unescape_is_the_parsers(spark):
+    import html
+    from pricelake.functions.html import unescape
+    texts = ["a&ntilde;o", "&#38;&#x26;&amp;", "c&oacute;digo", "&ampx &copy2 &notit; &notin; &nosuch; & &;", "&#128;&#0;&#xD800;&#99999999999;",
+             "plain", "&NotEqualTilde;", "&lt;b&gt", "&#x1F600;"]
+    assert one(spark, unescape, texts) == [html.unescape(t) for t in texts]
+
+
+def test_attribute_values_may_hold_anything(spark):
+    from pricelake.operators.links import attr_value
+    tags = ['<a title="x href=no" href="/y">', "<a data-href='/no' HREF = '/a&ntilde;o'>", "<a href>", "<a name=x>", "<a href=/q?a=1&amp;b>"]
+    assert one(spark, lambda c: attr_value(c, "href"), tags) == ["/y", "/año", None, None, "/q?a=1&b"]
