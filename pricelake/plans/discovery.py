@@ -18,14 +18,17 @@ from pricelake.functions import text as T
 from pricelake.functions import urls as U
 from pricelake.operators import merge as M
 from pricelake.operators.targets import group_label
+from pricelake.plans.daily import fetched_pages, last_snapshots
 from pricelake.session import materialize
 from pricelake.sources import html_job as H
 
-def anchors(pages: DataFrame, id_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Anchor facts of each page, keyed by the page URL."""
-    p = pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html"))
-    a = p.mapInPandas(H.anchors_job(), H.schema(H.ANCHOR_SCHEMA, "string")).withColumnRenamed("page_id", "page_url")
-    return materialize(a)
+def anchors(pages: DataFrame) -> DataFrame:
+    """Anchor facts of the last fetched snapshot of every page, keyed by the
+    page URL. The navigation pages are parsed once, where they are stored;
+    facts, not html, meet the groups and categories."""
+    p = fetched_pages(pages)
+    a = p.select("url", "page_seq", "html").mapInPandas(H.anchors_job(), "url string, page_seq long, " + H.ANCHOR_SCHEMA)
+    return materialize(last_snapshots(a, p).drop("page_seq").withColumnRenamed("url", "page_url"))
 
 
 def slice_groups(groups: DataFrame, n: int | None) -> DataFrame:
@@ -49,7 +52,7 @@ def discover_alcampo(groups: DataFrame, pages: DataFrame) -> DataFrame:
     base = K.BASE_URLS["alcampo"]
     g = groups.select("group_index", F.col("url").alias("group_url"),
                       U.group_slug(F.col("url"), "alcampo").alias("group")).where(F.col("group") != "")
-    a = anchors(pages.join(g.select(F.col("group_url").alias("url")).distinct(), "url", "left_semi"))
+    a = anchors(pages).join(g.select(F.col("group_url").alias("page_url")), "page_url", "left_semi")
     clean = U.url_clean(U.url_normalize(F.col("href"), base))
     links = a.select(F.col("page_url").alias("group_url"), "pos", "text", clean.alias("link")) \
         .where(F.col("link").isNotNull())
@@ -84,7 +87,7 @@ def category_links_dia(groups: DataFrame, pages: DataFrame) -> DataFrame:
     ``groups``: (group_index, url, group) with the group slug."""
     base = K.BASE_URLS["dia"]
     g = groups.select("group_index", F.col("url").alias("group_url"), F.col("group"))
-    a = anchors(pages.join(g.select(F.col("group_url").alias("url")).distinct(), "url", "left_semi"))
+    a = anchors(pages).join(g.select(F.col("group_url").alias("page_url")), "page_url", "left_semi")
     clean = U.url_clean(U.url_normalize(F.col("href"), base))
     links = a.select(F.col("page_url").alias("group_url"), "pos", "text", clean.alias("url")) \
         .where(F.col("url").isNotNull()).join(g, "group_url")
@@ -177,7 +180,8 @@ def discover_carrefour(groups: DataFrame, pages: DataFrame) -> DataFrame:
     base = K.BASE_URLS["carrefour"]
     g = groups.select("group_index", F.col("url").alias("group_url"),
                       U.group_slug(F.col("url"), "carrefour").alias("group")).where(F.col("group") != "")
-    ga = anchors(pages.join(g.select(F.col("group_url").alias("url")).distinct(), "url", "left_semi"))
+    every = anchors(pages)
+    ga = every.join(g.select(F.col("group_url").alias("page_url")), "page_url", "left_semi")
     ga = ga.where(F.col("in_nav") & F.col("slide_idx").isNotNull() & F.col("href").isNotNull())
     # the first anchor with href of each slide
     firsts = ga.groupBy("page_url", "slide_idx").agg(F.min(F.struct("pos", "href", "text", "slide_title",
@@ -194,7 +198,7 @@ def discover_carrefour(groups: DataFrame, pages: DataFrame) -> DataFrame:
     cats = M.first_url_per_name(slides.where(F.col("group") != "bebidas"), "name", "url", "pos",
                                 ["group_index", "group"])
     cats = cats.select("group_index", "group", F.col("name").alias("category"), F.col("url").alias("cat_url"))
-    ca = anchors(pages.join(cats.select(F.col("cat_url").alias("url")).distinct(), "url", "left_semi"))
+    ca = every.join(cats.select(F.col("cat_url").alias("page_url")), "page_url", "left_semi")
     ca = ca.where(F.col("in_nav") & F.col("href").isNotNull())
     sub_url = U.url_normalize(F.col("href"), base)
     subs = ca.select(F.col("page_url").alias("cat_url"), "pos", sub_url.alias("url"), _nav_text().alias("name"))

@@ -34,20 +34,23 @@ def q_dedup_first_wins(spark, sf_dir):
 
 # -- A2 + J4 ----------------------------------------------------------------
 
-def _merge_sql(trim_used: bool) -> str:
+def _merge_sql(trim_used: bool, where: str = "true", order: str = "pos") -> str:
+    """The merge over the rows of ``rows_base`` that meet ``where``; ``order``
+    places rows inside a snapshot."""
     used = S.strip("product") if trim_used else "product"
+    desc = ", ".join(f"{c} DESC" for c in order.split(", "))
     return with_views("rows_base") + f"""
 , t AS (
-  SELECT *, {S.strip('product_url')} AS _url, lower({S.strip('product')}) AS _name FROM rows_base),
+  SELECT *, {S.strip('product_url')} AS _url, lower({S.strip('product')}) AS _name FROM rows_base r WHERE {where}),
 keyed AS (
   SELECT *, CASE WHEN _url <> '' THEN 0 ELSE 1 END AS merge_rank,
          CASE WHEN _url <> '' THEN _url ELSE _name END AS _k
   FROM t WHERE _url <> '' OR _name <> ''),
 w AS (
   SELECT *,
-    row_number() OVER (PARTITION BY target_index, merge_rank, _k ORDER BY page_seq DESC, pos DESC) AS rn_last,
-    first_value(page_seq) OVER (PARTITION BY target_index, merge_rank, _k ORDER BY page_seq, pos) AS f_seq,
-    first_value(pos) OVER (PARTITION BY target_index, merge_rank, _k ORDER BY page_seq, pos) AS f_pos
+    row_number() OVER (PARTITION BY target_index, merge_rank, _k ORDER BY page_seq DESC, {desc}) AS rn_last,
+    first_value(page_seq) OVER (PARTITION BY target_index, merge_rank, _k ORDER BY page_seq, {order}) AS f_seq,
+    first_value(pos) OVER (PARTITION BY target_index, merge_rank, _k ORDER BY page_seq, {order}) AS f_pos
   FROM keyed),
 last AS (SELECT * FROM w WHERE rn_last = 1),
 used AS (SELECT DISTINCT target_index, lower({used}) AS nm FROM last WHERE merge_rank = 0)
@@ -239,3 +242,26 @@ def q_targets_roundtrip(spark, sf_dir):
     write_targets(M.targets_distinct(_targets(spark, sf_dir)), path, ["https://shop.example/c/"],
                   dt.datetime(2025, 1, 2, 3, 4, 5))
     return read_targets(spark, path)
+
+
+@query("targets_document", _ROUNDTRIP_SQL)
+def q_targets_document(spark, sf_dir):
+    """S1 + S2 in the single-document form: written as one JSON value and read back."""
+    import datetime as dt
+    from pricelake.session import scratch_path
+    from pricelake.sources.targets import read_targets, write_targets_document
+    path = scratch_path(spark, "document") + ".json"
+    write_targets_document(M.targets_distinct(_targets(spark, sf_dir)), path, ["https://shop.example/c/"],
+                           dt.datetime(2025, 1, 2, 3, 4, 5))
+    return read_targets(spark, path)
+
+
+
+@query("write_daily", f"""SELECT DATE '2025-01-15' AS date, product, brand, price, price_per_unit, offer, category, subcategory,
+       product_url FROM ({_run_sql()})""")
+def q_write_daily(spark, sf_dir):
+    """The run's rows written as its day file and read back."""
+    from pricelake.plans.daily import project, write_daily
+    from pricelake.session import scratch_path
+    return spark.read.parquet(write_daily(project(q_daily_run(spark, sf_dir), "2025-01-15"), scratch_path(spark, "daily"),
+                                          "dia", "2025-01-15"))

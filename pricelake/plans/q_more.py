@@ -17,7 +17,7 @@ from pricelake.plans import sqlfrag as S
 from pricelake.plans.q_daily import q_daily_run_mercadona
 from pricelake.plans.q_land import _WALK_SQL, _profile_sql, walk_edges
 from pricelake.plans.q_merge import _run_sql
-from pricelake.plans.registry import ORACLES, query
+from pricelake.plans.registry import ORACLES, QUERIES, query
 from pricelake.plans.views import load_view, read_table, with_views
 from pricelake.session import scratch_path
 from pricelake.sources import landing as LD
@@ -117,35 +117,45 @@ def q_jsonld_gate(spark, sf_dir):
 
 # -- U1 -------------------------------------------------------------------------------
 
-@query("union_sources", f"""
-SELECT 'dia' AS source, target_index, date, product, brand, price, price_per_unit, offer, category, subcategory,
-       product_url FROM ({_run_sql()})
-UNION ALL
-SELECT 'mercadona' AS source, * FROM ({ORACLES['daily_run_mercadona']})
-""")
+_SHOPS = {"dia": "daily_run_cards_dia", "alcampo": "daily_run_alcampo", "carrefour": "daily_run_carrefour",
+          "mercadona": "daily_run_mercadona"}
+
+
+@query("union_sources", "\nUNION ALL\n".join(
+    f"SELECT '{shop}' AS source, target_index, date, product, brand, price, price_per_unit, offer, category, "
+    f"subcategory, product_url FROM ({ORACLES[name]})" for shop, name in _SHOPS.items()))
 def q_union_sources(spark, sf_dir):
-    """Runs of several shops share the product schema: one bag union."""
-    from pricelake.plans.q_merge import q_daily_run
+    """Runs of the four shops share the product schema: one bag union."""
     cols = ["target_index", "date", "product", "brand", "price", "price_per_unit", "offer", "category",
             "subcategory", "product_url"]
-    a = q_daily_run(spark, sf_dir).select(F.lit("dia").alias("source"), *cols)
-    b = q_daily_run_mercadona(spark, sf_dir).select(F.lit("mercadona").alias("source"), *cols)
-    return a.unionByName(b)
+    runs = [QUERIES[name](spark, sf_dir).select(F.lit(shop).alias("source"), *cols) for shop, name in _SHOPS.items()]
+    out = runs[0]
+    for r in runs[1:]:
+        out = out.unionByName(r)
+    return out
 
 
 # -- S6 -------------------------------------------------------------------------------
 
-@query("csv_roundtrip_profile", _profile_sql(
-    with_views("rows_base") + f", src AS (SELECT {', '.join(K.PRODUCT_COLUMNS)}, date AS file_day FROM rows_base)",
-    K.PRODUCT_COLUMNS, "file_day"))
-def q_csv_roundtrip_profile(spark, sf_dir):
-    """Product rows written as CSV (header, quotes escaped by doubling) and
-    read back as text; the dtype each column would get on read-back."""
+# Product rows with a count that some rows lack and names that are NA words.
+
+@query("csv_roundtrip", with_views("rows_base") + """
+SELECT pos, CASE WHEN subcategory <> 'P' THEN cast(page_seq AS DOUBLE) END AS page_seq, strftime(date, '%Y-%m-%d') AS date,
+       CASE WHEN pos % 5 = 0 THEN NULL ELSE trim(product) || ', "x"' END AS product, NULL::DOUBLE AS brand, price, offer,
+       CASE WHEN product_url <> '' THEN product_url END AS product_url
+FROM rows_base
+""")
+def q_csv_roundtrip(spark, sf_dir):
+    """Rows written as CSV (header, quotes escaped by doubling) and read
+    back with the inferred types, NA words and blanks as nulls."""
     path = scratch_path(spark, "csv")
-    rows = load_view(spark, sf_dir, "rows_base").select(*K.PRODUCT_COLUMNS)
+    rows = load_view(spark, sf_dir, "rows_base").select(
+        "pos", F.when(F.col("subcategory") != "P", F.col("page_seq")).alias("page_seq"), "date",
+        F.when(F.col("pos") % 10 == 0, F.lit("NA")).when(F.col("pos") % 5 == 0, F.lit("None"))
+        .otherwise(F.concat(F.trim("product"), F.lit(', "x"'))).alias("product"),
+        "brand", "price", "offer", "product_url")
     LD.write_csv(rows, path)
-    back = LD.read_csv_text(spark, path)
-    return LD.type_profile(back.withColumn("file_day", F.col("date").cast("date")), K.PRODUCT_COLUMNS, ["file_day"])
+    return LD.read_csv(spark, path)
 
 
 # -- F15 / F16 ------------------------------------------------------------------------

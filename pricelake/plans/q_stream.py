@@ -106,13 +106,21 @@ def q_day_load_stream(spark, sf_dir):
     return spark.read.parquet(f"{root}/tables").select("table_name", *K.PRODUCT_COLUMNS)
 
 
-@query("snapshot_upsert_stream", _merge_sql(False))
+# Order status O rows are JSON-LD rows; the oracle takes those of a snapshot
+# while no snapshot up to it has a card URL and no earlier one any URL.
+_LD_TAKEN = """subcategory <> 'O' OR NOT EXISTS (
+  SELECT 1 FROM (SELECT DISTINCT target_index, page_seq, subcategory = 'O' AS ld FROM rows_base WHERE product_url <> '') u
+  WHERE u.target_index = r.target_index AND (u.page_seq < r.page_seq OR (u.page_seq = r.page_seq AND NOT u.ld)))"""
+
+
+@query("snapshot_upsert_stream", _merge_sql(False, _LD_TAKEN, "subcategory = 'O', pos"))
 def q_snapshot_upsert_stream(spark, sf_dir):
-    """T2 end to end: snapshot rows stream in a few files per batch; the
-    keyed state is read back after the last batch."""
+    """T2 end to end: snapshot rows (cards and JSON-LD) stream in a few
+    files per batch; the keyed state is read back after the last batch."""
     root = scratch_path(spark, "snapshots")
-    rows = load_view(spark, sf_dir, "rows_base")
-    rows.repartition(8).write.parquet(f"{root}/feed")
+    rows = load_view(spark, sf_dir, "rows_base").withColumn(
+        "kind", F.when(F.col("subcategory") == "O", "jsonld").otherwise("card"))
+    rows.write.option("maxRecordsPerFile", 20_000).parquet(f"{root}/feed")
     q = start_snapshot_upsert(spark, f"{root}/feed", f"{root}/state", f"{root}/checkpoint", max_files_per_trigger=3)
     q.awaitTermination()
     out = read_state(spark, f"{root}/state")

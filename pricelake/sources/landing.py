@@ -145,11 +145,25 @@ def write_csv(rows: DataFrame, path: str) -> None:
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """S6 read: every column as text (types are inferred by ``type_profile``,
-    not by ``inferSchema``, whose rules differ)."""
+    not by ``inferSchema``, whose rules differ). A file is one split: quoted
+    fields may hold line ends, so lines say nothing about rows."""
     return (spark.read.option("header", True).option("escape", '"').option("multiLine", True)
             .option("inferSchema", False).csv(path))
 
 
+_DTYPES = {"float64": "double", "int64": "bigint", "bool": "boolean"}
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The CSV read back as the landing job does: every column has the
+    type its values infer to, and blanks and NA words are null."""
+    text = read_csv_text(spark, path)
+    dtypes = {r["column"]: r["dtype"] for r in type_profile(text, text.columns).collect()}  # a row per column
+    na = list(K.PANDAS_NA_VALUES)
+    return text.select(*[F.when(~F.coalesce(F.col(c), F.lit("")).isin(na), F.col(c))
+                         .cast(_DTYPES.get(dtypes[c], "string")).alias(c) for c in text.columns])
+
+
 
 _INT = r"^[+-]?[0-9]+$"
 _FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(inf|Inf|INF|infinity|Infinity)$"

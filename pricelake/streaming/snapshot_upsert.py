@@ -10,8 +10,11 @@ keys of a run (no event time, so no watermark): run one stream per run day.
 
 Each micro-batch emits only the keys it changed (update mode), with their
 whole aggregate so far, appended to a change log tagged with the batch id.
-``read_state`` compacts the log per key to the row of the latest batch (an
-aggregate, combined map-side) and applies the name rule (name rows whose
+JSON-LD rows (``kind = 'jsonld'``; everything else is a card row) are kept
+per snapshot, because which snapshots' JSON-LD counts (W3) is known only
+from the whole feed. ``read_state`` compacts the log per key to the row of the
+latest batch (an aggregate, combined map-side), gates the JSON-LD rows,
+merges both kinds per key and applies the name rule (name rows whose
 name a URL row already has are dropped). A replayed batch appends the same
 rows again, which the compaction absorbs.
 """
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.functions.text import coalesce_blank, strip
+from pricelake.operators.merge import jsonld_gate
 
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("target_index", T.LongType()),
@@ -37,19 +41,24 @@ SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("category", T.StringType()),
     T.StructField("subcategory", T.StringType()),
     T.StructField("product_url", T.StringType()),
+    T.StructField("kind", T.StringType()),
 ])
-_PAYLOAD = [f.name for f in SNAPSHOT_SCHEMA.fields if f.name not in ("target_index", "page_seq", "pos")]
+_PAYLOAD = [f.name for f in SNAPSHOT_SCHEMA.fields if f.name not in ("target_index", "page_seq", "pos", "kind")]
+_KEYS = ["target_index", "is_ld", "ld_seq", "merge_rank", "_k"]
 
 
 def keyed_state(rows: DataFrame) -> DataFrame:
     """The state aggregate (works on a stream or a batch DataFrame)."""
     url = strip(coalesce_blank(F.col("product_url")))
     name = F.lower(strip(coalesce_blank(F.col("product"))))
+    ld = F.coalesce(F.col("kind") == "jsonld", F.lit(False))
     k = rows.select("*", F.when(url != "", F.lit(0)).when(name != "", F.lit(1)).alias("merge_rank"),
-                    F.when(url != "", url).otherwise(name).alias("_k")).where(F.col("merge_rank").isNotNull())
-    return k.groupBy("target_index", "merge_rank", "_k").agg(
-        F.max(F.struct("page_seq", "pos", *_PAYLOAD)).alias("_last"),
-        F.min(F.struct("page_seq", "pos")).alias("_first"))
+                    F.when(url != "", url).otherwise(name).alias("_k"), ld.alias("is_ld"),
+                    F.when(ld, F.col("page_seq")).alias("ld_seq")).where(F.col("merge_rank").isNotNull())
+    # within a snapshot, JSON-LD rows come after the cards
+    place = ["page_seq", "is_ld", "pos"]
+    return k.groupBy(*_KEYS).agg(F.max(F.struct(*place, *_PAYLOAD)).alias("_last"),
+                                 F.min(F.struct(*place)).alias("_first"))
 
 
 def start_snapshot_upsert(spark: SparkSession, snapshots_root: str, state_root: str, checkpoint: str,
@@ -68,16 +77,24 @@ def start_snapshot_upsert(spark: SparkSession, snapshots_root: str, state_root:
 
 def compact(log: DataFrame) -> DataFrame:
     """Per key, the state row of the latest batch that changed it."""
-    keys = ["target_index", "merge_rank", "_k"]
-    return (log.groupBy(*keys).agg(F.max_by(F.struct("_last", "_first"), "batch_id").alias("_s"))
-            .select(*keys, "_s._last", "_s._first"))
+    return (log.groupBy(*_KEYS).agg(F.max_by(F.struct("_last", "_first"), "batch_id").alias("_s"))
+            .select(*_KEYS, "_s._last", "_s._first"))
+
+
+def gated(state: DataFrame) -> DataFrame:
+    """W3 on state rows, then both kinds merged per key."""
+    kind = F.when(F.col("is_ld"), F.lit("jsonld")).otherwise(F.lit("card"))
+    rows = state.select("*", kind.alias("kind"), F.col("_first.page_seq").alias("page_seq"),
+                        F.when(F.col("merge_rank") == 0, F.col("_k")).otherwise(F.lit("")).alias("url"))
+    rows = jsonld_gate(rows, url_col="url")
+    return rows.groupBy("target_index", "merge_rank", "_k").agg(F.max("_last").alias("_last"), F.min("_first").alias("_first"))
 
 
 def merged_rows(state: DataFrame) -> DataFrame:
     """State rows -> product rows at the key's first position, plus the
     name rule on the surviving URL rows (``product.lower()``, no trim)."""
-    rows = state.select("target_index", "merge_rank", "_k", F.col("_first.page_seq").alias("page_seq"),
-                        F.col("_first.pos").alias("pos"), *[F.col("_last." + c).alias(c) for c in _PAYLOAD])
+    rows = gated(state).select("target_index", "merge_rank", "_k", F.col("_first.page_seq").alias("page_seq"),
+                               F.col("_first.pos").alias("pos"), *[F.col("_last." + c).alias(c) for c in _PAYLOAD])
     used = rows.where(F.col("merge_rank") == 0).select(
         "target_index", F.lower(coalesce_blank(F.col("product"))).alias("_k")).distinct()
     names = rows.where(F.col("merge_rank") == 1).join(used, ["target_index", "_k"], "left_anti")

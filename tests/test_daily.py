@@ -68,3 +68,28 @@ def test_dia_snapshot_feed(spark):
     # its last price at its first position.
     assert [(r.product, r.price, r.product_url) for r in rows.collect()] == [
         ("L", "", "https://www.dia.es/p/9"), ("A", "2,00", "https://www.dia.es/p/1")]
+
+
+def test_failed_fetches_give_nothing(spark):
+    pages = spark.createDataFrame([
+        ("https://c/1", 0, 200, card("a", 1)), ("https://c/1", 1, 404, card("a", 2)),
+        ("https://c/2", 0, 200, card("a", 3) + "<p>Access denied</p>"), ("https://c/3", 0, 503, card("a", 4)),
+    ], "url string, snapshot_seq int, status int, html string")
+    targets, _ = fixture(spark)
+    rows = D.daily_products(targets, pages, "alcampo", "2025-01-15")
+    assert [(r.target_index, r.product) for r in rows.collect()] == [(0, "P1")]
+    got = {r.metric: r.value for r in D.run_summary(targets, pages, rows).collect()}
+    assert got == {"targets": 4, "targets_fetched": 1, "failed_fetches": 3, "rows": 1}
+
+
+def test_carrefour_takes_the_last_snapshot(spark):
+    def page(n):
+        return (f'<div class="product-card"><a class="product-card__title-link" href="/x/R-{n}/p"></a></div>'
+                f'<div class="product-card"><h2 class="product-card__title"><a>no url {n}</a></h2></div>')
+    pages = spark.createDataFrame([("https://c/1", 0, page(1)), ("https://c/1", 1, page(2))],
+                                  "url string, snapshot_seq int, html string")
+    targets = spark.createDataFrame([(0, "A", "s", "https://c/1")],
+                                    "target_index long, category string, subcategory string, url string")
+    rows = D.daily_products(targets, pages, "carrefour", "2025-01-15").collect()
+    assert sorted((r.product, r.product_url) for r in rows) == [
+        ("", "https://www.carrefour.es/x/R-2/p"), ("no url 2", "")]

@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 
 import os
+import re
 
 import pytest
 
@@ -16,7 +17,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n)))
 def test_query_matches_oracle(spark, con, name):
     fn = E.queries()[name]
     sql = E.oracle_sql().get(name)

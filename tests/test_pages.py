@@ -135,6 +135,15 @@ def test_walk_matches_bfs(spark):
             assert [x.page_id for x in got if x.root_id == r] == brute_bfs(r, edges, urls, cap)
 
 
+def test_walk_down_a_long_chain(spark):
+    n = 40
+    e = spark.createDataFrame([(i, i + 1, f"u{i + 1}") for i in range(n)], "src_id long, dst_id long, dst_url string")
+    roots = spark.createDataFrame([(0, 0, "u0")], "root_id long, page_id long, url string")
+    got = pagination_walk(roots, e).orderBy("page_seq").collect()
+    assert [(r.page_id, r.depth, r.page_seq) for r in got] == [(i, i, i) for i in range(n + 1)]
+    assert set(got[0].asDict()) == {"root_id", "page_id", "url", "depth", "page_seq"}  # nothing that grows with the depth
+
+
 def test_group_payload_bad_id_fails(spark):
     doc = json.dumps({"results": [{"name": "Frescos", "categories": [{"id": "x1", "name": "a"}]}]})
     df = spark.createDataFrame([(doc,)], "payload string")

@@ -45,8 +45,12 @@ def test_write_then_read_in_order(spark, tmpdir_path):
     assert [(r.group, r.category) for r in back] == [("a", "x"), ("a", "y"), ("b", "x")]
     env = spark.read.json(path + "/_envelope.json").first()
     assert env["count"] == 3 and env["generated_at_utc"] == "2025-01-02T03:04:05Z"
-    doc = json.loads(TG.targets_document(df, ["g1"], dt.datetime(2025, 1, 2, 3, 4, 5)))
-    assert doc["count"] == 3 and doc["targets"][0]["group"] == "a"
+    one = os.path.join(tmpdir_path, "doc.json")
+    TG.write_targets_document(df, one, ["g1"], dt.datetime(2025, 1, 2, 3, 4, 5))
+    doc = json.loads(spark.read.text(one, wholetext=True).first()[0])
+    assert doc["count"] == 3 and doc["targets"][0]["group"] == "a" and doc["generated_at_utc"] == "2025-01-02T03:04:05Z"
+    assert [(r.group, r.category) for r in TG.read_targets(spark, one).orderBy("target_index").collect()] == [
+        ("a", "x"), ("a", "y"), ("b", "x")]
 
 
 def test_daily_sink(spark, tmpdir_path):
