@@ -108,13 +108,13 @@ def cap_per_group(rows: DataFrame, n: int | None, group_cols=("target_index",),
 
 
 def limit_total(rows: DataFrame, n: int | None, order=None) -> DataFrame:
-    """O3: the first ``n`` rows of the run in target order (top-k plan)."""
+    """O3: the first ``n`` rows of the run in target order. Rows are
+    numbered by a distributed rank, so a large ``n`` is no single task."""
     if n is None:
         return rows
     order = _order(rows, order)
-    if n <= 0:
-        return rows.limit(0)
-    return rows.orderBy(*order).limit(n)
+    ranked = group_rank(rows.withColumn("_run", F.lit(0)), "_run", order, "_rank")
+    return ranked.where(F.col("_rank") < n).select(*rows.columns).orderBy(*order)
 
 
 def first_n_values(df: DataFrame, col: str, n: int | None, order_col: str = "target_index") -> DataFrame:
@@ -208,10 +208,8 @@ def group_rank(df: DataFrame, group_col: str, order_cols, name: str = "rank") ->
     group in earlier partitions (a small table: one row per partition and
     group present in it). Ties must not occur in ``order_cols``."""
     from pyspark.sql import Window
-    from pricelake.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
     order_cols = list(order_cols)
-    srt = df.sort(group_col, *order_cols).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    srt = materialize(df.sort(group_col, *order_cols).withColumn("_pid", F.spark_partition_id()))
     local = Window.partitionBy("_pid", group_col).orderBy(*order_cols)
     numbered = srt.withColumn("_in", F.row_number().over(local) - 1)
     sizes = srt.groupBy(group_col, "_pid").agg(F.count(F.lit(1)).alias("_n"))
