@@ -21,9 +21,10 @@ def language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of linked documents the one of the smallest
-    doc_id, and of repeated rows one. Rows without a doc_id all stay."""
-    kept = ngram_join.link_groups(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    """Keeps of each group of linked documents (five-word shingles, Jaccard
+    similarity of 0.8 or more) the one of the smallest doc_id, and of repeated
+    rows one. Rows without a doc_id all stay."""
+    kept = ngram_join.link_groups(docs, shingle=5, percent=80).filter("doc_id = component_id").select("doc_id").distinct()
     named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").select(*docs.columns)
     mark = "_pipeline_mark"
     named = named.withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark]).drop(mark)

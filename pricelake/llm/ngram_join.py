@@ -6,9 +6,11 @@ reaches a percentage (0.9 here; any from 50 on). Exact, up to 64-bit hashes:
 1. *Tiles.* Sizes fall in bands no narrower than the largest size ratio of a
    link, so a link joins documents of one band or of neighbouring bands. For a
    band whose smaller documents differ from a partner in at most H
-   shingles, the hash space is cut in H + 3 segments: linked documents agree
-   on at least three of them, at least one not empty. The hash of a
-   segment's content is a key; documents with a common key form a tile.
+   shingles, the hash space is cut in H + 1 + E segments: linked documents
+   agree on more than E of them, so on one that is not empty unless both have
+   more than E empty ones (E makes that rare; such documents use empty
+   segments too). The hash of a segment's content is a key; documents with a
+   common key form a tile.
    Keys that no other document has are found by ``exchange.seen_elsewhere``.
 2. *Copies.* Documents with equal sets are one class, held by its smallest id.
 3. *Stars.* In each tile every document is compared with the tile's smallest
@@ -62,6 +64,16 @@ def size_bands(largest: int, percent: int) -> np.ndarray:
     return np.array(out)
 
 
+def spare_segments(differ: np.ndarray, smallest: np.ndarray) -> np.ndarray:
+    """E of a band: more empty segments than a set of its smallest size
+    is likely to have (Poisson mean plus five deviations), at least two."""
+    cuts = differ + 1.0
+    for _ in range(3):
+        empty = cuts * np.exp(-smallest / cuts)
+        cuts = differ + 1 + np.ceil(empty + 5 * np.sqrt(empty) + 2)
+    return (cuts - differ - 1).astype(np.int64)
+
+
 class _Sets:
     """Distinct shingle hashes of a part's rows, sorted, and their tile keys."""
 
@@ -95,9 +107,9 @@ class _Sets:
         for b in (band, band - 1):
             use = rows[b[rows] >= 0]
             h = max_difference(bands[b[use] + 1] - 1, percent)
-            cuts = np.where(h > 0, h + 3, 1)
-            segments = np.zeros(len(self.n), np.int64)
-            segments[use] = cuts
+            e = np.where(h > 0, spare_segments(h, bands[b[use]]), 0)
+            segments, spare = np.zeros(len(self.n), np.int64), np.zeros(len(self.n), np.int64)
+            segments[use], spare[use] = h + 1 + e, e
             base = np.concatenate(([0], np.cumsum(segments)))
             inside = segments[of_row] > 0
             seg = ((self.grams >> _U(32)) * segments[of_row].astype(_U)) >> _U(32)
@@ -113,7 +125,7 @@ class _Sets:
             hollow = np.bincount(row[empty], minlength=len(self.n))
             total = values[hi] - values[lo]
             tag = T.mix((b[row] + 1).astype(_U) * _U(1 << 32) + number.astype(_U))
-            keep = ~empty | (hollow[row] > 2)
+            keep = ~empty | (hollow[row] > spare[row])
             keys.append(T.mix(total ^ tag)[keep])
             owner.append(row[keep])
         key, row = np.concatenate(keys), np.concatenate(owner)
@@ -143,7 +155,7 @@ def _documents(docs, id_col, text_col, shingle, percent, part_bytes) -> DataFram
     """Sizes of all documents; set, bitmap and shared keys of those that share a key."""
     total = X.text_bytes(docs, text_col)
     parts = X.deal(docs, id_col, text_col, total, part_bytes)
-    shards = X.shard_count(total / 6 * 0.3)
+    shards = X.shard_count(total / 6 * 3 * (100 - percent) / 100)
     answers = X.seen_elsewhere(parts, lambda t: _Sets(t, shingle, percent).key, shards)
 
     def rows(table: pa.Table, seen: pa.Table) -> pa.Table:

@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-import atexit
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from pricelake.session import scratch_path
 
-_KEPT: dict[str, SparkSession] = {}
-
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back:
     cuts the lineage, and a lost executor re-reads instead of recomputing.
-    The table is deleted when the session's process ends, or by ``drop``."""
+    The table is deleted when the driver process ends, or by ``drop``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    if not _KEPT:
-        atexit.register(_drop_all)
-    _KEPT[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
     out._stage_path = path
     return out
@@ -28,18 +21,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def drop(df: DataFrame) -> None:
     """Delete a stage table that nothing reads any more."""
-    path = getattr(df, "_stage_path", None)
-    if path in _KEPT:
-        _remove(_KEPT.pop(path), path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _drop_all() -> None:
-    for path, spark in list(_KEPT.items()):
-        if spark._jsc is not None and spark._jsc.sc().isStopped() is False:
-            _remove(spark, path)
-    _KEPT.clear()
+    spark, path = df.sparkSession, getattr(df, "_stage_path", None)
+    if path:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -38,7 +38,7 @@ BENCHMARK = " ".join(words("exam", 12))
 def brute(rows, rejected):
     rows = [r for r in rows if (r[0], r[1]) not in rejected]
     # near duplicates: the smallest id of each group, repeated rows once
-    group = {i: c for i, _, c in brute_links([(r[0], r[1]) for r in rows])}
+    group = {i: c for i, _, c in brute_links([(r[0], r[1]) for r in rows], 80, 5)}
     seen, kept = set(), []
     for r in rows:
         if r[0] is None or group[r[0]] == r[0] and (r[0], r[1]) not in seen:

@@ -98,11 +98,12 @@ def test_difference_cover_and_equal_classes():
         assert len(set(want.values())) == len(want)
 
 
-def brute_links(rows, percent=90):
+def brute_links(rows, percent=90, shingle=3):
     sets = {}
     for i, t in rows:
         w = WORD.findall((t or "").translate(LOWER))
-        sets.setdefault(i, []).append({tuple(w[k:k + 3]) for k in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set())
+        sets.setdefault(i, []).append({tuple(w[k:k + shingle]) for k in range(len(w) - shingle + 1)}
+                                      if len(w) >= shingle else {tuple(w)} if w else set())
     nodes = [(i, s) for i, many in sets.items() for s in many if i is not None and s]
     boss = {i: i for i in sets if i is not None}
 
@@ -118,22 +119,23 @@ def brute_links(rows, percent=90):
     return sorted(((i, len(s), None if i is None else find(i)) for i, many in sets.items() for s in many), key=repr)
 
 
-@pytest.mark.parametrize("part_bytes,block", [(2_000, 2), (4 << 20, 2048)])
-def test_ngram_join(spark, part_bytes, block):
+@pytest.mark.parametrize("part_bytes,block,shingle,percent", [(2_000, 2, 3, 90), (4 << 20, 2048, 5, 80)])
+def test_ngram_join(spark, part_bytes, block, shingle, percent):
     base = [f"b{k}" for k in range(220)]
     rows = texts()
     for k in range(14):  # a chain of near copies, and near copies that the smallest of them misses
         rows.append((100 + k, " ".join(base[:k * 4] + ["edit"] * (k > 0) + base[k * 4:])))
         rows.append((200 + k, " ".join(base[4 * k:4 * k + 160])))
     rows += [(300 + k, " ".join(f"s{j}" for j in range(11 + k))) for k in range(6)]
-    got = ngram_join.link_groups(documents(spark, rows), part_bytes=part_bytes, block=block)
-    assert rows_of(got, "doc_id", "n_shingles", "component_id") == brute_links(rows)
+    got = ngram_join.link_groups(documents(spark, rows), part_bytes=part_bytes, block=block, shingle=shingle, percent=percent)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == brute_links(rows, percent, shingle)
 
 
-def test_bands_hold_every_link():
-    bands = ngram_join.size_bands(5000, 90)
+@pytest.mark.parametrize("percent", [50, 80, 90, 97])
+def test_bands_hold_every_link(percent):
+    bands = ngram_join.size_bands(9000, percent)
     for n in range(1, 4000):
-        largest = n * 100 // 90
+        largest = n * 100 // percent
         a, b = np.searchsorted(bands, [n, largest], side="right")
         assert b - a <= 1
 
