@@ -1,13 +1,13 @@
 """Language ID by nearest TF-IDF n-gram centroids (operator 5).
 
-A text is the normalised TF-IDF vector of its hashed letter bigrams and
-trigrams (lower case, anything but letters is a gap). Document frequencies
+A text is the normalised TF-IDF vector of its hashed letters, bigrams
+and trigrams (lower case, anything but letters is a gap). Document frequencies
 count every learning document. Each language is clustered (spherical k-means)
-on a bounded sample, ``SAMPLE`` documents of the lowest id hashes, into a few
-centroids. A text gets the language of the centroid with the highest cosine,
+on a bounded sample, about ``SAMPLE`` documents picked by their id hashes, into a
+few centroids. A text gets the language of the centroid with the highest cosine,
 and is rejected when that cosine is far below what the language's own
-sample reaches (``REJECT`` of its first percentile), as are texts without
-letters.
+sample reaches (``REJECT`` of its first percentile; short texts come near it,
+other scripts stay below), as are texts without letters.
 
 Null texts and texts without a letter get ``und`` and score 0. Without any
 labelled learning document every text gets ``und``. Null languages aren't
@@ -20,18 +20,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from pricelake.llm import arrowtext as T
+from pricelake.llm.scratch import stage
 
 #: Hashed n-gram dimensions.
 DIMS = 4096
-#: Learning documents per language that the clustering uses at most.
+#: Learning documents per language that the clustering uses, on average; all of a rarer language.
 SAMPLE = 400
 CENTROIDS = 4
 #: Share of the language's first-percentile cosine below which a text is rejected.
-REJECT = 0.25
+REJECT = 0.1
 #: Rows whose dense vectors are held at a time.
 ROWS = 256
 
@@ -59,12 +60,13 @@ def counts(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int) -> np.ndarra
         base = offsets[a]
         x = _folded(data[base:offsets[z]]).astype(np.uint32)
         n = len(x)
-        if n < 2:
+        if not n:
             continue
         row = np.repeat(np.arange(z - a, dtype=np.int64), np.diff(offsets[a:z + 1])) * DIMS
         two = x[:-1] << 8 | x[1:]
         same = row[:-1] == row[1:]
-        cells = [(row[:-1] + ((two * np.uint32(0x9E3779B1)) >> 20).astype(np.int64))[same & ((two & 0xFF) != 32)]]
+        cells = [(row + ((x * np.uint32(0xC2B2AE3D)) >> 20).astype(np.int64))[x != 32],
+                 (row[:-1] + ((two * np.uint32(0x9E3779B1)) >> 20).astype(np.int64))[same & ((two & 0xFF) != 32)]]
         if n > 2:
             three = x[:-2] << 16 | two[1:]
             ok = (row[:-2] == row[2:]) & ((three >> 8 & 0xFF) != 32)
@@ -147,11 +149,13 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     df = np.zeros(DIMS + 1)
     for r in known.select("text").mapInArrow(frequencies, "dim long, df long").groupBy("dim").agg(F.sum("df")).collect():
         df[r[0]] = r[1]
-    idf = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1e-3).astype(np.float32)
+    idf = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1).astype(np.float32)
 
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    cut = known.select("lang", "h").withColumn("r", rank).filter(F.col("r") <= sample).groupBy("lang").agg(F.max("h").alias("cut"))
-    chosen = known.join(cut, "lang").filter("h <= cut").select("lang", "text")
+    # a share of each language's id hashes, by its number of documents: no
+    # language is gathered to pick it, and the small table keeps the texts where they are
+    share = stage(known.groupBy("lang").agg(F.least(F.lit(sample) / F.count(F.lit(1)), F.lit(1.0)).alias("share")), "langs")
+    place = F.pmod(F.col("h"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    chosen = known.join(share, "lang").filter(place < F.col("share")).select("lang", "text")
 
     def fit(table: pa.Table) -> pa.Table:
         data, off = T.flat(table.column("text"))
