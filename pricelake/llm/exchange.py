@@ -52,6 +52,17 @@ def shard_bounds(keys: np.ndarray, shards: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, cuts), [len(keys)]))
 
 
+def narrow(values: np.ndarray) -> bytes:
+    """The low 40 bits of each value, packed."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def wide(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
+    return out.reshape(-1).view(np.uint64)
+
+
 _ASK = "shard int, part int, twice binary, keys binary"
 _ANSWER = "part int, shard int, bits binary"
 
@@ -61,7 +72,7 @@ def seen_elsewhere(parts: DataFrame, keys_of, shards: int) -> DataFrame:
     whether any other row of the corpus has it.
 
     ``keys_of(table)`` gives the keys of a part's rows as uint64, repeats
-    included. Keys travel as their low 32 bits inside a shard, so a set bit
+    included. Keys travel as their low 40 bits inside a shard, so a set bit
     may rarely be wrong and a clear bit never is; callers compare exactly.
     """
 
@@ -72,13 +83,13 @@ def seen_elsewhere(parts: DataFrame, keys_of, shards: int) -> DataFrame:
         for s in np.flatnonzero(np.diff(at)):
             lo, hi = at[s], at[s + 1]
             out.append((int(s), part, np.packbits(counts[lo:hi] > 1).tobytes(),
-                        keys[lo:hi].astype(np.uint32).tobytes()))
+                        narrow(keys[lo:hi])))
         return _table(out, pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("twice", pa.binary()),
                                       ("keys", pa.binary())]))
 
     def answer(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        keys = [np.frombuffer(b, np.uint32) for b in table.column("keys").to_pylist()]
+        keys = [wide(b) for b in table.column("keys").to_pylist()]
         ends = np.cumsum([len(k) for k in keys])
         twice = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(k)).astype(bool)
                  for b, k in zip(table.column("twice").to_pylist(), keys)]

@@ -10,8 +10,9 @@ reaches a percentage (0.9 here; any from 50 on). Exact, up to 64-bit hashes:
    agree on more than E of them, so on one that is not empty unless both have
    more than E empty ones (E makes that rare; such documents use empty
    segments too). The hash of a segment's content is a key; documents with a
-   common key form a tile.
-   Keys that no other document has are found by ``exchange.seen_elsewhere``.
+   common key form a tile. ``exchange.seen_elsewhere`` finds the keys that
+   other documents have, and a document with fewer of them than any link
+   agrees on is out.
 2. *Copies.* Documents with equal sets are one class, held by its smallest id.
 3. *Stars.* In each tile every document is compared with the tile's smallest
    id; that links the bulk of any group of near copies, in linear work.
@@ -102,7 +103,7 @@ class _Sets:
         band = np.searchsorted(bands, self.n, side="right") - 1
         values = np.concatenate((np.zeros(1, _U), np.cumsum(T.mix(self.grams))))
         of_row = np.repeat(np.arange(len(self.n)), self.n)
-        keys, owner = [], []
+        keys, owner, need, role = [], [], [], []
         # own band, where a partner may be smaller or larger; and the band below, as the larger partner
         for b in (band, band - 1):
             use = rows[b[rows] >= 0]
@@ -128,9 +129,18 @@ class _Sets:
             keep = ~empty | (hollow[row] > spare[row])
             keys.append(T.mix(total ^ tag)[keep])
             owner.append(row[keep])
-        key, row = np.concatenate(keys), np.concatenate(owner)
+            role.append(np.full(int(keep.sum()), len(role)))
+            # a link agrees on more than E segments, and at most these are empty
+            need.append(np.maximum(1, 1 + spare - hollow))
+        key, row, part = np.concatenate(keys), np.concatenate(owner), np.concatenate(role)
         order = np.argsort(row, kind="stable")
-        self.key, self.key_row = key[order], row[order]
+        self.key, self.key_row, self.key_role, self.need = key[order], row[order], part[order], np.stack(need)
+
+    def enough(self, seen: np.ndarray) -> np.ndarray:
+        """The seen keys of rows that have as many as a link needs, by role."""
+        place = self.key_role * len(self.n) + self.key_row
+        have = np.bincount(place[seen], minlength=2 * len(self.n))
+        return seen & (have >= self.need.ravel())[place]
 
 
 def bitmap(grams: np.ndarray) -> bytes:
@@ -163,7 +173,7 @@ def _documents(docs, id_col, text_col, shingle, percent, part_bytes) -> DataFram
             return _DOC.empty_table()
         s = _Sets(table, shingle, percent)
         distinct, where = np.unique(s.key, return_inverse=True)
-        live = X.answered(seen, distinct, shards)[where] if len(distinct) else np.zeros(0, bool)
+        live = s.enough(X.answered(seen, distinct, shards)[where]) if len(distinct) else np.zeros(0, bool)
         key, row = s.key[live].view(np.int64), s.key_row[live]
         at = np.searchsorted(row, np.arange(table.num_rows + 1))
         shared = np.diff(at) > 0
@@ -245,15 +255,17 @@ def _across(table: pa.Table, percent: int) -> pa.Table:
 def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                 percent: int = PERCENT, part_bytes: int = X.PART_BYTES, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    every = stage(_documents(docs, id_col, text_col, shingle, percent, part_bytes), "sets")
-    live = every.filter("size(keys) > 0")
-    classes = live.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("rep"))
-    held = stage(classes, "classes")
-    copies = live.select("doc_id", "n", "sig_a", "sig_b").join(held, ["n", "sig_a", "sig_b"]).select("doc_id", "rep")
+    found = stage(_documents(docs, id_col, text_col, shingle, percent, part_bytes), "sets")
+    every = stage(found.select("doc_id", "n", "sig_a", "sig_b", (F.size("keys") > 0).alias("live")), "documents")
+    live = every.filter("live")
+    held = stage(live.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("rep")), "classes")
+    copies = live.join(held, ["n", "sig_a", "sig_b"]).select("doc_id", "rep")
     # one row a class: rows that share a doc_id may hold several sets, so the set decides too
-    sets = (live.join(held.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "sig_a", "sig_b"], "left_semi")
-            .dropDuplicates(["doc_id"]))
+    sets = (found.filter("size(keys) > 0")
+            .join(held.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "sig_a", "sig_b"], "left_semi")
+            .dropDuplicates(["doc_id"]).drop("sig_a", "sig_b"))
     sets = stage(sets, "reps")
+    drop(found)
     tiles = sets.select("doc_id", F.explode("keys").alias("key")).distinct()
     hubs = (tiles.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top"))
             .filter("hub < top").select("key", "hub"))
@@ -285,7 +297,7 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         joined = components(links.union(more))
     nodes = (copies.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
              .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("found")))
-    for t in (stars, tiles):
+    for t in (stars, tiles, sets):
         drop(t)
     return (every.select("doc_id", F.col("n").alias("n_shingles")).join(nodes, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id")))

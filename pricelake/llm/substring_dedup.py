@@ -84,17 +84,6 @@ class _Runs:
         return live, a, z, pick, count[order], rank[back], self.keys[live][pick]
 
 
-def _five(codes: np.ndarray) -> bytes:
-    """The upper 40 bits of each hash, packed."""
-    return np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
-
-
-def _wide(packed: bytes) -> np.ndarray:
-    out = np.zeros((len(packed) // 5, 8), np.uint8)
-    out[:, 3:] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
-    return out.reshape(-1).view(np.uint64)
-
-
 def locate(codes: np.ndarray, sizes: np.ndarray, twice: np.ndarray, window: int) -> np.ndarray:
     """For the runs of a shard (``sizes`` words each, concatenated in
     ``codes``): a mask of the words at which a recurring window starts.
@@ -170,14 +159,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             p = pick[at[s]:at[s + 1]]
             words = r.words[T.ranges(a[p], z[p] - a[p])]
             out.append((int(s), part, r.lens[live][p].astype(np.uint16).tobytes(),
-                        np.packbits(count[at[s]:at[s + 1]] > 1).tobytes(), _five(words)))
+                        np.packbits(count[at[s]:at[s + 1]] > 1).tobytes(), X.narrow(words)))
         return X.make_table(out, _RUNS)
 
     def automaton(table: pa.Table) -> pa.Table:
         lens = [np.frombuffer(b, np.uint16).astype(np.int64) for b in table.column("lens").to_pylist()]
         twice = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(k)).astype(np.int64)
                  for b, k in zip(table.column("twice").to_pylist(), lens)]
-        codes = _wide(b"".join(table.column("codes").to_pylist()))
+        codes = X.wide(b"".join(table.column("codes").to_pylist()))
         every = np.concatenate(lens)
         hit = locate(codes, every + window - 1, np.concatenate(twice), window)
         starts = np.concatenate(([0], np.cumsum(every + window - 1)))[:-1]
