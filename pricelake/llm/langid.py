@@ -115,10 +115,12 @@ class Model:
         """(language number or -1, cosine, rejected) of each row."""
         n = len(offsets) - 1
         lang, score, reject = np.full(n, -1), np.zeros(n), np.ones(n, bool)
-        letters = has_letter(data, offsets)
+        letters = np.zeros(n, bool)
         if self.langs:
             for lo in range(0, n, ROWS):
                 hi = min(n, lo + ROWS)
+                own = offsets[lo:hi + 1] - offsets[lo]
+                letters[lo:hi] = has_letter(data[offsets[lo]:offsets[hi]], own)
                 cos = vectors(counts(data, offsets, lo, hi), self.idf) @ self.centroids[0].T
                 best = np.argmax(cos, axis=1)
                 lang[lo:hi] = self.centroids[1][best]
