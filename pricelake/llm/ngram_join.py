@@ -15,9 +15,11 @@ reaches a percentage (0.9 here; any from 50 on). Exact, up to 64-bit hashes:
    agrees on is out.
 2. *Copies.* Documents with equal sets are one class, held by its smallest id.
 3. *Stars.* In each tile every document is compared with the tile's smallest
-   id; that links the bulk of any group of near copies, in linear work.
-4. *Rest.* Only tiles that then still hold several components are compared
-   member against member, across components, in blocks of bounded size.
+   id, its hub; that links the bulk of any group of near copies, in linear work.
+4. *Rest.* Tiles of the same hub are one bundle, in which a document stands
+   once however many tiles it shares. Only bundles that then still hold
+   several components are compared member against member, across
+   components, in blocks of bounded size.
 
 Each comparison first bounds the overlap by the bit counts of hashed bitmaps,
 ``overlap <= (n_a + n_b - popcount(a xor b)) / 2``, and what passes is decided
@@ -41,7 +43,7 @@ from pricelake.llm.scratch import drop, stage
 
 SHINGLE = 3
 PERCENT = 90
-#: Members of a block of a tile that is compared member against member.
+#: Members of a block of a bundle that is compared member against member.
 BLOCK = 2048
 
 _U = np.uint64
@@ -230,7 +232,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(table: pa.Table, percent: int) -> pa.Table:
-    """Pairs of a block of a tile, in different components, that the bitmaps allow."""
+    """Pairs of a block of a bundle, in different components, that the bitmaps allow."""
     table = table.sort_by([("n", "ascending"), ("doc_id", "ascending")])
     ids, comp, n = (table.column(x).to_numpy() for x in ("doc_id", "component", "n"))
     side = table.column("side").to_numpy()
@@ -269,27 +271,26 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tiles = sets.select("doc_id", F.explode("keys").alias("key")).distinct()
     hubs = (tiles.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top"))
             .filter("hub < top").select("key", "hub"))
-    tiles = stage(tiles.join(hubs, "key"), "tiles")
-    stars = stage(tiles.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct(),
-                  "stars")
+    bundles = stage(tiles.join(hubs, "key").select("hub", "doc_id").distinct(), "bundles")
+    stars = bundles.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     links = stage(_verified(stars, sets, percent), "links")
     joined = components(links)
 
-    # tiles that hold several components, member against member in blocks
-    named = (tiles.select("key", "doc_id").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    # bundles that hold several components, member against member in blocks
+    named = (bundles.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
              .withColumn("component", F.coalesce("component", "doc_id")))
-    open_ = (named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+    open_ = (named.groupBy("hub").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                       F.count(F.lit(1)).alias("members"))
-             .filter("lo < hi").select("key", F.ceil(F.col("members") / block).cast("int").alias("blocks")))
-    member = named.join(open_, "key").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+             .filter("lo < hi").select("hub", F.ceil(F.col("members") / block).cast("int").alias("blocks")))
+    member = named.join(open_, "hub").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     # block pairs (x <= y): a member of block o stands in (o, y) and (x, o)
-    placed = member.select("key", "doc_id", "component", "own",
+    placed = member.select("hub", "doc_id", "component", "own",
                            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    placed = placed.select("doc_id", "component", "key", F.least("own", "other").alias("x"),
+    placed = placed.select("doc_id", "component", "hub", F.least("own", "other").alias("x"),
                            F.greatest("own", "other").alias("y"),
                            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0)
                            .otherwise(1).alias("side"))
-    rest = (placed.join(sets.select("doc_id", "n", "bits"), "doc_id").groupBy("key", "x", "y")
+    rest = (placed.join(sets.select("doc_id", "n", "bits"), "doc_id").groupBy("hub", "x", "y")
             .applyInArrow(lambda t: _across(t, percent), "a long, b long").distinct()
             .join(stars, ["a", "b"], "left_anti"))
     more = stage(_verified(rest, sets, percent), "links")
@@ -297,7 +298,7 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         joined = components(links.union(more))
     nodes = (copies.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
              .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("found")))
-    for t in (stars, tiles, sets):
+    for t in (bundles, sets):
         drop(t)
     return (every.select("doc_id", F.col("n").alias("n_shingles")).join(nodes, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id")))
