@@ -199,7 +199,9 @@ def text_of(page: str, main: str | None) -> str:
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    mains = main_elements(templates(pages, id_col, url_col, html_col))
+    # a row per host, measured before it meets the pages: Spark broadcasts it if
+    # it is small, and splits hot hosts if it is not
+    mains = stage(main_elements(templates(pages, id_col, url_col, html_col)), "mains")
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                        host_of(F.col(url_col)).alias("host"))
 
