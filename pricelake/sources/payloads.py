@@ -31,25 +31,12 @@ def is_object(x) -> Column:
 
 def truthy(x) -> Column:
     """Python ``bool(x)`` of a JSON value."""
-    t = vtype(x)
-    num = F.try_variant_get(_col(x), "$", "double")
-    return (F.when(t == "VOID", False)
-            .when(t == "BOOLEAN", F.try_variant_get(_col(x), "$", "boolean"))
-            .when(t == "STRING", F.length(F.try_variant_get(_col(x), "$", "string")) > 0)
-            .when(t.startswith("ARRAY"), F.size(F.try_variant_get(_col(x), "$", "array<variant>")) > 0)
-            .when(t.startswith("OBJECT"), t != "OBJECT<>")
-            .otherwise(F.coalesce(num != 0, F.lit(False))))
+    return _truthy_typed(_col(x), vtype(x))
 
 
 def py_text(x) -> Column:
     """``str(x or "").strip()`` for JSON scalars."""
-    t = vtype(x)
-    s = F.try_variant_get(_col(x), "$", "string")
-    floaty = t.startswith("DECIMAL") | (t == "DOUBLE") | (t == "FLOAT")
-    s = (F.when(t == "BOOLEAN", F.lit("True"))
-         .when(floaty & ~s.contains(".") & ~F.upper(s).contains("E"), F.concat(s, F.lit(".0")))
-         .otherwise(s))
-    return F.when(truthy(x), strip(s)).otherwise(F.lit(""))
+    return _text_typed(_col(x), vtype(x), truthy(x))
 
 
 # ---- S3 -------------------------------------------------------------------------
