@@ -282,6 +282,7 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     open_ = (named.groupBy("hub").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                       F.count(F.lit(1)).alias("members"))
              .filter("lo < hi").select("hub", F.ceil(F.col("members") / block).cast("int").alias("blocks")))
+    open_ = stage(open_, "open")  # a row per open bundle, measured before it meets the members
     member = named.join(open_, "hub").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     # block pairs (x <= y): a member of block o stands in (o, y) and (x, o)
     placed = member.select("hub", "doc_id", "component", "own",
@@ -298,7 +299,7 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         joined = components(links.union(more))
     nodes = (copies.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
              .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("found")))
-    for t in (bundles, sets):
+    for t in (bundles, open_, sets):
         drop(t)
     return (every.select("doc_id", F.col("n").alias("n_shingles")).join(nodes, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id")))
