@@ -69,8 +69,8 @@ def content_features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
             return np.bincount(of, weights=x, minlength=hi - lo) / some
         last = _CLASS_OF[sub[e - 1]] if len(e) else np.zeros(0, np.uint8)
         hashes = T.word_hashes(sub, s, e)
-        pair = np.unique(np.stack([of.astype(np.uint64), hashes]), axis=1)[0].astype(np.int64) if len(of) else of
-        distinct = np.bincount(pair, minlength=hi - lo) / some
+        _, once = np.unique(T.mix(hashes + T.mix(of.astype(np.uint64))), return_index=True)
+        distinct = np.bincount(of[once], minlength=hi - lo) / some
         lines = np.bincount(row[sub == 10], minlength=hi - lo) + 1
         block = out[lo:hi]
         block[:, :_N] = share
