@@ -1,23 +1,24 @@
 """HTML extraction by equivalence-class template deduction (operator 10).
 
-Pages of a host come from one template. Tokens are tags with the path of
-block elements they stand in. Per host:
+Pages of a host come from one template. Tokens are tags, and texts by their
+content, with the path of block elements they stand in. Per host:
 
-1. *Occurrence vectors.* A token's counts over the host's pages are
+1. *Values.* Class, id and role values that fewer than half the host's pages
+   hold (post numbers) are a page's own and are left out of the paths.
+2. *Occurrence vectors.* A token's counts over the host's pages are
    fingerprinted by a sum of hashes of (page, count), an aggregate that is
    combined map-side, so a host with a third of all pages is no hot task.
-2. *Equivalence classes.* Tokens with equal vectors form a class. A class is
+   Pages of equal html count once.
+3. *Equivalence classes.* Tokens with equal vectors form a class. A class is
    valid if it holds an element's opening tag, occurs once a page and on at
    least half the host's pages: what always comes together comes from the
-   template. Paths nest the valid classes in one another.
-3. *Main slot.* Of the template's elements, ``article`` and ``main`` hold the
-   text; a host without them uses the deepest element that still holds most
-   of the text outside boilerplate.
-4. *Extraction.* Each page's slots below its main element are joined, without
-   boilerplate: menus, headers, footers, sidebars, notices, adverts, forms,
-   comments (by element name, or a word of class, id or role), scripts, styles.
-   Pages without the host's main element fall back to their own ``article``
-   or ``main``, then to the whole body.
+   template. A text in a valid class is the template's, not a slot's, on a
+   host of at least three different pages.
+4. *Extraction.* The slots are the other texts. Each page's slots are joined in
+   their order, without boilerplate: menus, headers, footers, sidebars, notices,
+   adverts, forms, comments (by element name, or a word of class, id or role),
+   scripts, styles. Where a page has ``article`` or ``main``, they hold the text.
+   A page that would be left without text keeps the template's.
 
 Null and empty html give the empty text. Pages without a parsable url share
 one nameless host. Nothing is cut off; other input columns are ignored.
@@ -25,8 +26,11 @@ one nameless host. Nothing is cut off; other input columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
+from collections import Counter
+from itertools import chain
 
 import pyarrow as pa
 
@@ -50,20 +54,29 @@ _MARKS = frozenset("ad ads advert adverts advertisement advertising banner bread
 _CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
                       "main nav ol p pre section table ul".split())
 
+#: Share of a host's pages on which a class must occur, and the different pages a host needs for its constant texts to count.
+SUPPORT = 0.5
+EVIDENCE = 3
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + _RAW + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
                     r"|<(?P<close>/?)(?P<name>[a-z][\w:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
                     r"|<[!?/][^>]*>", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
-def label_of(name: str, rest: str) -> tuple[str, bool]:
-    """(token label, whether the element is boilerplate)."""
-    marks = sorted({w.lower() for m in _ATTR.finditer(rest) for w in (m[2] or m[3] or m[4] or "").split()}) if "=" in rest else []
+def marks_of(rest: str) -> list[str]:
+    """The class, id and role values of a tag."""
+    return sorted({w.lower() for m in _ATTR.finditer(rest) for w in (m[2] or m[3] or m[4] or "").split()}) if "=" in rest else []
+
+
+def label_of(name: str, rest: str, known=None) -> tuple[str, bool]:
+    """(token label, whether the element is boilerplate). Only values in ``known`` are in the label (None: all)."""
+    marks = marks_of(rest)
     skip = name in _SKIP or any(p in _MARKS for w in marks for p in re.split(r"[-_]+", w))
-    return name + "".join("." + w for w in marks), skip
+    return name + "".join("." + w for w in marks if known is None or w in known), skip
 
 
-def walk(page: str):
+def walk(page: str, known=None):
     """Tokens of a page in order: ("open", path, skip), ("close", path, skip),
     ("break", ...), and ("text", path, skip, text). Paths name the open block elements."""
     stack: list[tuple[str, str, bool]] = []  # name, path, inside boilerplate
@@ -95,7 +108,7 @@ def walk(page: str):
                 yield "close", stack[-1][1], skip, None
                 del stack[-1]
             above, hidden = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-            label, boiler = label_of(name, m["rest"])
+            label, boiler = label_of(name, m["rest"], known)
             stack.append((name, f"{above}/{label}", hidden or boiler))
             yield "open", stack[-1][1], stack[-1][2], None
         path, skip = (stack[-1][1], stack[-1][2]) if stack else ("", False)
@@ -107,22 +120,62 @@ def _name(path: str) -> str:
     return path.rsplit("/", 1)[-1].split(".", 1)[0]
 
 
+def slots(page: str, known=None):
+    """(kind, path, skip, text) of a page's tokens; the pieces of one text between two block tags are one, unescaped."""
+    pieces: list[str] = []
+    where = "", False
+    for kind, path, skip, text in chain(walk(page, known), [("break", "", False, None)]):
+        if kind == "text":
+            pieces.append(text)
+            where = path, skip
+            continue
+        if pieces:
+            joined = " ".join(_html.unescape("".join(pieces)).split())
+            pieces = []
+            if joined:
+                yield "text", *where, joined
+        yield kind, path, skip, None
+
+
+def key_of(path: str, text: str) -> int:
+    """A text's token: its content at its path."""
+    return int.from_bytes(hashlib.blake2b(f"{path}\0{text}".encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def _values(batches):
+    """One row per page and class, id or role value of its tags."""
+    for batch in batches:
+        out = []
+        for host, copy, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            found = {w for m in _TOKEN.finditer(page) if m["name"] and not m["close"] and "=" in m["rest"]
+                     and m["name"].lower() not in _INLINE for w in marks_of(m["rest"])}
+            out += [(host, copy, w) for w in found]
+        cols = list(zip(*out)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, [pa.string(), pa.int64(), pa.string()])],
+                                         names=["host", "copy", "value"])
+
+
 def _tokens(batches):
-    """One row per page and token: its count, and the text directly inside it."""
+    """One row per page and token: its count. Texts are tokens by their content and path."""
     for batch in batches:
         out = []
-        for host, page_id, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            seen: dict[tuple[str, bool], list] = {}
-            for kind, path, skip, text in walk(page or ""):
+        for host, copy, page, known in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            seen: Counter = Counter()
+            chars: Counter = Counter()
+            known = frozenset(known or ())
+            for kind, path, skip, text in slots(page, known):
+                if skip or not path or kind == "break":
+                    continue
                 if kind == "text":
-                    if not skip and path and not text.isspace():
-                        seen.setdefault((path, True), [0, 0])[1] += len(text)
-                elif kind in ("open", "close") and not skip:
-                    seen.setdefault((path, kind == "open"), [0, 0])[0] += 1
-            out += [(host, page_id, path, opening, n, chars) for (path, opening), (n, chars) in seen.items()]
-        cols = list(zip(*out)) or [()] * 6
-        types = [pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64()]
-        names = ["host", "page_id", "path", "opening", "n", "chars"]
+                    chars[path] += len(text)
+                    seen[path, kind, key_of(path, text)] += 1
+                else:
+                    seen[path, kind, 0] += 1
+            out += [(host, copy, path, kind, key, n, chars[path] if kind == "open" else 0)
+                    for (path, kind, key), n in seen.items()]
+        cols = list(zip(*out)) or [()] * 7
+        types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["host", "copy", "path", "kind", "key", "n", "chars"]
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=names)
 
 
@@ -131,88 +184,81 @@ def host_of(url_col):
                       F.lit(""))
 
 
+def _source(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """(host, copy, html) of the pages with html; pages of equal html share ``copy``."""
+    return (pages.filter(F.length(html_col) > 0)
+            .select(host_of(F.col(url_col)).alias("host"), F.xxhash64(html_col).alias("copy"), F.col(html_col).alias("html")))
+
+
+def host_values(pages: DataFrame, url_col: str = "url", html_col: str = "html", support: float = SUPPORT) -> DataFrame:
+    """(host, all_pages, known): the different pages of a host, and the class,
+    id and role values that at least ``support`` of them hold; the others are a page's own."""
+    src = _source(pages, url_col, html_col)
+    total = src.select("host", "copy").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    values = (src.mapInArrow(_values, "host string, copy long, value string").distinct()
+              .groupBy("host", "value").agg(F.count(F.lit(1)).alias("pages")))
+    often = (values.join(total, "host").filter(F.col("pages") >= F.col("all_pages") * support)
+             .groupBy("host").agg(F.collect_list("value").alias("known")))
+    return total.join(often, "host", "left")
+
+
+def classes(pages: DataFrame, values: DataFrame, url_col: str = "url", html_col: str = "html",
+            support: float = SUPPORT) -> DataFrame:
+    """(host, class_id, path, kind, key, pages, all_pages, chars): the tokens of each host's valid equivalence classes."""
+    src = _source(pages, url_col, html_col).join(values.select("host", "known"), "host", "left")
+    schema = "host string, copy long, path string, kind string, key long, n long, chars long"
+    tokens = src.select("host", "copy", "html", "known").mapInArrow(_tokens, schema)
+    # copies of a page are one page of evidence
+    once = tokens.groupBy("host", "copy", "path", "kind", "key").agg(F.max("n").alias("n"), F.max("chars").alias("chars"))
+    vector = F.xxhash64("copy", "n")
+    roles = once.groupBy("host", "path", "kind", "key").agg(
+        F.count(F.lit(1)).alias("pages"), F.max("n").alias("most"), F.sum("chars").alias("chars"),
+        F.bit_xor(vector).alias("v1"), F.sum(F.pmod(vector, F.lit(1 << 31))).alias("v2"))
+    valid = stage(roles.join(values.select("host", "all_pages"), "host")
+                  .filter((F.col("pages") >= F.col("all_pages") * support) & (F.col("most") == 1)), "roles")
+    opened = (valid.filter("kind = 'open'").select("host", "v1", "v2").distinct()
+              .withColumn("class_id", F.xxhash64("v1", "v2")))
+    return valid.join(opened, ["host", "v1", "v2"]).select("host", "class_id", "path", "kind", "key", "pages", "all_pages", "chars")
+
+
 def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-              support: float = 0.5) -> DataFrame:
+              support: float = SUPPORT) -> DataFrame:
     """(host, class_id, path, pages, chars): the elements of each host's valid
-    equivalence classes, with the text that stands below each."""
-    src = pages.select(host_of(F.col(url_col)).alias("host"), F.col(id_col).cast("long").alias("page_id"),
-                       F.col(html_col).alias("html"))
-    tokens = src.mapInArrow(_tokens, "host string, page_id long, path string, opening boolean, n long, chars long")
-    vector = F.xxhash64("page_id", "n")
-    roles = stage(tokens.groupBy("host", "path", "opening")
-                  .agg(F.count(F.lit(1)).alias("pages"), F.max("n").alias("most"), F.sum("chars").alias("chars"),
-                       F.bit_xor(vector).alias("v1"), F.sum(F.pmod(vector, F.lit(1 << 31))).alias("v2")), "roles")
-    total = src.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
-    valid = (roles.join(total, "host").filter((F.col("pages") >= F.col("all_pages") * support) & (F.col("most") == 1)))
-    classes = (valid.groupBy("host", "v1", "v2").agg(F.max("opening").alias("opens"))
-               .filter("opens").select("host", "v1", "v2", F.xxhash64("v1", "v2").alias("class_id")))
-    elements = valid.filter("opening").join(classes, ["host", "v1", "v2"]).select("host", "class_id", "path", "pages")
-    # text below an element: its own and that of every token whose path it leads
-    steps = F.split(F.substring("path", 2, 1 << 30), "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(steps)),
-                        lambda k: F.concat(F.lit("/"), F.array_join(F.slice(steps, 1, k), "/")))
-    below = (roles.filter("opening AND chars > 0").select("host", F.explode(above).alias("path"), "chars")
-             .groupBy("host", "path").agg(F.sum("chars").alias("chars")))
-    return elements.join(below, ["host", "path"], "left").select(
-        "host", "class_id", "path", "pages", F.coalesce("chars", F.lit(0)).alias("chars"))
-
-
-def main_elements(template: DataFrame, most: float = 0.6) -> DataFrame:
-    """(host, main): the element path that holds each host's main text."""
-    last = F.element_at(F.split("path", "/"), -1)
-    name = F.regexp_extract(last, r"^[^.]+", 0)
-    depth = F.size(F.split("path", "/"))
-    named = name.isin(*sorted(_MAIN))
-    body = F.max(F.when(depth <= 3, F.col("chars")))  # html or body holds all text of a page
-    biggest = template.groupBy("host").agg(body.alias("whole"))
-    rank = F.struct(F.when(named, 1).otherwise(0), F.when(named, F.col("chars")).otherwise(F.lit(0)),
-                    F.when(named, -depth).otherwise(depth), F.col("path"))
-    fits = template.join(biggest, "host").filter(named | (F.col("chars") >= F.col("whole") * most) & (F.col("chars") > 0))
-    return fits.groupBy("host").agg(F.max_by("path", rank).alias("main"))
-
-
-def text_of(page: str, main: str | None) -> str:
-    """The text of a page's slots below ``main``, else below its own article
-    or main element, else of all its body."""
-    blocks: dict[str, list[list[str]]] = {"main": [[]], "own": [[]], "all": [[]]}
-    found = {"main": False, "own": False, "all": True}
-    for kind, path, skip, text in walk(page):
-        if kind != "text":
-            if kind == "open" and not skip:
-                found["main"] |= path == main
-                found["own"] |= _name(path) in _MAIN
-            for b in blocks.values():
-                if b[-1]:
-                    b.append([])
-            continue
-        if skip:
-            continue
-        blocks["all"][-1].append(text)
-        if main is not None and (path == main or path.startswith(main + "/")):
-            blocks["main"][-1].append(text)
-        if any(_name(s) in _MAIN for s in path.split("/")):
-            blocks["own"][-1].append(text)
-    kind = next(k for k in ("main", "own", "all") if found[k])
-    joined = (" ".join(_html.unescape("".join(b)).split()) for b in blocks[kind])
-    return " ".join(b for b in joined if b)
+    equivalence classes, with the text that stands directly in each."""
+    values = stage(host_values(pages, url_col, html_col, support), "values")
+    found = classes(pages, values, url_col, html_col, support)
+    return found.filter("kind = 'open'").select("host", "class_id", "path", "pages", "chars")
+
+
+def text_of(page: str, known=frozenset(), template=frozenset()) -> str:
+    """The text of a page's slots: its texts outside boilerplate that are not of
+    the host's template; of its article or main elements if it has any."""
+    found = [(path, text) for kind, path, skip, text in slots(page, known) if kind == "text" and not skip]
+    own = [(path, text) for path, text in found if key_of(path, text) not in template] if template else found
+    own = own or found
+    named = [(path, text) for path, text in own if any(_name(s) in _MAIN for s in path.split("/"))]
+    return " ".join(text for _, text in named or own)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     # a row per host, measured before it meets the pages: Spark broadcasts it if
     # it is small, and splits hot hosts if it is not
-    mains = stage(main_elements(templates(pages, id_col, url_col, html_col)), "mains")
+    values = stage(host_values(pages, url_col, html_col), "values")
+    constant = (classes(pages, values, url_col, html_col).filter((F.col("kind") == "text") & (F.col("all_pages") >= EVIDENCE))
+                .groupBy("host").agg(F.collect_list("key").alias("template")))
+    hosts = stage(values.select("host", "known").join(constant, "host", "left"), "hosts")
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                        host_of(F.col(url_col)).alias("host"))
 
     def extract(batches):
         for batch in batches:
-            texts = [text_of(p or "", m) for p, m in zip(batch.column("html").to_pylist(),
-                                                        batch.column("main").to_pylist())]
+            texts = [text_of(p or "", frozenset(k or ()), frozenset(t or ()))
+                     for p, k, t in zip(*(batch.column(c).to_pylist() for c in ("html", "known", "template")))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    joined = src.join(mains, "host", "left").select("page_id", "url", "html", "main")
+    joined = src.join(hosts, "host", "left").select("page_id", "url", "html", "known", "template")
     kind = dict(joined.dtypes)["page_id"]
     return joined.mapInArrow(extract, f"page_id {kind}, url string, text string, n_chars long")

@@ -131,3 +131,22 @@ def test_template_without_article(spark):
 
 def test_no_pages(spark):
     assert html_template.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(k, f"http://h.example.com/{k}", h) for k, h in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in html_template.main_text(df).orderBy("page_id").collect()]
+
+
+def test_classes_decide_which_texts_are_the_templates(spark):
+    story = [" ".join(f"word{k}x{j}" for j in range(40)) for k in range(6)]
+    html = ('<html><body class="postid-{k}"><div id="post-{k}"><p>{t}</p><p>Read on in our shop</p><p>Same on two pages {two}</p></div>'
+            '</body></html>')
+    assert texts_of(spark, [html.format(k=k, t=t, two=k // 2) for k, t in enumerate(story)]) == [
+        f"{t} Same on two pages {k // 2}" for k, t in enumerate(story)]
+    df = spark.createDataFrame([(k, "http://h.example.com/", html.format(k=k, t=t, two=0)) for k, t in enumerate(story)],
+                               "page_id long, url string, html string")
+    assert {r.path for r in html_template.templates(df).collect()} == {"/html", "/html/body", "/html/body/div"}
+    # copies are no evidence, and no page is emptied
+    assert texts_of(spark, [html.format(k=0, t=story[0], two=0)] * 4) == [f"{story[0]} Read on in our shop Same on two pages 0"] * 4
+    assert texts_of(spark, [f"<html><body id=b{k}><p>Not found</p></body></html>" for k in range(5)]) == ["Not found"] * 5
