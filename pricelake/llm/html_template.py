@@ -17,7 +17,8 @@ content, with the path of block elements they stand in. Per host:
 4. *Extraction.* The slots are the other texts. Each page's slots are joined in
    their order, without boilerplate: menus, headers, footers, sidebars, notices,
    adverts, forms, comments (by element name, or a word of class, id or role),
-   scripts, styles. Where a page has ``article`` or ``main``, they hold the text.
+   scripts, styles. ``article`` and ``main`` stand for the page only where
+   they hold nearly all of its slots' text, which is asked of every page.
    A page that would be left without text keeps the template's.
 
 Null and empty html give the empty text. Pages without a parsable url share
@@ -57,6 +58,10 @@ _CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure f
 #: Share of a host's pages on which a class must occur, and the different pages a host needs for its constant texts to count.
 SUPPORT = 0.5
 EVIDENCE = 3
+#: Share of a page's slots that its article and main elements must hold to stand for the page, whatever is beside
+#: them; fewer characters than ``STRAY`` beside them are no part of a text.
+MOST = 0.9
+STRAY = 25
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + _RAW + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
                     r"|<(?P<close>/?)(?P<name>[a-z][\w:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
@@ -232,12 +237,15 @@ def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
 def text_of(page: str, known=frozenset(), template=frozenset()) -> str:
     """The text of a page's slots: its texts outside boilerplate that are not of
-    the host's template; of its article or main elements if it has any."""
+    the host's template; of its article or main elements alone where these hold nearly all of it."""
     found = [(path, text) for kind, path, skip, text in slots(page, known) if kind == "text" and not skip]
     own = [(path, text) for path, text in found if key_of(path, text) not in template] if template else found
     own = own or found
     named = [(path, text) for path, text in own if any(_name(s) in _MAIN for s in path.split("/"))]
-    return " ".join(text for _, text in named or own)
+    whole, held = (sum(len(text) for _, text in x) for x in (own, named))
+    if named and (held >= whole * MOST or whole - held < STRAY):
+        own = named
+    return " ".join(text for _, text in own)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

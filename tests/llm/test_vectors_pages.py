@@ -150,3 +150,13 @@ def test_classes_decide_which_texts_are_the_templates(spark):
     # copies are no evidence, and no page is emptied
     assert texts_of(spark, [html.format(k=0, t=story[0], two=0)] * 4) == [f"{story[0]} Read on in our shop Same on two pages 0"] * 4
     assert texts_of(spark, [f"<html><body id=b{k}><p>Not found</p></body></html>" for k in range(5)]) == ["Not found"] * 5
+
+
+def test_all_slots_of_a_page_are_kept(spark):
+    lead, story = ([" ".join(f"{w}{k}x{j}" for j in range(n)) for k in range(5)] for w, n in (("lead", 35), ("story", 65)))
+    html = '<html><body><div class=wrap><div class="lead"><p>{a}</p></div><div class="story"><p>{b}</p></div></div></body></html>'
+    assert texts_of(spark, [html.format(a=a, b=b) for a, b in zip(lead, story)]) == [f"{a} {b}" for a, b in zip(lead, story)]
+    html = "<html><body><article class=teaser>Teaser {k}</article><div class=text><p>{b}</p></div></body></html>"
+    assert texts_of(spark, [html.format(k=k, b=b) for k, b in enumerate(story)]) == [f"Teaser {k} {b}" for k, b in enumerate(story)]
+    html = "<html><body><div>By author {k}</div><article>{b}</article></body></html>"
+    assert texts_of(spark, [html.format(k=k, b=b) for k, b in enumerate(story)]) == story
