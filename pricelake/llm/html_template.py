@@ -16,8 +16,9 @@ content, with the path of block elements they stand in. Per host:
    host of at least three different pages.
 4. *Extraction.* The slots are the other texts. Each page's slots are joined in
    their order, without boilerplate: menus, headers, footers, sidebars, notices,
-   adverts, forms, comments (by element name, or a word of class, id or role),
-   scripts, styles. ``article`` and ``main`` stand for the page only where
+   adverts, forms, comments (by element name, or by a class, id or role that is or begins
+   or ends with a listed word; never html, body, main, article or a wrapper of
+   most of the page's text), scripts, styles. ``article`` and ``main`` stand for the page only where
    they hold nearly all of its slots' text, which is asked of every page.
    A page that would be left without text keeps the template's.
 
@@ -52,6 +53,9 @@ _MARKS = frozenset("ad ads advert adverts advertisement advertising banner bread
                    "nav navbar navigation newsletter notice notices pager pagination paywall popup promo promoted "
                    "promotion related respond replies reply search share sharing sidebar signup skip social sponsor "
                    "sponsored subscribe subscription toolbar widget".split())
+#: Elements the words never hide, and first or last words of values that tell a state, not a role.
+_WRAPS = frozenset("html body main article".split())
+_STATES = frozenset("has have is no not non with without show hide free open closed enabled disabled active results".split())
 _CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
                       "main nav ol p pre section table ul".split())
 
@@ -75,50 +79,97 @@ def marks_of(rest: str) -> list[str]:
 
 
 def label_of(name: str, rest: str, known=None) -> tuple[str, bool]:
-    """(token label, whether the element is boilerplate). Only values in ``known`` are in the label (None: all)."""
+    """(token label, whether a class, id or role marks boilerplate). Only values in ``known`` are in the label (None: all)."""
     marks = marks_of(rest)
-    skip = name in _SKIP or any(p in _MARKS for w in marks for p in re.split(r"[-_]+", w))
-    return name + "".join("." + w for w in marks if known is None or w in known), skip
+    marked = name not in _WRAPS and any(map(is_mark, marks))
+    return name + "".join("." + w for w in marks if known is None or w in known), marked
+
+
+def is_mark(value: str) -> bool:
+    """Whether a class, id or role names boilerplate: as a whole, or by its first or last word unless it tells a state."""
+    words = [w for w in re.split(r"[-_]+", value) if w]
+    if not words or words[0] in _STATES or words[-1] in _STATES:
+        return False
+    return words[0] in _MARKS or words[-1] in _MARKS
+
+
+class _Element:
+    """An element of a page: its text, and how much of that is in article or main."""
+
+    __slots__ = ("above", "name", "path", "by_name", "main", "marked", "chars", "held", "skip")
+
+    def __init__(self, above, name: str, path: str, marked: bool):
+        self.above, self.name, self.path, self.marked = above, name, path, marked
+        self.by_name = name in _SKIP or above is not None and above.by_name
+        self.main = name in _MAIN or above is not None and above.main
+        self.chars = self.held = 0
+        self.skip = False
 
 
 def walk(page: str, known=None):
     """Tokens of a page in order: ("open", path, skip), ("close", path, skip),
-    ("break", ...), and ("text", path, skip, text). Paths name the open block elements."""
-    stack: list[tuple[str, str, bool]] = []  # name, path, inside boilerplate
-    at, path, skip = 0, "", False
+    ("break", ...), and ("text", path, skip, text). Paths name the open block elements.
+
+    A marked element that holds most of the page's text is a wrapper, not
+    boilerplate, unless article or main beside it hold text."""
+    elements: list[_Element] = []
+    events = list(_events(page, known, elements))
+    whole = named = 0
+    for kind, element, text in events:
+        if kind == "text" and not (element and element.by_name):
+            n = len(" ".join(text.split()))
+            main = n if element and element.main else 0
+            whole, named = whole + n, named + main
+            while element:
+                if element.marked:
+                    element.chars += n
+                    element.held += main
+                element = element.above
+    for e in elements:  # parents come before their children
+        wraps = 2 * e.chars > whole and named - e.held < STRAY
+        e.skip = e.by_name or e.marked and not wraps or e.above is not None and e.above.skip
+    for kind, element, text in events:
+        yield kind, element.path if element else "", bool(element and element.skip), text
+
+
+def _events(page: str, known, elements: list):
+    """(kind, element, text) of a page's tokens; its elements go to ``elements``."""
+    stack: list[_Element] = []
+    at, top = 0, None
     for m in _TOKEN.finditer(page):
         if m.start() > at:
-            yield "text", path, skip, page[at:m.start()]
+            yield "text", top, page[at:m.start()]
         at = m.end()
         name = m["name"]
         if name is None:
             if m["raw"] is not None:
-                yield "break", path, skip, None
+                yield "break", top, None
             continue
         name = name.lower()
         if name in _INLINE:
             continue
         if name in _VOID:
-            yield "break", path, skip, None
+            yield "break", top, None
             continue
         if m["close"]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name), None)
             if depth is None:
-                yield "break", path, skip, None
+                yield "break", top, None
                 continue
-            yield "close", stack[depth][1], skip, None
+            yield "close", stack[depth], None
             del stack[depth:]
         else:
-            if name in _CLOSES_P and stack and stack[-1][0] == "p" or name == "li" and stack and stack[-1][0] == "li":
-                yield "close", stack[-1][1], skip, None
+            if name in _CLOSES_P and stack and stack[-1].name == "p" or name == "li" and stack and stack[-1].name == "li":
+                yield "close", stack[-1], None
                 del stack[-1]
-            above, hidden = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-            label, boiler = label_of(name, m["rest"], known)
-            stack.append((name, f"{above}/{label}", hidden or boiler))
-            yield "open", stack[-1][1], stack[-1][2], None
-        path, skip = (stack[-1][1], stack[-1][2]) if stack else ("", False)
+            above = stack[-1] if stack else None
+            label, marked = label_of(name, m["rest"], known)
+            stack.append(_Element(above, name, f"{above.path if above else ''}/{label}", marked))
+            elements.append(stack[-1])
+            yield "open", stack[-1], None
+        top = stack[-1] if stack else None
     if at < len(page):
-        yield "text", path, skip, page[at:]
+        yield "text", top, page[at:]
 
 
 def _name(path: str) -> str:

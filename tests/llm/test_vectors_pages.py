@@ -160,3 +160,17 @@ def test_all_slots_of_a_page_are_kept(spark):
     assert texts_of(spark, [html.format(k=k, b=b) for k, b in enumerate(story)]) == [f"Teaser {k} {b}" for k, b in enumerate(story)]
     html = "<html><body><div>By author {k}</div><article>{b}</article></body></html>"
     assert texts_of(spark, [html.format(k=k, b=b) for k, b in enumerate(story)]) == story
+
+
+def test_listed_words_hide_no_wrapper(spark):
+    story = " ".join(f"word{j}" for j in range(40))
+    body = f'<div class="ad">Buy</div><div class="top-menu">Menu</div><p>{story}</p>'
+    for wrapped in (f"<html><body class='has-sidebar'>{body}</body></html>", f"<html class=no-banner><body class='menu'>{body}</body></html>",
+                    f"<body class='has-header-image'>{body}", f"<body><div id=page class='no-banner'>{body}</div>",
+                    f"<body><main id='search-results'>{body}</main>", f"<body><article class='comments-open'>{body}</article>",
+                    f"<body><div class='ad-free'>{body}</div>", f"<body><div class='sidebar-page'>{body}</div>",
+                    f"<body><main><div class='widget'>{body}</div></main>"):
+        assert html_template.text_of(wrapped) == story, wrapped
+    assert html_template.text_of(f"<body><p>Intro</p><div class='not-a-menu-page'>{'x ' * 4}</div><p>{story}") == f"Intro x x x x {story}"
+    thread = "<p>reply</p>" * 100  # a long thread is no wrapper where an article stands beside it
+    assert html_template.text_of(f"<body><article>{story}<div id=comments>{thread}</div></article>") == story
