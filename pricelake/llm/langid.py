@@ -5,9 +5,11 @@ and trigrams (lower case, anything but letters is a gap). Document frequencies
 count every learning document. Each language is clustered (spherical k-means)
 on a bounded sample, about ``SAMPLE`` documents picked by their id hashes, into a
 few centroids. A text gets the language of the centroid with the highest cosine,
-and is rejected when that cosine is far below what the language's own
-sample reaches (``REJECT`` of its first percentile; short texts come near it,
-other scripts stay below), as are texts without letters.
+and is rejected when that cosine is below the ``REJECT`` percentile of what the
+language's own sample reaches with as many letters, as are texts without
+letters. Cosines grow with length, so the sample is cut to each of ``CUTS``
+letters, scored by centroids of the other folds, and a text goes by the
+longest cut it reaches; a text shorter than the first is not rejected.
 
 Null texts and texts without a letter get ``und`` and score 0. Without any
 labelled learning document every text gets ``und``. Null languages aren't
@@ -31,8 +33,12 @@ DIMS = 4096
 #: Learning documents per language that the clustering uses, on average; all of a rarer language.
 SAMPLE = 400
 CENTROIDS = 4
-#: Share of the language's first-percentile cosine below which a text is rejected.
-REJECT = 0.1
+#: Percentile of the sample's cosines below which a text is rejected.
+REJECT = 0.5
+#: Letter bytes the sample is cut to; a cut that fewer than ``ENOUGH`` texts reach takes the limit of the one before.
+CUTS = np.array([4, 8, 16, 32, 64, 128, 256, 512, 1024])
+ENOUGH = 50
+FOLDS = 5
 #: Rows whose dense vectors are held at a time.
 ROWS = 256
 
@@ -90,6 +96,38 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def letters_to(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Letter bytes before each byte of the rows, and before their end."""
+    return np.concatenate(([0], np.cumsum(_folded(data[offsets[0]:offsets[-1]]) != 32)))
+
+
+def limits_of(data: np.ndarray, off: np.ndarray, x: np.ndarray, idf: np.ndarray, k: int, percentile: float) -> np.ndarray:
+    """The cosine below which a text is rejected, by the number of ``CUTS`` it
+    reaches. ``x`` holds the vectors of the rows; each is scored by the others' centroids."""
+    out = np.zeros(len(CUTS) + 1)
+    if len(x) < 2:
+        return out
+    fold = np.arange(len(x)) % FOLDS
+    models = [cluster(x[fold != f], k) if (fold == f).any() else None for f in range(FOLDS)]
+    seen = letters_to(data, off)
+    start = off - off[0]
+    for j, cut in enumerate(CUTS):
+        rows = np.flatnonzero(seen[start[1:]] - seen[start[:-1]] >= cut)
+        if len(rows) < (ENOUGH if j else 1):
+            out[j + 1] = out[j]
+            continue
+        ends = np.searchsorted(seen, seen[start[rows]] + cut)
+        parts = [data[off[r]:off[0] + e] for r, e in zip(rows, ends)]
+        heads = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+        flat, near = np.concatenate(parts), []
+        for lo in range(0, len(rows), ROWS):
+            hi = min(len(rows), lo + ROWS)
+            v = vectors(counts(flat, heads, lo, hi), idf)
+            near += [float((models[fold[r]] @ v[i]).max()) for i, r in enumerate(rows[lo:hi])]
+        out[j + 1] = np.percentile(near, percentile, method="lower")
+    return out
+
+
 def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Spherical k-means; starts from the mean's nearest row and goes on to the farthest."""
     start = [int(np.argmax(x @ x.mean(axis=0)))]
@@ -106,7 +144,7 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 class Model:
-    """Languages, their centroids and rejection limits, and the IDF weights."""
+    """Languages, their centroids and rejection limits by length, and the IDF weights."""
 
     def __init__(self, idf, langs, centroids, limits):
         self.idf, self.langs, self.centroids, self.limits = idf, langs, centroids, limits
@@ -125,7 +163,9 @@ class Model:
                 best = np.argmax(cos, axis=1)
                 lang[lo:hi] = self.centroids[1][best]
                 score[lo:hi] = np.clip(cos[np.arange(hi - lo), best], 0, 1)
-            reject = score < self.limits[lang]
+            seen = letters_to(data, offsets)
+            own = seen[offsets[1:] - offsets[0]] - seen[offsets[:-1] - offsets[0]]
+            reject = score < self.limits[lang, np.searchsorted(CUTS, own, side="right")]
             lang[~letters], score[~letters], reject[~letters] = -1, 0, True
         return lang, score, reject
 
@@ -165,18 +205,19 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                             for lo in range(0, len(off) - 1, ROWS)])
         order = np.lexsort(x[:, :8].T[::-1])  # the sample as a set decides, not its order
         c = cluster(x[order], centroids)
-        near = (x @ c.T).max(axis=1)
+        data, off = T.flat(table.column("text").take(pa.array(order)))
+        limits = limits_of(data, off, x[order], idf, centroids, reject).tolist()
         return pa.table({"lang": [table.column("lang")[0].as_py()] * len(c), "centroid": [r.tobytes() for r in c],
-                         "floor": [float(np.percentile(near, 1))] * len(c)})
+                         "limits": [limits] * len(c)})
 
-    rows = (chosen.groupBy("lang").applyInArrow(fit, "lang string, centroid binary, floor double")
+    rows = (chosen.groupBy("lang").applyInArrow(fit, "lang string, centroid binary, limits array<double>")
             .collect())  # languages x centroids
     langs = sorted({r.lang for r in rows})
     rows.sort(key=lambda r: (r.lang, r.centroid))
     mat = np.stack([np.frombuffer(r.centroid, np.float32) for r in rows]) if rows else np.zeros((0, DIMS), np.float32)
     own = np.array([langs.index(r.lang) for r in rows], np.int64)
-    floor = {r.lang: r.floor for r in rows}
-    return Model(idf, langs, (mat, own), np.array([reject * floor[x] for x in langs]))
+    limits = {r.lang: r.limits for r in rows}
+    return Model(idf, langs, (mat, own), np.array([limits[x] for x in langs]))
 
 
 def held_out(id_col: str):

@@ -213,6 +213,22 @@ def test_language_id(spark):
     assert all(again[i][0] == by[i].lang_pred and again[i][1] == pytest.approx(by[i].score, abs=1e-4) for i in by)
 
 
+def test_language_id_rejects_other_languages_and_gibberish(spark):
+    import base64
+    r = np.random.default_rng(4)
+    other = "ban del fit gor hum jis lop nuk pew qad".split()
+    rows = [(100 * k + i, speech(lang, i, 30 + i), lang) for k, lang in enumerate(SYLLABLES) for i in range(90)]
+    clean = [(1000 + i, speech("aa", 500 + i, 6 + 3 * i), None) for i in range(30)]
+    wrong = [(2000 + i, " ".join("".join(r.choice(other, r.integers(1, 4))) for _ in range(40 + i)), None) for i in range(30)]
+    wrong += [(3000 + i, "".join(r.choice(list("abcdefghijklmnopqrstuvwxyz    "), 300 + i)), None) for i in range(30)]
+    wrong += [(4000 + i, base64.b64encode(r.bytes(200 + i)).decode(), None) for i in range(30)]
+    wrong += [(5000 + i, r.bytes(200 + i).hex(), None) for i in range(30)]
+    docs = spark.createDataFrame(rows + clean + wrong, "doc_id long, text string, lang string")
+    by = {x.doc_id: x for x in langid.predictions(docs).collect()}
+    assert not any(by[i].rejected for i, _, _ in clean) and sum(by[i].rejected for i, _, _ in rows) <= 5
+    assert np.mean([by[i].rejected for i, _, _ in wrong]) > 0.97
+
+
 def test_language_id_without_labels(spark):
     docs = spoken(spark)
     assert langid.predictions(docs.limit(0)).count() == 0
