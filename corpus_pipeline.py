@@ -23,12 +23,19 @@ def language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of linked documents (five-word shingles, Jaccard
     similarity of 0.8 or more) the one of the smallest doc_id, and of repeated
-    rows one. Rows without a doc_id all stay."""
-    kept = ngram_join.link_groups(docs, shingle=5, percent=80).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    mark = "_pipeline_mark"
-    named = named.withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark]).drop(mark)
-    return named.union(docs.filter("doc_id IS NULL"))
+    rows one. Rows without a doc_id link by their texts like all others; one of
+    them stays in a group that holds no doc_id."""
+    key, mark = "_pipeline_key", "_pipeline_mark"
+    # a digest of the row stands for the doc_id of a row that has none
+    digest = F.xxhash64(F.lit("no id"), *[F.isnull(c) for c in docs.columns], *docs.columns)
+    keyed = docs.withColumn(key, F.coalesce("doc_id", digest))
+    groups = ngram_join.link_groups(keyed.select(key, "text"), id_col=key, shingle=5, percent=80).select("doc_id", "component_id")
+    nameless = keyed.filter("doc_id IS NULL").select(F.col(key).alias("doc_id")).distinct().withColumn("nameless", F.lit(True))
+    named = F.when(F.col("nameless").isNull(), F.col("doc_id"))
+    kept = (groups.distinct().join(nameless, "doc_id", "left").groupBy(F.coalesce("component_id", "doc_id"))
+            .agg(F.coalesce(F.min(named), F.min("doc_id")).alias(key)).select(key))
+    one = keyed.join(kept, key, "left_semi").withColumn(mark, F.xxhash64("text"))
+    return one.dropDuplicates([key, mark]).select(*docs.columns)
 
 
 def repeated_passages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

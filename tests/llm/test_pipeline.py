@@ -141,3 +141,30 @@ def test_queries_are_registered():
 def test_queries_match_their_sql(spark, name):
     from tests.oracle_harness import compare, duck
     assert compare(spark, duck(SF), SF, name, E.queries()[name], E.oracle_sql()[name])
+
+
+def test_one_row_of_a_group_stays_without_ids(spark, tmpdir_path):
+    a, b, c, d = (" ".join(words(200 + k, 80)) for k in range(4))
+    rows = [(5, a, "src1"), (None, a, "src1"), (None, b, "src1"), (None, b, "src2"), (None, b, "src2"), (6, c, "src1"),
+            (None, c + " tail", "src1"), (None, d, None), (42, None, "src1"), (7, " ".join(words(300, 80)), "src1")]
+    docs = spark.createDataFrame([(i, t, "en", s, t and len(t)) for i, t, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, tmpdir_path)
+    assert got.columns == docs.columns
+    want = [(None, b), (None, d), (42, None), (5, a), (6, c), (7, rows[-1][1])]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    whole = corpus_pipeline.repeated_passages(spark, got, tmpdir_path)
+    assert {r.text for r in whole.collect()} >= {a, b, c, d}
+
+
+def test_pipeline_keeps_a_document_with_a_nameless_copy(spark, tmpdir_path):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmpdir_path}/documents.parquet")
+    spark.createDataFrame([(1, BENCHMARK)], "item_id long, text string").write.parquet(f"{tmpdir_path}/benchmark.parquet")
+    rejected = {(r.doc_id, r.text) for r in langid.predictions(docs).join(docs.select("doc_id", "text"), "doc_id").collect() if r.rejected}
+    got = corpus_pipeline.run(spark, tmpdir_path).collect()
+    assert 8 in {r.doc_id for r in got}
+    # the nameless row is a copy of document 8, so the result is that of the corpus without it
+    want = brute([r for r in rows if r[0] is not None], rejected)
+    assert sorted(((r.doc_id, r.text, r.source, r.epoch) for r in got), key=repr) == want
