@@ -144,3 +144,42 @@ def _op2(spark, sf_dir):
 def _op10(spark, sf_dir):
     from pricelake.llm.html_template import main_text
     return main_text(table(spark, sf_dir, "pages"))
+
+
+_OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT doc_id, part,
+             CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+             + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS fails FROM d),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, fails),
+e(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+      FROM e a, e b, e c, e d, e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+      AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step, (SELECT bit FROM e WHERE letter = filter_order[step]) AS bit,
+             coalesce((SELECT sum(bit) FROM e WHERE contains(filter_order[1:step - 1], letter)), 0)::INT AS before
+      FROM o, range(1, 6) r(step)),
+r AS (SELECT part, filter_order, step, bit,
+             sum(CASE WHEN fails & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN fails & bit > 0 AND fails & before = 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN fails & bit > 0 AND fails & before > 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN fails & bit > 0 AND fails & before = 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN fails & bit > 0 AND fails & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM m, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM r
+"""
+
+
+@query("op11_filter_audit", _OP11_SQL)
+def _op11(spark, sf_dir):
+    from pricelake.llm.filter_audit import audit
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
