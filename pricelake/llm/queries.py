@@ -183,3 +183,35 @@ FROM r
 def _op11(spark, sf_dir):
     from pricelake.llm.filter_audit import audit
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_OP13_SQL = f"""
+WITH p AS (SELECT lang, row_number() OVER () AS pid, w FROM (
+               SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+               FROM (SELECT coalesce(lang, 'und') AS lang,
+                            unnest(string_split_regex({_lowered('text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents))
+           WHERE len(w) > 0),
+g AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a
+      FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 5) r(k) WHERE len(w) >= k))
+      GROUP BY lang, k, phrase HAVING count(*) >= 30),
+t AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM g WHERE k > 1),
+u AS (SELECT c.lang, c.phrase, c.a, cut, x.a AS l, y.a AS r, 2000000::HUGEINT * c.a // (x.a + y.a) AS score
+      FROM (SELECT *, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)) c
+      JOIN g x ON x.lang = c.lang AND x.phrase = head JOIN g y ON y.lang = c.lang AND y.phrase = tail),
+b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (SELECT lang, array_to_string(w[j:j + size - 1], ' ') AS phrase, max(a) AS longer
+      FROM (SELECT *, unnest(range(1, k - size + 2)) AS j FROM (SELECT *, unnest(range(2, k)) AS size FROM c)) GROUP BY 1, 2),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, encode(b.phrase)) AS rank
+      FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 80 * b.a)
+SELECT o.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+       score::BIGINT AS score FROM o JOIN t ON t.lang = o.lang WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", _OP13_SQL)
+def _op13(spark, sf_dir):
+    from pricelake.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
