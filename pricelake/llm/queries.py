@@ -215,3 +215,9 @@ SELECT o.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::
 def _op13(spark, sf_dir):
     from pricelake.llm.collocations import collocations
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_vantage_points")
+def _op12(spark, sf_dir):
+    from pricelake.llm.vantage_points import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
