@@ -17,8 +17,11 @@ d(q, x)^2 = |q|^2 + M^2 - 2 q.x, so the triangle inequality holds.
 
 A region whose least possible distance by the triangle inequality is ``b``
 is passed over if b > factor * (distance of the k-th best so far). With
-factor 1 the search is exact; smaller factors look at less. The query runs
-with ``FACTOR``; its recall is measured against brute force in the tests.
+factor 1 the search is exact; smaller factors look at less. How small a factor keeps
+the recall depends on how the vectors lie, so by default it is fitted, by vector
+length, on the sample of the top tree: the least of ``FACTORS`` with which ``TRIALS``
+queries find ``RECALL`` of their neighbours in the sample, and for safety the
+next larger one. Lengths that are not in the sample are searched exactly.
 
 Scores are inner products of the original vectors in double precision,
 summed in one fixed way, so equal vectors score the same; ties go to the
@@ -40,7 +43,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pricelake.llm.scratch import drop, stage
 
 NEIGHBOURS = 20
-FACTOR = 0.6
+#: Factors to choose from, the recall that one must reach on the sample, and by how many queries.
+FACTORS = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1)
+RECALL, TRIALS = 0.99, 64
 #: Rows and bytes of the sample that the top tree is fitted on, and its leaves.
 SAMPLE, SAMPLE_BYTES, LEAVES = 8192, 16 << 20, 1024
 #: Bytes of a shard, vectors of a bucket of its tree, queries that search a shard at once.
@@ -168,6 +173,25 @@ def search(tree: Tree, points: np.ndarray, rank: np.ndarray, queries: np.ndarray
     return q, who[q, at], score[q, at]
 
 
+def fitted_factor(x: np.ndarray, top: float, k: int, bucket: int) -> float:
+    """The least of FACTORS, but one, that reaches RECALL on a sample."""
+    leaves = 1 << int(max(1, len(x) // bucket)).bit_length() - 1
+    if leaves < 4 or len(x) <= 2 * k:
+        return FACTORS[0]
+    tree = Tree.build(augment(x, top), leaves)
+    points = x[tree.order]
+    queries = points[np.unique(np.linspace(0, len(x) - 1, TRIALS).astype(int))]
+    kth = np.partition(queries @ points.T, -k, axis=1)[:, -k]
+    nothing = np.full(len(queries), -np.inf)
+    for larger, factor in zip(FACTORS, FACTORS[1:]):
+        q, _, score = search(tree, points, np.arange(len(x)), queries, nothing, k, factor, top)
+        if (score >= kth[q] - 1e-9 * top * top).sum() < RECALL * k * len(queries):
+            break
+    else:
+        return FACTORS[-2]
+    return FACTORS[max(0, FACTORS.index(larger) - 1)]
+
+
 def _vectors(column: pa.Array) -> np.ndarray:
     """Binary vectors of one length as a matrix."""
     if not len(column):
@@ -192,8 +216,10 @@ def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return src.filter("vec_id IS NOT NULL").mapInArrow(run, "vec_id long, v binary, square double")
 
 
-def top_trees(members: DataFrame, top: float, sample: int, sample_bytes: int, leaves: int, shard_bytes: int) -> dict[int, Tree]:
-    """By vector length, the tree that deals vectors into leaves, fitted on a bounded sample chosen by hash."""
+def top_trees(members: DataFrame, top: float, k: int, factor: float | None, sample: int, sample_bytes: int, leaves: int,
+              shard_bytes: int, bucket: int) -> dict[int, Tree]:
+    """By vector length, the tree that deals vectors into leaves and the factor
+    to search with, fitted on a bounded sample chosen by hash."""
     n, widest = members.agg(F.sum(F.octet_length("v")), F.max(F.octet_length("v"))).first()
     if not n:
         return {}
@@ -204,8 +230,9 @@ def top_trees(members: DataFrame, top: float, sample: int, sample_bytes: int, le
     for size in np.unique(length).tolist():
         rows = np.flatnonzero(length == size)
         share = max(1, int(wanted * len(rows) / len(length)))
-        out[size // 8] = Tree.build(augment(_vectors(picked.take(pa.array(rows))), top), 1 << (share - 1).bit_length())
-        out[size // 8].order = None
+        x = _vectors(picked.take(pa.array(rows)))
+        tree = out[size // 8] = Tree.build(augment(x, top), 1 << (share - 1).bit_length())
+        tree.order, tree.factor = None, fitted_factor(x, top, k, bucket) if factor is None else factor
     return out
 
 
@@ -264,7 +291,7 @@ def build_shard(table: pa.Table, trees, top: float, bucket: int) -> pa.Table:
 _FOUND = "q binary, score double, vec_id long"
 
 
-def search_shard(shard: pa.Table, asked: pa.Table, k: int, factor: float, top: float) -> pa.Table:
+def search_shard(shard: pa.Table, asked: pa.Table, k: int, trees, top: float) -> pa.Table:
     """Up to k (q, score, vec_id) for each query of a shard."""
     schema = pa.schema([("q", pa.binary()), ("score", pa.float64()), ("vec_id", pa.int64())])
     if not shard.num_rows or not asked.num_rows:
@@ -275,7 +302,7 @@ def search_shard(shard: pa.Table, asked: pa.Table, k: int, factor: float, top: f
     tree = Tree(None, *(np.asarray(row[c].values) if c != "vantage" else
                         np.frombuffer(row[c].as_buffer(), np.float64).reshape(-1, d + 1)
                         for c in ("cuts", "vantage", "low", "high")))
-    ids = row["ids"].as_py()
+    ids, factor = row["ids"].as_py(), trees.value[d].factor if d in trees.value else 1.0
     kth = np.array([-np.inf if s is None else s for s in asked.column("kth").to_pylist()])
     queries = _vectors(asked.column("v").combine_chunks())
     q, who, score = search(tree, x, np.array([i[0] for i in ids]), queries, kth, k, factor, top)
@@ -288,7 +315,7 @@ def search_shard(shard: pa.Table, asked: pa.Table, k: int, factor: float, top: f
                     schema=schema)
 
 
-def ask(index: DataFrame, routed: DataFrame, k: int, factor: float, top: float, queries: int) -> DataFrame:
+def ask(index: DataFrame, routed: DataFrame, k: int, trees, top: float, queries: int) -> DataFrame:
     """(q, score, vec_id) that the shards find for the queries (q, v, kth) sent to
     them; the queries of a shard are cut into blocks of bounded size."""
     shard = ["dim", "leaf", "salt"]
@@ -298,10 +325,10 @@ def ask(index: DataFrame, routed: DataFrame, k: int, factor: float, top: float,
     key = [*shard, "block"]
     return (left.select(*key, "x", "ids", "cuts", "vantage", "low", "high").groupBy(*key)
             .cogroup(right.select(*key, "q", "v", "kth").groupBy(*key))
-            .applyInArrow(lambda s, a: search_shard(s, a, k, factor, top), _FOUND))
+            .applyInArrow(lambda s, a: search_shard(s, a, k, trees, top), _FOUND))
 
 
-def routes(queries: DataFrame, trees, spans, factor: float, top: float) -> DataFrame:
+def routes(queries: DataFrame, trees, spans, top: float) -> DataFrame:
     """(q, v, kth, dim, leaf): the leaves that may hold something nearer than a query's kth.
     ``spans``: by length and leaf, how far its members are from the vantage points above."""
 
@@ -312,7 +339,7 @@ def routes(queries: DataFrame, trees, spans, factor: float, top: float) -> DataF
                 part = batch.take(pa.array(at))
                 square = np.einsum("ij,ij->i", x, x)
                 kth = np.array([-np.inf if s is None else s for s in part.column("kth").to_pylist()])
-                limit = factor * reach(kth, square, top) + 1e-6 * max(top, float(np.sqrt(square.max())))
+                limit = (tree.factor if tree else 1.0) * reach(kth, square, top) + 1e-6 * max(top, float(np.sqrt(square.max())))
                 if tree is None:
                     pairs = [(np.arange(len(x)), 0)]
                 else:
@@ -334,9 +361,10 @@ def routes(queries: DataFrame, trees, spans, factor: float, top: float) -> DataF
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query: str = "vec_id % 20 = 0",
-            k: int = NEIGHBOURS, factor: float = FACTOR, sample: int = SAMPLE, leaves: int = LEAVES,
+            k: int = NEIGHBOURS, factor: float | None = None, sample: int = SAMPLE, leaves: int = LEAVES,
             shard_bytes: int = SHARD_BYTES, bucket: int = BUCKET, block: int = QUERIES) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found for each row that ``query`` (on vec_id) picks."""
+    """(query_id, rank, vec_id, score): the k nearest found for each row that
+    ``query`` (on vec_id) picks. ``factor`` is fitted unless given."""
     spark = vectors.sparkSession
     live = stage(valid(vectors, id_col, vector_col).groupBy("vec_id").agg(F.min(F.struct("v", "square")).alias("m"))
                  .select("vec_id", "m.v", "m.square"), "vectors")
@@ -344,7 +372,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     by_id = Window.partitionBy("v").orderBy("vec_id")
     members = stage(live.select("v", "vec_id", F.row_number().over(by_id).alias("place")).filter(F.col("place") <= k + 1)
                     .groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "members")  # at most k + 1 ids
-    trees = spark.sparkContext.broadcast(top_trees(members, top, sample, SAMPLE_BYTES, leaves, shard_bytes))
+    trees = spark.sparkContext.broadcast(top_trees(members, top, k + 1, factor, sample, SAMPLE_BYTES, leaves, shard_bytes, bucket))
     dealt = leaves_of(members, trees, top, True)
     sizes = stage(dealt.groupBy("dim", "leaf").agg(
         F.ceil(F.sum(F.octet_length("v")) / shard_bytes).cast("int").alias("salts")), "sizes")
@@ -368,15 +396,15 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
                     .join(sizes, ["dim", "leaf"], "left").withColumn("salt", salt), "queries")
     none = F.lit(None).cast("double").alias("kth")
     home = stage(ask(index, queries.filter("salts IS NOT NULL").select("q", "v", none, "dim", "leaf", "salt"),
-                     k + 1, factor, top, block), "home")
+                     k + 1, trees, top, block), "home")
     kth = home.groupBy("q").agg(F.when(F.count(F.lit(1)) > k, F.min("score")).alias("kth"))
     there = queries.select("q", F.col("leaf").alias("home_leaf"), F.col("salt").alias("home_salt"))
-    routed = (routes(queries.join(kth, "q", "left"), trees, spans, factor, top).join(sizes, ["dim", "leaf"])
+    routed = (routes(queries.join(kth, "q", "left"), trees, spans, top).join(sizes, ["dim", "leaf"])
               .withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)"))).join(there, "q")
               .filter("NOT (leaf <=> home_leaf AND salt <=> home_salt)")
               .select("q", "v", "kth", "dim", "leaf", "salt"))
     routed = stage(routed, "routed")
-    rest = ask(index, routed, k + 1, factor, top, block)
+    rest = ask(index, routed, k + 1, trees, top, block)
 
     best = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
     results = (home.union(rest).withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
