@@ -18,6 +18,7 @@ JSON-LD rows, links before regex finds, paths in document order.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -212,10 +213,23 @@ def mercadona_products(targets: DataFrame, payload_pages: DataFrame, run_date, d
     return project(rows, run_date)
 
 
-def write_daily(rows: DataFrame, base: str, source: str, run_date) -> str:
-    """The run's rows (order columns dropped) as Parquet under
-    ``<base>/<source>/<day>/``. Rows are written in run order."""
-    path = f"{base.rstrip('/')}/{source}/{run_date}"
-    rows.orderBy(*[c for c in M.ORDER_COLS if c in rows.columns]).select(*K.PRODUCT_COLUMNS) \
-        .write.mode("overwrite").parquet(path)
+def write_daily(rows: DataFrame, base: str, source: str, run_date, rows_per_file: int = 0) -> str:
+    """The run's rows (order columns dropped, in run order) as one object
+    per source and day, ``<base>/<source>/<day>/<source>_supermercado_<day>.parquet``.
+
+    The object is a Parquet folder of as many part files as the sort has
+    partitions, of ``rows_per_file`` rows at most if that is given. They are written beside it, under a name that no reader lists,
+    and the finished folder gets the object's name in one rename: the name never
+    holds a part of a day, and a run that fails leaves the earlier object."""
+    from pricelake.sources.landing import _fs
+    spark = rows.sparkSession
+    folder = f"{base.rstrip('/')}/{source}/{run_date}"
+    path, staging = f"{folder}/{source}_supermercado_{run_date}.parquet", f"{folder}/_staging-{uuid.uuid4().hex[:12]}"
+    order = [c for c in M.ORDER_COLS if c in rows.columns]
+    (rows.orderBy(*order) if order else rows).select(*K.PRODUCT_COLUMNS) \
+        .write.option("maxRecordsPerFile", rows_per_file).parquet(staging)
+    fs, done = _fs(spark, path)
+    fs.delete(done, True)
+    if not fs.rename(_fs(spark, staging)[1], done):
+        raise OSError(f"{staging} could not be renamed to {path}")
     return path

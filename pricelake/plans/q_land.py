@@ -3,6 +3,8 @@ pagination walk (I1)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from pricelake.functions import constants as K
@@ -10,7 +12,9 @@ from pricelake.operators.walk import pagination_walk
 from pricelake.plans import sqlfrag as S
 from pricelake.plans.registry import query
 from pricelake.plans.views import load_view, read_table, with_views
+from pricelake.session import scratch_path
 from pricelake.sources import landing as LD
+from pricelake.sources import versions as V
 
 RAW_BUCKET = "raw-bucket"
 PRODUCT_COLS = K.PRODUCT_COLUMNS
@@ -103,6 +107,24 @@ def q_day_replace(spark, sf_dir):
     return LD.day_replace(p, _staged(p), REPLACE_DAY)
 
 
+@query("day_replace_published", with_views("rows_base") + f"""
+, m AS (SELECT * REPLACE (date_trunc('month', date)::DATE AS date) FROM rows_base)
+SELECT {_P} FROM m WHERE date <> DATE '1995-03-01'
+UNION ALL
+SELECT date, product, brand, price || ' *' AS price, price_per_unit, offer, category, subcategory, product_url
+FROM m WHERE date = DATE '1995-03-01' OR date = DATE '1995-04-01'
+""")
+def q_day_replace_published(spark, sf_dir):
+    """S9 on stored tables with monthly runs: a first load, published as one
+    version, then a re-scrape of one run that holds rows of the next as well."""
+    root, p = scratch_path(spark, "versions"), _products(spark, sf_dir).withColumn("date", F.trunc("date", "month"))
+    V.publish(spark, root, p.withColumn("table_name", F.lit("t")), [])
+    staged = (p.where(F.col("date").isin(dt.date(1995, 3, 1), dt.date(1995, 4, 1)))
+              .withColumn("price", F.concat(F.col("price"), F.lit(" *"))))
+    V.replace_day(spark, root, "t", staged, "1995-03-01")
+    return V.read_table(spark, root, "t").drop("table_name")
+
+
 # -- S6 / A7 --------------------------------------------------------------------
 
 def _profile_sql(source_sql: str, cols, group: str) -> str:

@@ -6,15 +6,20 @@ batch SQL of the same operation."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pricelake.functions import constants as K
+from pricelake.plans.daily import write_daily
 from pricelake.plans.q_merge import _merge_sql
 from pricelake.plans.registry import query
 from pricelake.plans.views import load_view, with_views
-from pricelake.session import scratch_path
+from pricelake.session import materialize, scratch_path
 from pricelake.sources.landing import PRODUCT_SCHEMA
+from pricelake.sources.versions import read_table
 from pricelake.streaming.day_load import start_day_load
+from pricelake.streaming.event_load import start_event_load
 from pricelake.streaming.snapshot_upsert import read_state, start_snapshot_upsert
 
 SOURCES = ["carrefour", "alcampo", "dia", "mercadona", "lidl"]  # by target_index 1..5; the last has no table
@@ -106,6 +111,59 @@ def q_day_load_stream(spark, sf_dir):
     return spark.read.parquet(f"{root}/tables").select("table_name", *K.PRODUCT_COLUMNS)
 
 
+@query("day_object_load", with_views("rows_base") + f"""
+, r AS (SELECT * REPLACE (date_trunc('year', date)::DATE AS date), CASE target_index % 2 WHEN 1 THEN 'carrefour' ELSE 'dia' END AS source
+        FROM rows_base)
+SELECT CASE source {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in K.SOURCE_TABLES.items())} END AS table_name, {_P} FROM r
+""")
+def q_day_object_load(spark, sf_dir):
+    """S7 into T1: each run's day is one object of several part files, and the
+    stream, which takes a few files at a time, loads every row of it."""
+    root = scratch_path(spark, "dayobjects")
+    rows = materialize(load_view(spark, sf_dir, "rows_base").withColumn("date", F.trunc("date", "year"))
+                       .withColumn("source", F.when(F.col("target_index") % 2 == 1, "carrefour").otherwise("dia")))
+    for run in rows.select("source", "date").distinct().collect():  # a row per run
+        write_daily(rows.where((F.col("source") == run.source) & (F.col("date") == run.date)), f"{root}/landing",
+                    run.source, run.date, rows_per_file=400)
+    start_day_load(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoint", max_files_per_trigger=16).awaitTermination()
+    return spark.read.parquet(f"{root}/tables").select("table_name", *K.PRODUCT_COLUMNS)
+
+
+# Quarterly runs of one year. The second generation of the first and third quarter
+# is written and posted; then the first one of the others, with a late event of
+# generation 1 for all; then the second of the others. Every event comes twice.
+@query("event_load_stream", with_views("rows_base") + f"""
+, r AS (SELECT * REPLACE (date_trunc('quarter', date)::DATE AS date, CASE quarter(date) % 2 WHEN 1 THEN price ELSE price || ' *' END AS price),
+               CASE target_index % 2 WHEN 1 THEN 'carrefour' ELSE 'dia' END AS source FROM rows_base WHERE year(date) = 1995)
+SELECT CASE source {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in K.SOURCE_TABLES.items())} END AS table_name, {_P} FROM r
+""")
+def q_event_load_stream(spark, sf_dir):
+    """S11 into S8 and S9: duplicated and late events; an event that is late finds
+    an object that holds other rows by now and must not load it."""
+    root = scratch_path(spark, "eventload")
+    rows = materialize(load_view(spark, sf_dir, "rows_base").where(F.year("date") == 1995)
+                       .withColumn("date", F.trunc("date", "quarter"))
+                       .withColumn("source", F.when(F.col("target_index") % 2 == 1, "carrefour").otherwise("dia")))
+    runs = rows.select("source", "date").distinct().collect()  # a row per run
+
+    def deliver(generation: int, posted: list, price: str) -> None:
+        """Write the quarters' objects and post their events, each twice."""
+        for run in runs:
+            if (run.date.month + 2) // 3 in posted:
+                write_daily(rows.where((F.col("source") == run.source) & (F.col("date") == run.date)).withColumn("price", F.expr(price)),
+                            f"{root}/objects/raw", run.source, run.date, rows_per_file=200)
+        name = F.concat_ws("/", "source", "date", F.concat("source", F.lit("_supermercado_"), "date", F.lit(".parquet")))
+        event = F.to_json(F.struct(F.lit("raw").alias("bucket"), name.alias("name"), F.lit(str(generation)).alias("generation")))
+        (spark.createDataFrame(runs, "source string, date date").where(F.quarter("date").isin(posted))
+         .select(F.explode(F.array(event, event)).alias("value")).coalesce(1).write.text(f"{root}/events/{uuid.uuid4().hex}"))
+        start_event_load(spark, f"{root}/events", f"{root}/objects", f"{root}/tables", f"{root}/checkpoint", "raw").awaitTermination()
+
+    deliver(2, [1, 3], "price")
+    deliver(1, [1, 2, 3, 4], "concat(price, ' late')")
+    deliver(2, [2, 4], "concat(price, ' *')")
+    return read_table(spark, f"{root}/tables")
+
+
 # Order status O rows are JSON-LD rows; the oracle takes those of a snapshot
 # while no snapshot up to it has a card URL and no earlier one any URL.
 _LD_TAKEN = """subcategory <> 'O' OR NOT EXISTS (

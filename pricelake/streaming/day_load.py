@@ -2,13 +2,17 @@
 
 Files arrive under ``<root>/<source>/<YYYY-MM-DD>/<name>.parquet``. The
 file source picks them up oldest first; every micro-batch is applied with
-``foreachBatch``. Inside a batch the files are ordered by (modification
-time, path) and applied as one set-based step that equals replacing their
-days one after the other:
-
-* a table row of date ``x`` survives unless some file of the batch has
+``foreachBatch``. What replaces a day is an *object*: a file, or all part files
+that one Spark job wrote into one folder (their names carry the job's id).
+The first batch that sees a part file loads its whole object, however the
+parts are spread over batches; a folder still being written is waited for.
+Inside a batch the objects are ordered by (modification time, path) and
+applied as one set-based step that equals replacing their days one after the
+other:
+
+* a table row of date ``x`` survives unless some object of the batch has
   path day ``x`` (null dates always survive);
-* a row of file ``i`` with date ``x`` survives unless a *later* file of the
+* a row of object ``i`` with date ``x`` survives unless a *later* object of the
   batch has path day ``x``.
 
 All bronze tables share one folder partitioned by ``(table_name, date)``.
@@ -29,12 +33,20 @@ same tables are never taken for replays.
 
 from __future__ import annotations
 
+import hashlib
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.functions import constants as K
 from pricelake.sources.landing import PRODUCT_SCHEMA, _fs
 
+#: Name of a part file: folder, then the id of the job that wrote it.
+_PART = r"^(.*)/part-[0-9]+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$"
+#: Seconds to wait for a folder that a job is still writing.
+WRITER_PATIENCE = 600
+
 
 def landed_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int = 8) -> DataFrame:
     """One row (path, modificationTime) per landed file, at any depth."""
@@ -45,8 +57,9 @@ def landed_stream(spark: SparkSession, landing_root: str, max_files_per_trigger:
 
 
 def landed_files(found: DataFrame, landing_root: str) -> DataFrame:
-    """(path, modificationTime, table_name, pday, reason) of landed files;
-    ``reason`` tells why a file is not a day file of a known table."""
+    """(path, modificationTime, table_name, pday, reason, folder, job) of landed
+    files; ``reason`` tells why a file is not a day file of a known table.
+    ``folder`` and ``job`` are empty for what is no part file."""
     root = landing_root.rstrip("/").split("://", 1)[-1].removeprefix("file:").rstrip("/")
     tables = F.create_map(*[x for kv in K.SOURCE_TABLES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     name = F.regexp_extract("path", "^.*?\\Q" + root + "\\E/(.*)$", 1)
@@ -55,26 +68,60 @@ def landed_files(found: DataFrame, landing_root: str) -> DataFrame:
     table = F.try_element_at(tables, source)
     reason = (F.when(~name.rlike(K.OBJECT_PATH_PATTERN), "not_day_file").when(table.isNull(), "unknown_source")
               .when(day.isNull(), "invalid_day"))
-    return found.select("path", "modificationTime", table.alias("table_name"), day.alias("pday"),
-                        reason.alias("reason"))
+    return found.select("path", "modificationTime", table.alias("table_name"), day.alias("pday"), reason.alias("reason"),
+                        F.regexp_extract("path", _PART, 1).alias("folder"), F.regexp_extract("path", _PART, 2).alias("job"))
+
+
+def day_objects(spark: SparkSession, files: list) -> list:
+    """(object id, table, day, paths) of landed files (rows of ``landed_files``
+    in order): part files stand for the whole object that they belong to, as it
+    is in its folder now. A folder that vanished has no object any more: a later
+    one took its name."""
+    found = {}
+    for f in files:
+        key = f"{f['folder']}#{f['job']}" if f["job"] else f["path"]
+        if key not in found:
+            found[key] = (key, f["table_name"], f["pday"], _parts(spark, f["folder"], f["job"]) if f["job"] else [f["path"]])
+    return [o for o in found.values() if o[3]]
+
+
+def _parts(spark: SparkSession, folder: str, job: str) -> list:
+    fs, p = _fs(spark, folder)
+    Path, until = spark._jvm.org.apache.hadoop.fs.Path, time.time() + WRITER_PATIENCE
+    while fs.exists(Path(p, "_temporary")):
+        if time.time() > until:
+            raise TimeoutError(f"{folder} is still being written")
+        time.sleep(1)
+    paths = [st.getPath().toString() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(x for x in paths if job in x.rsplit("/", 1)[1] and x.endswith(".parquet"))
+
+
+def surviving_rows(spark: SparkSession, rows: DataFrame, files: list) -> DataFrame:
+    """(table_name, product columns): the rows of a batch's objects that no later
+    object of the batch replaces. ``files`` = [(seq, path, table, day)] in order,
+    files of one object with one number; ``rows`` as of ``read_files``."""
+    uri = spark._jvm.org.apache.hadoop.fs.Path
+    meta = spark.createDataFrame([(i, uri(p).toUri().toString(), t, d) for i, p, t, d in files],
+                                 "_seq int, _path string, table_name string, _pday date")
+    # a row per file of the batch's objects
+    tagged = rows.join(F.broadcast(meta), "_path")
+    last_for_day = meta.groupBy(F.col("table_name").alias("_t"), F.col("_pday").alias("_d")) \
+        .agg(F.max("_seq").alias("_last"))
+    j = tagged.join(F.broadcast(last_for_day), (F.col("table_name") == F.col("_t")) & (F.col("date") == F.col("_d")),
+                    "left")
+    survivors = j.where(F.col("_last").isNull() | (F.col("_last") <= F.col("_seq")))
+    return survivors.select("table_name", *[F.col(c).cast(f.dataType).alias(c)
+                                            for c, f in zip(K.PRODUCT_COLUMNS, PRODUCT_SCHEMA.fields)])
 
 
 def apply_files(spark: SparkSession, rows: DataFrame, files: list, tables_root: str) -> None:
-    """Apply one batch: ``files`` = [(seq, path, table, day)] in order.
+    """Apply one batch: ``files`` = [(seq, path, table, day)] in order, files of
+    one object with one number.
 
     All bronze tables live under ``tables_root`` partitioned by
     ``(table_name, date)``, so a batch is one dynamic-overwrite write for
     the replaced days of every table plus one append."""
-    meta = spark.createDataFrame(files, "_seq int, _path string, table_name string, _pday date")
-    # one row per file: bounded by maxFilesPerTrigger
-    tagged = rows.join(F.broadcast(meta), "_path")
-    last_for_day = meta.groupBy(F.col("table_name").alias("_t"), F.col("_pday").alias("_d")) \
-        .agg(F.max("_seq").alias("_last"))
-    j = tagged.join(F.broadcast(last_for_day), (F.col("table_name") == F.col("_t")) & (F.col("date") == F.col("_d")),
-                    "left")
-    survivors = j.where(F.col("_last").isNull() | (F.col("_last") <= F.col("_seq")))
-    survivors = survivors.select("table_name", *[F.col(c).cast(f.dataType).alias(c)
-                                                 for c, f in zip(K.PRODUCT_COLUMNS, PRODUCT_SCHEMA.fields)])
+    survivors = surviving_rows(spark, rows, files)
     days = sorted({(f[2], str(f[3])) for f in files})
     replaced = F.lit(False)
     for t, d in days:
@@ -99,14 +146,10 @@ def read_table(spark: SparkSession, tables_root: str, table: str) -> DataFrame:
 
 
 def read_files(spark: SparkSession, paths: list) -> DataFrame:
-    """Rows of the given day files with the ``_path`` each came from."""
-    # file_path is percent-encoded: the names of the batch's files are encoded
-    # the same way to find them again
-    uri = {spark._jvm.org.apache.hadoop.fs.Path(p).toUri().toString(): p for p in paths}
-    names = F.create_map(*[x for kv in uri.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    """Rows of the given day files with the ``_path`` (percent-encoded) each came from."""
     escaped = ["".join("\\" + c if c in "*?[]{}\\" else c for c in p) for p in paths]
     return (spark.read.schema(PRODUCT_SCHEMA).option("recursiveFileLookup", True).parquet(*escaped)
-            .select("*", F.try_element_at(names, F.col("_metadata.file_path")).alias("_path")))
+            .select("*", F.col("_metadata.file_path").alias("_path")))
 
 
 def start_day_load(spark: SparkSession, landing_root: str, tables_root: str, checkpoint: str,
@@ -128,9 +171,17 @@ def start_day_load(spark: SparkSession, landing_root: str, tables_root: str, che
         ignored = [(f["path"], f["reason"]) for f in files if f["reason"] is not None]
         if ignored:
             spark.createDataFrame(ignored, "path string, reason string").write.mode("append").json(f"{tables}/_ignored_files")
-        if known:
-            meta = [(i, f["path"], f["table_name"], f["pday"]) for i, f in enumerate(known)]
-            apply_files(spark, read_files(spark, [f["path"] for f in known]), meta, tables)
+        # an object whose other part files came in an earlier batch is loaded already
+        found = day_objects(spark, known)
+        seen = {o[0]: _fs(spark, f"{tables}/_committed_objects/{query_id}/{hashlib.sha256(o[0].encode()).hexdigest()}")[1]
+                for o in found}
+        objects = [o for o in found if not fs.exists(seen[o[0]])]
+        if objects:
+            meta = [(i, p, table, day) for i, (_, table, day, paths) in enumerate(objects) for p in paths]
+            apply_files(spark, read_files(spark, [m[1] for m in meta]), meta, tables)
+        for o in objects:
+            if len(o[3]) > 1:
+                fs.create(seen[o[0]], True).close()
         fs.create(marker, True).close()
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

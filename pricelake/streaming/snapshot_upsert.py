@@ -9,14 +9,18 @@ any order and give the same state. The state grows with the number of
 keys of a run (no event time, so no watermark): run one stream per run day.
 
 Each micro-batch emits only the keys it changed (update mode), with their
-whole aggregate so far, appended to a change log tagged with the batch id.
+whole aggregate so far, as a folder of the change log with the batch's number.
+Every ``COMPACT_EVERY`` batches the log is folded into the last *generation*, a
+table of one row per key; its folder takes its name when it is whole, and the
+log folders that it covers are deleted. So what is kept and read is the keys plus
+at most ``COMPACT_EVERY`` batches, however long the stream runs.
 JSON-LD rows (``kind = 'jsonld'``; everything else is a card row) are kept
 per snapshot, because which snapshots' JSON-LD counts (W3) is known only
-from the whole feed. ``read_state`` compacts the log per key to the row of the
-latest batch (an aggregate, combined map-side), gates the JSON-LD rows,
+from the whole feed. ``read_state`` folds the generation and the log per key to the
+row of the latest batch (an aggregate, combined map-side), gates the JSON-LD rows,
 merges both kinds per key and applies the name rule (name rows whose
-name a URL row already has are dropped). A replayed batch appends the same
-rows again, which the compaction absorbs.
+name a URL row already has are dropped). A replayed batch writes its folder
+again; one that a generation covers is deleted with the next.
 """
 
 from __future__ import annotations
@@ -27,6 +31,10 @@ from pyspark.sql import types as T
 
 from pricelake.functions.text import coalesce_blank, strip
 from pricelake.operators.merge import jsonld_gate
+from pricelake.sources.landing import _fs
+
+#: Batches that the change log holds before they are folded into a generation.
+COMPACT_EVERY = 8
 
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("target_index", T.LongType()),
@@ -62,19 +70,63 @@ def keyed_state(rows: DataFrame) -> DataFrame:
 
 
 def start_snapshot_upsert(spark: SparkSession, snapshots_root: str, state_root: str, checkpoint: str,
-                          max_files_per_trigger: int = 4, available_now: bool = True):
+                          max_files_per_trigger: int = 4, available_now: bool = True, compact_every: int = COMPACT_EVERY):
     stream = (spark.readStream.schema(SNAPSHOT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
               .parquet(snapshots_root))
     state = keyed_state(stream)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(state_root)
+        (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .parquet(f"{state_root.rstrip('/')}/log/{batch_id}"))
+        if (batch_id + 1) % compact_every == 0:
+            fold_log(spark, state_root)
 
     w = state.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    fs, p = _fs(spark, folder)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def live_folders(spark: SparkSession, state_root: str) -> tuple[int | None, list[int]]:
+    """The newest generation (the batch that it reaches up to) and the batches of the log after it."""
+    root = state_root.rstrip("/")
+    generation = max(_numbers(spark, f"{root}/generation"), default=None)
+    return generation, [n for n in _numbers(spark, f"{root}/log") if generation is None or n > generation]
+
+
+def state_log(spark: SparkSession, state_root: str) -> DataFrame:
+    """The rows of the newest generation and of the log after it."""
+    root = state_root.rstrip("/")
+    generation, batches = live_folders(spark, state_root)
+    paths = [f"{root}/log/{n}" for n in batches] + ([] if generation is None else [f"{root}/generation/{generation}"])
+    return spark.read.parquet(*paths)
+
+
+def fold_log(spark: SparkSession, state_root: str) -> None:
+    """Write the next generation; then delete what it covers."""
+    root = state_root.rstrip("/")
+    old, batches = live_folders(spark, state_root)
+    if not batches:
+        return
+    staging, path = f"{root}/generation/_{batches[-1]}", f"{root}/generation/{batches[-1]}"
+    compact(state_log(spark, state_root)).withColumn("batch_id", F.lit(batches[-1]).cast("long")) \
+        .write.mode("overwrite").parquet(staging)
+    fs, done = _fs(spark, path)
+    if not fs.rename(_fs(spark, staging)[1], done):
+        raise OSError(f"{staging} could not be renamed to {path}")
+    for n in _numbers(spark, f"{root}/log"):
+        if n <= batches[-1]:
+            fs.delete(_fs(spark, f"{root}/log/{n}")[1], True)
+    for n in _numbers(spark, f"{root}/generation"):
+        if n < batches[-1]:
+            fs.delete(_fs(spark, f"{root}/generation/{n}")[1], True)
+
+
 def compact(log: DataFrame) -> DataFrame:
     """Per key, the state row of the latest batch that changed it."""
     return (log.groupBy(*_KEYS).agg(F.max_by(F.struct("_last", "_first"), "batch_id").alias("_s"))
@@ -102,4 +154,4 @@ def merged_rows(state: DataFrame) -> DataFrame:
 
 
 def read_state(spark: SparkSession, state_root: str) -> DataFrame:
-    return merged_rows(compact(spark.read.parquet(state_root)))
+    return merged_rows(compact(state_log(spark, state_root)))

@@ -98,3 +98,52 @@ def test_replayed_batch_changes_nothing(spark, tmpdir_path):
         os.remove(f)  # the batch was applied, but its commit was lost
     start_day_load(spark, f"{tmpdir_path}/landing", tables, ckpt).awaitTermination()
     assert products(spark, tables) == before == [(str(D[0]), "a"), (str(D[2]), "other"), (str(D[3]), "t")]
+
+
+def run_rows(n, day):
+    return [(day, f"p{i:03d}", "b", f"{i},00", "", False, "c", "s", f"https://u/{i}") for i in range(n)]
+
+
+def test_day_written_in_several_files_loads_whole(spark, tmpdir_path):
+    """S7 into T1, however the part files are spread over batches."""
+    from pricelake.plans.daily import write_daily
+    landing = f"{tmpdir_path}/landing"
+    for day in D[:2]:
+        df = spark.createDataFrame(run_rows(300, day), PRODUCT_SCHEMA)
+        key = write_daily(df, landing, "dia", day, rows_per_file=70)
+        assert key == f"{landing}/dia/{day}/dia_supermercado_{day}.parquet"
+        assert len(glob.glob(f"{key}/part-*")) >= 4 and spark.read.parquet(key).count() == 300
+    for per_trigger in (1, 3, 100):
+        tables = f"{tmpdir_path}/tables{per_trigger}"
+        start_table(spark, tables, [(D[0], "old"), (D[3], "t")])
+        start_day_load(spark, landing, tables, f"{tmpdir_path}/c{per_trigger}", max_files_per_trigger=per_trigger).awaitTermination()
+        want = [(str(d), f"p{i:03d}") for d in D[:2] for i in range(300)] + [(str(D[3]), "t")]
+        assert products(spark, tables) == sorted(want)
+
+
+def test_rows_of_other_days_of_a_split_object_are_appended_once(spark, tmpdir_path):
+    from pricelake.plans.daily import write_daily
+    df = spark.createDataFrame(run_rows(40, D[0]) + run_rows(40, D[1]), PRODUCT_SCHEMA)
+    write_daily(df, f"{tmpdir_path}/landing", "dia", D[0], rows_per_file=15)
+    tables = f"{tmpdir_path}/tables"
+    start_table(spark, tables, [(D[1], "kept")])
+    start_day_load(spark, f"{tmpdir_path}/landing", tables, f"{tmpdir_path}/c", max_files_per_trigger=2).awaitTermination()
+    got = products(spark, tables)
+    assert len(got) == 81 and (str(D[1]), "kept") in got
+
+
+def test_rewritten_day_replaces_the_object_and_a_failed_run_keeps_it(spark, tmpdir_path):
+    import pytest
+    from pyspark.sql import functions as F
+    from pricelake.plans.daily import write_daily
+    landing, tables = f"{tmpdir_path}/landing", f"{tmpdir_path}/tables"
+    start_table(spark, tables, [(D[3], "t")])
+    df = spark.createDataFrame(run_rows(50, D[0]), PRODUCT_SCHEMA)
+    key = write_daily(df, landing, "dia", D[0], rows_per_file=20)
+    start_day_load(spark, landing, tables, f"{tmpdir_path}/c").awaitTermination()
+    with pytest.raises(Exception):
+        write_daily(df.withColumn("price", F.raise_error(F.lit("run failed")).cast("string")), landing, "dia", D[0])
+    assert spark.read.parquet(key).count() == 50
+    write_daily(df.limit(30), landing, "dia", D[0], rows_per_file=20)
+    start_day_load(spark, landing, tables, f"{tmpdir_path}/c").awaitTermination()
+    assert len(products(spark, tables)) == 31
