@@ -203,3 +203,14 @@ def q_pagination_walk(spark, sf_dir):
     out = pagination_walk(roots, walk_edges(pages))
     return out.select("root_id", "page_id", "url", F.col("depth").cast("bigint").alias("depth"),
                       F.col("page_seq").cast("bigint").alias("page_seq"))
+
+
+# Eight categories whose pages carry one "next" link each: a page links to the eighth after it.
+@query("pagination_chain", """
+SELECT page_id % 8 AS root_id, page_id, url, page_id // 8 AS depth, page_id // 8 AS page_seq FROM pages
+""")
+def q_pagination_chain(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url"])
+    first = pages.where(F.col("page_id") < 8).select(F.col("page_id").alias("root_id"), "page_id", "url")
+    following = pages.select((F.col("page_id") - 8).alias("src_id"), F.col("page_id").alias("dst_id"), F.col("url").alias("dst_url"))
+    return pagination_walk(first, following.where(F.col("src_id") >= 0)).withColumn("depth", F.col("depth").cast("bigint"))

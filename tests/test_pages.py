@@ -158,3 +158,41 @@ def test_links_skip_comments_scripts(spark):
     df = spark.createDataFrame([(1, html)], "page_id long, html string")
     got = [r.url for r in L.links_extract(df, "https://s.es").orderBy("pos").collect()]
     assert got == ["https://s.es/z", "https://s.es/ok"]
+
+
+def chain_edges(spark, pairs):
+    return spark.createDataFrame([(s, d, f"u{d}") for s, d in pairs], "src_id long, dst_id long, dst_url string")
+
+
+def test_walk_of_a_long_chain_takes_logarithmic_rounds(spark, monkeypatch):
+    import pricelake.operators.walk as W
+    written, write = [], W.save_and_reload
+    monkeypatch.setattr(W, "save_and_reload", lambda df, name="stage": written.append(name) or write(df, name))
+    n = 1000
+    e = chain_edges(spark, [(i, i + 1) for i in range(n)])
+    roots = spark.createDataFrame([(0, 0, "u0"), (1, 990, "u990")], "root_id long, page_id long, url string")
+    got = W.pagination_walk(roots, e).orderBy("root_id", "page_seq").collect()
+    assert [(r.page_id, r.url, r.depth, r.page_seq) for r in got if r.root_id == 0] == [(i, f"u{i}", i, i) for i in range(n + 1)]
+    assert [r.page_id for r in got if r.root_id == 1] == list(range(990, n + 1))
+    assert written.count("walk-jump") <= 13 and "walk-level" not in written
+
+
+def test_walk_of_chains_rings_and_branches_together(spark):
+    chain = [(i, i + 1) for i in range(20)] + [(5, 5)]
+    ring = [(100, 101), (101, 102), (102, 103), (103, 104), (104, 102)]
+    tree = [(200, 201), (201, 202), (202, 203), (202, 204), (204, 205), (205, 206), (203, 200)]
+    to_tree = [(300 + i, 301 + i) for i in range(9)] + [(309, 201)]
+    pairs = chain + ring + tree + to_tree + [(0, 1)]
+    edges, urls = {}, {}
+    for s, d in pairs:
+        edges.setdefault(s, []).append(d) if d != s and d not in edges.get(s, []) else None
+        urls[s], urls[d] = f"u{s}", f"u{d}"
+    starts = [0, 7, 20, 100, 103, 200, 204, 300, 999]
+    roots = spark.createDataFrame([(r + 1000, r, f"u{r}") for r in starts], "root_id long, page_id long, url string")
+    e = chain_edges(spark, pairs)
+    for cap in (None, 1, 4, 0):
+        got = pagination_walk(roots, e, max_pages=cap).orderBy("root_id", "page_seq").collect()
+        for r in starts:
+            mine = [x for x in got if x.root_id == r + 1000]
+            assert [x.page_id for x in mine] == brute_bfs(r, edges, urls, cap), (cap, r)
+            assert [x.page_seq for x in mine] == list(range(len(mine)))
