@@ -174,3 +174,78 @@ def test_listed_words_hide_no_wrapper(spark):
     assert html_template.text_of(f"<body><p>Intro</p><div class='not-a-menu-page'>{'x ' * 4}</div><p>{story}") == f"Intro x x x x {story}"
     thread = "<p>reply</p>" * 100  # a long thread is no wrapper where an article stands beside it
     assert html_template.text_of(f"<body><article>{story}<div id=comments>{thread}</div></article>") == story
+
+
+STORY = " ".join(f"word{j}" for j in range(40))
+
+
+def test_raw_elements_that_close_themselves_hide_nothing():
+    for tag in ('<svg class="icon"/>', "<iframe/>", '<iframe src="a>b" />', "<canvas>", "<select>", '<object data="x"/>'):
+        assert html_template.text_of(f"<body><article><p>Lead</p>{tag}<p>{STORY}</p></article>") == f"Lead {STORY}", tag
+    assert html_template.text_of(f"<article>{STORY}<svg><text>icon</text></svg><script>var a='<p>'") == STORY
+    assert html_template.text_of(f'<article>{STORY}<script data-x="a>b">no</script> end') == f"{STORY} end"
+
+
+def test_an_articles_own_parts_stay(spark):
+    assert html_template.text_of(f"<article><header><h1>Title</h1></header><fieldset>Facts</fieldset><p>{STORY}</p>"
+                                 "<footer>Foot</footer></article><header>Site</header>") == f"Title Facts {STORY}"
+    # a lead paragraph before the article, on every page
+    lead = [f"<body><p>A lead paragraph that sums up story number {k}.</p><article>{STORY * 20} {k}</article>" for k in range(5)]
+    assert texts_of(spark, lead) == [f"A lead paragraph that sums up story number {k}. {STORY * 20} {k}" for k in range(5)]
+    # headings that all articles of a host have at the same place
+    recipe = "<body><article><h2>Ingredients</h2><p>{a}</p><h2>Method</h2><p>{b}</p></article><div>Recipes of the day</div>"
+    assert texts_of(spark, [recipe.format(a=f"flour {k}", b=f"mix {k} {STORY}") for k in range(6)]) == [
+        f"Ingredients flour {k} Method mix {k} {STORY}" for k in range(6)]
+
+
+def test_values_with_listed_words_hide_only_what_the_host_repeats(spark):
+    html = '<body><div class="promo-box">Buy {k}</div><article><p>{s} {k}</p><div class="{c}"><p>Inside {k}</p></div></article>'
+    own = ["ad-hoc-analysis", "notice-period", "related-work", "x", "y", "z"]
+    assert texts_of(spark, [html.format(k=k, s=STORY, c=c) for k, c in enumerate(own)]) == [
+        f"{STORY} {k} Inside {k}" for k in range(6)]
+    assert texts_of(spark, [html.format(k=k, s=STORY, c="related-posts") for k in range(6)]) == [f"{STORY} {k}" for k in range(6)]
+    assert texts_of(spark, [html.format(k=k, s=STORY, c="ad") for k in range(6)]) == [f"{STORY} {k}" for k in range(6)]
+
+
+def test_any_depth_of_nesting():
+    import time
+    import tracemalloc
+    deep = "<div class=ad-free>" * 60_000 + STORY + "</p>" * 60_000 + "<div>x" * 20_000
+    tracemalloc.start()
+    began = time.time()
+    text = html_template.text_of(deep)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert text.startswith(STORY) and text.endswith(" x x") and peak < 400e6 and time.time() - began < 60
+
+
+def brute_constant_texts(pages, known_path):
+    """Texts that stand once on each page of at least half of the pages, with the counts of some element's tag."""
+    from collections import Counter, defaultdict
+    vectors, opened = defaultdict(dict), set()
+    for k, page in enumerate(pages):
+        seen = Counter()
+        for kind, e, text in html_template.slots(page, known_path):
+            if e is not None and not e.skip and kind != "break":
+                seen[e.path, kind, text] += 1
+        for token, n in seen.items():
+            vectors[token][k] = n
+    valid = {t: frozenset(v) for t, v in vectors.items() if 2 * len(v) >= len(pages) and max(v.values()) == 1}
+    opened = {v for (_, kind, _), v in valid.items() if kind == "open"}
+    return {(path, text) for (path, kind, text), v in valid.items() if kind == "text" and v in opened}
+
+
+def test_classes_against_brute_force(spark):
+    import random
+    r = random.Random(5)
+    pages = []
+    for k in range(14):
+        body = "".join(r.choice(["<div class=a><p>Same</p></div>", "<div class=b>Other</div>", f"<p>own {k}</p>", "<ul><li>Same</ul>",
+                                 "<section><h2>Head</h2></section>"]) for _ in range(r.randrange(1, 7)))
+        pages.append(f"<html><body><div class=top>Shop</div>{body}<div class=legal>Legal {k % 2}</div><p>end {k}</p></body></html>")
+    df = spark.createDataFrame([(k, "http://h.example.com/", h) for k, h in enumerate(pages)], "page_id long, url string, html string")
+    values = html_template.host_values(df)
+    known = frozenset(values.first().known)
+    want = brute_constant_texts(pages, known)
+    found = html_template.classes(df, values).filter("kind = 'text'").collect()
+    assert {(x.path, x.key) for x in found} == {(p, html_template.key_of(p, t)) for p, t in want} and want
