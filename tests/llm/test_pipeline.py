@@ -37,12 +37,14 @@ BENCHMARK = " ".join(words("exam", 12))
 
 def brute(rows, rejected):
     rows = [r for r in rows if (r[0], r[1]) not in rejected]
-    # near duplicates: the smallest id of each group, repeated rows once
-    group = {i: c for i, _, c in brute_links([(r[0], r[1]) for r in rows], 80, 5)}
+    # near duplicates: the smallest id of each group, repeated rows once; rows
+    # without an id link by their texts, and stay only in groups that hold no id
+    keys = [r[0] if r[0] is not None else 10**9 + rows.index(r) for r in rows]
+    group = {i: c for i, _, c in brute_links([(k, r[1]) for k, r in zip(keys, rows)], 80, 5)}
     seen, kept = set(), []
-    for r in rows:
-        if r[0] is None or group[r[0]] == r[0] and (r[0], r[1]) not in seen:
-            seen.add((r[0], r[1]))
+    for k, r in zip(keys, rows):
+        if group[k] == k and (k, r[1]) not in seen:
+            seen.add((k, r[1]))
             kept.append(r)
     rows = kept
     # passages
@@ -132,7 +134,7 @@ def test_extra_columns_travel(spark, tmpdir_path):
 
 def test_queries_are_registered():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and len(corpus_pipeline.STAGES) == 5
 
 
