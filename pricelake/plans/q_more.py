@@ -158,6 +158,17 @@ def q_csv_roundtrip(spark, sf_dir):
     return LD.read_csv(spark, path)
 
 
+@query("csv_blocks_roundtrip", """
+SELECT cast(doc_id AS VARCHAR) AS doc_id, CASE WHEN text <> '' THEN text END AS text, lang, source FROM documents
+""")
+def q_csv_blocks_roundtrip(spark, sf_dir):
+    """S6 on fields of many lines: documents written as CSV and read back by blocks."""
+    path = scratch_path(spark, "csv")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"])
+    LD.write_csv(docs.withColumn("text", F.nullif("text", F.lit(""))), path)
+    return LD.read_csv_text(spark, path)
+
+
 # -- F15 / F16 ------------------------------------------------------------------------
 
 @query("event_texts", """

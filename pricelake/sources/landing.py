@@ -145,10 +145,9 @@ def write_csv(rows: DataFrame, path: str) -> None:
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """S6 read: every column as text (types are inferred by ``type_profile``,
-    not by ``inferSchema``, whose rules differ). A file is one split: quoted
-    fields may hold line ends, so lines say nothing about rows."""
-    return (spark.read.option("header", True).option("escape", '"').option("multiLine", True)
-            .option("inferSchema", False).csv(path))
+    not by ``inferSchema``, whose rules differ), from all blocks of a file at once."""
+    from pricelake.sources.csv_blocks import read_csv_text as read
+    return read(spark, path)
 
 
 _DTYPES = {"float64": "double", "int64": "bigint", "bool": "boolean"}
