@@ -56,6 +56,16 @@ def fold_table(ascii_only: bool) -> tuple[str, str, dict[str, str], str]:
     return "".join(src), "".join(dst), multi, r"[^\x00-\x7F]" if ascii_only else char_class(gone)
 
 
+def common_letters(ascii_only: bool, below: int = 0x250) -> tuple[str, str, str]:
+    """(regex class of all characters but ASCII and the Latin ones below
+    ``below`` that fold to one character or to themselves, from_chars, to_chars)."""
+    src, dst, multi, _ = fold_table(ascii_only)
+    to = dict(zip(src, dst))
+    stay = [c for c in map(chr, range(0x80, below))
+            if c in to or not ascii_only and c not in multi and not unicodedata.combining(c)]
+    return "[^\\x00-\\x7F" + char_class(stay)[1:], "".join(c for c in stay if c in to), "".join(to[c] for c in stay if c in to)
+
+
 def char_class(chars) -> str:
     """A regex class of the given characters, as ranges of code points."""
     cps = sorted(map(ord, chars))
@@ -110,7 +120,9 @@ def nfkd_fold(c, ascii_only: bool = False) -> Column:
     pieces = F.regexp_extract_all(x, F.lit(f"{several}|[^{several[1:]}+"), F.lit(0))
     y = F.when(x.rlike(several), F.array_join(F.transform(pieces, folded), "")).otherwise(x)
     y = F.regexp_replace(F.translate(y, src, dst), dropped, "")
-    return F.when(x.rlike(r"[^\x00-\x7F]"), y).otherwise(x)
+    # letters of European languages fold one to one: such texts need neither of the classes of hundreds of ranges
+    plain, few_src, few_dst = common_letters(ascii_only)
+    return (F.when(~x.rlike(r"[^\x00-\x7F]"), x).when(~x.rlike(plain), F.translate(x, few_src, few_dst)).otherwise(y))
 
 
 def fold_text(c) -> Column:

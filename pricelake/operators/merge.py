@@ -108,13 +108,29 @@ def cap_per_group(rows: DataFrame, n: int | None, group_cols=("target_index",),
 
 
 def limit_total(rows: DataFrame, n: int | None, order=None) -> DataFrame:
-    """O3: the first ``n`` rows of the run in target order. Rows are
-    numbered by a distributed rank, so a large ``n`` is no single task."""
+    """O3: the first ``n`` rows of the run in target order, by selection: the rows
+    per value of the first order column tell at which value the limit falls.
+    Rows before it stay, rows behind it go, and only those at it are ranked
+    (distributed), so the run as a whole is never sorted."""
     if n is None:
         return rows
+    from pyspark.sql import Window
+    if n <= 0:
+        return rows.where(F.lit(False))
     order = _order(rows, order)
-    ranked = group_rank(rows.withColumn("_run", F.lit(0)), "_run", order, "_rank")
-    return ranked.where(F.col("_rank") < n).select(*rows.columns).orderBy(*order)
+    rows = materialize(rows)
+    # a row per value of the column
+    key = F.struct(F.col(order[0]).isNotNull().alias("set"), F.col(order[0]).alias("value"))  # nulls first, as in a sort
+    sizes = rows.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = sizes.withColumn("_upto", F.sum("_n").over(Window.orderBy("_k")))
+    edge = upto.where(F.col("_upto") >= n).orderBy("_k").select("_k.value", (F.col("_upto") - F.col("_n")).alias("before")).first()
+    if edge is None:
+        return rows.orderBy(*order)
+    at = F.col(order[0]).eqNullSafe(F.lit(edge["value"]))
+    before = F.lit(False) if edge["value"] is None else F.coalesce(F.col(order[0]) < F.lit(edge["value"]), F.lit(True))
+    ranked = group_rank(rows.where(at).withColumn("_run", F.lit(0)), "_run", order, "_rank")
+    last = ranked.where(F.col("_rank") < n - edge["before"]).select(*rows.columns)
+    return rows.where(before).unionByName(last).orderBy(*order)
 
 
 def first_n_values(df: DataFrame, col: str, n: int | None, order_col: str = "target_index") -> DataFrame:

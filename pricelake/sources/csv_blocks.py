@@ -57,12 +57,28 @@ def _scan(batches):
             names=["value", "path", "block", "at", "before", "odd", "even_starts", "odd_starts"])
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.option("lineSep", "\n").text(path)
+            .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+            .mapInArrow(_scan, _LINES))
+
+
+def _ahead():
+    return Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line, value): the lines of all files at ``path``, numbered from 0 in each, read by blocks."""
+    lines = _lines(spark, path)
+    blocks = (lines.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"))
+              .select("path", "block", F.coalesce(F.sum("n").over(_ahead()), F.lit(0)).alias("earlier")))
+    return (lines.join(save_and_reload(blocks, "line-blocks"), ["path", "block"])
+            .select("path", (F.col("earlier") + F.col("at")).alias("line"), "value"))
+
+
 def records(spark: SparkSession, path: str) -> DataFrame:
     """(path, record, text): the records of all files at ``path``, numbered from 1 in each."""
-    lines = (spark.read.option("lineSep", "\n").text(path)
-             .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
-             .mapInArrow(_scan, _LINES))
-    ahead = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    lines, ahead = _lines(spark, path), _ahead()
     blocks = (lines.groupBy("path", "block").agg((F.sum("odd") % 2).alias("odd"), F.max("even_starts").alias("even_starts"),
                                                  F.max("odd_starts").alias("odd_starts"))
               .withColumn("inside", F.coalesce(F.sum("odd").over(ahead), F.lit(0)) % 2)

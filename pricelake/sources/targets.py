@@ -17,6 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricelake.sources.csv_blocks import numbered_lines
+
+#: End of the line that opens the list of targets.
+_OPENING = r'"targets": \[$'
 TARGET_FIELDS = ["group", "category", "subcategory", "url"]
 TARGET_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in TARGET_FIELDS])
 TARGETS_DOC_SCHEMA = T.StructType([
@@ -49,14 +53,27 @@ def validate_targets(targets: DataFrame, type_cols: bool = False) -> DataFrame:
 
 def read_targets(spark: SparkSession, path: str, validate: bool = True) -> DataFrame:
     """Targets with their list position as ``target_index``. A ``.json``
-    path is the single-document form (one JSON value, read whole: the
-    target list of a shop); any other path is the JSON-lines folder."""
+    path is the single-document form (one JSON value); any other path is the
+    JSON-lines folder. A document with a target per line, as ``write_targets_document``
+    lays it out, is read by lines, in as many tasks as its file has blocks; only another
+    layout is read whole."""
     if not path.endswith(".json"):
         t = spark.read.schema(LINE_SCHEMA).json(path.rstrip("/") + "/targets")
         return validate_targets(t) if validate else t
+    # the head line alone ends with the opening of the list
+    if spark.read.text(path).limit(1).where(F.col("value").rlike(_OPENING)).count():
+        # line 0 is the head; what is not a target fails the validation like a bad target
+        rows = (numbered_lines(spark, path).where((F.col("line") > 0) & (F.col("value") != "]}"))
+                .select((F.col("line") - 1).alias("target_index"), F.try_parse_json(F.regexp_replace("value", r"^,|,$", "")).alias("t")))
+        return _fields(rows, validate)
     doc = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
     items = doc.select(F.posexplode(F.coalesce(F.try_variant_get("v", "$.targets", "array<variant>"),
                                                F.array().cast("array<variant>"))).alias("target_index", "t"))
+    return _fields(items, validate)
+
+
+def _fields(items: DataFrame, validate: bool) -> DataFrame:
+    """(target_index, fields) of targets as VARIANT values t."""
     cols = [F.col("target_index").cast("long").alias("target_index")]
     for f in TARGET_FIELDS:
         x = F.try_variant_get("t", f"$.{f}", "variant")

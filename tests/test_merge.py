@@ -118,3 +118,13 @@ def test_jsonld_gate_stops_after_a_jsonld_url(spark):
                                  "target_index long, page_seq long, kind string, product_url string")
     got = sorted((r.page_seq, r.product_url) for r in M.jsonld_gate(rows).where("kind = 'jsonld'").collect())
     assert got == [(0, ""), (1, ""), (1, "old")]
+
+
+def test_limit_total_selects_like_a_sort(spark):
+    import random
+    r = random.Random(2)
+    rows = [(r.choice([None, 1, 1, 1, 2, 5]), 0, r.randrange(3), i) for i in range(200)]
+    df = spark.createDataFrame(rows, "target_index long, merge_rank int, page_seq long, pos long").repartition(5)
+    order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2], x[3]))
+    for n in (1, 7, 90, 199, 200, 500):
+        assert [tuple(x) for x in M.limit_total(df, n).collect()] == order[:n]

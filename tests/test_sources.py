@@ -60,7 +60,7 @@ def test_daily_sink(spark, tmpdir_path):
         "price_per_unit string, offer boolean, category string, subcategory string, product_url string")
     out = D.project(rows, "2025-01-15")
     path = D.write_daily(out, tmpdir_path, "dia", "2025-01-15")
-    assert path.endswith("/dia/2025-01-15")
+    assert path.endswith("/dia/2025-01-15/dia_supermercado_2025-01-15.parquet")
     back = spark.read.parquet(path)
     assert back.columns == ["date", "product", "brand", "price", "price_per_unit", "offer", "category",
                             "subcategory", "product_url"]
@@ -73,3 +73,30 @@ def test_slice_groups(spark):
     assert slice_groups(g, 2).count() == 2
     assert slice_groups(g, 0).count() == 0
     assert sorted(r.url for r in slice_groups(g, -1).collect()) == ["u0", "u1", "u2", "u3"]
+
+
+def test_document_by_lines_in_many_blocks(spark, tmpdir_path):
+    was = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    df = spark.createDataFrame([("g", f"c{i:04d}", 'quo"te\nñ', f"https://x/{i}") for i in range(700)], TG.TARGET_SCHEMA)
+    path = f"{tmpdir_path}/targets.json"
+    TG.write_targets_document(df, path, ["g1", "g2"], dt.datetime(2025, 1, 2, 3, 4, 5))
+    want = sorted(map(tuple, df.collect()))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = TG.read_targets(spark, path)
+        assert spark.read.text(path).rdd.getNumPartitions() > 10
+        assert [tuple(r) for r in got.orderBy("target_index").collect()] == [(i, *t) for i, t in enumerate(want)]
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    # another layout of the same document is read whole
+    doc = json.loads("".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
+    assert doc["count"] == 700 and len(doc["targets"]) == 700
+    with open(f"{tmpdir_path}/other.json", "w") as f:
+        json.dump(doc, f, indent=1)
+    assert TG.read_targets(spark, f"{tmpdir_path}/other.json").count() == 700
+    with open(f"{tmpdir_path}/bad.json", "w") as f:
+        f.write('{"count": 1, "targets": [\n{"group": "g", "category": 1}\n]}\n')
+    with pytest.raises(Exception):
+        TG.read_targets(spark, f"{tmpdir_path}/bad.json")
