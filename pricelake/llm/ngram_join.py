@@ -13,9 +13,9 @@ reaches a percentage (0.9 here; any from 50 on). Exact, up to 64-bit hashes:
    common key form a tile. ``exchange.seen_elsewhere`` finds the keys that
    other documents have, and a document with fewer of them than any link
    agrees on is out.
-2. *Copies.* Documents with equal sets are one class, held by its smallest id.
-3. *Stars.* In each tile every document is compared with the tile's smallest
-   id, its hub; that links the bulk of any group of near copies, in linear work.
+2. *Copies.* Documents with equal sets are one class; from here on a document is
+   a class, known by a hash of its set.
+3. *Stars.* In each tile every document is compared with the tile's hub, the least of them; that links the bulk of any group of near copies, in linear work.
 4. *Rest.* Tiles of the same hub are one bundle, in which a document stands
    once however many tiles it shares. Only bundles that then still hold
    several components are compared member against member, across
@@ -260,20 +260,24 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = stage(_documents(docs, id_col, text_col, shingle, percent, part_bytes), "sets")
     every = stage(found.select("doc_id", "n", "sig_a", "sig_b", (F.size("keys") > 0).alias("live")), "documents")
     live = every.filter("live")
-    held = stage(live.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("rep")), "classes")
-    copies = live.join(held, ["n", "sig_a", "sig_b"]).select("doc_id", "rep")
-    # one row a class: rows that share a doc_id may hold several sets, so the set decides too
-    sets = (found.filter("size(keys) > 0")
-            .join(held.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "sig_a", "sig_b"], "left_semi")
-            .dropDuplicates(["doc_id"]).drop("sig_a", "sig_b"))
+    held = stage(live.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("rep"))
+                 .withColumn("node", F.xxhash64("n", "sig_a", "sig_b")), "classes")
+    copies = live.join(held, ["n", "sig_a", "sig_b"]).select("doc_id", "node")
+    # one row a class, known by its node: a doc_id may stand in several
+    sets = (found.filter("size(keys) > 0").join(held.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "sig_a", "sig_b"])
+            .dropDuplicates(["node"]).drop("doc_id", "sig_a", "sig_b").withColumnRenamed("node", "doc_id"))
     sets = stage(sets, "reps")
+    # rows that share a doc_id are one node: their classes belong together
+    several = (copies.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z")
+               .select("doc_id", "a"))
+    same = copies.join(several, "doc_id").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     drop(found)
     tiles = sets.select("doc_id", F.explode("keys").alias("key")).distinct()
     hubs = (tiles.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top"))
             .filter("hub < top").select("key", "hub"))
     bundles = stage(tiles.join(hubs, "key").select("hub", "doc_id").distinct(), "bundles")
     stars = bundles.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-    links = stage(_verified(stars, sets, percent), "links")
+    links = stage(_verified(stars, sets, percent).union(same), "links")
     joined = components(links)
 
     # bundles that hold several components, member against member in blocks
@@ -297,8 +301,10 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     more = stage(_verified(rest, sets, percent), "links")
     if not more.isEmpty():
         joined = components(links.union(more))
-    nodes = (copies.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-             .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("found")))
+    classes = held.select("node", "rep").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = classes.groupBy("component").agg(F.min("rep").alias("least"))
+    nodes = (copies.join(classes.join(least, "component").select("node", "least"), "node")
+             .groupBy("doc_id").agg(F.min("least").alias("found")))
     for t in (bundles, open_, sets):
         drop(t)
     return (every.select("doc_id", F.col("n").alias("n_shingles")).join(nodes, "doc_id", "left")

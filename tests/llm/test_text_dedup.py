@@ -9,7 +9,7 @@ import pytest
 
 from pricelake.llm import ngram_join, substring_dedup, suffix_dedup
 from pricelake.llm.suffix_sort import COVER, PERIOD, equal_classes
-from tests.llm.corpus import documents, rows_of, texts
+from tests.llm.corpus import documents, rows_of, texts, words
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -157,3 +157,14 @@ def test_empty_tables(spark):
     assert substring_dedup.remove_repeats(none).count() == 0
     assert suffix_dedup.remove_repeats(none).count() == 0
     assert ngram_join.link_groups(none).count() == 0
+
+
+def test_rows_that_share_an_id_are_one_node(spark):
+    a, b, c = (" ".join(words(f"shared {k}", 60)) for k in range(3))
+    cases = [([(1, a), (1, b), (2, a + " x"), (3, b + " y")], {1: 1, 2: 1, 3: 1}),
+             ([(0, a), (1, a), (1, b), (2, b)], {0: 0, 1: 0, 2: 0}),
+             ([(5, a), (5, b), (5, c), (6, c), (4, b + " z"), (9, "alone here"), (5, None)], {4: 4, 5: 4, 6: 4, 9: 9}),
+             ([(7, a), (7, a), (8, "other words")], {7: 7, 8: 8})]
+    for rows, want in cases:
+        got = ngram_join.link_groups(documents(spark, rows)).collect()
+        assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == set(want.items())
