@@ -178,12 +178,17 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     def keep(scan):
         def run(batches):
-            for batch in batches:
-                slim = pa.RecordBatch.from_arrays(
-                    [batch.column(batch.schema.get_field_index(id_col)).cast(pa.int64()),
-                     batch.column(batch.schema.get_field_index(text_col))], names=["doc_id", "text"])
-                (hits,) = scan(iter([slim]))
-                yield batch.filter(pa.array(hits.column("n_hit").to_numpy() == 0))
+            at_hand = []
+
+            def slim():
+                for batch in batches:
+                    at_hand.append(batch)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(batch.schema.get_field_index(id_col)).cast(pa.int64()),
+                         batch.column(batch.schema.get_field_index(text_col))], names=["doc_id", "text"])
+
+            for hits in scan(slim()):  # one automaton for all batches of the task
+                yield at_hand.pop().filter(pa.array(hits.column("n_hit").to_numpy() == 0))
         return run
 
     for s in range(shards):  # each automaton drops what it hits
@@ -196,10 +201,15 @@ def _with_mark(df: DataFrame, fn) -> DataFrame:
     """``fn`` over ``df`` with a row mark (hash of the text) carried along."""
 
     def run(batches):
-        for batch in batches:
-            rest = batch.drop_columns(["mark"])
-            for out in fn(iter([rest])):
-                yield pa.RecordBatch.from_arrays([*out.columns, batch.column("mark")], names=[*out.schema.names, "mark"])
+        marks = []
+
+        def rest():
+            for batch in batches:
+                marks.append(batch.column("mark"))
+                yield batch.drop_columns(["mark"])
+
+        for out in fn(rest()):
+            yield pa.RecordBatch.from_arrays([*out.columns, marks.pop()], names=[*out.schema.names, "mark"])
 
     if "mark" not in df.columns:
         df = df.withColumn("mark", F.coalesce(F.xxhash64("text"), F.lit(0)))
