@@ -19,6 +19,8 @@ comes first in code point order. Further input columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -203,7 +205,9 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         data, off = T.flat(table.column("text"))
         x = np.concatenate([vectors(counts(data, off, lo, min(len(off) - 1, lo + ROWS)), idf)
                             for lo in range(0, len(off) - 1, ROWS)])
-        order = np.lexsort(x[:, :8].T[::-1])  # the sample as a set decides, not its order
+        # the sample as a set decides, not its order; equal texts have equal vectors
+        digest = [hashlib.blake2b(data[a:z].tobytes(), digest_size=16).digest() for a, z in zip(off[:-1], off[1:])]
+        order = np.array(sorted(range(len(digest)), key=digest.__getitem__), np.int64)
         c = cluster(x[order], centroids)
         data, off = T.flat(table.column("text").take(pa.array(order)))
         limits = limits_of(data, off, x[order], idf, centroids, reject).tolist()

@@ -260,3 +260,36 @@ def test_quality_without_both_classes(spark):
     assert {r.score for r in cotrain.score(docs, one).collect()} == {1.0}
     assert {r.score for r in cotrain.score(docs, one.limit(0)).collect()} == {0.5}
     assert cotrain.score(docs.limit(0), one).count() == 0
+
+
+def test_one_automaton_for_all_batches_of_a_task(spark, tmpdir_path):
+    import glob
+    import os
+    import pyarrow as pa
+    from pricelake.llm import decontaminate as D
+    built, automaton = [], D.ahocorasick.Automaton
+
+    class Counted:
+        def __new__(cls, *a):
+            built.append(1)
+            return automaton(*a)
+
+    D.ahocorasick.Automaton, old = Counted, D.ahocorasick.Automaton
+    try:
+        scan = D._scan([("one two three", "i")])
+        batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([b"x one two three y"])], names=["doc_id", "text"])
+        hits = list(scan(iter([batch] * 9)))
+    finally:
+        D.ahocorasick.Automaton = old
+    assert len(hits) == 9 and len(built) == 1
+
+
+def test_the_sample_as_a_set_decides(spark):
+    rows = [(i, f"{'the cat and dog ' if i % 2 else 'el gato y perro '}{i} " + "abcdefghij"[i % 10] * (i % 7 + 1), "en" if i % 2 else "es")
+            for i in range(300)]
+    models = []
+    for part in (rows, rows[::-1]):
+        docs = spark.createDataFrame(part, "doc_id long, text string, lang string").coalesce(1)
+        m = langid.learn(docs)
+        models.append([np.asarray(x).tolist() for x in (m.idf, *m.centroids, m.limits)])
+    assert models[0] == models[1]
