@@ -15,7 +15,7 @@ reaches a percentage (0.9 here; any from 50 on). Exact, up to 64-bit hashes:
    agrees on is out.
 2. *Copies.* Documents with equal sets are one class; from here on a document is
    a class, known by a hash of its set.
-3. *Stars.* In each tile every document is compared with the tile's hub, the least of them; that links the bulk of any group of near copies, in linear work.
+3. *Stars.* In each tile every document is compared with the tile's hub, the class of the smallest id; that links the bulk of any group of near copies, in linear work.
 4. *Rest.* Tiles of the same hub are one bundle, in which a document stands
    once however many tiles it shares. Only bundles that then still hold
    several components are compared member against member, across
@@ -265,16 +265,18 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = live.join(held, ["n", "sig_a", "sig_b"]).select("doc_id", "node")
     # one row a class, known by its node: a doc_id may stand in several
     sets = (found.filter("size(keys) > 0").join(held.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "sig_a", "sig_b"])
-            .dropDuplicates(["node"]).drop("doc_id", "sig_a", "sig_b").withColumnRenamed("node", "doc_id"))
+            .dropDuplicates(["node"]).drop("sig_a", "sig_b").withColumnsRenamed({"doc_id": "rep", "node": "doc_id"}))
     sets = stage(sets, "reps")
     # rows that share a doc_id are one node: their classes belong together
     several = (copies.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z")
                .select("doc_id", "a"))
     same = copies.join(several, "doc_id").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     drop(found)
-    tiles = sets.select("doc_id", F.explode("keys").alias("key")).distinct()
-    hubs = (tiles.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top"))
-            .filter("hub < top").select("key", "hub"))
+    tiles = sets.select("doc_id", "rep", F.explode("keys").alias("key")).distinct()
+    # the class of the smallest doc_id: copies are mostly made of earlier documents
+    hubs = (tiles.groupBy("key").agg(F.min(F.struct("rep", "doc_id")).alias("hub"), F.min("doc_id").alias("lo"),
+                                     F.max("doc_id").alias("hi"))
+            .filter("lo < hi").select("key", F.col("hub.doc_id").alias("hub")))
     bundles = stage(tiles.join(hubs, "key").select("hub", "doc_id").distinct(), "bundles")
     stars = bundles.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     links = stage(_verified(stars, sets, percent).union(same), "links")
