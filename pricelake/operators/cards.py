@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pricelake.functions import constants as K
 from pricelake.functions import text as T
 from pricelake.functions.urls import url_clean, url_normalize, is_product_url
+from pricelake.session import materialize
 from pricelake.sources import html_job as H
 from pricelake.sources import payloads as P
 
@@ -174,10 +175,11 @@ def jsonld_objects(blocks: DataFrame, keys=("page_id",)) -> DataFrame:
     (``block_pos``, ``path``): an object, the objects of its ``@graph`` list,
     then the ``item`` objects of its ``itemListElement`` list; lists are
     walked element by element. Paths sort in document order. A round unfolds
-    one level of all blocks, until no level is left."""
-    level = blocks.where("kind = 'block'").select(*keys, F.col("node_pos").alias("block_pos"),
+    one level of all blocks, until no level is left; each level is written once,
+    so a round reads the level above it and no block is parsed twice."""
+    level = materialize(blocks.where("kind = 'block'").select(*keys, F.col("node_pos").alias("block_pos"),
                                                   F.array().cast("array<int>").alias("path"),
-                                                  F.try_parse_json("raw").alias("v"))
+                                                  F.try_parse_json("raw").alias("v")))
     none = F.array().cast("array<variant>")
 
     def listed(v, path="$"):
@@ -192,8 +194,8 @@ def jsonld_objects(blocks: DataFrame, keys=("page_id",)) -> DataFrame:
                          lambda e: P.is_object(e))
         below = F.when(kind.startswith("ARRAY"), listed(F.col("v"))).when(
             kind.startswith("OBJECT"), F.concat(listed(F.col("v"), "$['@graph']"), items)).otherwise(none)
-        level = (level.select(*keys, "block_pos", "path", F.posexplode(below).alias("_i", "v"))
-                 .select(*keys, "block_pos", F.concat("path", F.array("_i")).alias("path"), "v"))
+        level = materialize(level.select(*keys, "block_pos", "path", F.posexplode(below).alias("_i", "v"))
+                            .select(*keys, "block_pos", F.concat("path", F.array("_i")).alias("path"), "v"))
         if level.isEmpty():
             break
     objects = out[0]

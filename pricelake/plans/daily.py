@@ -40,11 +40,12 @@ def position(part: int, *path):
 
 def fetched_pages(pages: DataFrame) -> DataFrame:
     """The snapshots that were fetched: (page_id, url, page_seq, html)
-    without error statuses and block pages. ``snapshot_seq`` and ``status``
-    are optional columns."""
+    without error statuses and block pages. ``snapshot_seq``, ``status`` and
+    ``blocked`` (as the page store keeps it) are optional columns."""
     seq = F.col("snapshot_seq") if "snapshot_seq" in pages.columns else F.lit(0)
     status = F.col("status") if "status" in pages.columns else F.lit(200)
-    p = pages.where((F.coalesce(status, F.lit(0)) < 400) & ~page_blocked(status, F.col("html")))
+    blocked = F.col("blocked") if "blocked" in pages.columns else page_blocked(status, F.col("html"))
+    p = pages.where((F.coalesce(status, F.lit(0)) < 400) & ~blocked)
     return p.select(F.concat_ws("\u0000", F.col("url"), seq.cast("string")).alias("page_id"), "url",
                     seq.cast("long").alias("page_seq"), "html")
 
@@ -82,8 +83,10 @@ def _to_targets(rows: DataFrame, targets: DataFrame) -> DataFrame:
 
 def daily_products(targets: DataFrame, pages: DataFrame, source: str, run_date: dt.date | str,
                    max_products: int | None = None, max_categories: int | None = None,
-                   allow_duplicates: bool = False, max_pages: int | None = None) -> DataFrame:
-    """Product rows of one daily run of ``source`` (html shops).
+                   allow_duplicates: bool = False, max_pages: int | None = None, chosen: bool = False) -> DataFrame:
+    """Product rows of one daily run of ``source`` (html shops). ``chosen``
+    says that ``pages`` holds the last good snapshot of each URL only (from
+    ``page_store.last_pages``).
 
     Al Campo and Dia read every snapshot of a target page as the scroll
     feed: rows merge per key across snapshots (last wins, first position
@@ -96,7 +99,7 @@ def daily_products(targets: DataFrame, pages: DataFrame, source: str, run_date:
     regex URLs (U3)."""
     t = M.keep_first_n_values(targets, "category", max_categories)
     if source == "carrefour":
-        rows = carrefour_rows(t, pages, max_pages).withColumn("merge_rank", F.lit(0))
+        rows = carrefour_rows(t, pages, max_pages, chosen).withColumn("merge_rank", F.lit(0))
     else:
         cards, ld = _page_facts(pages, source)
         feed = cards if ld is None else cards.unionByName(ld)
@@ -114,20 +117,21 @@ def daily_products(targets: DataFrame, pages: DataFrame, source: str, run_date:
     return project(rows, run_date)
 
 
-def carrefour_rows(targets: DataFrame, pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+def carrefour_rows(targets: DataFrame, pages: DataFrame, max_pages: int | None = None, chosen: bool = False) -> DataFrame:
     """I1 + U3 for Carrefour, on the last snapshot of each page: walk each
     target's pagination (links of the visited page under the target URL, or
     ``rel=next``), then per visited page the card rows, else the product
     links (H2), else regex product URLs (H3). A page without a row is a
     failed fetch: it counts as visited and gives nothing. Pages are parsed
     once; the html of pages without a card is kept for the regexes, and only
-    theirs."""
+    theirs. Without ``chosen``, older snapshots are parsed too and dropped by
+    their keys, since choosing first would shuffle html."""
     from pricelake.operators import links as L
     from pricelake.operators.walk import pagination_walk
     base = K.BASE_URLS["carrefour"]
     p = fetched_pages(pages)
     every = C.page_facts(p, "carrefour", anchors=True, bare=True)
-    facts = materialize(last_snapshots(every, p))
+    facts = materialize(every if chosen else last_snapshots(every, p))
     anchors = facts.where("kind = 'anchor'").select(
         F.col("url").alias("src_id"), F.col("node_pos").alias("pos"),
         L.url_normalize(F.col("own_href"), base).alias("link"), F.coalesce(F.col("raw"), F.lit("")).alias("rel")) \

@@ -5,6 +5,8 @@ whose page is missing (a failed fetch: no rows)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pricelake.plans import daily as D
@@ -12,6 +14,8 @@ from pricelake.plans.q_cards import _ALCAMPO_SQL, _CARREFOUR_SQL, _DIA_SQL, _LD_
 from pricelake.plans.q_payload import _expected_sql
 from pricelake.plans.registry import query
 from pricelake.plans.views import load_view, with_views
+from pricelake.session import scratch_path
+from pricelake.sources import page_store
 
 RUN_DATE = "2025-01-15"
 _OUT = ["target_index", "date", "product", "brand", "price", "price_per_unit", "offer", "category", "subcategory",
@@ -96,6 +100,21 @@ def q_daily_run_carrefour(spark, sf_dir):
     return D.daily_products(_targets(spark, sf_dir), pages, "carrefour", RUN_DATE).select(*_OUT)
 
 
+@query("daily_run_carrefour_store", _carrefour_sql())
+def q_daily_run_carrefour_store(spark, sf_dir):
+    """The Carrefour run from the page store: an earlier day lies beside the
+    run's own, which is written twice (the second write replaces the first)."""
+    table = f"page_store_{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, "page-store")
+    pages = _pages(spark, sf_dir, F.col("html_carrefour"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    page_store.write_day(pages.withColumn("html", F.lit("")), table, "carrefour", "2025-01-14", buckets, path)
+    page_store.write_day(pages.withColumn("html", F.lit("")), table, "carrefour", RUN_DATE, buckets)
+    page_store.write_day(pages, table, "carrefour", RUN_DATE, buckets)
+    last = page_store.last_pages(spark, table, "carrefour", RUN_DATE)
+    return D.daily_products(_targets(spark, sf_dir), last, "carrefour", RUN_DATE, chosen=True).select(*_OUT)
+
+
 @query("daily_run_mercadona", f"""
 SELECT e.pos AS target_index, DATE '{RUN_DATE}' AS date, e.product, e.brand, e.price, e.price_per_unit, e.offer,
        p.category_label AS category, e.subcategory, e.product_url

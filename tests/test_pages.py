@@ -196,3 +196,14 @@ def test_walk_of_chains_rings_and_branches_together(spark):
             mine = [x for x in got if x.root_id == r + 1000]
             assert [x.page_id for x in mine] == brute_bfs(r, edges, urls, cap), (cap, r)
             assert [x.page_seq for x in mine] == list(range(len(mine)))
+
+
+def test_jsonld_parses_each_block_once(spark):
+    """Every level is read from the one written above it: the objects' plan
+    holds neither the page job nor the JSON parser."""
+    deep = '{"@graph": [' * 6 + '{"name": "x"}' + "]}" * 6
+    html = f'<script type="application/ld+json">{deep}</script>'
+    objects = C.jsonld_objects(C.jsonld_blocks(pages(spark, html)))
+    plan = objects._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "parse_json" not in plan
+    assert sorted(len(r.path) for r in objects.collect()) == [0, 1, 2, 3, 4, 5, 6]
