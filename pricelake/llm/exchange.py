@@ -63,29 +63,41 @@ def wide(packed: bytes) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-_ASK = "shard int, part int, twice binary, keys binary"
-_ANSWER = "part int, shard int, bits binary"
+_ASK = "shard int, part int, twice binary, more binary, keys binary"
+_ASKED = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("twice", pa.binary()), ("more", pa.binary()),
+                    ("keys", pa.binary())])
+_ANSWER = "part int, shard int, bits binary, hot binary"
 
 
-def seen_elsewhere(parts: DataFrame, keys_of, shards: int) -> DataFrame:
-    """(part, shard, bits): for each distinct key of a part, in sorted order,
-    whether any other row of the corpus has it.
+def seen_elsewhere(parts: DataFrame, keys_of, shards: int, hot: int = 0, told: DataFrame | None = None) -> DataFrame:
+    """(part, shard, bits, hot): for each distinct key of a part, in sorted
+    order, whether any other row of the corpus has it, and whether the key
+    occurs ``hot`` times or more (0: not asked; an empty mask means none).
 
     ``keys_of(table)`` gives the keys of a part's rows as uint64, repeats
-    included. Keys travel as their low 40 bits inside a shard, so a set bit
-    may rarely be wrong and a clear bit never is; callers compare exactly.
+    included; with ``told``, answers of an earlier round, it is
+    ``keys_of(table, answers)``. Keys travel as their low 40 bits inside a
+    shard, so a set bit may rarely be wrong and a clear bit never is; callers
+    compare exactly. Repeats inside a part are counted up to the next power of
+    two, so a key may be called hot at half that number; all parts are told the same.
     """
 
-    def ask(table: pa.Table) -> pa.Table:
+    def ask_of(table: pa.Table, found) -> pa.Table:
         part = table.column("part")[0].as_py()
-        keys, counts = np.unique(keys_of(table), return_counts=True)
+        keys, counts = np.unique(found, return_counts=True)
         at, out = shard_bounds(keys, shards), []
         for s in np.flatnonzero(np.diff(at)):
             lo, hi = at[s], at[s + 1]
-            out.append((int(s), part, np.packbits(counts[lo:hi] > 1).tobytes(),
-                        narrow(keys[lo:hi])))
-        return _table(out, pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("twice", pa.binary()),
-                                      ("keys", pa.binary())]))
+            n = counts[lo:hi]
+            more = np.ceil(np.log2(n[n > 1])).astype(np.uint8).tobytes() if hot else b""
+            out.append((int(s), part, np.packbits(n > 1).tobytes(), more, narrow(keys[lo:hi])))
+        return _table(out, _ASKED)
+
+    def ask(table: pa.Table) -> pa.Table:
+        return ask_of(table, keys_of(table))
+
+    def ask_again(table: pa.Table, said: pa.Table) -> pa.Table:
+        return ask_of(table, keys_of(table, said)) if table.num_rows else _table([], _ASKED)
 
     def answer(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
@@ -94,29 +106,37 @@ def seen_elsewhere(parts: DataFrame, keys_of, shards: int) -> DataFrame:
         twice = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(k)).astype(bool)
                  for b, k in zip(table.column("twice").to_pylist(), keys)]
         every, often = np.concatenate(keys), np.concatenate(twice)
+        times = 1.0 + often
+        if hot:
+            times[often] = 2.0 ** np.frombuffer(b"".join(table.column("more").to_pylist()), np.uint8)
         order = np.argsort(every, kind="stable")
         ordered = every[order]
         new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
         group = np.cumsum(new) - 1
-        many = np.bincount(group, weights=1 + often[order]) > 1
-        bits = np.empty(len(every), bool)
-        bits[order] = many[group]
-        out = [(p, shard, np.packbits(x).tobytes())
-               for p, x in zip(table.column("part").to_pylist(), np.split(bits, ends[:-1]))]
-        return _table(out, pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("bits", pa.binary())]))
-
-    asked = parts.groupBy("part").applyInArrow(ask, _ASK)
+        total = np.bincount(group, weights=times[order])
+        bits, heat = np.empty(len(every), bool), np.zeros(len(every), bool)
+        bits[order] = (total > 1)[group]
+        if hot:
+            heat[order] = (total >= hot)[group]
+        out = [(p, shard, np.packbits(x).tobytes(), np.packbits(y).tobytes() if y.any() else b"")
+               for p, x, y in zip(table.column("part").to_pylist(), np.split(bits, ends[:-1]), np.split(heat, ends[:-1]))]
+        return _table(out, pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("bits", pa.binary()),
+                                      ("hot", pa.binary())]))
+
+    asked = (parts.groupBy("part").applyInArrow(ask, _ASK) if told is None
+             else with_answers(parts, told, ask_again, _ASK))
     return asked.groupBy("shard").applyInArrow(answer, _ANSWER)
 
 
-def answered(answers: pa.Table, keys: np.ndarray, shards: int) -> np.ndarray:
+def answered(answers: pa.Table, keys: np.ndarray, shards: int, of: str = "bits") -> np.ndarray:
     """The answers to a part's sorted distinct keys as one mask."""
     out = np.zeros(len(keys), bool)
     if len(keys):
         at = shard_bounds(keys, shards)
-        for s, b in zip(answers.column("shard").to_pylist(), answers.column("bits").to_pylist()):
+        for s, b in zip(answers.column("shard").to_pylist(), answers.column(of).to_pylist()):
             lo, hi = at[s], at[s + 1]
-            out[lo:hi] = np.unpackbits(np.frombuffer(b, np.uint8), count=hi - lo).astype(bool)
+            if b:
+                out[lo:hi] = np.unpackbits(np.frombuffer(b, np.uint8), count=hi - lo).astype(bool)
     return out
 
 

@@ -15,9 +15,17 @@ stands. Steps, all exact up to 40-bit word codes:
    every occurrence of every passage; each part gets one bit per window back.
 4. Every part drops the covered words of its documents, whole texts included.
 
-A document without a run is ruled out by step 1, not by a cap. A window that
-a third of all documents share is one run per part, since equal runs meet
-in the part before they are sent.
+A document without a run is ruled out by step 1, not by a cap.
+
+*Hot grams.* A line shorter than a window may stand in a third of all
+documents, each time between other words: one run per document, all of one
+gram. So step 1 also tells which grams occur ``hot`` times or more. For windows
+of those, the parts ask once more with the hash of the whole window; windows
+that don't recur go no further, and the others travel as runs of one window to
+the shard of their own hash. Equal windows meet in the part before they are
+sent, so a window that a third of all documents share is one entry per part,
+and no shard gathers more of one gram than ``hot`` runs. Equal windows own equal grams,
+so all copies take the same way, and the rows don't depend on ``hot``.
 
 Nulls and texts without words keep nothing and remove nothing (0 words, the
 hash of an empty text). Repeated rows are documents of their own, so their
@@ -42,6 +50,9 @@ WINDOW = 35
 GRAM = 12
 #: Runs an automaton's shard holds on average if every window were a candidate.
 SHARD_RUNS = 16_000
+#: Occurrences from which a gram is hot. Its windows then go by their own hashes,
+#: each to its own shard, and only those that recur.
+HOT = 4_000
 
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 _RUNS = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("lens", pa.binary()), ("twice", pa.binary()),
@@ -67,21 +78,33 @@ class _Runs:
         self.keys = T.mix(grams[own[self.run_at]])  # minima crowd near 0; mixed they fill all shards alike
         self.lens = np.diff(np.append(self.run_at, len(own)))
 
-    def candidates(self, answers: pa.Table, shards: int):
-        """Runs whose gram is seen elsewhere, and their distinct contents in an
-        order that depends on the part's rows as a set only."""
-        distinct = np.unique(self.keys)
-        seen = X.answered(answers, distinct, shards)
-        live = np.flatnonzero(seen[np.searchsorted(distinct, self.keys)]) if len(distinct) else np.zeros(0, np.int64)
-        a = self.win[self.run_at[live]] if len(live) else np.zeros(0, np.int64)
-        z = a + self.lens[live] + self.window - 1
+    def hot_windows(self, answers: pa.Table, shards: int):
+        """Which runs have a gram seen elsewhere, which of them a hot one, and
+        the hot runs' windows: their places and their own keys."""
+        distinct, where = np.unique(self.keys, return_inverse=True)
+        seen = X.answered(answers, distinct, shards)[where]
+        hot = seen & X.answered(answers, distinct, shards, "hot")[where]
+        at = self.win[T.ranges(self.run_at[hot], self.lens[hot])]
+        return seen & ~hot, at, T.mix(T.span_hash(self.prefix, at, at + self.window))
+
+    def candidates(self, answers: pa.Table, again: pa.Table, shards: int):
+        """Runs whose gram is seen elsewhere, windows of hot grams that are
+        themselves seen elsewhere as runs of one, and their distinct contents
+        in an order that depends on the part's rows as a set only."""
+        cold, at, keys = self.hot_windows(answers, shards)
+        distinct, where = np.unique(keys, return_inverse=True)
+        recurs = X.answered(again, distinct, shards)[where]
+        a = np.concatenate((self.win[self.run_at[cold]], at[recurs]))
+        lens = np.concatenate((self.lens[cold], np.ones(int(recurs.sum()), np.int64)))
+        keys = np.concatenate((self.keys[cold], keys[recurs]))
+        z = a + lens + self.window - 1
         content = T.span_hash(self.prefix, a, z)
         _, pick, back, count = np.unique(content, return_index=True, return_inverse=True, return_counts=True)
-        order = np.lexsort((content[pick], self.keys[live][pick]))
+        order = np.lexsort((content[pick], keys[pick]))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         pick = pick[order]
-        return live, a, z, pick, count[order], rank[back], self.keys[live][pick]
+        return lens, a, z, pick, count[order], rank[back], keys[pick]
 
 
 def locate(codes: np.ndarray, sizes: np.ndarray, twice: np.ndarray, window: int) -> np.ndarray:
@@ -136,7 +159,8 @@ def locate(codes: np.ndarray, sizes: np.ndarray, twice: np.ndarray, window: int)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   gram: int = GRAM, part_bytes: int = X.PART_BYTES, with_text: bool = False, carry: tuple = ()) -> DataFrame:
+                   gram: int = GRAM, part_bytes: int = X.PART_BYTES, with_text: bool = False, carry: tuple = (),
+                   hot: int = HOT) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept, *carry): every document
     without the words of its recurring windows. ``kept`` (only if
     ``with_text``) is the text itself where nothing was removed, else the kept
@@ -147,18 +171,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = X.shard_count(total * density)
     run_shards = X.shard_count(total * density, SHARD_RUNS)
 
-    answers = X.seen_elsewhere(parts, lambda t: _Runs(t, window, gram).keys, shards)
+    answers = X.seen_elsewhere(parts, lambda t: _Runs(t, window, gram).keys, shards, hot)
+    again = X.seen_elsewhere(parts, lambda t, said: _Runs(t, window, gram).hot_windows(said, shards)[2], shards, told=answers)
+
+    def kinds(said: pa.Table):
+        kind = said.column("kind").to_numpy()
+        return [said.filter(pa.array(kind == k)) for k in range(3)]
+
+    asked = [x.select("part", F.lit(k).alias("kind"), "shard", "bits", "hot") for k, x in enumerate((answers, again))]
+    asked = asked[0].union(asked[1])
 
-    def send(table: pa.Table, seen: pa.Table) -> pa.Table:
+    def send(table: pa.Table, said: pa.Table) -> pa.Table:
         if not table.num_rows:
             return X.make_table([], _RUNS)
         r = _Runs(table, window, gram)
-        live, a, z, pick, count, _, keys = r.candidates(seen, shards)
+        lens, a, z, pick, count, _, keys = r.candidates(*kinds(said)[:2], shards)
         at, part, out = X.shard_bounds(keys, run_shards), table.column("part")[0].as_py(), []
         for s in np.flatnonzero(np.diff(at)):
             p = pick[at[s]:at[s + 1]]
             words = r.words[T.ranges(a[p], z[p] - a[p])]
-            out.append((int(s), part, r.lens[live][p].astype(np.uint16).tobytes(),
+            out.append((int(s), part, lens[p].astype(np.uint16).tobytes(),
                         np.packbits(count[at[s]:at[s + 1]] > 1).tobytes(), X.narrow(words)))
         return X.make_table(out, _RUNS)
 
@@ -177,24 +209,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                for p, b in zip(table.column("part").to_pylist(), np.split(bits, cuts))]
         return X.make_table(out, pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("bits", pa.binary())]))
 
-    runs = X.with_answers(parts, answers, send,
+    runs = X.with_answers(parts, asked, send,
                           "shard int, part int, lens binary, twice binary, codes binary")
     located = runs.groupBy("shard").applyInArrow(automaton, "part int, shard int, bits binary")
-    both = (answers.select("part", F.lit(0).alias("kind"), "shard", "bits")
-            .union(located.select("part", F.lit(1).alias("kind"), "shard", "bits")))
+    both = asked.union(located.select("part", F.lit(2).alias("kind"), "shard", "bits", F.lit(b"").alias("hot")))
 
     def finish(table: pa.Table, said: pa.Table) -> pa.Table:
         ids, sums, removed, words, texts = pa.array([], pa.int64()), [], [], [], []
         if table.num_rows:
             r = _Runs(table, window, gram)
-            kind = said.column("kind").to_numpy()
-            live, a, _, pick, _, back, keys = r.candidates(said.filter(pa.array(kind == 0)), shards)
-            lens = r.lens[live]
+            first, second, mine = kinds(said)
+            lens, a, _, pick, _, back, keys = r.candidates(first, second, shards)
             sizes = lens[pick]
             flags = np.zeros(int(sizes.sum()), bool)
             ends = np.concatenate(([0], np.cumsum(sizes)))
             at = X.shard_bounds(keys, run_shards)
-            mine = said.filter(pa.array(kind == 1))
             for s, b in zip(mine.column("shard").to_pylist(), mine.column("bits").to_pylist()):
                 lo, hi = ends[at[s]], ends[at[s + 1]]
                 flags[lo:hi] = np.unpackbits(np.frombuffer(b, np.uint8), count=hi - lo).astype(bool)

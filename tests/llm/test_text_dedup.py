@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pricelake.llm import ngram_join, substring_dedup, suffix_dedup
@@ -32,9 +33,9 @@ def brute_windows(rows, width=35):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("part_bytes", [2_000, 4 << 20])
-def test_substring_dedup(spark, part_bytes):
-    got = substring_dedup.remove_repeats(documents(spark), part_bytes=part_bytes)
+@pytest.mark.parametrize("part_bytes, hot", [(2_000, substring_dedup.HOT), (4 << 20, 2), (2_000, 5)])
+def test_substring_dedup(spark, part_bytes, hot):
+    got = substring_dedup.remove_repeats(documents(spark), part_bytes=part_bytes, hot=hot)
     assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_windows(texts())
 
 
@@ -49,6 +50,45 @@ def test_substring_dedup_text_and_carried_columns(spark):
             assert sha(r.kept.encode()) == r.kept_sha256
 
 
+def lined(n):
+    """A line of 20 words in every document, between words of its own; every
+    tenth document has a copy, and a passage of 40 words stands in every third."""
+    line, passage = [f"line{k}" for k in range(20)], [f"pass{k}" for k in range(40)]
+    rows = []
+    for i in range(n):
+        own = [f"d{i}w{k}" for k in range(40)]
+        text = " ".join(own[:30] + line + own[30:] + (passage if i % 3 == 0 else []))
+        rows += [(i, text)] + [(n + i, text)] * (i % 10 == 0)
+    return rows
+
+
+def test_a_hot_line_between_other_words(spark):
+    rows = lined(60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.remove_repeats(docs, part_bytes=3_000, hot=8)
+    assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_windows(rows)
+
+
+def test_windows_of_a_hot_line_travel_only_if_they_recur():
+    """One part whose every gram is hot: what is sent are the windows said to recur."""
+    rows = [r for r in lined(30) if r[0] < 30]
+    table = pa.table({"text": pa.array([t.encode() for _, t in rows], pa.binary())})
+    runs = substring_dedup._Runs(table, 35, 12)
+    n = len(np.unique(runs.keys))
+    ones = np.packbits(np.ones(n, bool)).tobytes()
+    hot = pa.table({"shard": [0], "bits": [ones], "hot": [ones]})
+    cold = pa.table({"shard": [0], "bits": [ones], "hot": [b""]})
+    windows = runs.hot_windows(hot, 1)[2]
+    keys, counts = np.unique(windows, return_counts=True)
+    assert len(windows) == len(runs.win) and counts.max() == 10 and len(runs.hot_windows(cold, 1)[2]) == 0
+    said = pa.table({"shard": [0], "bits": [np.packbits(counts > 1).tobytes()], "hot": [b""]})
+    lens, _, _, pick, count, _, sent = runs.candidates(hot, said, 1)
+    assert (lens == 1).all() and (count == 10).all() and len(pick) == len(np.unique(sent)) == 6
+    nothing = pa.table({"shard": [0], "bits": [np.packbits(counts > 99).tobytes()], "hot": [b""]})
+    assert len(runs.candidates(hot, nothing, 1)[0]) == 0
+    assert len(runs.candidates(cold, said.slice(0, 0), 1)[0]) == len(runs.lens)
+
+
 def test_locate_needs_two_symbols_for_many_words():
     codes = np.arange(1, 0x80000 + 200, dtype=np.uint64) << np.uint64(24)
     run = codes[-40:]
