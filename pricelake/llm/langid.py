@@ -91,13 +91,22 @@ def vectors(count: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    seen = np.concatenate(([0], np.cumsum(_ASCII[data])))
-    out = seen[offsets[1:]] > seen[offsets[:-1]]
+    out = marked(_ASCII, data, offsets) > 0
     for i in np.flatnonzero(~out & (np.diff(offsets) > 1)):
         out[i] = any(c.isalpha() for c in data[offsets[i]:offsets[i + 1]].tobytes().decode("utf-8", "replace"))
     return out
 
 
+def marked(mask: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many bytes of each row are in ``mask``, a slice of rows at a time."""
+    out = np.zeros(len(offsets) - 1, np.int64)
+    for a, z in T.chunks(offsets):
+        base = offsets[a]
+        seen = np.concatenate(([0], np.cumsum(mask[data[base:offsets[z]]], dtype=np.int32)))
+        out[a:z] = np.diff(seen[offsets[a:z + 1] - base])
+    return out
+
+
 def letters_to(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Letter bytes before each byte of the rows, and before their end."""
     return np.concatenate(([0], np.cumsum(_folded(data[offsets[0]:offsets[-1]]) != 32)))
@@ -159,14 +168,12 @@ class Model:
         if self.langs:
             for lo in range(0, n, ROWS):
                 hi = min(n, lo + ROWS)
-                own = offsets[lo:hi + 1] - offsets[lo]
-                letters[lo:hi] = has_letter(data[offsets[lo]:offsets[hi]], own)
+                letters[lo:hi] = has_letter(data, offsets[lo:hi + 1])
                 cos = vectors(counts(data, offsets, lo, hi), self.idf) @ self.centroids[0].T
                 best = np.argmax(cos, axis=1)
                 lang[lo:hi] = self.centroids[1][best]
                 score[lo:hi] = np.clip(cos[np.arange(hi - lo), best], 0, 1)
-            seen = letters_to(data, offsets)
-            own = seen[offsets[1:] - offsets[0]] - seen[offsets[:-1] - offsets[0]]
+            own = marked(_FOLD != 32, data, offsets)
             reject = score < self.limits[lang, np.searchsorted(CUTS, own, side="right")]
             lang[~letters], score[~letters], reject[~letters] = -1, 0, True
         return lang, score, reject
