@@ -61,26 +61,29 @@ def _folded(sub: np.ndarray) -> np.ndarray:
 
 
 def counts(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int) -> np.ndarray:
-    """(hi - lo, DIMS) n-gram counts of rows lo..hi."""
+    """(hi - lo, DIMS) n-gram counts of rows lo..hi. A row longer than a chunk is
+    counted piece by piece, each n-gram in the piece that holds its first byte."""
     out = np.zeros((hi - lo, DIMS), np.float32)
     for a, z in T.chunks(offsets[lo:hi + 1]):
         a, z = a + lo, z + lo
-        base = offsets[a]
-        x = _folded(data[base:offsets[z]]).astype(np.uint32)
-        n = len(x)
-        if not n:
-            continue
-        row = np.repeat(np.arange(z - a, dtype=np.int64), np.diff(offsets[a:z + 1])) * DIMS
-        two = x[:-1] << 8 | x[1:]
-        same = row[:-1] == row[1:]
-        cells = [(row + ((x * np.uint32(0xC2B2AE3D)) >> 20).astype(np.int64))[x != 32],
-                 (row[:-1] + ((two * np.uint32(0x9E3779B1)) >> 20).astype(np.int64))[same & ((two & 0xFF) != 32)]]
-        if n > 2:
-            three = x[:-2] << 16 | two[1:]
-            ok = (row[:-2] == row[2:]) & ((three >> 8 & 0xFF) != 32)
-            cells.append((row[:-2] + ((three * np.uint32(0x85EBCA77)) >> 20).astype(np.int64))[ok])
-        got = np.bincount(np.concatenate(cells), minlength=(z - a) * DIMS)
-        out[a - lo:z - lo] += got.reshape(z - a, DIMS)
+        for begin in range(int(offsets[a]), int(offsets[z]), T.CHUNK_BYTES):
+            first = max(int(offsets[a]), begin - 1)
+            end = min(int(offsets[z]), begin + T.CHUNK_BYTES + 2)
+            x = _folded(data[first:end])[begin - first:].astype(np.uint32)
+            own = np.diff(offsets[a:z + 1]) if z - a > 1 else len(x)
+            row = np.repeat(np.arange(z - a, dtype=np.int64), own) * DIMS
+            n = min(len(x), T.CHUNK_BYTES)
+            two = x[:-1] << 8 | x[1:]
+            same = row[:-1] == row[1:]
+            one = x[:n] != 32
+            cells = [(row[:n] + ((x[:n] * np.uint32(0xC2B2AE3D)) >> 20).astype(np.int64))[one],
+                     (row[:-1] + ((two * np.uint32(0x9E3779B1)) >> 20).astype(np.int64))[:n][(same & ((two & 0xFF) != 32))[:n]]]
+            if len(x) > 2:
+                three = x[:-2] << 16 | two[1:]
+                ok = (row[:-2] == row[2:]) & ((three >> 8 & 0xFF) != 32)
+                cells.append((row[:-2] + ((three * np.uint32(0x85EBCA77)) >> 20).astype(np.int64))[:n][ok[:n]])
+            got = np.bincount(np.concatenate(cells), minlength=(z - a) * DIMS)
+            out[a - lo:z - lo] += got.reshape(z - a, DIMS)
     return out
 
 
@@ -236,6 +239,13 @@ def held_out(id_col: str):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+def _slices(batches):
+    """The rows of Arrow batches, ``ROWS`` at a time: a batch isn't held twice."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, ROWS):
+            yield batch.slice(lo, ROWS)
+
+
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score and rejected (columns of these names are replaced)."""
     docs = docs.drop("lang_pred", "score", "rejected")
@@ -244,7 +254,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     def run(batches):
         names = np.array([*model.langs, "und"], object)
-        for batch in batches:
+        for batch in _slices(batches):
             data, off = T.flat(batch.column(batch.schema.get_field_index(text_col)))
             lang, score, reject = model.predict(data, off)
             yield pa.RecordBatch.from_arrays(
@@ -258,7 +268,7 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     """The rows of ``docs`` whose language the model accepts, unchanged."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             data, off = T.flat(batch.column(batch.schema.get_field_index(text_col)))
             yield batch.filter(pa.array(~model.predict(data, off)[2]))
 

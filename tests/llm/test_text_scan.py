@@ -293,3 +293,14 @@ def test_the_sample_as_a_set_decides(spark):
         m = langid.learn(docs)
         models.append([np.asarray(x).tolist() for x in (m.idf, *m.centroids, m.limits)])
     assert models[0] == models[1]
+
+
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_long_texts_count_piece_by_piece(monkeypatch, size):
+    rng = np.random.default_rng(3)
+    rows = ["".join(rng.choice(list("ab É é×Ö\n"), n)).encode() for n in (0, 1, 2, 3, 40, 900, 0, 5000)]
+    data, offsets = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
+    whole = langid.counts(data, offsets, 0, len(rows))
+    monkeypatch.setattr(langid.T, "CHUNK_BYTES", size)
+    monkeypatch.setattr(langid.T.chunks, "__defaults__", (size,))
+    assert (langid.counts(data, offsets, 0, len(rows)) == whole).all()
