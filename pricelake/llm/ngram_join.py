@@ -19,7 +19,8 @@ reaches a percentage (0.9 here; any from 50 on). Exact, up to 64-bit hashes:
 4. *Rest.* Tiles of the same hub are one bundle, in which a document stands
    once however many tiles it shares. Only bundles that then still hold
    several components are compared member against member, across
-   components, in blocks of bounded size.
+   components, in blocks of bounded size; blocks of a bundle's largest component
+   meet those of the others only, so a large group costs its size, not the square.
 
 Each comparison first bounds the overlap by the bit counts of hashed bitmaps,
 ``overlap <= (n_a + n_b - popcount(a xor b)) / 2``, and what passes is decided
@@ -285,14 +286,22 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # bundles that hold several components, member against member in blocks
     named = (bundles.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
              .withColumn("component", F.coalesce("component", "doc_id")))
-    open_ = (named.groupBy("hub").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                      F.count(F.lit(1)).alias("members"))
-             .filter("lo < hi").select("hub", F.ceil(F.col("members") / block).cast("int").alias("blocks")))
+    parts = (named.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("members")).groupBy("hub")
+             .agg(F.max(F.struct("members", "component")).alias("main"), F.sum("members").alias("members"),
+                  F.count(F.lit(1)).alias("several")).filter("several > 1"))
+    open_ = parts.select("hub", F.col("main.component").alias("main"),
+                         F.ceil((F.col("members") - F.col("main.members")) / block).cast("int").alias("rest_blocks"),
+                         F.ceil(F.col("main.members") / block).cast("int").alias("main_blocks"))
     open_ = stage(open_, "open")  # a row per open bundle, measured before it meets the members
-    member = named.join(open_, "hub").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    # block pairs (x <= y): a member of block o stands in (o, y) and (x, o)
-    placed = member.select("hub", "doc_id", "component", "own",
-                           F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    in_main = F.col("component") == F.col("main")
+    # blocks of the other components come first, those of the largest one after them
+    member = (named.join(open_, "hub")
+              .withColumn("own", F.when(in_main, F.col("rest_blocks") + F.pmod(F.xxhash64("doc_id"), F.col("main_blocks")))
+                          .otherwise(F.pmod(F.xxhash64("doc_id"), F.col("rest_blocks"))).cast("int"))
+              .withColumn("last", F.when(in_main, F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("main_blocks")) - 1))
+    # block pairs (x <= y): a member of block o stands in (o, y) and (x, o); the largest
+    # component is linked within, so its blocks meet those of the others alone
+    placed = member.select("hub", "doc_id", "component", "own", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
     placed = placed.select("doc_id", "component", "hub", F.least("own", "other").alias("x"),
                            F.greatest("own", "other").alias("y"),
                            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0)
