@@ -19,8 +19,9 @@ reaches a percentage (0.9 here; any from 50 on). Exact, up to 64-bit hashes:
 4. *Rest.* Tiles of the same hub are one bundle, in which a document stands
    once however many tiles it shares. Only bundles that then still hold
    several components are compared member against member, across
-   components, in blocks of bounded size; blocks of a bundle's largest component
-   meet those of the others only, so a large group costs its size, not the square.
+   components, in blocks of bounded size; where that places
+   fewer members, a bundle's largest component meets the others only, so a large
+   group costs its size, not the square.
 
 Each comparison first bounds the overlap by the bit counts of hashed bitmaps,
 ``overlap <= (n_a + n_b - popcount(a xor b)) / 2``, and what passes is decided
@@ -289,11 +290,17 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parts = (named.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("members")).groupBy("hub")
              .agg(F.max(F.struct("members", "component")).alias("main"), F.sum("members").alias("members"),
                   F.count(F.lit(1)).alias("several")).filter("several > 1"))
-    open_ = parts.select("hub", F.col("main.component").alias("main"),
-                         F.ceil((F.col("members") - F.col("main.members")) / block).cast("int").alias("rest_blocks"),
-                         F.ceil(F.col("main.members") / block).cast("int").alias("main_blocks"))
+    in_blocks = "cast(ceil({} / %d) AS int)" % block
+    cost = (parts.selectExpr("hub", "main.component AS main", "members", "main.members AS core", "members - main.members AS others")
+            .selectExpr("*", in_blocks.format("members") + " AS all_blocks", in_blocks.format("others") + " AS other_blocks",
+                        in_blocks.format("core") + " AS core_blocks"))
+    # setting the largest component apart pays if it places fewer members than all blocks against all
+    apart = F.expr("others * (other_blocks + core_blocks) + core * other_blocks < members * all_blocks")
+    open_ = cost.select("hub", F.when(apart, F.col("main")).alias("main"),
+                        F.when(apart, F.col("other_blocks")).otherwise(F.col("all_blocks")).alias("rest_blocks"),
+                        F.when(apart, F.col("core_blocks")).otherwise(0).alias("main_blocks"))
     open_ = stage(open_, "open")  # a row per open bundle, measured before it meets the members
-    in_main = F.col("component") == F.col("main")
+    in_main = F.col("component").eqNullSafe(F.col("main"))
     # blocks of the other components come first, those of the largest one after them
     member = (named.join(open_, "hub")
               .withColumn("own", F.when(in_main, F.col("rest_blocks") + F.pmod(F.xxhash64("doc_id"), F.col("main_blocks")))
