@@ -28,7 +28,7 @@ def page_facts(pages: DataFrame, source: str | None, blocks: bool = False, ancho
     """Run the page job: facts of every page next to its other columns."""
     keys = [f for f in pages.schema.fields if f.name != html_col]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keys] + [H.FACT_SCHEMA])
-    return pages.select(*[f.name for f in keys], html_col).mapInPandas(
+    return pages.select(*[f.name for f in keys], html_col).mapInArrow(
         H.page_facts_job(source, blocks, anchors, bare, html_col), schema)
 
 
