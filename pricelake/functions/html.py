@@ -8,7 +8,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pricelake.functions.text import _col
+from pricelake.functions.text import let
 
 #: A tag; ``>`` may stand inside quoted attribute values.
 TAG_PATTERN = r"<(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
@@ -41,7 +41,6 @@ def unescape(c) -> Column:
     """Decoded character references: decimal, hexadecimal and every named
     one, the legacy names also without a semicolon. Text without ``&``
     passes untouched."""
-    x = _col(c)
     names, values, bare = _tables()
     table = F.map_from_arrays(F.split(F.lit(names), _SEP), F.split(F.lit(values), _SEP))
     token = rf"&#[0-9]+;?|&#[xX][0-9A-Fa-f]+;?|&[A-Za-z][A-Za-z0-9]*;|&(?:{bare})|[^&]+|&"
@@ -61,5 +60,8 @@ def unescape(c) -> Column:
                 .when(numeric, _char(F.least(F.coalesce(code, F.lit(2.0 ** 31)), F.lit(2.0 ** 31)).cast("long")))
                 .otherwise(F.coalesce(whole, legacy, piece)))
 
-    pieces = F.transform(F.regexp_extract_all(x, F.lit(token), F.lit(0)), decoded)
-    return F.when(x.contains("&"), F.array_join(pieces, "")).otherwise(x)
+    def whole_text(x):
+        pieces = F.transform(F.regexp_extract_all(x, F.lit(token), F.lit(0)), decoded)
+        return F.when(x.contains("&"), F.array_join(pieces, "")).otherwise(x)
+
+    return let(c, whole_text)

@@ -7,9 +7,11 @@ character classes so that Java regex and RE2 (the SQL oracle) agree.
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from functools import lru_cache, reduce
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +22,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c, f) -> Column:
+    """``f(c)`` with ``c`` computed once a row, however often ``f`` names it."""
+    return F.get(F.transform(F.array(_col(c)), f), F.lit(0))
+
+
 _HANGUL = (0xAC00, 0xD7A3)
 #: Consonant, vowel and final jamo by their index in a syllable (index 0 of the finals: none).
 _LEAD, _VOWEL, _TAIL = ("".join(chr(base + i) for i in range(n)) for base, n in
@@ -56,14 +63,42 @@ def fold_table(ascii_only: bool) -> tuple[str, str, dict[str, str], str]:
     return "".join(src), "".join(dst), multi, r"[^\x00-\x7F]" if ascii_only else char_class(gone)
 
 
-def common_letters(ascii_only: bool, below: int = 0x250) -> tuple[str, str, str]:
-    """(regex class of all characters but ASCII and the Latin ones below
-    ``below`` that fold to one character or to themselves, from_chars, to_chars)."""
+#: Latin letters, punctuation and currency signs: what texts in European languages consist of.
+_COMMON = (range(0x80, 0x250), range(0x2010, 0x2070), range(0x20A0, 0x20D0))
+
+
+@lru_cache(maxsize=None)
+def common_letters(ascii_only: bool) -> tuple[str, str, str]:
+    """(regex class of all characters but ASCII and the common ones that fold to
+    one character, to themselves or, with ``ascii_only``, to nothing; from_chars,
+    to_chars for ``translate``, which drops those behind the last of to_chars)."""
     src, dst, multi, _ = fold_table(ascii_only)
     to = dict(zip(src, dst))
-    stay = [c for c in map(chr, range(0x80, below))
-            if c in to or not ascii_only and c not in multi and not unicodedata.combining(c)]
-    return "[^\\x00-\\x7F" + char_class(stay)[1:], "".join(c for c in stay if c in to), "".join(to[c] for c in stay if c in to)
+    stay = [c for c in map(chr, chain(*_COMMON)) if c in to or c not in multi and (ascii_only or not unicodedata.combining(c))]
+    mapped = [c for c in stay if c in to]
+    gone = [c for c in stay if c not in to] if ascii_only else []
+    return "[^\\x00-\\x7F" + char_class(stay)[1:], "".join(mapped + gone), "".join(to[c] for c in mapped)
+
+
+#: Code points in one block of ``fold_blocks``.
+_BLOCK = 64
+
+
+@lru_cache(maxsize=None)
+def fold_blocks(ascii_only: bool) -> str:
+    """JSON of what every code point folds to, by block and place in it; null
+    for what stays (what goes, with ``ascii_only``) and for Hangul syllables."""
+    src, dst, multi, _ = fold_table(ascii_only)
+    to = dict(zip(src, dst)) | multi
+    if not ascii_only:
+        to |= {c: "" for c in map(chr, range(0x80, sys.maxunicode + 1))
+               if c not in to and all(map(unicodedata.combining, unicodedata.normalize("NFKD", c)))}
+    blocks: list[list] = [[] for _ in range(max(map(ord, to)) // _BLOCK + 1)]
+    for c, out in to.items():
+        block, place = blocks[ord(c) // _BLOCK], ord(c) % _BLOCK
+        block += [None] * (place + 1 - len(block))
+        block[place] = out
+    return json.dumps(blocks, ensure_ascii=False)
 
 
 def char_class(chars) -> str:
@@ -95,34 +130,35 @@ def coalesce_blank(c) -> Column:
 
 def nfkd_fold(c, ascii_only: bool = False) -> Column:
     """NFKD without combining marks (or without anything non-ASCII). Plain
-    ASCII text passes untouched, and only the characters that fold to
-    several are looked up one by one."""
-    x = _col(c)
-    src, dst, multi, dropped = fold_table(ascii_only)
-    several = char_class(multi) if ascii_only else char_class(multi)[:-1] + r"\x{AC00}-\x{D7A3}]"
-    sep = "\x01"
-    table = F.map_from_arrays(F.split(F.lit(sep.join(multi)), sep), F.split(F.lit(sep.join(multi.values())), sep))
+    ASCII text passes untouched, and of other text than that of European
+    languages every character is looked up by its code point."""
+    blocks = F.from_json(F.lit(fold_blocks(ascii_only)), "array<array<string>>")
+
+    def jamo(letters, at):
+        return F.substring(F.lit(letters), at.cast("int") + 1, F.lit(1))
 
     def folded(piece):
-        out = F.coalesce(F.try_element_at(table, piece), piece)
+        code = F.ascii(piece)
+        out = F.get(F.get(blocks, F.floor(code / _BLOCK).cast("int")), code % _BLOCK)
         if ascii_only:
-            return out
-        n = F.ascii(piece) - _HANGUL[0]
-
-        def jamo(letters, at):
-            return F.substring(F.lit(letters), at.cast("int") + 1, F.lit(1))
-
+            return F.when(code < 0x80, piece).otherwise(F.coalesce(out, F.lit("")))
+        n = code - _HANGUL[0]
         tail = n % 28
-        return F.when((F.length(piece) == 1) & n.between(0, _HANGUL[1] - _HANGUL[0]), F.concat(
-            jamo(_LEAD, F.floor(n / 588)), jamo(_VOWEL, F.floor(n % 588 / 28)),
-            F.when(tail > 0, jamo(_TAIL, tail)).otherwise(F.lit("")))).otherwise(out)
-
-    pieces = F.regexp_extract_all(x, F.lit(f"{several}|[^{several[1:]}+"), F.lit(0))
-    y = F.when(x.rlike(several), F.array_join(F.transform(pieces, folded), "")).otherwise(x)
-    y = F.regexp_replace(F.translate(y, src, dst), dropped, "")
-    # letters of European languages fold one to one: such texts need neither of the classes of hundreds of ranges
+        return (F.when(code < 0x80, piece)
+                .when(n.between(0, _HANGUL[1] - _HANGUL[0]), F.concat(
+                    jamo(_LEAD, F.floor(n / 588)), jamo(_VOWEL, F.floor(n % 588 / 28)),
+                    F.when(tail > 0, jamo(_TAIL, tail)).otherwise(F.lit(""))))
+                .otherwise(F.coalesce(out, piece)))
+
+    # letters of European languages fold one to one
     plain, few_src, few_dst = common_letters(ascii_only)
-    return (F.when(~x.rlike(r"[^\x00-\x7F]"), x).when(~x.rlike(plain), F.translate(x, few_src, few_dst)).otherwise(y))
+
+    def fold(x):
+        pieces = F.regexp_extract_all(x, F.lit(r"[\x00-\x7F]+|[^\x00-\x7F]"), F.lit(0))
+        return (F.when(~x.rlike(r"[^\x00-\x7F]"), x).when(~x.rlike(plain), F.translate(x, few_src, few_dst))
+                .otherwise(F.array_join(F.transform(pieces, folded), "")))
+
+    return let(c, fold)
 
 
 def fold_text(c) -> Column:
@@ -188,8 +224,7 @@ def ppu_tidy_alcampo(c) -> Column:
 
 
 def contains_any(c, words) -> Column:
-    x = _col(c)
-    return reduce(lambda a, b: a | b, [F.contains(x, F.lit(w)) for w in words])
+    return let(c, lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(w)) for w in words]))
 
 
 def offer_flag_lower(c, keywords) -> Column:

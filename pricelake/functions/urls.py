@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pricelake.functions import constants as K
-from pricelake.functions.text import _col, fold_text, strip, url_unquote, contains_any, coalesce_blank
+from pricelake.functions.text import _col, fold_text, let, strip, url_unquote, contains_any, coalesce_blank
 
 _SCHEME = r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?"
 NETLOC_PATTERN = r"^" + _SCHEME + r"//([^/?#]*)"
@@ -25,11 +25,10 @@ def base_for(source: str) -> str:
 def url_normalize(href, base) -> Column:
     """``//x`` -> ``https://x``; ``/x`` -> base + ``/x``; ``http(s)://``
     kept; anything else (``#x``, ``mailto:``, ``./x``, ``""``) -> null."""
-    h = strip(_col(href))
     b = F.lit(base) if isinstance(base, str) else base
-    return (F.when(h.startswith("//"), F.concat(F.lit("https:"), h))
-            .when(h.startswith("/"), F.concat(b, h))
-            .when(h.startswith("http://") | h.startswith("https://"), h))
+    return let(strip(_col(href)), lambda h: F.when(h.startswith("//"), F.concat(F.lit("https:"), h))
+               .when(h.startswith("/"), F.concat(b, h))
+               .when(h.startswith("http://") | h.startswith("https://"), h))
 
 
 def url_clean(url) -> Column:
@@ -65,28 +64,30 @@ def seg_at(segs: Column, i: int) -> Column:
 # ---- P4 / P5 per source ---------------------------------------------------
 
 def is_product_url(url, source: str) -> Column:
-    u = coalesce_blank(url)
+    return let(coalesce_blank(url), lambda u: _is_product(u, source))
+
+
+def _is_product(u: Column, source: str) -> Column:
     if source == "carrefour":
         return u.contains("/p")
     if source == "alcampo":
-        host = url_netloc(u)
-        return u.contains("/products/") & ((host == "") | host.contains(K.ALCAMPO_HOST))
+        return u.contains("/products/") & let(url_netloc(u), lambda host: (host == "") | host.contains(K.ALCAMPO_HOST))
     if source == "dia":
-        host = url_netloc(u)
-        return (u != "") & ((host == "") | host.contains(K.DIA_HOST)) & \
+        return (u != "") & let(url_netloc(u), lambda host: (host == "") | host.contains(K.DIA_HOST)) & \
             contains_any(F.lower(url_path(u)), K.DIA_PRODUCT_MARKERS)
     raise ValueError(source)
 
 
 def is_category_url(url, source: str) -> Column:
-    u = coalesce_blank(url)
+    return let(coalesce_blank(url), lambda u: _is_category(u, source))
+
+
+def _is_category(u: Column, source: str) -> Column:
     if source == "carrefour":
         return u.contains("/c")
     if source == "dia":
-        host = url_netloc(u)
-        path = F.lower(url_path(u))
-        return ((u != "") & ~is_product_url(u, "dia") & ((host == "") | host.contains(K.DIA_HOST))
-                & (path.contains("/compra-online") | contains_any(path, K.DIA_CATEGORY_MARKERS)))
+        return ((u != "") & ~_is_product(u, "dia") & let(url_netloc(u), lambda host: (host == "") | host.contains(K.DIA_HOST))
+                & contains_any(F.lower(url_path(u)), ["/compra-online", *K.DIA_CATEGORY_MARKERS]))
     raise ValueError(source)
 
 

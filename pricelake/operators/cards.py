@@ -98,9 +98,7 @@ def _url_rule(source: str):
 
     def ok(href):
         n = F.coalesce(url_normalize(href, base), F.lit(""))
-        if source == "dia":
-            n = url_clean(n)
-        return F.when(is_product_url(n, source), n)
+        return T.let(url_clean(n) if source == "dia" else n, lambda u: F.when(is_product_url(u, source), u))
 
     return ok
 
@@ -132,11 +130,11 @@ def card_fields(cards: DataFrame, source: str, keys=("page_id",)) -> DataFrame:
     name = F.coalesce(F.col("name"), F.lit(""))
     if source == "dia":
         raw = F.col("price_raw")
-        from_el = F.when(T.price_extract(raw) != "", T.price_extract(raw)) \
-            .otherwise(T.strip(F.replace(raw, F.lit("€"), F.lit(""))))
+        from_el = T.let(T.price_extract(raw), lambda p: F.when(p != "", p)
+                        .otherwise(T.strip(F.replace(raw, F.lit("€"), F.lit("")))))
         price = F.when(raw.isNotNull(), from_el).otherwise(T.price_extract(text))
         ppu_el = F.when(raw.isNotNull(), T.ppu_extract_dia(raw)).otherwise(F.lit(""))
-        ppu = F.when(ppu_el != "", ppu_el).otherwise(T.ppu_extract_dia(text))
+        ppu = T.let(ppu_el, lambda p: F.when(p != "", p).otherwise(T.ppu_extract_dia(text)))
         brand_el = F.coalesce(F.col("brand_el"), F.lit(""))
         brand = F.when(brand_el != "", brand_el).otherwise(T.brand_first_upper(name))
         offer = T.offer_flag_dia(text)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.functions.html import TAG_PATTERN, unescape
-from pricelake.functions.text import _col
+from pricelake.functions.text import _col, let
 from pricelake.functions.urls import url_normalize, is_category_url, is_product_url
 from pricelake.operators.merge import stable_distinct
 
@@ -42,10 +42,13 @@ def attr_value(tag, name: str) -> Column:
     or without a value."""
     every = F.regexp_extract_all(_col(tag), F.lit(ATTRIBUTE_PATTERN), F.lit(0))
     hit = F.get(F.filter(every, lambda a: F.lower(F.regexp_extract(a, r"^([^ \t\n\f\r=]+)", 1)) == name), F.lit(0))
-    raw = F.regexp_extract(hit, r"(?s)^[^=]*=" + _B + r"*(.*)$", 1)
-    quoted = raw.startswith('"') | raw.startswith("'")
-    val = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return F.when(raw != "", unescape(val))
+
+    def value(raw):
+        quoted = raw.startswith('"') | raw.startswith("'")
+        val = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+        return F.when(raw != "", unescape(val))
+
+    return let(F.regexp_extract(hit, r"(?s)^[^=]*=" + _B + r"*(.*)$", 1), value)
 
 
 def links_extract(pages: DataFrame, base, html_col: str = "html", keep=("page_id",)) -> DataFrame:
@@ -101,14 +104,13 @@ def pagination_links(pages: DataFrame, category_url_col: str, base, html_col: st
     cols = list(dict.fromkeys(list(keep) + [category_url_col] +
                               ([base] if isinstance(base, str) and base in pages.columns else [])))
     links = links_extract(pages.select(*cols, html_col), base, html_col, keep=tuple(cols))
-    rel = attr_value("tag", "rel")
-    rel_next = links.where(rel.contains("next"))
     cat_base = F.substring_index(F.col(category_url_col), "?", 1)
     low = F.lower(F.col("url"))
-    paged = links.where(is_category_url(F.col("url"), "carrefour") & F.col("url").startswith(cat_base)
-                        & (F.col("url").contains("?") | low.contains("pag") | low.contains("no=")))
-    both = rel_next.select(*keep, "url").unionByName(paged.select(*keep, "url"))
-    return both.distinct()
+    paged = (is_category_url(F.col("url"), "carrefour") & F.col("url").startswith(cat_base)
+             & (F.col("url").contains("?") | low.contains("pag") | low.contains("no=")))
+    # one pass over the pages; a null on either side takes no link
+    kept = F.coalesce(attr_value("tag", "rel").contains("next"), F.lit(False)) | F.coalesce(paged, F.lit(False))
+    return links.where(kept).select(*keep, "url").distinct()
 
 
 def anchors_with_text(pages: DataFrame, base, html_col: str = "html", keep=("page_id",)) -> DataFrame:
