@@ -105,9 +105,14 @@ def pagination_links(pages: DataFrame, category_url_col: str, base, html_col: st
                               ([base] if isinstance(base, str) and base in pages.columns else [])))
     links = links_extract(pages.select(*cols, html_col), base, html_col, keep=tuple(cols))
     cat_base = F.substring_index(F.col(category_url_col), "?", 1)
-    low = F.lower(F.col("url"))
-    paged = (is_category_url(F.col("url"), "carrefour") & F.col("url").startswith(cat_base)
-             & (F.col("url").contains("?") | low.contains("pag") | low.contains("no=")))
+
+    def under_category(url):
+        low = F.lower(url)
+        return (is_category_url(url, "carrefour") & url.startswith(cat_base)
+                & (url.contains("?") | low.contains("pag") | low.contains("no=")))
+
+    # the filter is evaluated below the projection, where a link is its whole expression
+    paged = let(F.col("url"), under_category)
     # one pass over the pages; a null on either side takes no link
     kept = F.coalesce(attr_value("tag", "rel").contains("next"), F.lit(False)) | F.coalesce(paged, F.lit(False))
     return links.where(kept).select(*keep, "url").distinct()
