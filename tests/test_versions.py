@@ -182,3 +182,56 @@ def test_a_batch_run_again_after_its_generation(spark, tmpdir_path):
         os.remove(f"{tmpdir_path}/c/commits/{f}")
     SU.start_snapshot_upsert(spark, f"{tmpdir_path}/feed/*", root, f"{tmpdir_path}/c", compact_every=1).awaitTermination()
     assert SU.read_state(spark, root).collect() == before
+
+
+def snapshot(spark, seq, keys):
+    spec = [(1, seq, p, D[0], f"P{p}", "", f"{seq},0", "", False, "c", "s", f"https://u/{p * 2654435761 % 2**32:x}", "card") for p in keys]
+    return spark.createDataFrame(spec, SU.SNAPSHOT_SCHEMA)
+
+
+def test_no_batch_loads_the_state(spark, tmpdir_path):
+    for i in range(3):
+        snapshot(spark, i, range(i, i + 4)).coalesce(1).write.parquet(f"{tmpdir_path}/feed/{i}")
+    q = SU.start_snapshot_upsert(spark, f"{tmpdir_path}/feed/*", f"{tmpdir_path}/state", f"{tmpdir_path}/c", max_files_per_trigger=1)
+    q.awaitTermination()
+    assert not q.lastProgress["stateOperators"] and SU.state_log(spark, f"{tmpdir_path}/state").count() == 12
+    got = {r.product: (r.price, r.page_seq) for r in SU.read_state(spark, f"{tmpdir_path}/state").collect()}
+    assert got == {f"P{p}": (f"{min(p, 2)},0", max(0, p - 3)) for p in range(6)}
+
+
+def test_folding_does_not_write_the_whole_state_each_time(spark, tmpdir_path, monkeypatch):
+    n, size, folded, compact = 12, 4000, [], SU.compact
+
+    def counted(log):
+        folded.append(log.count())
+        return compact(log)
+
+    monkeypatch.setattr(SU, "compact", counted)
+    for i in range(n):
+        SU.keyed_state(snapshot(spark, i, range(i * size, (i + 1) * size))).coalesce(1).write.parquet(f"{tmpdir_path}/log/{i}")
+        SU.fold_log(spark, tmpdir_path)
+    assert sum(folded) < 60 * size  # was 78: 1 + 2 + ... + 12
+    generations, batches = SU.live_folders(spark, tmpdir_path)
+    assert batches == [] and len(generations) <= 4 and SU.state_log(spark, tmpdir_path).count() == n * size
+    assert SU.read_state(spark, tmpdir_path).count() == n * size
+
+
+def test_a_folder_that_a_generation_covers_counts_once(spark, tmpdir_path, monkeypatch):
+    for i in range(4):
+        SU.keyed_state(snapshot(spark, i, range(3 * i, 3 * i + 5))).write.parquet(f"{tmpdir_path}/log/{i}")
+        if i == 2:
+            SU.fold_log(spark, tmpdir_path)
+    before = sorted(map(str, SU.read_state(spark, tmpdir_path).collect()))
+    fs = SU._fs
+
+    class Kept:  # the run dies before anything is deleted
+        def __init__(self, real):
+            self.real = real
+
+        def __getattr__(self, name):
+            return (lambda *_: False) if name == "delete" else getattr(self.real, name)
+
+    monkeypatch.setattr(SU, "_fs", lambda s, p: (Kept(fs(s, p)[0]), fs(s, p)[1]))
+    SU.fold_log(spark, tmpdir_path)
+    assert SU.live_folders(spark, tmpdir_path) == ([2, 3], [])
+    assert sorted(map(str, SU.read_state(spark, tmpdir_path).collect())) == before
