@@ -6,6 +6,9 @@ file source picks them up oldest first; every micro-batch is applied with
 that one Spark job wrote into one folder (their names carry the job's id).
 The first batch that sees a part file loads its whole object, however the
 parts are spread over batches; a folder still being written is waited for.
+So the number of files in a batch counts objects: a batch takes as many landed files as
+that number of objects has on average, and the number of batches grows with the
+objects, not with the parts that they are written in.
 Inside a batch the objects are ordered by (modification time, path) and
 applied as one set-based step that equals replacing their days one after the
 other:
@@ -22,8 +25,8 @@ left without rows are deleted; surviving rows of other dates are appended.
 
 The stream reads file *metadata* (the binary-file source without its content),
 at any depth below the landing root, so a file without rows still replaces
-its day. Only that metadata (one row per file, at most ``maxFilesPerTrigger``)
-reaches the driver; the rows are read from the batch's files. Files that the
+its day. Only that metadata, one row per object, reaches the driver; the rows
+are read from the batch's files and from the folders of its part files. Files that the
 object-path rule or the table map does not know are appended to
 ``_ignored_files`` next to the tables, with the reason. Progress lives in the
 stream checkpoint under the shared checkpoint folder; batch markers
@@ -44,18 +47,34 @@ from pricelake.sources.landing import PRODUCT_SCHEMA, _fs
 
 #: Name of a part file: folder, then the id of the job that wrote it.
 _PART = r"^(.*)/part-[0-9]+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$"
+_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 #: Seconds to wait for a folder that a job is still writing.
 WRITER_PATIENCE = 600
 
 
 def landed_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int = 8) -> DataFrame:
-    """One row (path, modificationTime) per landed file, at any depth."""
-    return (spark.readStream.format("binaryFile")
-            .schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", True)
-            .option("maxFilesPerTrigger", max_files_per_trigger).load(landing_root)
+    """One row (path, modificationTime) per landed file, at any depth; a part file is its share of an object."""
+    return (spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("recursiveFileLookup", True)
+            .option("maxFilesPerTrigger", max_files_per_trigger * files_per_object(spark, landing_root)).load(landing_root)
             .select("path", "modificationTime"))
 
 
+def files_per_object(spark: SparkSession, landing_root: str) -> int:
+    """Landed files per object, on average and rounded up (1 if nothing has landed)."""
+    fs, p = _fs(spark, landing_root)
+    if not fs.exists(p):
+        return 1
+    files = spark.read.format("binaryFile").schema(_FILE_SCHEMA).option("recursiveFileLookup", True).load(landing_root)
+    return files.select(_object_key().alias("key")).groupBy("key").count() \
+        .agg(F.ceil(F.avg("count")).cast("int")).first()[0] or 1
+
+
+def _object_key():
+    """The id of a landed file's object: folder and job of a part file, else the path."""
+    part = F.regexp_extract("path", _PART, 2)
+    return F.when(part != "", F.concat(F.regexp_extract("path", _PART, 1), F.lit("#"), part)).otherwise(F.col("path"))
+
+
 def landed_files(found: DataFrame, landing_root: str) -> DataFrame:
     """(path, modificationTime, table_name, pday, reason, folder, job) of landed
     files; ``reason`` tells why a file is not a day file of a known table.
@@ -72,38 +91,36 @@ def landed_files(found: DataFrame, landing_root: str) -> DataFrame:
                         F.regexp_extract("path", _PART, 1).alias("folder"), F.regexp_extract("path", _PART, 2).alias("job"))
 
 
-def day_objects(spark: SparkSession, files: list) -> list:
-    """(object id, table, day, paths) of landed files (rows of ``landed_files``
-    in order): part files stand for the whole object that they belong to, as it
-    is in its folder now. A folder that vanished has no object any more: a later
-    one took its name."""
-    found = {}
-    for f in files:
-        key = f"{f['folder']}#{f['job']}" if f["job"] else f["path"]
-        if key not in found:
-            found[key] = (key, f["table_name"], f["pday"], _parts(spark, f["folder"], f["job"]) if f["job"] else [f["path"]])
-    return [o for o in found.values() if o[3]]
+def landed_objects(files: DataFrame) -> list:
+    """A row per object among the known files and per unknown file (rows of ``landed_files``), in the order of
+    their first files by (modification time, path)."""
+    known = F.col("reason").isNull()
+    firsts = (files.withColumn("key", F.when(known, _object_key()).otherwise(F.col("path")))
+              .withColumn("at", F.unix_micros("modificationTime"))
+              .groupBy("key").agg(F.min(F.struct("at", "path", "table_name", "pday", "reason", "folder", "job")).alias("f")))
+    return sorted(firsts.select("key", "f.*").collect(), key=lambda r: (r["at"], r["path"]))
 
 
-def _parts(spark: SparkSession, folder: str, job: str) -> list:
+def is_there(spark: SparkSession, folder: str, job: str) -> bool:
+    """Whether the folder has part files of the job; waits for a writer. A folder that vanished
+    has no object any more: a later one took its name."""
     fs, p = _fs(spark, folder)
     Path, until = spark._jvm.org.apache.hadoop.fs.Path, time.time() + WRITER_PATIENCE
     while fs.exists(Path(p, "_temporary")):
         if time.time() > until:
             raise TimeoutError(f"{folder} is still being written")
         time.sleep(1)
-    paths = [st.getPath().toString() for st in fs.listStatus(p)] if fs.exists(p) else []
-    return sorted(x for x in paths if job in x.rsplit("/", 1)[1] and x.endswith(".parquet"))
+    return bool(len(fs.globStatus(Path(f"{_escaped(folder)}/*{job}*.parquet")) or []))
 
 
 def surviving_rows(spark: SparkSession, rows: DataFrame, files: list) -> DataFrame:
     """(table_name, product columns): the rows of a batch's objects that no later
-    object of the batch replaces. ``files`` = [(seq, path, table, day)] in order,
-    files of one object with one number; ``rows`` as of ``read_files``."""
+    object of the batch replaces. ``files`` = [(seq, path or object id, table, day)] in order,
+    files of one object with one number; ``rows`` as of ``read_files`` or ``read_objects``."""
     uri = spark._jvm.org.apache.hadoop.fs.Path
     meta = spark.createDataFrame([(i, uri(p).toUri().toString(), t, d) for i, p, t, d in files],
                                  "_seq int, _path string, table_name string, _pday date")
-    # a row per file of the batch's objects
+    # a row per file or object of the batch
     tagged = rows.join(F.broadcast(meta), "_path")
     last_for_day = meta.groupBy(F.col("table_name").alias("_t"), F.col("_pday").alias("_d")) \
         .agg(F.max("_seq").alias("_last"))
@@ -115,13 +132,14 @@ def surviving_rows(spark: SparkSession, rows: DataFrame, files: list) -> DataFra
 
 
 def apply_files(spark: SparkSession, rows: DataFrame, files: list, tables_root: str) -> None:
-    """Apply one batch: ``files`` = [(seq, path, table, day)] in order, files of
-    one object with one number.
+    """Apply one batch: ``files`` = [(seq, path or object id, table, day)] in order,
+    files of one object with one number.
 
     All bronze tables live under ``tables_root`` partitioned by
     ``(table_name, date)``, so a batch is one dynamic-overwrite write for
     the replaced days of every table plus one append."""
-    survivors = surviving_rows(spark, rows, files)
+    # the files are opened once; a day's rows lie together, a large day's in several tasks
+    survivors = surviving_rows(spark, rows, files).hint("rebalance", "table_name", "date").persist()
     days = sorted({(f[2], str(f[3])) for f in files})
     replaced = F.lit(False)
     for t, d in days:
@@ -138,6 +156,7 @@ def apply_files(spark: SparkSession, rows: DataFrame, files: list, tables_root:
             if fs.exists(p):
                 fs.delete(p, True)
     survivors.where(~replaced).write.mode("append").partitionBy("table_name", "date").parquet(tables_root)
+    survivors.unpersist()
 
 
 def read_table(spark: SparkSession, tables_root: str, table: str) -> DataFrame:
@@ -147,41 +166,59 @@ def read_table(spark: SparkSession, tables_root: str, table: str) -> DataFrame:
 
 def read_files(spark: SparkSession, paths: list) -> DataFrame:
     """Rows of the given day files with the ``_path`` (percent-encoded) each came from."""
-    escaped = ["".join("\\" + c if c in "*?[]{}\\" else c for c in p) for p in paths]
-    return (spark.read.schema(PRODUCT_SCHEMA).option("recursiveFileLookup", True).parquet(*escaped)
+    return (spark.read.schema(PRODUCT_SCHEMA).option("recursiveFileLookup", True).parquet(*map(_escaped, paths))
             .select("*", F.col("_metadata.file_path").alias("_path")))
 
 
+def read_objects(spark: SparkSession, objects: list) -> DataFrame:
+    """Rows of the given objects with the (percent-encoded) id of the object each came from. Folders of
+    part files are listed by Spark, as they are now."""
+    files = [o["path"] for o in objects if not o["job"]]
+    folders = sorted({o["folder"] for o in objects if o["job"]})
+    found = [read_files(spark, files)] if files else []
+    if folders:
+        rows = (spark.read.schema(PRODUCT_SCHEMA).option("recursiveFileLookup", True).option("pathGlobFilter", "part-*.parquet")
+                .parquet(*map(_escaped, folders)).withColumn("path", F.col("_metadata.file_path")))
+        # "#" of the id, encoded like the rest
+        found.append(rows.select(*K.PRODUCT_COLUMNS, F.regexp_replace(_object_key(), "#", "%23").alias("_path")))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
+def _escaped(path: str) -> str:
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
+
+
 def start_day_load(spark: SparkSession, landing_root: str, tables_root: str, checkpoint: str,
                    max_files_per_trigger: int = 8, available_now: bool = True):
-    """Start T1; returns the ``StreamingQuery``."""
+    """Start T1; returns the ``StreamingQuery``. ``max_files_per_trigger`` counts a day's part files as one file."""
     stream = landed_stream(spark, landing_root, max_files_per_trigger)
-    tables = tables_root.rstrip("/")
+    tables, ids = tables_root.rstrip("/"), {}
 
     def batch(df: DataFrame, batch_id: int) -> None:
         # foreachBatch is at-least-once: a batch re-run after a failure must
         # not append its other-date rows twice. A marker per applied batch of
         # this checkpoint's query (written after both writes) makes the replay a no-op.
-        query_id = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+        if not ids:
+            ids["query"] = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+        query_id = ids["query"]
         fs, marker = _fs(spark, f"{tables}/_committed_batches/{query_id}/{batch_id}")
         if fs.exists(marker):
             return
-        files = landed_files(df, landing_root).orderBy("modificationTime", "path").collect()
-        known = [f for f in files if f["reason"] is None]
-        ignored = [(f["path"], f["reason"]) for f in files if f["reason"] is not None]
+        found = landed_objects(landed_files(df, landing_root))
+        ignored = [(f["path"], f["reason"]) for f in found if f["reason"] is not None]
         if ignored:
             spark.createDataFrame(ignored, "path string, reason string").write.mode("append").json(f"{tables}/_ignored_files")
+        known = [f for f in found if f["reason"] is None]
         # an object whose other part files came in an earlier batch is loaded already
-        found = day_objects(spark, known)
-        seen = {o[0]: _fs(spark, f"{tables}/_committed_objects/{query_id}/{hashlib.sha256(o[0].encode()).hexdigest()}")[1]
-                for o in found}
-        objects = [o for o in found if not fs.exists(seen[o[0]])]
+        seen = {o["key"]: _fs(spark, f"{tables}/_committed_objects/{query_id}/{hashlib.sha256(o['key'].encode()).hexdigest()}")[1]
+                for o in known if o["job"]}
+        objects = [o for o in known if not o["job"] or not fs.exists(seen[o["key"]]) and is_there(spark, o["folder"], o["job"])]
         if objects:
-            meta = [(i, p, table, day) for i, (_, table, day, paths) in enumerate(objects) for p in paths]
-            apply_files(spark, read_files(spark, [m[1] for m in meta]), meta, tables)
+            meta = [(i, o["key"], o["table_name"], o["pday"]) for i, o in enumerate(objects)]
+            apply_files(spark, read_objects(spark, objects), meta, tables)
         for o in objects:
-            if len(o[3]) > 1:
-                fs.create(seen[o[0]], True).close()
+            if o["job"]:
+                fs.create(seen[o["key"]], True).close()
         fs.create(marker, True).close()
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

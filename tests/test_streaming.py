@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import os
+import time
 
 from pricelake.sources.landing import PRODUCT_SCHEMA
 from pricelake.streaming.day_load import ignored_files, start_day_load
@@ -147,3 +148,29 @@ def test_rewritten_day_replaces_the_object_and_a_failed_run_keeps_it(spark, tmpd
     write_daily(df.limit(30), landing, "dia", D[0], rows_per_file=20)
     start_day_load(spark, landing, tables, f"{tmpdir_path}/c").awaitTermination()
     assert len(products(spark, tables)) == 31
+
+
+def test_batches_grow_with_the_objects_not_with_their_parts(spark, tmpdir_path):
+    from pricelake.plans.daily import write_daily
+    landing, tables = f"{tmpdir_path}/landing", f"{tmpdir_path}/tables"
+    for k, day in enumerate(D[:2]):
+        write_daily(spark.createDataFrame(run_rows(40, day), PRODUCT_SCHEMA).coalesce(1), landing, "dia", day, rows_per_file=4)
+    q = start_day_load(spark, landing, tables, f"{tmpdir_path}/c", max_files_per_trigger=2)
+    q.awaitTermination()
+    assert len([x for x in os.listdir(f"{tmpdir_path}/c/commits") if x.isdigit()]) == 1  # was 10: 20 files by 2
+    assert len(products(spark, tables)) == 80
+
+
+def test_parts_of_a_large_object_among_small_ones_load_once(spark, tmpdir_path):
+    from pricelake.plans.daily import write_daily
+    landing, tables = f"{tmpdir_path}/my landing#1", f"{tmpdir_path}/tables"
+    start_table(spark, tables, [(D[2], "kept"), (D[3], "old")])
+    write_daily(spark.createDataFrame(run_rows(20, D[0]) + run_rows(4, D[2]), PRODUCT_SCHEMA).coalesce(1), landing, "dia", D[0],
+                rows_per_file=2)
+    for i in range(3):  # each replaces the one before
+        rows(spark, [(D[3], f"x{i}")]).coalesce(1).write.parquet(f"{landing}/dia/{D[3]}/run {i}")
+        time.sleep(0.1)
+    start_day_load(spark, landing, tables, f"{tmpdir_path}/c", max_files_per_trigger=1).awaitTermination()
+    assert len([x for x in os.listdir(f"{tmpdir_path}/c/commits") if x.isdigit()]) == 4  # 15 files, 4 objects: 4 files a batch
+    want = [(str(D[0]), f"p{i:03d}") for i in range(20)] + [(str(D[2]), f"p{i:03d}") for i in range(4)]
+    assert products(spark, tables) == sorted([*want, (str(D[2]), "kept"), (str(D[3]), "x2")])
