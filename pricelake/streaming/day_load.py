@@ -140,7 +140,14 @@ def apply_files(spark: SparkSession, rows: DataFrame, files: list, tables_root:
     the replaced days of every table plus one append."""
     # the files are opened once; a day's rows lie together, a large day's in several tasks
     survivors = surviving_rows(spark, rows, files).hint("rebalance", "table_name", "date").persist()
-    days = sorted({(f[2], str(f[3])) for f in files})
+    try:
+        _write_days(spark, survivors, sorted({(f[2], str(f[3])) for f in files}), tables_root)
+    finally:  # a later batch may find other rows at the same paths
+        survivors.unpersist()
+
+
+def _write_days(spark: SparkSession, survivors: DataFrame, days: list, tables_root: str) -> None:
+    """Replace the (table, day) partitions of ``days`` and append the rows of other dates."""
     replaced = F.lit(False)
     for t, d in days:
         replaced = replaced | ((F.col("table_name") == t) & (F.col("date") == F.lit(d).cast("date")))
@@ -156,7 +163,6 @@ def apply_files(spark: SparkSession, rows: DataFrame, files: list, tables_root:
             if fs.exists(p):
                 fs.delete(p, True)
     survivors.where(~replaced).write.mode("append").partitionBy("table_name", "date").parquet(tables_root)
-    survivors.unpersist()
 
 
 def read_table(spark: SparkSession, tables_root: str, table: str) -> DataFrame:
