@@ -27,7 +27,7 @@ def page_facts(pages: DataFrame, source: str | None, blocks: bool = False, ancho
                html_col: str = "html") -> DataFrame:
     """Run the page job: facts of every page next to its other columns."""
     keys = [f for f in pages.schema.fields if f.name != html_col]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keys] + [H.FACT_SCHEMA])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keys] + [H.fields_schema(H.fact_fields(source))])
     return pages.select(*[f.name for f in keys], html_col).mapInPandas(
         H.page_facts_job(source, blocks, anchors, bare, html_col), schema)
 
@@ -39,14 +39,9 @@ def card_facts(pages: DataFrame, source: str, id_col: str = "page_id", html_col:
 
 # ---- the element each field is read from (H7) -------------------------------------
 
-def _every(role: str) -> Column:
-    """Values of all elements of a role, in document order."""
-    return F.transform(F.filter("els", lambda e: e["role"] == role), lambda e: e["value"])
-
-
-def _first(role: str) -> Column:
-    """Value of the first element of a role; null without one."""
-    return F.get(_every(role), F.lit(0))
+def _element(role: str) -> Column:
+    """The value of a role's element, or the values of all of them in document order; null without one."""
+    return F.col(H.element_column(role))
 
 
 def _filled(*columns) -> Column:
@@ -63,34 +58,34 @@ def _priced(role: str, need_amount: bool) -> Column:
     def ok(t):
         has = t.contains("€")
         return has & (T.strip(F.replace(t, F.lit("€"), F.lit(""))) != "") if need_amount else has
-    return F.get(F.filter(_every(role), ok), F.lit(0))
+    return F.get(F.filter(_element(role), ok), F.lit(0))
 
 
 def read_elements(facts: DataFrame, source: str) -> DataFrame:
     """Card facts with link_href, name, brand_el, price_raw, ppu_raw and
     offer_link taken from their named elements."""
     none = F.lit(None).cast("string")
-    image = T.strip(_first("image"))
-    names = [_first(r) for r in _roles(source, "name")]
+    names = [_element(r) for r in _roles(source, "name")]
     if source == "dia":
-        cols = {"link_href": _first("link"), "name": _filled(*names, image), "brand_el": _first("brand"),
+        cols = {"link_href": _element("link"), "name": _filled(*names, T.strip(_element("image"))), "brand_el": _element("brand"),
                 "price_raw": F.coalesce(*[_priced(r, True) for r in _roles(source, "price")]), "ppu_raw": none,
                 "offer_link": F.lit(False)}
     elif source == "alcampo":
-        pack = F.filter(_every("pack size"), lambda t: t.contains("€") & F.lower(t).contains("por"))
-        cols = {"link_href": _first("link"), "name": _filled(*names, image), "brand_el": none,
-                "price_raw": _filled(_first("price"), _first("old price"),
+        pack = F.filter(_element("pack size"), lambda t: t.contains("€") & F.lower(t).contains("por"))
+        cols = {"link_href": _element("link"), "name": _filled(*names, T.strip(_element("image"))), "brand_el": none,
+                "price_raw": _filled(_element("price"), _element("old price"),
                                      *[_priced(r, False) for r in _roles(source, "price")]),
-                "ppu_raw": _filled(_first("unit price"), T.strip_chars(F.get(pack, F.lit(0)), "() ")),
-                "offer_link": F.size(_every("offer link")) > 0}
+                "ppu_raw": _filled(_element("unit price"), T.strip_chars(F.get(pack, F.lit(0)), "() ")),
+                "offer_link": _element("offer link").isNotNull()}
     else:
-        cols = {"link_href": F.when(F.size(_every("title link")) > 0, _first("title link")).otherwise(_first("media link")),
-                "name": _filled(_first("name")), "brand_el": _filled(_first("brand")),
-                "price_raw": _filled(T.strip(_first("parent price")), _first("price")),
-                "ppu_raw": _filled(T.strip(_first("parent unit price")), _first("unit price")),
+        titles = _element("title link")
+        cols = {"link_href": F.when(titles.isNotNull(), F.get(titles, F.lit(0))).otherwise(_element("media link")),
+                "name": _filled(_element("name")), "brand_el": _filled(_element("brand")),
+                "price_raw": _filled(T.strip(_element("parent price")), _element("price")),
+                "ppu_raw": _filled(T.strip(_element("parent unit price")), _element("unit price")),
                 "offer_link": F.lit(False)}
-    return facts.select(*[c for c in facts.columns if c not in ("els", "raw", "kind")],
-                        *[c.alias(n) for n, c in cols.items()])
+    gone = {"raw", "kind", *(H.element_column(r) for r in H.ELEMENTS[source])}
+    return facts.select(*[c for c in facts.columns if c not in gone], *[c.alias(n) for n, c in cols.items()])
 
 
 def _url_rule(source: str):
@@ -112,15 +107,16 @@ def product_cards(facts: DataFrame, source: str) -> DataFrame:
         url = F.coalesce(url_normalize(F.col("link_href"), K.BASE_URLS["carrefour"]), F.lit(""))
         return facts.withColumn("product_url", url)
     ok = _url_rule(source)
-    with_url = facts.withColumn("product_url", F.coalesce(ok(F.col("own_href")), ok(F.col("link_href")))) \
-        .where(F.col("product_url").isNotNull())
+    # A filter would be evaluated below the projection, with the rule once more.
+    url = F.coalesce(ok(F.col("own_href")), ok(F.col("link_href")))
+    with_url = facts.withColumn("product_url", F.explode(F.array_compact(F.array(url))))
     # One shuffle by page: the first productive selector of the page, then
     # the first node per product URL. A page's cards are bounded by the
     # page, so the window partitions stay small.
     page = Window.partitionBy("page_id")
     first_node = Window.partitionBy("page_id", "product_url").orderBy("node_pos")
-    chosen = with_url.withColumn("_r", F.min(F.array_min("ranks")).over(page)).where(
-        F.array_contains("ranks", F.col("_r")))
+    least = F.col("ranks").bitwiseAND(F.negate("ranks"))  # the lowest bit
+    chosen = with_url.withColumn("_r", F.min(least).over(page)).where(F.col("ranks").bitwiseAND(F.col("_r")) != 0)
     return chosen.withColumn("_n", F.row_number().over(first_node)).where(F.col("_n") == 1).drop("_r", "_n")
 
 
@@ -174,10 +170,16 @@ def jsonld_objects(blocks: DataFrame, keys=("page_id",)) -> DataFrame:
     then the ``item`` objects of its ``itemListElement`` list; lists are
     walked element by element. Paths sort in document order. A round unfolds
     one level of all blocks, until no level is left; each level is written once,
-    so a round reads the level above it and no block is parsed twice."""
-    level = materialize(blocks.where("kind = 'block'").select(*keys, F.col("node_pos").alias("block_pos"),
+    with the type of its values, so a round reads the level above it, no block is
+    parsed twice and no value is looked through twice for its type."""
+    def written(values):
+        kind = T.let(P.vtype("v"), lambda t: F.when(t.startswith("ARRAY"), "array").when(t.startswith("OBJECT"), "object"))
+        return materialize(values.where(F.col("v").isNotNull()).select(*keys, "block_pos", "path", "v", kind.alias("_kind")))
+
+    # the filter on v is not pushed through the generator, below which v would be parsed once more
+    level = written(blocks.where("kind = 'block'").select(*keys, F.col("node_pos").alias("block_pos"),
                                                   F.array().cast("array<int>").alias("path"),
-                                                  F.try_parse_json("raw").alias("v")))
+                                                  F.explode(F.array(F.try_parse_json("raw"))).alias("v")))
     none = F.array().cast("array<variant>")
 
     def listed(v, path="$"):
@@ -186,14 +188,14 @@ def jsonld_objects(blocks: DataFrame, keys=("page_id",)) -> DataFrame:
 
     out = []
     while True:
-        kind = P.vtype("v")
-        out.append(level.where(kind.startswith("OBJECT")))
+        kind = F.col("_kind")
+        out.append(level.where(kind == "object").drop("_kind"))
         items = F.filter(F.transform(listed(F.col("v"), "$.itemListElement"), lambda e: F.try_variant_get(e, "$.item", "variant")),
                          lambda e: P.is_object(e))
-        below = F.when(kind.startswith("ARRAY"), listed(F.col("v"))).when(
-            kind.startswith("OBJECT"), F.concat(listed(F.col("v"), "$['@graph']"), items)).otherwise(none)
-        level = materialize(level.select(*keys, "block_pos", "path", F.posexplode(below).alias("_i", "v"))
-                            .select(*keys, "block_pos", F.concat("path", F.array("_i")).alias("path"), "v"))
+        below = F.when(kind == "array", listed(F.col("v"))).when(
+            kind == "object", F.concat(listed(F.col("v"), "$['@graph']"), items)).otherwise(none)
+        level = written(level.select(*keys, "block_pos", "path", F.posexplode(below).alias("_i", "v"))
+                        .select(*keys, "block_pos", F.concat("path", F.array("_i")).alias("path"), "v"))
         if level.isEmpty():
             break
     objects = out[0]

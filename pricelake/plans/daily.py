@@ -106,7 +106,8 @@ def daily_products(targets: DataFrame, pages: DataFrame, source: str, run_date:
         rows = _to_targets(feed, t)
         rows = rows.where((F.col("product") != "") | (F.col("product_url") != ""))
         if source == "dia":
-            rows = M.jsonld_gate(rows, "target_index", "page_seq", "kind")
+            # The gate reads the rows twice: computed once.
+            rows = M.jsonld_gate(materialize(rows), "target_index", "page_seq", "kind")
         rows = M.merge_last_wins(rows.drop("kind"), trim_used_names=False)
         rows = M.cap_per_group(rows, max_products, ["target_index"], ["merge_rank", "page_seq", "pos"])
         if source == "dia":
@@ -212,7 +213,7 @@ def mercadona_products(targets: DataFrame, payload_pages: DataFrame, run_date, d
                        position(0, F.array("leaf_pos", "prod_pos")).alias("pos"), *C.PRODUCT_FIELDS,
                        "category", "subcategory")
     rows = M.cap_per_group(rows, max_products, ["target_index"], ["page_seq", "pos"])
-    rows = M.dedup_first_wins(rows, allow_duplicates=allow_duplicates)
+    rows = M.dedup_first_wins(materialize(rows), allow_duplicates=allow_duplicates)
     rows = M.limit_total(rows, max_products)
     return project(rows, run_date)
 

@@ -27,7 +27,7 @@ def anchors(pages: DataFrame) -> DataFrame:
     page URL. The navigation pages are parsed once, where they are stored;
     facts, not html, meet the groups and categories."""
     p = fetched_pages(pages)
-    a = p.select("url", "page_seq", "html").mapInPandas(H.anchors_job(), "url string, page_seq long, " + H.ANCHOR_SCHEMA)
+    a = p.select("url", "page_seq", "html").mapInPandas(H.anchors_job(), "url string, page_seq long, " + H.fields_schema(H.ANCHOR_FIELDS))
     return materialize(last_snapshots(a, p).drop("page_seq").withColumnRenamed("url", "page_url"))
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.functions.text import _col, strip, brand_ladder, slugify, subcategory_label
+from pricelake.functions.text import _col, let, strip, brand_ladder, slugify, subcategory_label
 from pricelake.functions.urls import mercadona_product_url, category_api_url
 
 
@@ -36,7 +36,7 @@ def truthy(x) -> Column:
 
 def py_text(x) -> Column:
     """``str(x or "").strip()`` for JSON scalars."""
-    return _text_typed(_col(x), vtype(x), truthy(x))
+    return let(x, lambda v: let(vtype(v), lambda t: _text_typed(v, t, _truthy_typed(v, t))))
 
 
 # ---- S3 -------------------------------------------------------------------------
