@@ -33,7 +33,7 @@ def url_normalize(href, base) -> Column:
 
 def url_clean(url) -> Column:
     """Drop query and fragment."""
-    return F.regexp_replace(_col(url), r"(?s)[?#].*$", "")
+    return F.substring_index(F.substring_index(_col(url), "?", 1), "#", 1)
 
 
 def url_netloc(url) -> Column:
@@ -42,8 +42,8 @@ def url_netloc(url) -> Column:
 
 def url_path(url) -> Column:
     """Path without ``;params`` of the last segment."""
-    p = F.regexp_extract(coalesce_blank(url), PATH_PATTERN, 1)
-    return F.regexp_replace(p, r";[^/]*$", "")
+    return let(F.regexp_extract(coalesce_blank(url), PATH_PATTERN, 1),
+               lambda p: F.when(p.contains(";"), F.regexp_replace(p, r";[^/]*$", "")).otherwise(p))
 
 
 def raw_segments(url) -> Column:

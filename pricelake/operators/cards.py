@@ -173,7 +173,7 @@ def jsonld_objects(blocks: DataFrame, keys=("page_id",)) -> DataFrame:
     with the type of its values, so a round reads the level above it, no block is
     parsed twice and no value is looked through twice for its type."""
     def written(values):
-        kind = T.let(P.vtype("v"), lambda t: F.when(t.startswith("ARRAY"), "array").when(t.startswith("OBJECT"), "object"))
+        kind = F.when(P.is_object("v"), "object").when(P.is_array("v"), "array")
         return materialize(values.where(F.col("v").isNotNull()).select(*keys, "block_pos", "path", "v", kind.alias("_kind")))
 
     # the filter on v is not pushed through the generator, below which v would be parsed once more
@@ -183,8 +183,7 @@ def jsonld_objects(blocks: DataFrame, keys=("page_id",)) -> DataFrame:
     none = F.array().cast("array<variant>")
 
     def listed(v, path="$"):
-        return F.coalesce(F.when(P.vtype(F.try_variant_get(v, path, "variant")).startswith("ARRAY"),
-                                 F.try_variant_get(v, path, "array<variant>")), none)
+        return F.coalesce(F.try_variant_get(v, path, "array<variant>"), none)
 
     out = []
     while True:
@@ -208,23 +207,23 @@ def jsonld_products(objects: DataFrame, keys=("page_id",)) -> DataFrame:
     """Objects whose type mentions a product or that have a name, with a
     non-empty name; key = cleaned URL or lower name; first wins per page.
     Unit price only from a dict offer; offer always false."""
-    v = F.col("v")
-
-    def f(name, of=v):
+    def f(name, of="v"):
         return F.try_variant_get(of, f"$.{name}", "variant")
 
-    offers, brand = f("offers"), f("brand")
-    one = P.is_object(offers)
-    listed = F.when(P.vtype(offers).startswith("ARRAY"), F.try_variant_get(offers, "$[0]", "variant"))
-    rows = objects.select(
-        *keys, "block_pos", "path", P.py_text(F.try_variant_get(v, "$['@type']", "variant")).alias("type_text"),
-        f("name").isNotNull().alias("has_name"), P.py_text(f("name")).alias("name"),
-        F.when(P.is_object(brand), P.py_text(f("name", brand)))
-        .when(P.vtype(brand) == "STRING", P.py_text(brand)).otherwise(F.lit("")).alias("brand"),
-        F.when(one, P.py_text(f("price", offers))).when(P.is_object(listed), P.py_text(f("price", listed)))
-        .otherwise(F.lit("")).alias("price"),
-        F.when(one, P.py_text(f("priceSpecification", offers))).otherwise(F.lit("")).alias("price_spec"),
-        P.py_text(f("url")).alias("url_raw"))
+    # field by field in projections of their own, so that each is looked up once
+    found = objects.select(*keys, "block_pos", "path", F.try_variant_get("v", "$['@type']", "variant").alias("type"),
+                           f("name").alias("named"), f("brand").alias("maker"), f("offers").alias("offers"), f("url").alias("link"))
+    found = found.select("*", P.is_object("offers").alias("one"), F.try_variant_get("offers", "$[0]", "variant").alias("listed"),
+                         F.when(P.is_object("maker"), f("name", "maker")).when(P.vtype("maker") == "STRING", F.col("maker"))
+                         .alias("maker_name"))
+    found = found.select("*", F.when(F.col("one"), f("price", "offers")).when(P.is_object("listed"), f("price", "listed"))
+                         .alias("amount"), F.when(F.col("one"), f("priceSpecification", "offers")).alias("specification"))
+    rows = found.select(
+        *keys, "block_pos", "path", P.py_text("type").alias("type_text"), F.col("named").isNotNull().alias("has_name"),
+        # a generator: the filter below takes its column as it is and does not compute it once more
+        F.explode(F.array(P.py_text("named"))).alias("name"),
+        P.py_text("maker_name").alias("brand"), P.py_text("amount").alias("price"),
+        P.py_text("specification").alias("price_spec"), P.py_text("link").alias("url_raw"))
     rows = rows.where((T.fold_text(F.col("type_text")).contains("product") | F.col("has_name")) & (F.col("name") != ""))
     n = url_normalize(F.col("url_raw"), K.BASE_URLS["dia"])
     url = F.coalesce(F.when(n.isNotNull(), url_clean(n)), F.lit(""))

@@ -133,10 +133,11 @@ def carrefour_rows(targets: DataFrame, pages: DataFrame, max_pages: int | None =
     p = fetched_pages(pages)
     every = C.page_facts(p, "carrefour", anchors=True, bare=True)
     facts = materialize(every if chosen else last_snapshots(every, p))
-    anchors = facts.where("kind = 'anchor'").select(
+    # Every round of the walk reads the anchors: their links are made once.
+    anchors = materialize(facts.where("kind = 'anchor'").select(
         F.col("url").alias("src_id"), F.col("node_pos").alias("pos"),
-        L.url_normalize(F.col("own_href"), base).alias("link"), F.coalesce(F.col("raw"), F.lit("")).alias("rel")) \
-        .where(F.col("link").isNotNull())
+        F.explode(F.array_compact(F.array(L.url_normalize(F.col("own_href"), base)))).alias("link"),
+        F.coalesce(F.col("raw"), F.lit("")).alias("rel")))
     roots = targets.select(F.col("target_index").alias("root_id"), F.col("url").alias("page_id"), "url")
     cat = targets.select(F.col("target_index").alias("root_id"),
                          F.substring_index(F.col("url"), "?", 1).alias("_base"))

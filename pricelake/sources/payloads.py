@@ -26,7 +26,12 @@ def vtype(x) -> Column:
 
 
 def is_object(x) -> Column:
-    return vtype(x).startswith("OBJECT")
+    # the type as text names all that is below the value
+    return F.try_variant_get(_col(x), "$", "map<string,variant>").isNotNull()
+
+
+def is_array(x) -> Column:
+    return F.try_variant_get(_col(x), "$", "array<variant>").isNotNull()
 
 
 def truthy(x) -> Column:
